@@ -94,17 +94,21 @@ def history_query(history: Column | str, question: Column | str) -> Column:
 
 
 def message(role: Column | str, content: Column | str, name: Column | str | None = None) -> Column:
-    """A chat message struct `struct<role, content, name>`."""
+    """A chat message struct `struct<role, content>` (plus `name` when given,
+    as tool messages carry the tool's name)."""
     r = F.lit(role) if isinstance(role, str) and role in ("user", "assistant", "system", "tool") else _col(role)
-    n = F.lit(None).cast("string") if name is None else _col(name)
-    return F.struct(r.alias("role"), _col(content).alias("content"), n.alias("name"))
+    c = F.lit(content) if isinstance(content, str) else content
+    fields = [r.cast("string").alias("role"), c.cast("string").alias("content")]
+    if name is not None:
+        fields.append(_col(name).cast("string").alias("name"))
+    return F.struct(*fields)
 
 
 def with_system(messages: Column | str, system_text: Column | str, position: str = "first") -> Column:
     """Place a system message `first`, `before_last` (just before the last
     message, i.e. the pending user turn) or `after_last`."""
     msgs = _col(messages)
-    sys_msg = message(F.lit("system"), F.lit(system_text) if isinstance(system_text, str) else system_text)
+    sys_msg = message("system", system_text)
     one = F.array(sys_msg)
     if position == "first":
         return F.concat(one, msgs)
@@ -119,5 +123,5 @@ def with_system(messages: Column | str, system_text: Column | str, position: str
 
 def seed_history(messages: Column | str, seed: list[tuple[str, str]]) -> Column:
     """Fixed opening messages `(role, content)` placed before the live ones."""
-    seed_arr = F.array(*[message(F.lit(r), F.lit(c)) for r, c in seed])
+    seed_arr = F.array(*[message(r, c) for r, c in seed])
     return F.concat(seed_arr, _col(messages))

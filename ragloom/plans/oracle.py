@@ -71,30 +71,33 @@ def corpus_ctes(dims: int = DIMS, weighting: str = "tfidf") -> str:
     return ",\n".join(parts)
 
 
-def question_ctes(dims: int = DIMS, weighting: str = "tfidf") -> str:
-    """CTEs qtf, qvec(item_id, dim, w) over benchmark (needs corpus_ctes for idf)."""
-    parts = [tf_cte("qtf", "benchmark", "item_id", "text", dims)]
+def question_ctes(dims: int = DIMS, weighting: str = "tfidf", src: str = "benchmark", keys: str = "item_id",
+                  text: str = "text") -> str:
+    """CTEs qtf, qvec(keys, dim, w) over a question source (needs corpus_ctes for idf)."""
+    parts = [tf_cte("qtf", src, keys, text, dims)]
     if weighting == "tfidf":
-        parts.append("""qw AS (SELECT item_id, dim, tf * idf AS w FROM qtf JOIN idf USING (dim) WHERE idf > 0)""")
+        parts.append(f"""qw AS (SELECT {keys}, dim, tf * idf AS w FROM qtf JOIN idf USING (dim) WHERE idf > 0)""")
     else:
-        parts.append("""qw AS (SELECT item_id, dim, tf AS w FROM qtf)""")
-    parts.append("""qvec AS (
-  SELECT item_id, dim, w / sqrt(sum(w * w) OVER (PARTITION BY item_id)) AS w FROM qw
+        parts.append(f"""qw AS (SELECT {keys}, dim, tf AS w FROM qtf)""")
+    parts.append(f"""qvec AS (
+  SELECT {keys}, dim, w / sqrt(sum(w * w) OVER (PARTITION BY {keys})) AS w FROM qw
 )""")
     return ",\n".join(parts)
 
 
-def search_ctes(k: int = 4, dims: int = DIMS, weighting: str = "tfidf") -> str:
-    """CTEs ending in hits(item_id, doc_id, chunk_no, score, rank)."""
+def search_ctes(k: int = 4, dims: int = DIMS, weighting: str = "tfidf", src: str = "benchmark",
+                keys: str = "item_id", text: str = "text") -> str:
+    """CTEs ending in hits(keys, doc_id, chunk_no, score, rank)."""
+    qk = ", ".join(f"qvec.{x.strip()}" for x in keys.split(","))
     return f"""{corpus_ctes(dims, weighting)},
-{question_ctes(dims, weighting)},
+{question_ctes(dims, weighting, src, keys, text)},
 scores AS (
-  SELECT qvec.item_id, cvec.doc_id, cvec.chunk_no, round(sum(qvec.w * cvec.w), 6) AS score
+  SELECT {qk}, cvec.doc_id, cvec.chunk_no, round(sum(qvec.w * cvec.w), 6) AS score
   FROM qvec JOIN cvec USING (dim) GROUP BY ALL
 ),
 hits AS (
   SELECT * FROM (
-    SELECT *, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id, chunk_no))::INTEGER AS rank
+    SELECT *, (row_number() OVER (PARTITION BY {keys} ORDER BY score DESC, doc_id, chunk_no))::INTEGER AS rank
     FROM scores) WHERE rank <= {k}
 )"""
 

@@ -1 +1,290 @@
-"""Registered queries (filled in below)."""
+"""Registered conversation queries: exchanges, bounded histories, message
+lists, stream assembly and history-aware retrieval."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ragloom.operators import prompts as G
+from ragloom.operators import retrieve as R
+from ragloom.operators import sessions as S
+from ragloom.operators import vectors as V
+from ragloom.plans import oracle as O
+from ragloom.plans import rag
+from ragloom.plans.catalog import register
+from ragloom.session import table
+
+# The opening exchanges that seed the history-chat example, and
+# the system prompts of the system-role examples.
+SEED_EXCHANGES = [
+    ("user", "Why is the sky blue?"),
+    ("assistant", "The sky is blue because of the way the Earth's atmosphere scatters sunlight."),
+    ("user", "What is the weather in Tokyo?"),
+    ("assistant", "The weather in Tokyo is typically warm and humid during the summer months, with temperatures "
+                  "often exceeding 30°C (86°F). The city experiences a rainy season from June to September, with "
+                  "heavy rainfall and occasional typhoons. Winter is mild, with temperatures rarely dropping below "
+                  "freezing. The city is known for its high-tech and vibrant culture, with many popular tourist "
+                  "attractions such as the Tokyo Tower, Senso-ji Temple, and the bustling Shibuya district."),
+]
+SYSTEM_SHORT = "You are a helpful assistant. You only give a short sentence by answer."
+SYSTEM_PIRATE = "You speaks and sounds like a pirate with short sentences."
+SYSTEM_PIRATE_LAST = "You answer talking like a pirate. DON'T USE MARKDOWN EVER."
+
+PIECE_CHARS = 20
+
+
+def _conv(spark, sf_dir):
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+
+
+def _exchanges(spark, sf_dir):
+    turns = S.truncate_at_exit(S.skip_blank_turns(_conv(spark, sf_dir)))
+    return S.pair_exchanges(turns)
+
+
+_EX_SQL = """
+ex AS (
+  SELECT conv_id, turn, (row_number() OVER (PARTITION BY conv_id ORDER BY turn))::INTEGER AS ex_no, q, a
+  FROM (SELECT conv_id, turn, role, text AS q,
+               CASE WHEN lead(role) OVER w = 'assistant' THEN lead(text) OVER w END AS a
+        FROM (SELECT * FROM (
+                SELECT *, max(CASE WHEN role = 'user' AND lower(text) IN ('exit', 'quit', 'q') THEN 1 ELSE 0 END)
+                  OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ended
+                FROM conversations WHERE regexp_replace(text, '^\\s+|\\s+$', '', 'g') <> '') WHERE ended = 0)
+        WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
+  WHERE role = 'user'
+)"""
+
+
+@register("pair_exchanges", f"WITH {_EX_SQL} SELECT conv_id, turn, ex_no, q, a FROM ex")
+def q_pair_exchanges(spark, sf_dir):
+    """W4 + W5: user turn with the following assistant turn; unanswered keeps a null answer."""
+    return _exchanges(spark, sf_dir).select("conv_id", "turn", "ex_no", "q", "a")
+
+
+_HIST = "list_filter(list({{'q': q, 'a': a}}) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN {lo} PRECEDING AND {hi}), lambda x: x.a IS NOT NULL)"
+
+
+def _render_sql(h: str) -> str:
+    return f"coalesce(array_to_string(list_transform({h}, lambda x: x.q || ' -> ' || x.a), chr(10)), '')"
+
+
+def _render(col: str):
+    return F.array_join(F.transform(col, lambda x: F.concat(x["q"], F.lit(" -> "), x["a"])), "\n")
+
+
+@register("history_last3", f"""
+WITH {_EX_SQL},
+h AS (SELECT conv_id, turn, {_HIST.format(lo=3, hi='1 PRECEDING')} AS h FROM ex)
+SELECT conv_id, turn, coalesce(len(h), 0)::INTEGER AS n_hist, {_render_sql('h')} AS history_text FROM h
+""")
+def q_history_last3(spark, sf_dir):
+    """The previous 3 answered exchanges per exchange, oldest first."""
+    ex = S.last_n_exchanges(_exchanges(spark, sf_dir), 3)
+    return ex.select("conv_id", "turn", F.size("history").alias("n_hist"), _render("history").alias("history_text"))
+
+
+@register("history_last3_blocked", f"""
+WITH {_EX_SQL},
+h AS (SELECT conv_id, turn, {_HIST.format(lo=3, hi='1 PRECEDING')} AS h FROM ex)
+SELECT conv_id, turn, coalesce(len(h), 0)::INTEGER AS n_hist, {_render_sql('h')} AS history_text FROM h
+""")
+def q_history_last3_blocked(spark, sf_dir):
+    """W1 with the long-conversation skew guard (blocks of 3 exchanges + 3-row overlap): same result."""
+    ex = S.last_n_exchanges(_exchanges(spark, sf_dir), 3, block=3)
+    return ex.select("conv_id", "turn", F.size("history").alias("n_hist"), _render("history").alias("history_text"))
+
+
+@register("history_kept6", f"""
+WITH {_EX_SQL},
+h AS (SELECT conv_id, turn, {_HIST.format(lo=5, hi='CURRENT ROW')} AS h FROM ex)
+SELECT conv_id, turn, coalesce(len(h), 0)::INTEGER AS n_kept, {_render_sql('h')} AS kept_text,
+       {_render_sql('h[greatest(len(h) - 2, 1):]')} AS shown_next
+FROM h
+""")
+def q_history_kept6(spark, sf_dir):
+    """W3 + T4: stored history capped at 2n = 6; the last 3 of it are what the next turn shows."""
+    ex = S.retained_history(_exchanges(spark, sf_dir), 3)
+    return ex.select("conv_id", "turn", F.size("kept").alias("n_kept"), _render("kept").alias("kept_text"),
+                     _render(S.tail("kept", 3)).alias("shown_next"))
+
+
+@register("history_full_prefix", """
+SELECT conv_id, turn, (count(*) OVER w)::INTEGER AS n_messages,
+       string_agg(role || ': ' || text, chr(10)) OVER w AS prefix_text
+FROM conversations
+WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+""")
+def q_full_prefix(spark, sf_dir):
+    """Unbounded history, current message last."""
+    df = S.full_prefix(_conv(spark, sf_dir))
+    return df.select("conv_id", "turn", F.size("messages").alias("n_messages"),
+                     S.render_messages("messages").alias("prefix_text"))
+
+
+@register("skip_blank_turns", """
+SELECT conv_id, turn, role FROM conversations WHERE regexp_replace(text, '^\\s+|\\s+$', '', 'g') <> ''
+""")
+def q_skip_blank(spark, sf_dir):
+    """Turns kept after dropping blank (after strip) ones."""
+    return S.skip_blank_turns(_conv(spark, sf_dir)).select("conv_id", "turn", "role")
+
+
+@register("truncate_at_exit", """
+SELECT conv_id, turn, role FROM (
+  SELECT *, max(CASE WHEN role = 'user' AND lower(text) IN ('exit', 'quit', 'q') THEN 1 ELSE 0 END)
+         OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ended
+  FROM conversations) WHERE ended = 0
+""")
+def q_truncate_exit(spark, sf_dir):
+    """Turns before the first exit word of each session."""
+    return S.truncate_at_exit(_conv(spark, sf_dir)).select("conv_id", "turn", "role")
+
+
+@register("collect_messages", """
+SELECT conv_id, count(*)::INTEGER AS n_messages,
+       string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS transcript
+FROM conversations GROUP BY conv_id
+""")
+def q_collect_messages(spark, sf_dir):
+    """A4: ordered message list per conversation."""
+    m = S.collect_messages(_conv(spark, sf_dir))
+    return m.select("conv_id", "n_messages", S.render_messages("messages").alias("transcript"))
+
+
+@register("history_query", f"""
+WITH {_EX_SQL},
+h AS (SELECT conv_id, turn, q, {_HIST.format(lo=3, hi='1 PRECEDING')} AS h FROM ex)
+SELECT conv_id, turn,
+  CASE WHEN coalesce(len(h), 0) > 0 THEN
+    array_to_string(list_transform(h, lambda x, i: 'Previous question ' || i::VARCHAR || ': ' || x.q || chr(10)
+        || 'Previous answer ' || i::VARCHAR || ': ' || x.a || chr(10) || chr(10)), '')
+    || ' Based on the above conversation, please answer: ' || q
+  ELSE q END AS query
+FROM h
+""")
+def q_history_query(spark, sf_dir):
+    """The question enlarged with numbered previous exchanges (what gets embedded)."""
+    ex = S.last_n_exchanges(_exchanges(spark, sf_dir), 3)
+    return ex.select("conv_id", "turn", G.history_query("history", "q").alias("query"))
+
+
+_MSG_SQL = """
+msgs AS (SELECT conv_id, list({'role': role, 'content': text} ORDER BY turn) AS m FROM conversations GROUP BY conv_id)"""
+
+
+def _render_msgs_sql(m: str) -> str:
+    return f"array_to_string(list_transform({m}, lambda x: x.role || ': ' || x.content), chr(10))"
+
+
+@register("with_system_first", f"""
+WITH {_MSG_SQL}
+SELECT conv_id, {_render_msgs_sql("[{'role': 'system', 'content': " + O.q(SYSTEM_PIRATE) + "}] || m")} AS rendered FROM msgs
+""")
+def q_with_system_first(spark, sf_dir):
+    """A system message placed first."""
+    m = S.collect_messages(_conv(spark, sf_dir))
+    return m.select("conv_id", S.render_messages(G.with_system("messages", SYSTEM_PIRATE, "first")).alias("rendered"))
+
+
+@register("with_system_before_last", f"""
+WITH {_MSG_SQL}
+SELECT conv_id, {_render_msgs_sql("m[1:len(m) - 1] || [{'role': 'system', 'content': " + O.q(SYSTEM_SHORT) + "}] || m[len(m):len(m)]")} AS rendered FROM msgs
+""")
+def q_with_system_before_last(spark, sf_dir):
+    """A system message just before the last message (the pending turn)."""
+    m = S.collect_messages(_conv(spark, sf_dir))
+    return m.select("conv_id", S.render_messages(G.with_system("messages", SYSTEM_SHORT, "before_last")).alias("rendered"))
+
+
+@register("with_system_after_last", f"""
+WITH {_MSG_SQL}
+SELECT conv_id, {_render_msgs_sql("m || [{'role': 'system', 'content': " + O.q(SYSTEM_PIRATE_LAST) + "}]")} AS rendered FROM msgs
+""")
+def q_with_system_after_last(spark, sf_dir):
+    """A system message after the user message."""
+    m = S.collect_messages(_conv(spark, sf_dir))
+    return m.select("conv_id", S.render_messages(G.with_system("messages", SYSTEM_PIRATE_LAST, "after_last")).alias("rendered"))
+
+
+def _seed_sql() -> str:
+    items = ", ".join("{'role': " + O.q(r) + ", 'content': " + O.q(c) + "}" for r, c in SEED_EXCHANGES)
+    return f"[{items}]"
+
+
+@register("seed_history", f"""
+WITH {_MSG_SQL}
+SELECT conv_id, (len(m) + {len(SEED_EXCHANGES)})::INTEGER AS n_messages, {_render_msgs_sql(_seed_sql() + " || m")} AS rendered FROM msgs
+""")
+def q_seed_history(spark, sf_dir):
+    """Fixed opening exchanges before the live messages."""
+    m = S.collect_messages(_conv(spark, sf_dir))
+    seeded = G.seed_history("messages", SEED_EXCHANGES)
+    return m.select("conv_id", F.size(seeded).alias("n_messages"), S.render_messages(seeded).alias("rendered"))
+
+
+_PIECES_SQL = f"""
+pieces AS (
+  SELECT conv_id, turn, (s // {PIECE_CHARS})::INTEGER AS seq, substr(text, s + 1, {PIECE_CHARS}) AS piece
+  FROM (SELECT conv_id, turn, text, unnest(generate_series(0, greatest(length(text) - 1, 0), {PIECE_CHARS})) AS s
+        FROM conversations WHERE role = 'assistant')
+)"""
+
+
+def _pieces(spark, sf_dir):
+    conv = _conv(spark, sf_dir).filter(F.col("role") == "assistant")
+    return S.split_pieces(conv, "text", PIECE_CHARS, ["conv_id", "turn"])
+
+
+@register("assemble_stream", f"""
+WITH {_PIECES_SQL}
+SELECT p.conv_id, p.turn, string_agg(piece, '' ORDER BY seq) AS reply, count(*) AS n_pieces
+FROM pieces p GROUP BY p.conv_id, p.turn
+""")
+def q_assemble_stream(spark, sf_dir):
+    """A3: reply pieces (assistant text cut every 20 characters) concatenated in sequence order."""
+    return S.assemble_stream(_pieces(spark, sf_dir), ["conv_id", "turn"]).select(
+        "conv_id", "turn", "reply", "n_pieces")
+
+
+@register("join_transcript", """
+SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) AS transcript
+FROM conversations WHERE role = 'assistant' GROUP BY conv_id
+""")
+def q_join_transcript(spark, sf_dir):
+    """Reply fragments joined by newline, in order."""
+    conv = _conv(spark, sf_dir).filter(F.col("role") == "assistant")
+    return G.ordered_concat(conv, ["conv_id"], "text", "turn", "\n", "transcript")
+
+
+# --- E2: history-aware retrieval ---------------------------------------------
+
+_CHAT_Q_SQL = f"""
+{_EX_SQL},
+hq AS (SELECT conv_id, turn, q, {_HIST.format(lo=3, hi='1 PRECEDING')} AS h FROM ex),
+chatq AS (
+  SELECT conv_id, turn,
+    CASE WHEN coalesce(len(h), 0) > 0 THEN
+      array_to_string(list_transform(h, lambda x, i: 'Previous question ' || i::VARCHAR || ': ' || x.q || chr(10)
+          || 'Previous answer ' || i::VARCHAR || ': ' || x.a || chr(10) || chr(10)), '')
+      || ' Based on the above conversation, please answer: ' || q
+    ELSE q END AS query
+  FROM hq
+)"""
+
+
+def chat_queries(spark, sf_dir):
+    ex = S.last_n_exchanges(_exchanges(spark, sf_dir), 3)
+    return ex.select("conv_id", "turn", G.history_query("history", "q").alias("query"))
+
+
+@register("chat_retrieval", f"""
+WITH {_CHAT_Q_SQL},
+{O.search_ctes(k=4, src='chatq', keys='conv_id, turn', text='query')}
+SELECT conv_id, turn, doc_id, chunk_no, score, rank FROM hits
+""")
+def q_chat_retrieval(spark, sf_dir):
+    """E2 chat plan: exchanges → 3-exchange history → enlarged query → tf-idf → top-4 chunks."""
+    _, cvec, idf = rag.corpus_vectors(spark, sf_dir)
+    qvec = V.embed_queries(chat_queries(spark, sf_dir), ["conv_id", "turn"], "query", idf=idf)
+    return R.knn_sparse(qvec, cvec, ["conv_id", "turn"], rag.CORPUS_KEYS, 4)
