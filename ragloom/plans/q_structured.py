@@ -1 +1,133 @@
-"""Registered queries (filled in below)."""
+"""Registered structured-reply queries: typed parse, strict and lax validation,
+quarantine counts. Replies are derived from `customer` rows; the fixture rule
+`c_custkey % 11` picks which defect (if any) a reply carries, so every
+validator branch is exercised over the whole table."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ragloom.operators import structured as X
+from ragloom.plans.catalog import register
+from ragloom.session import table
+
+N_CASES = 11
+SECOND = ', {"name": "Alonso", "age": 23, "is_available": true}'
+
+
+def replies(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
+    case = (F.col("c_custkey") % N_CASES).cast("int")
+    age = (F.col("c_custkey") % 90 + 10).cast("string")
+    avail = F.when(F.col("c_acctbal") > 0, "true").otherwise("false")
+    name = F.concat(F.lit('"'), F.col("c_name"), F.lit('"'))
+
+    def friend(n, a, b, extra=""):
+        return F.concat(F.lit('{"name": '), n, F.lit(', "age": '), a, F.lit(', "is_available": '), b, F.lit(extra), F.lit("}"))
+
+    def wrap(f):
+        return F.concat(F.lit('{"friends": ['), f, F.lit(SECOND + "]}"))
+
+    q = F.lit('"')
+    reply = (F.when(case == 0, wrap(friend(name, age, avail)))
+              .when(case == 1, wrap(friend(name, F.concat(q, age, q), avail)))
+              .when(case == 2, wrap(F.concat(F.lit('{"name": '), name, F.lit(', "is_available": '), avail, F.lit("}"))))
+              .when(case == 3, F.concat(F.lit('{"friends": [{"name": '), name, F.lit(', "age": '), age))
+              .when(case == 4, wrap(friend(name, F.concat(age, F.lit(".5")), avail)))
+              .when(case == 5, wrap(friend(name, F.concat(age, F.lit(".0")), avail)))
+              .when(case == 6, wrap(friend(name, age, F.concat(q, avail, q))))
+              .when(case == 7, wrap(friend(F.col("c_nationkey").cast("string"), age, avail)))
+              .when(case == 8, wrap(friend(name, age, avail, ', "city": "Madrid"')))
+              .when(case == 9, F.lit('{"friends": []}'))
+              .otherwise(F.lit("{}")))
+    return c.select("c_custkey", case.alias("case_no"), reply.alias("reply"))
+
+
+_REPLY_SQL = """
+r AS (
+  SELECT c_custkey, (c_custkey % 11)::INTEGER AS case_no, CASE c_custkey % 11
+    WHEN 0 THEN '{"friends": [{"name": "' || c_name || '", "age": ' || (c_custkey % 90 + 10)::VARCHAR || ', "is_available": ' || CASE WHEN c_acctbal > 0 THEN 'true' ELSE 'false' END || '}' || $S$ || ']}'
+    WHEN 1 THEN '{"friends": [{"name": "' || c_name || '", "age": "' || (c_custkey % 90 + 10)::VARCHAR || '", "is_available": ' || CASE WHEN c_acctbal > 0 THEN 'true' ELSE 'false' END || '}' || $S$ || ']}'
+    WHEN 2 THEN '{"friends": [{"name": "' || c_name || '", "is_available": ' || CASE WHEN c_acctbal > 0 THEN 'true' ELSE 'false' END || '}' || $S$ || ']}'
+    WHEN 3 THEN '{"friends": [{"name": "' || c_name || '", "age": ' || (c_custkey % 90 + 10)::VARCHAR
+    WHEN 4 THEN '{"friends": [{"name": "' || c_name || '", "age": ' || (c_custkey % 90 + 10)::VARCHAR || '.5, "is_available": ' || CASE WHEN c_acctbal > 0 THEN 'true' ELSE 'false' END || '}' || $S$ || ']}'
+    WHEN 5 THEN '{"friends": [{"name": "' || c_name || '", "age": ' || (c_custkey % 90 + 10)::VARCHAR || '.0, "is_available": ' || CASE WHEN c_acctbal > 0 THEN 'true' ELSE 'false' END || '}' || $S$ || ']}'
+    WHEN 6 THEN '{"friends": [{"name": "' || c_name || '", "age": ' || (c_custkey % 90 + 10)::VARCHAR || ', "is_available": "' || CASE WHEN c_acctbal > 0 THEN 'true' ELSE 'false' END || '"}' || $S$ || ']}'
+    WHEN 7 THEN '{"friends": [{"name": ' || c_nationkey::VARCHAR || ', "age": ' || (c_custkey % 90 + 10)::VARCHAR || ', "is_available": ' || CASE WHEN c_acctbal > 0 THEN 'true' ELSE 'false' END || '}' || $S$ || ']}'
+    WHEN 8 THEN '{"friends": [{"name": "' || c_name || '", "age": ' || (c_custkey % 90 + 10)::VARCHAR || ', "is_available": ' || CASE WHEN c_acctbal > 0 THEN 'true' ELSE 'false' END || ', "city": "Madrid"}' || $S$ || ']}'
+    WHEN 9 THEN '{"friends": []}'
+    ELSE '{}' END AS reply
+  FROM customer
+),
+p AS (
+  SELECT *, CASE WHEN json_valid(reply) AND json_type(reply) = 'OBJECT' AND json_type(reply, '$.friends') = 'ARRAY'
+                 THEN json_extract(reply, '$.friends[*]') END AS fr
+  FROM r
+),
+v AS (
+  SELECT c_custkey, case_no, fr,
+    fr IS NOT NULL AND coalesce(list_bool_and(list_transform(fr, lambda f: coalesce(
+        json_type(f) = 'OBJECT' AND json_type(f, '$.name') = 'VARCHAR'
+        AND (json_type(f, '$.age') IN ('BIGINT', 'UBIGINT')
+             OR (json_type(f, '$.age') = 'DOUBLE' AND json_extract(f, '$.age')::DOUBLE = floor(json_extract(f, '$.age')::DOUBLE)))
+        AND json_type(f, '$.is_available') = 'BOOLEAN', false))), true) AS strict_valid,
+    list_transform(fr, lambda f: {
+      'name': CASE WHEN json_type(f, '$.name') = 'VARCHAR' THEN json_extract_string(f, '$.name') END,
+      'age': CASE WHEN json_type(f, '$.age') IN ('BIGINT', 'UBIGINT') THEN json_extract(f, '$.age')::BIGINT
+                  WHEN json_type(f, '$.age') = 'DOUBLE' AND json_extract(f, '$.age')::DOUBLE = floor(json_extract(f, '$.age')::DOUBLE)
+                       THEN json_extract(f, '$.age')::DOUBLE::BIGINT
+                  WHEN json_type(f, '$.age') = 'VARCHAR' AND regexp_full_match(trim(json_extract_string(f, '$.age')), '[+-]?[0-9]+')
+                       THEN trim(json_extract_string(f, '$.age'))::BIGINT
+                  WHEN json_type(f, '$.age') = 'BOOLEAN' THEN CASE WHEN json_extract(f, '$.age')::BOOLEAN THEN 1 ELSE 0 END END,
+      'avail': CASE WHEN json_type(f, '$.is_available') = 'BOOLEAN' THEN json_extract(f, '$.is_available')::BOOLEAN
+                    WHEN json_type(f, '$.is_available') = 'VARCHAR' AND lower(json_extract_string(f, '$.is_available')) IN ('1', 'on', 't', 'true', 'y', 'yes') THEN true
+                    WHEN json_type(f, '$.is_available') = 'VARCHAR' AND lower(json_extract_string(f, '$.is_available')) IN ('0', 'off', 'f', 'false', 'n', 'no') THEN false
+                    WHEN json_type(f, '$.is_available') IN ('BIGINT', 'UBIGINT', 'DOUBLE') AND json_extract(f, '$.is_available')::DOUBLE = 1 THEN true
+                    WHEN json_type(f, '$.is_available') IN ('BIGINT', 'UBIGINT', 'DOUBLE') AND json_extract(f, '$.is_available')::DOUBLE = 0 THEN false END,
+      'obj': json_type(f) = 'OBJECT'}) AS lax
+  FROM p
+),
+w AS (
+  SELECT *, fr IS NOT NULL AND coalesce(list_bool_and(list_transform(lax, lambda x:
+      coalesce(x.obj AND x.name IS NOT NULL AND x.age IS NOT NULL AND x.avail IS NOT NULL, false))), true) AS lax_valid
+  FROM v
+)""".replace("$S$", "'" + SECOND + "'")
+
+
+@register("validate_replies", f"""
+WITH {_REPLY_SQL}
+SELECT c_custkey, case_no, strict_valid, lax_valid, len(fr)::INTEGER AS n_friends,
+       CASE WHEN lax_valid THEN coalesce(list_sum(list_transform(lax, lambda x: x.age)), 0) END::BIGINT AS age_total,
+       CASE WHEN lax_valid THEN len(list_filter(lax, lambda x: x.avail)) END::INTEGER AS n_available
+FROM w
+""")
+def q_validate_replies(spark, sf_dir):
+    """X1 + X2 + X3: per reply, strict and lax validity, and the lax-typed parse
+    summarised (friend count, age total, available count)."""
+    r = replies(spark, sf_dir)
+    parsed = X.parse_lax("reply")
+    out = r.select("c_custkey", "case_no", X.validate_strict("reply").alias("strict_valid"),
+                   X.validate_lax("reply").alias("lax_valid"), parsed.alias("__p"))
+    ages = F.aggregate(F.transform("__p", lambda f: f["age"]), F.lit(0).cast("long"), lambda a, x: a + x)
+    return out.select("c_custkey", "case_no", "strict_valid", "lax_valid",
+                      F.when(F.col("__p").isNotNull(), F.size("__p")).alias("n_friends"),
+                      F.when(F.col("lax_valid"), ages).alias("age_total"),
+                      F.when(F.col("lax_valid"), F.size(F.filter("__p", lambda f: f["is_available"]))).alias("n_available"))
+
+
+@register("quarantine_counts", f"""
+WITH {_REPLY_SQL}
+SELECT case_no, count(*) FILTER (WHERE strict_valid) AS strict_ok, count(*) FILTER (WHERE NOT strict_valid) AS strict_rejected,
+       count(*) FILTER (WHERE lax_valid) AS lax_ok, count(*) FILTER (WHERE NOT lax_valid) AS lax_rejected
+FROM w GROUP BY case_no
+""")
+def q_quarantine(spark, sf_dir):
+    """Valid / quarantined reply counts per fixture case under both
+    validators, in one pass (the same flags `structured.quarantine` splits on)."""
+    r = replies(spark, sf_dir).select("case_no", X.validate_strict("reply").alias("s"),
+                                      X.validate_lax("reply").alias("l"))
+
+    def n(c):
+        return F.sum(F.when(c, 1).otherwise(0)).cast("long")
+    return r.groupBy("case_no").agg(n(F.col("s")).alias("strict_ok"), n(~F.col("s")).alias("strict_rejected"),
+                                    n(F.col("l")).alias("lax_ok"), n(~F.col("l")).alias("lax_rejected"))
