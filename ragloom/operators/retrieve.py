@@ -57,39 +57,38 @@ def knn_sparse(queries: DataFrame, corpus: DataFrame, q_keys: Sequence[str], c_k
 # Exact dense kNN as a block product per Arrow batch
 # ---------------------------------------------------------------------------
 
-def _dense_topk_fn(q_ids: np.ndarray, q_mat: np.ndarray, c_key: str, vec_col: str, k: int, metric: str):
+def _dense_topk_fn(q_ids: np.ndarray, q_mat: np.ndarray, c_key: str, vec_col: str, k: int, metric: str,
+                   q_block: int = 512):
+    """Per Arrow batch: scores against query blocks of `q_block` columns,
+    keeping for every query the rows that can still be in its global top-k
+    (everything within one rounding step of the batch's k-th best)."""
     margin = 10.0 ** -SCORE_PLACES
 
     def run(batches):
-        qm = q_mat
-        qn = np.linalg.norm(qm, axis=1)
+        qn_all = np.linalg.norm(q_mat, axis=1)
+        qq_all = (q_mat * q_mat).sum(1)
         for pdf in batches:
             if len(pdf) == 0:
                 continue
             ids = pdf[c_key].to_numpy()
             m = np.stack(pdf[vec_col].to_numpy()).astype(np.float64)
-            s = m @ qm.T                              # (n, Q)
-            if metric == "cosine":
-                mn = np.linalg.norm(m, axis=1)
-                denom = np.outer(mn, qn)
-                s = np.divide(s, denom, out=np.full_like(s, np.nan), where=denom > 0)
-            elif metric == "l2":
-                s = -((m * m).sum(1)[:, None] - 2 * s + (qm * qm).sum(1)[None, :])
-            out_q, out_c, out_s = [], [], []
             n = len(ids)
-            for j in range(qm.shape[0]):
-                col = s[:, j]
+            mn = np.linalg.norm(m, axis=1)
+            mm = (m * m).sum(1)
+            for b0 in range(0, q_mat.shape[0], q_block):
+                qm = q_mat[b0:b0 + q_block]
+                s = m @ qm.T                              # (n, block)
+                if metric == "cosine":
+                    denom = np.outer(mn, qn_all[b0:b0 + q_block])
+                    s = np.divide(s, denom, out=np.full_like(s, -np.inf), where=denom > 0)
+                elif metric == "l2":
+                    s = -(mm[:, None] - 2 * s + qq_all[b0:b0 + q_block][None, :])
                 if n > k:
-                    # keep everything that can still tie with the k-th best after rounding
-                    kth = np.partition(col, n - k)[n - k]
-                    sel = np.nonzero(col >= kth - margin)[0]
+                    kth = np.partition(s, n - k, axis=0)[n - k]
+                    rows, cols = np.nonzero(s >= kth[None, :] - margin)
                 else:
-                    sel = np.arange(n)
-                out_q.append(np.full(len(sel), q_ids[j]))
-                out_c.append(ids[sel])
-                out_s.append(col[sel])
-            yield pd.DataFrame({"__qid": np.concatenate(out_q), c_key: np.concatenate(out_c),
-                                "__score": np.concatenate(out_s)})
+                    rows, cols = np.nonzero(np.ones_like(s, dtype=bool))
+                yield pd.DataFrame({"__qid": q_ids[b0 + cols], c_key: ids[rows], "__score": s[rows, cols]})
 
     return run
 
@@ -99,17 +98,27 @@ def knn_dense(queries: DataFrame, corpus: DataFrame, q_key: str, c_key: str, vec
     """Exact top-k nearest vectors for every query vector.
 
     The query matrix is bounded (`max_queries` rows, counted before use) and
-    shipped to executors as a broadcast variable; each corpus partition is
+    shipped to executors with the task closure; each corpus partition is
     multiplied by it batch by batch (numpy), and only a partial top-k per
     batch leaves the task. No query×corpus pair is ever materialised as a row.
     Metric: "dot", "cosine", or "l2" (ranked by smallest squared distance;
     the `score` column then holds the negated squared distance).
     Returns `(q_key, c_key, score, rank)`.
     """
+    spark = corpus.sparkSession
     q_rows = queries.select(q_key, vec_col).limit(max_queries + 1).collect()
     if len(q_rows) > max_queries:
-        raise ValueError(f"knn_dense: more than {max_queries} query vectors; use ann_join or split the query set")
-    spark = corpus.sparkSession
+        # Exact fallback: hash the query set into blocks that each fit the
+        # bound, search block by block (one corpus pass per block), union.
+        n_q = queries.count()
+        n_blocks = -(-n_q // max_queries) * 2
+        keyed = queries.select(q_key, vec_col, F.pmod(F.xxhash64(q_key), F.lit(n_blocks)).alias("__blk"))
+        parts = [knn_dense(keyed.filter(F.col("__blk") == b).drop("__blk"), corpus, q_key, c_key, vec_col, k,
+                           metric, max_queries) for b in range(n_blocks)]
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
     q_ids = np.array([r[0] for r in q_rows])
     if len(q_rows) == 0:
         schema = T.StructType([queries.schema[q_key], corpus.schema[c_key],

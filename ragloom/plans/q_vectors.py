@@ -1 +1,149 @@
-"""Registered queries (filled in below)."""
+"""Registered dense-vector queries over `embeddings`: fit dimension, mean
+pooling, metrics, exact kNN (block product) and IVF approximate kNN."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ragloom.operators import retrieve as R
+from ragloom.operators import vectors as V
+from ragloom.plans.catalog import register
+from ragloom.session import table
+
+
+def _emb(spark, sf_dir):
+    return table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+
+
+def _weighted_sum(v):
+    """Order-sensitive checksum: sum of element × 1-based position."""
+    return F.round(F.aggregate(F.transform(v, lambda x, i: x.cast("double") * (i + 1)), F.lit(0.0),
+                               lambda a, x: a + x), 6)
+
+
+def _fit_sql(n):
+    v = f"list_concat(embedding[1:{n}], list_resize([0.0::FLOAT], greatest({n} - len(embedding), 0), 0.0::FLOAT))"
+    return (f"SELECT vec_id, len({v})::INTEGER AS dim, "
+            f"round(list_sum(list_transform({v}, lambda x, i: x::DOUBLE * i)), 6) AS checksum FROM embeddings")
+
+
+@register("fit_dimension_768", _fit_sql(768))
+def q_fit_768(spark, sf_dir):
+    """V3: zero-pad every vector to 768 entries."""
+    v = V.fit_dimension("embedding", 768)
+    return _emb(spark, sf_dir).select("vec_id", F.size(v).alias("dim"), _weighted_sum(v).alias("checksum"))
+
+
+@register("fit_dimension_32", _fit_sql(32))
+def q_fit_32(spark, sf_dir):
+    """V3: truncate every vector to 32 entries."""
+    v = V.fit_dimension("embedding", 32)
+    return _emb(spark, sf_dir).select("vec_id", F.size(v).alias("dim"), _weighted_sum(v).alias("checksum"))
+
+
+_CENTROID_SQL = """
+pos AS (SELECT label, i AS pos, avg(embedding[i]::DOUBLE) AS x
+        FROM (SELECT label, embedding, unnest(generate_series(1, len(embedding))) AS i FROM embeddings)
+        GROUP BY label, i),
+cent AS (SELECT label, list(x ORDER BY pos) AS c FROM pos GROUP BY label)"""
+
+
+@register("mean_pool_by_label", f"WITH {_CENTROID_SQL} SELECT label, (pos - 1)::INTEGER AS pos, round(x, 9) AS x FROM pos")
+def q_mean_pool(spark, sf_dir):
+    """V5: element-wise mean vector of each label."""
+    m = V.mean_pool(_emb(spark, sf_dir), "label")
+    return m.select("label", F.posexplode("embedding").alias("pos", "x")).select(
+        "label", "pos", F.round("x", 9).alias("x"))
+
+
+@register("vector_metrics", f"""
+WITH {_CENTROID_SQL}
+SELECT e.vec_id, round(list_dot_product(e.embedding::DOUBLE[], c.c), 6) AS dot,
+       round(list_cosine_similarity(e.embedding::DOUBLE[], c.c), 6) AS cosine,
+       round(list_sum(list_transform(list_zip(e.embedding::DOUBLE[], c.c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), 6) AS l2sq
+FROM embeddings e JOIN cent c USING (label)
+""")
+def q_vector_metrics(spark, sf_dir):
+    """V6: dot, cosine and squared L2 between each vector and its label centroid
+    (the centroid table has one row per label: broadcast)."""
+    e = _emb(spark, sf_dir)
+    cent = V.mean_pool(e, "label", out_col="centroid")
+    j = e.join(F.broadcast(cent), "label")
+    return j.select("vec_id", F.round(V.dot("embedding", "centroid"), 6).alias("dot"),
+                    F.round(V.cosine("embedding", "centroid"), 6).alias("cosine"),
+                    F.round(V.l2_squared("embedding", "centroid"), 6).alias("l2sq"))
+
+
+@register("knn_dense_centroids", f"""
+WITH {_CENTROID_SQL},
+s AS (SELECT c.label, e.vec_id, round(list_dot_product(e.embedding::DOUBLE[], c.c), 6) AS score
+      FROM cent c, embeddings e)
+SELECT label, vec_id, score, rank FROM (
+  SELECT *, (row_number() OVER (PARTITION BY label ORDER BY score DESC, vec_id))::INTEGER AS rank FROM s)
+WHERE rank <= 4
+""")
+def q_knn_dense_centroids(spark, sf_dir):
+    """J1 + V5 + T1: the 4 vectors nearest (inner product) to each label centroid."""
+    e = _emb(spark, sf_dir)
+    cent = V.mean_pool(e, "label")
+    return R.knn_dense(cent, e, "label", "vec_id", "embedding", k=4)
+
+
+@register("knn_dense_self", """
+WITH s AS (SELECT q.vec_id AS query_id, e.vec_id,
+                  round(list_dot_product(q.embedding::DOUBLE[], e.embedding::DOUBLE[]), 6) AS score
+           FROM embeddings q, embeddings e)
+SELECT query_id, vec_id, score, rank FROM (
+  SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank FROM s)
+WHERE rank <= 4
+""")
+def q_knn_dense_self(spark, sf_dir):
+    """Exact top-4 neighbours of every vector (itself included) — the
+    query matrix is shipped once, each corpus batch is one matrix product."""
+    e = _emb(spark, sf_dir)
+    q = e.select(F.col("vec_id").alias("query_id"), "embedding")
+    return R.knn_dense(q, e, "query_id", "vec_id", "embedding", k=4)
+
+
+@register("knn_dense_cosine", f"""
+WITH {_CENTROID_SQL},
+s AS (SELECT c.label, e.vec_id, round(list_cosine_similarity(e.embedding::DOUBLE[], c.c), 6) AS score
+      FROM cent c, embeddings e)
+SELECT label, vec_id, score, rank FROM (
+  SELECT *, (row_number() OVER (PARTITION BY label ORDER BY score DESC, vec_id))::INTEGER AS rank FROM s)
+WHERE rank <= 4
+""")
+def q_knn_dense_cosine(spark, sf_dir):
+    """J1 with the cosine metric."""
+    e = _emb(spark, sf_dir)
+    cent = V.mean_pool(e, "label")
+    return R.knn_dense(cent, e, "label", "vec_id", "embedding", k=4, metric="cosine")
+
+
+@register("ann_ivf_top4")
+def q_ann(spark, sf_dir):
+    """IVF (16 KMeans cells, 4 probed) top-4 per label centroid; approximate,
+    so only rows are checked by the driver (recall is tested in pytest)."""
+    e = _emb(spark, sf_dir)
+    assigned, cents = R.ivf_index(e, "vec_id", "embedding", n_cells=16)
+    q = V.mean_pool(e, "label")
+    return R.ann_join(q, assigned, cents, "label", "vec_id", "embedding", k=4, nprobe=4)
+
+
+@register("ann_recall")
+def q_ann_recall(spark, sf_dir):
+    """J3 vs J1: recall@4 of IVF search against exact search for nprobe 1, 4, 16."""
+    e = _emb(spark, sf_dir)
+    q = e.select(F.col("vec_id").alias("query_id"), "embedding")
+    exact = R.knn_dense(q, e, "query_id", "vec_id", "embedding", k=4).select("query_id", "vec_id")
+    assigned, cents = R.ivf_index(e, "vec_id", "embedding", n_cells=16)
+    out = None
+    for nprobe in (1, 4, 16):
+        approx = R.ann_join(q, assigned, cents, "query_id", "vec_id", "embedding", k=4, nprobe=nprobe)
+        hit = exact.join(approx.select("query_id", "vec_id"), ["query_id", "vec_id"], "left_semi")
+        r = hit.agg(F.count(F.lit(1)).alias("n_hit")).select(
+            F.lit(nprobe).alias("nprobe"), "n_hit")
+        out = r if out is None else out.unionByName(r)
+    n_exact = exact.select(F.count(F.lit(1))).scalar()
+    return out.select("nprobe", "n_hit", n_exact.alias("n_exact"),
+                      F.round(F.col("n_hit") / n_exact, 6).alias("recall_at_4"))
