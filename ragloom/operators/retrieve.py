@@ -35,15 +35,31 @@ def top_k(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[Col
 
 
 def knn_sparse(queries: DataFrame, corpus: DataFrame, q_keys: Sequence[str], c_keys: Sequence[str],
-               k: int = 4, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+               k: int = 4, max_broadcast_rows: int = MAX_BROADCAST_ROWS, method: str = "auto",
+               block_threshold: int = 20_000) -> DataFrame:
     """Exact top-k by inner product of sparse unit vectors.
 
     `queries` rows are `(q_keys..., dim, w)`, `corpus` rows `(c_keys..., dim, w)`.
     Returns `(q_keys..., c_keys..., score, rank)`; scores are rounded to 6
     places before ranking and ties break on the corpus keys (ascending).
+
+    Two exact strategies:
+      * "join": inverted-index equi-join on `dim` (question side broadcast
+        after a bounded count), `(question, chunk)` sums, top-k. Every
+        product is a row: right for a few hundred questions.
+      * "block": the question postings (bounded, checked) go to the tasks;
+        each task scores its chunks with a sparse block product in numpy and
+        keeps a partial top-k. Products are never rows: right for thousands
+        of long questions.
+    "auto" picks "block" when the question side has more than
+    `block_threshold` postings and fits the bound, else "join".
     """
     q_keys, c_keys = list(q_keys), list(c_keys)
     q = queries.select(*q_keys, "dim", F.col("w").alias("__wq"))
+    if method in ("auto", "block"):
+        n_q = q.limit(max_broadcast_rows + 1).count()
+        if n_q <= max_broadcast_rows and (method == "block" or n_q > block_threshold):
+            return _knn_sparse_block(q, corpus, q_keys, c_keys, k)
     q, _ = broadcast_if_small(q, max_broadcast_rows)
     prods = (corpus.select(*c_keys, "dim", F.col("w").alias("__wc"))
                    .join(q, "dim")
@@ -53,6 +69,88 @@ def knn_sparse(queries: DataFrame, corpus: DataFrame, q_keys: Sequence[str], c_k
     return top_k(scores, q_keys, [F.desc("score")] + [F.asc(c) for c in c_keys], k)
 
 
+def _sparse_block_fn(q_key_arrays: list[np.ndarray], q_idx: np.ndarray, q_dim: np.ndarray, q_w: np.ndarray,
+                     n_q: int, dims: int, q_keys: list[str], c_keys: list[str], k: int,
+                     max_products: int = 4_000_000):
+    """Partition function: chunks (with their postings as arrays) → candidate
+    (question, chunk, score) rows that can still be in a global top-k."""
+    order = np.argsort(q_dim, kind="stable")
+    qd, qi, qw = q_dim[order], q_idx[order], q_w[order]
+    qstart = np.searchsorted(qd, np.arange(dims), side="left")
+    qcount = np.searchsorted(qd, np.arange(dims), side="right") - qstart
+    margin = 10.0 ** -SCORE_PLACES
+
+    def score_block(dims_l, w_l, rows_l, n_rows):
+        cd = np.concatenate(dims_l)
+        cw = np.concatenate(w_l)
+        cr = np.concatenate(rows_l)
+        cnt = qcount[cd]
+        total = int(cnt.sum())
+        scores = np.zeros(n_rows * n_q)
+        if total:
+            rep = np.repeat(np.arange(len(cd)), cnt)
+            first = np.repeat(qstart[cd] - (np.cumsum(cnt) - cnt), cnt)
+            pos = np.arange(total) + first
+            scores = np.bincount(cr[rep] * n_q + qi[pos], weights=cw[rep] * qw[pos], minlength=n_rows * n_q)
+        return scores.reshape(n_rows, n_q)
+
+    def run(batches):
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            d_list = [np.asarray(x, dtype=np.int64) for x in pdf["__d"].to_numpy()]
+            w_list = [np.asarray(x, dtype=np.float64) for x in pdf["__w"].to_numpy()]
+            n = len(d_list)
+            est = np.array([int(qcount[d].sum()) for d in d_list])
+            ckeys = {ck: pdf[ck].to_numpy() for ck in c_keys}
+            start = 0
+            while start < n:
+                # blocks of chunks whose product count stays bounded
+                end, acc = start, 0
+                while end < n and (end == start or acc + est[end] <= max_products):
+                    acc += est[end]
+                    end += 1
+                m = end - start
+                rows_l = [np.full(len(d_list[r]), r - start, dtype=np.int64) for r in range(start, end)]
+                s = score_block(d_list[start:end], w_list[start:end], rows_l, m)     # (m, n_q)
+                if m > k:
+                    kth = np.partition(s, m - k, axis=0)[m - k]
+                    rr, cc = np.nonzero((s >= kth[None, :] - margin) & (s > 0))
+                else:
+                    rr, cc = np.nonzero(s > 0)
+                if len(rr):
+                    out = {qk: arr[cc] for qk, arr in zip(q_keys, q_key_arrays)}
+                    for ck in c_keys:
+                        out[ck] = ckeys[ck][start:end][rr]
+                    out["__score"] = s[rr, cc]
+                    yield pd.DataFrame(out)
+                start = end
+
+    return run
+
+
+def _knn_sparse_block(q: DataFrame, corpus: DataFrame, q_keys: list[str], c_keys: list[str], k: int) -> DataFrame:
+    qp = q.toPandas()                      # Arrow transfer of the bounded question postings
+    keys_pdf = qp[q_keys]
+    uniq = keys_pdf.drop_duplicates().reset_index(drop=True)
+    uniq["__i"] = np.arange(len(uniq))
+    idx = keys_pdf.merge(uniq, on=q_keys, how="left")["__i"].to_numpy()
+    q_dim = qp["dim"].to_numpy(dtype=np.int64)
+    q_w = qp["__wq"].to_numpy(dtype=np.float64)
+    dims = int(q_dim.max()) + 1 if len(q_dim) else 1
+    key_arrays = [uniq[c].to_numpy() for c in q_keys]
+    grouped = (corpus.filter(F.col("dim") < dims)
+                     .groupBy(*c_keys).agg(F.collect_list(F.struct("dim", "w")).alias("__p"))
+                     .select(*c_keys, F.transform("__p", lambda x: x["dim"]).alias("__d"),
+                             F.transform("__p", lambda x: x["w"]).alias("__w")))
+    fn = _sparse_block_fn(key_arrays, idx, q_dim, q_w, len(uniq), dims, q_keys, c_keys, k)
+    schema = T.StructType([q.schema[c] for c in q_keys] + [corpus.schema[c] for c in c_keys]
+                          + [T.StructField("__score", T.DoubleType())])
+    partial = grouped.mapInPandas(fn, schema)
+    scored = partial.select(*q_keys, *c_keys, F.round("__score", SCORE_PLACES).alias("score"))
+    return top_k(scored, q_keys, [F.desc("score")] + [F.asc(c) for c in c_keys], k)
+
+
 # ---------------------------------------------------------------------------
 # Exact dense kNN as a block product per Arrow batch
 # ---------------------------------------------------------------------------
@@ -106,8 +204,8 @@ def knn_dense(queries: DataFrame, corpus: DataFrame, q_key: str, c_key: str, vec
     Returns `(q_key, c_key, score, rank)`.
     """
     spark = corpus.sparkSession
-    q_rows = queries.select(q_key, vec_col).limit(max_queries + 1).collect()
-    if len(q_rows) > max_queries:
+    q_pdf = queries.select(q_key, vec_col).limit(max_queries + 1).toPandas()
+    if len(q_pdf) > max_queries:
         # Exact fallback: hash the query set into blocks that each fit the
         # bound, search block by block (one corpus pass per block), union.
         n_q = queries.count()
@@ -119,12 +217,12 @@ def knn_dense(queries: DataFrame, corpus: DataFrame, q_key: str, c_key: str, vec
         for p in parts[1:]:
             out = out.unionByName(p)
         return out
-    q_ids = np.array([r[0] for r in q_rows])
-    if len(q_rows) == 0:
+    q_ids = q_pdf[q_key].to_numpy()
+    if len(q_pdf) == 0:
         schema = T.StructType([queries.schema[q_key], corpus.schema[c_key],
                                T.StructField("score", T.DoubleType()), T.StructField("rank", T.IntegerType())])
         return spark.createDataFrame([], schema)
-    q_mat = np.array([np.asarray(r[1], dtype=np.float64) for r in q_rows])
+    q_mat = np.stack([np.asarray(v, dtype=np.float64) for v in q_pdf[vec_col]])
     fn = _dense_topk_fn(q_ids, q_mat, c_key, vec_col, k, metric)
     out_schema = T.StructType([T.StructField("__qid", queries.schema[q_key].dataType),
                                corpus.schema[c_key], T.StructField("__score", T.DoubleType())])

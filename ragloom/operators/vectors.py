@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -95,6 +96,10 @@ def embed_corpus(chunks: DataFrame, keys: Sequence[str], text_col: str, dims: in
     tf = hashed_tf(chunks, keys, text_col, dims)
     if weighting == "tf":
         return l2_normalize(tf.withColumnRenamed("tf", "w"), keys), None
+    # The term counts feed two consumers (the global IDF table and the
+    # weighted vectors): keep them so the corpus is tokenised once. Lost
+    # blocks are recomputed from lineage; spills go to local disk.
+    tf = tf.persist(StorageLevel.MEMORY_AND_DISK)
     idf = idf_table(tf, keys)
     return apply_idf(tf, idf, keys), idf
 
