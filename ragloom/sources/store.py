@@ -59,10 +59,10 @@ def insert_absent(spark: SparkSession, df: DataFrame, path: str, id_col: str = "
     (column pruning), and Spark shuffles both sides by id or broadcasts the
     smaller one.
     """
-    dup = df.groupBy(id_col).count().filter(F.col("count") > 1)
-    checked = df.join(dup.select(id_col, F.raise_error(F.concat(F.lit("duplicate id in batch: "),
-                                                                F.col(id_col).cast("string"))).alias("__e")),
-                      id_col, "left").drop("__e")
+    dup = df.groupBy(id_col).count().filter(F.col("count") > 1).select(id_col).limit(1).collect()
+    if dup:
+        raise ValueError(f"duplicate id in batch: {dup[0][0]}")
+    checked = df
     if exists(spark, path):
         stored = spark.read.parquet(path).select(id_col)
         new_rows = checked.join(stored, id_col, "left_anti")
