@@ -36,7 +36,7 @@ def top_k(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[Col
 
 def knn_sparse(queries: DataFrame, corpus: DataFrame, q_keys: Sequence[str], c_keys: Sequence[str],
                k: int = 4, max_broadcast_rows: int = MAX_BROADCAST_ROWS, method: str = "auto",
-               block_threshold: int = 20_000) -> DataFrame:
+               block_threshold: int = 1_000) -> DataFrame:
     """Exact top-k by inner product of sparse unit vectors.
 
     `queries` rows are `(q_keys..., dim, w)`, `corpus` rows `(c_keys..., dim, w)`.
@@ -47,7 +47,7 @@ def knn_sparse(queries: DataFrame, corpus: DataFrame, q_keys: Sequence[str], c_k
       * "join": inverted-index equi-join on `dim` (question side broadcast
         after a bounded count), `(question, chunk)` sums, top-k. Every
         product is a row: right for a few hundred questions.
-      * "block": the question postings (bounded, checked) go to the tasks;
+      * "block": the question postings (bounded, checked) are broadcast;
         each task scores its chunks with a sparse block product in numpy and
         keeps a partial top-k. Products are never rows: right for thousands
         of long questions.
@@ -69,32 +69,34 @@ def knn_sparse(queries: DataFrame, corpus: DataFrame, q_keys: Sequence[str], c_k
     return top_k(scores, q_keys, [F.desc("score")] + [F.asc(c) for c in c_keys], k)
 
 
-def _sparse_block_fn(q_key_arrays: list[np.ndarray], q_idx: np.ndarray, q_dim: np.ndarray, q_w: np.ndarray,
-                     n_q: int, dims: int, q_keys: list[str], c_keys: list[str], k: int,
+def _sparse_block_fn(bc, n_q: int, dims: int, q_keys: list[str], c_keys: list[str], k: int,
                      max_products: int = 4_000_000):
     """Partition function: chunks (with their postings as arrays) → candidate
-    (question, chunk, score) rows that can still be in a global top-k."""
-    order = np.argsort(q_dim, kind="stable")
-    qd, qi, qw = q_dim[order], q_idx[order], q_w[order]
-    qstart = np.searchsorted(qd, np.arange(dims), side="left")
-    qcount = np.searchsorted(qd, np.arange(dims), side="right") - qstart
+    (question, chunk, score) rows that can still be in a global top-k.
+    `bc` is a broadcast of (key arrays, question index, dim, weight)."""
     margin = 10.0 ** -SCORE_PLACES
 
-    def score_block(dims_l, w_l, rows_l, n_rows):
-        cd = np.concatenate(dims_l)
-        cw = np.concatenate(w_l)
-        cr = np.concatenate(rows_l)
-        cnt = qcount[cd]
-        total = int(cnt.sum())
-        scores = np.zeros(n_rows * n_q)
-        if total:
+    def run(batches):
+        q_key_arrays, q_idx, q_dim, q_w = bc.value
+        order = np.argsort(q_dim, kind="stable")
+        qd, qi, qw = q_dim[order], q_idx[order], q_w[order]
+        qstart = np.searchsorted(qd, np.arange(dims), side="left")
+        qcount = np.searchsorted(qd, np.arange(dims), side="right") - qstart
+
+        def score_block(dims_l, w_l, rows_l, n_rows):
+            cd = np.concatenate(dims_l)
+            cw = np.concatenate(w_l)
+            cr = np.concatenate(rows_l)
+            cnt = qcount[cd]
+            total = int(cnt.sum())
+            if not total:
+                return np.zeros((n_rows, n_q))
             rep = np.repeat(np.arange(len(cd)), cnt)
             first = np.repeat(qstart[cd] - (np.cumsum(cnt) - cnt), cnt)
             pos = np.arange(total) + first
-            scores = np.bincount(cr[rep] * n_q + qi[pos], weights=cw[rep] * qw[pos], minlength=n_rows * n_q)
-        return scores.reshape(n_rows, n_q)
+            flat = np.bincount(cr[rep] * n_q + qi[pos], weights=cw[rep] * qw[pos], minlength=n_rows * n_q)
+            return flat.reshape(n_rows, n_q)
 
-    def run(batches):
         for pdf in batches:
             if len(pdf) == 0:
                 continue
@@ -143,7 +145,8 @@ def _knn_sparse_block(q: DataFrame, corpus: DataFrame, q_keys: list[str], c_keys
                      .groupBy(*c_keys).agg(F.collect_list(F.struct("dim", "w")).alias("__p"))
                      .select(*c_keys, F.transform("__p", lambda x: x["dim"]).alias("__d"),
                              F.transform("__p", lambda x: x["w"]).alias("__w")))
-    fn = _sparse_block_fn(key_arrays, idx, q_dim, q_w, len(uniq), dims, q_keys, c_keys, k)
+    bc = corpus.sparkSession.sparkContext.broadcast((key_arrays, idx, q_dim, q_w))
+    fn = _sparse_block_fn(bc, len(uniq), dims, q_keys, c_keys, k)
     schema = T.StructType([q.schema[c] for c in q_keys] + [corpus.schema[c] for c in c_keys]
                           + [T.StructField("__score", T.DoubleType())])
     partial = grouped.mapInPandas(fn, schema)
@@ -155,14 +158,14 @@ def _knn_sparse_block(q: DataFrame, corpus: DataFrame, q_keys: list[str], c_keys
 # Exact dense kNN as a block product per Arrow batch
 # ---------------------------------------------------------------------------
 
-def _dense_topk_fn(q_ids: np.ndarray, q_mat: np.ndarray, c_key: str, vec_col: str, k: int, metric: str,
-                   q_block: int = 512):
+def _dense_topk_fn(bc, c_key: str, vec_col: str, k: int, metric: str, q_block: int = 512):
     """Per Arrow batch: scores against query blocks of `q_block` columns,
     keeping for every query the rows that can still be in its global top-k
     (everything within one rounding step of the batch's k-th best)."""
     margin = 10.0 ** -SCORE_PLACES
 
     def run(batches):
+        q_ids, q_mat = bc.value
         qn_all = np.linalg.norm(q_mat, axis=1)
         qq_all = (q_mat * q_mat).sum(1)
         for pdf in batches:
@@ -196,7 +199,7 @@ def knn_dense(queries: DataFrame, corpus: DataFrame, q_key: str, c_key: str, vec
     """Exact top-k nearest vectors for every query vector.
 
     The query matrix is bounded (`max_queries` rows, counted before use) and
-    shipped to executors with the task closure; each corpus partition is
+    shipped to executors as a broadcast variable; each corpus partition is
     multiplied by it batch by batch (numpy), and only a partial top-k per
     batch leaves the task. No query×corpus pair is ever materialised as a row.
     Metric: "dot", "cosine", or "l2" (ranked by smallest squared distance;
@@ -223,7 +226,8 @@ def knn_dense(queries: DataFrame, corpus: DataFrame, q_key: str, c_key: str, vec
                                T.StructField("score", T.DoubleType()), T.StructField("rank", T.IntegerType())])
         return spark.createDataFrame([], schema)
     q_mat = np.stack([np.asarray(v, dtype=np.float64) for v in q_pdf[vec_col]])
-    fn = _dense_topk_fn(q_ids, q_mat, c_key, vec_col, k, metric)
+    bc = spark.sparkContext.broadcast((q_ids, q_mat))
+    fn = _dense_topk_fn(bc, c_key, vec_col, k, metric)
     out_schema = T.StructType([T.StructField("__qid", queries.schema[q_key].dataType),
                                corpus.schema[c_key], T.StructField("__score", T.DoubleType())])
     partial = corpus.select(c_key, vec_col).mapInPandas(fn, out_schema)

@@ -12,6 +12,7 @@ the corpus. The IDF table (at most `dims` rows) and the question postings
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,11 +51,11 @@ def question_vectors(spark: SparkSession, sf_dir: str, idf: DataFrame | None, di
 
 
 def search(spark: SparkSession, sf_dir: str, k: int = 4, dims: int = V.DEFAULT_DIMS,
-           weighting: str = "tfidf") -> DataFrame:
+           weighting: str = "tfidf", method: str = "auto") -> DataFrame:
     """J2 + T1: `(item_id, doc_id, chunk_no, score, rank)` for every benchmark item."""
     _, cvec, idf = corpus_vectors(spark, sf_dir, dims, weighting)
     _, qvec = question_vectors(spark, sf_dir, idf, dims)
-    return R.knn_sparse(qvec, cvec, QUESTION_KEYS, CORPUS_KEYS, k)
+    return R.knn_sparse(qvec, cvec, QUESTION_KEYS, CORPUS_KEYS, k, method=method)
 
 
 def hits_with_text(spark: SparkSession, sf_dir: str, k: int = 4, dims: int = V.DEFAULT_DIMS,
@@ -65,9 +66,57 @@ def hits_with_text(spark: SparkSession, sf_dir: str, k: int = 4, dims: int = V.D
     return hits.join(ch, CORPUS_KEYS)
 
 
-def gold_pairs(spark: SparkSession, sf_dir: str, shingle: int = 3) -> DataFrame:
+MAX_PATTERNS = 200_000
+
+
+def _contains_fn(patterns: list[tuple[int, str]]):
+    """Partition function: (doc_id, text) → (item_id, doc_id) for every
+    pattern that occurs in the text (Aho-Corasick: one linear pass per text)."""
+    def run(batches):
+        import ahocorasick
+        auto = ahocorasick.Automaton()
+        by_text: dict[str, list[int]] = {}
+        for item, text in patterns:
+            by_text.setdefault(text, []).append(item)
+        for text, items in by_text.items():
+            auto.add_word(text, items)
+        auto.make_automaton()
+        for pdf in batches:
+            items_out, docs_out = [], []
+            for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
+                if not text:
+                    continue
+                found = set()
+                for _, items in auto.iter(text):
+                    found.update(items)
+                for it in found:
+                    items_out.append(it)
+                    docs_out.append(doc_id)
+            yield pd.DataFrame({"item_id": items_out, "doc_id": docs_out}, dtype="int64")
+    return run
+
+
+def gold_pairs(spark: SparkSession, sf_dir: str, shingle: int = 3, method: str = "auto") -> DataFrame:
     """`(item_id, doc_id)` where the benchmark passage occurs literally in the document.
 
+    "automaton" (default while the passage set is under `MAX_PATTERNS`, a
+    checked bound): the passages are compiled into one Aho-Corasick automaton
+    in each task and every document is scanned once — exact substring
+    containment, linear in the text. Beyond the bound, the shingle join below.
+    """
+    bench = table(spark, sf_dir, "benchmark").select("item_id", "text")
+    if method in ("auto", "automaton"):
+        pats = bench.limit(MAX_PATTERNS + 1).toPandas()
+        if len(pats) <= MAX_PATTERNS:
+            patterns = [(int(i), t) for i, t in zip(pats["item_id"], pats["text"]) if t]
+            docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+            return docs.mapInPandas(_contains_fn(patterns), "item_id long, doc_id long")
+    return _gold_pairs_shingle(spark, sf_dir, shingle)
+
+
+def _gold_pairs_shingle(spark: SparkSession, sf_dir: str, shingle: int = 3) -> DataFrame:
+    """Gold pairs for pattern sets too large to ship to every task.
+
     Exact, without comparing every passage with every document: a contained
     passage's interior tokens (all but its first and last, which may be cut
     inside a longer word) appear as consecutive document tokens. So the first
