@@ -57,10 +57,14 @@ def knn_sparse(queries: DataFrame, corpus: DataFrame, q_keys: Sequence[str], c_k
     q_keys, c_keys = list(q_keys), list(c_keys)
     q = queries.select(*q_keys, "dim", F.col("w").alias("__wq"))
     if method in ("auto", "block"):
-        n_q = q.limit(max_broadcast_rows + 1).count()
-        if n_q <= max_broadcast_rows and (method == "block" or n_q > block_threshold):
-            return _knn_sparse_block(q, corpus, q_keys, c_keys, k)
-    q, _ = broadcast_if_small(q, max_broadcast_rows)
+        # one bounded transfer both measures the question side and ships it
+        qp = q.limit(max_broadcast_rows + 1).toPandas()
+        if len(qp) <= max_broadcast_rows and (method == "block" or len(qp) > block_threshold):
+            return _knn_sparse_block(qp, q.schema, corpus, q_keys, c_keys, k)
+        hinted = len(qp) <= max_broadcast_rows
+        q = F.broadcast(q) if hinted else q
+    else:
+        q, _ = broadcast_if_small(q, max_broadcast_rows)
     prods = (corpus.select(*c_keys, "dim", F.col("w").alias("__wc"))
                    .join(q, "dim")
                    .select(*q_keys, *c_keys, (F.col("__wq") * F.col("__wc")).alias("__p")))
@@ -97,6 +101,25 @@ def _sparse_block_fn(bc, n_q: int, dims: int, q_keys: list[str], c_keys: list[st
             flat = np.bincount(cr[rep] * n_q + qi[pos], weights=cw[rep] * qw[pos], minlength=n_rows * n_q)
             return flat.reshape(n_rows, n_q)
 
+        pool_cc, pool_sc, pool_keys = [], [], {ck: [] for ck in c_keys}
+
+        def prune(cc, sc):
+            """Indices of the pool entries that can still be in a question's top-k."""
+            order = np.lexsort((-sc, cc))
+            cc_s, sc_s = cc[order], sc[order]
+            starts = np.searchsorted(cc_s, np.arange(n_q), "left")
+            cnt = np.searchsorted(cc_s, np.arange(n_q), "right") - starts
+            kth = sc_s[np.clip(starts + k - 1, 0, max(len(sc_s) - 1, 0))] if len(sc_s) else np.zeros(n_q)
+            thr = np.where(cnt >= k, kth, -np.inf)
+            return order[sc_s >= thr[cc_s] - margin]
+
+        def flush():
+            cc = np.concatenate(pool_cc)
+            sc = np.concatenate(pool_sc)
+            keep = prune(cc, sc)
+            keys = {ck: np.concatenate(v)[keep] for ck, v in pool_keys.items()}
+            return cc[keep], sc[keep], keys
+
         for pdf in batches:
             if len(pdf) == 0:
                 continue
@@ -120,19 +143,27 @@ def _sparse_block_fn(bc, n_q: int, dims: int, q_keys: list[str], c_keys: list[st
                     rr, cc = np.nonzero((s >= kth[None, :] - margin) & (s > 0))
                 else:
                     rr, cc = np.nonzero(s > 0)
-                if len(rr):
-                    out = {qk: arr[cc] for qk, arr in zip(q_keys, q_key_arrays)}
-                    for ck in c_keys:
-                        out[ck] = ckeys[ck][start:end][rr]
-                    out["__score"] = s[rr, cc]
-                    yield pd.DataFrame(out)
+                pool_cc.append(cc)
+                pool_sc.append(s[rr, cc])
+                for ck in c_keys:
+                    pool_keys[ck].append(ckeys[ck][start:end][rr])
                 start = end
+            if sum(len(x) for x in pool_cc) > 8 * k * n_q:          # keep the pool bounded
+                cc, sc, keys = flush()
+                pool_cc, pool_sc = [cc], [sc]
+                pool_keys = {ck: [v] for ck, v in keys.items()}
+        if pool_cc:
+            cc, sc, keys = flush()
+            out = {qk: arr[cc] for qk, arr in zip(q_keys, q_key_arrays)}
+            out.update(keys)
+            out["__score"] = sc
+            yield pd.DataFrame(out)
 
     return run
 
 
-def _knn_sparse_block(q: DataFrame, corpus: DataFrame, q_keys: list[str], c_keys: list[str], k: int) -> DataFrame:
-    qp = q.toPandas()                      # Arrow transfer of the bounded question postings
+def _knn_sparse_block(qp: pd.DataFrame, q_schema: T.StructType, corpus: DataFrame, q_keys: list[str],
+                      c_keys: list[str], k: int) -> DataFrame:
     keys_pdf = qp[q_keys]
     uniq = keys_pdf.drop_duplicates().reset_index(drop=True)
     uniq["__i"] = np.arange(len(uniq))
@@ -147,7 +178,7 @@ def _knn_sparse_block(q: DataFrame, corpus: DataFrame, q_keys: list[str], c_keys
                              F.transform("__p", lambda x: x["w"]).alias("__w")))
     bc = corpus.sparkSession.sparkContext.broadcast((key_arrays, idx, q_dim, q_w))
     fn = _sparse_block_fn(bc, len(uniq), dims, q_keys, c_keys, k)
-    schema = T.StructType([q.schema[c] for c in q_keys] + [corpus.schema[c] for c in c_keys]
+    schema = T.StructType([q_schema[c] for c in q_keys] + [corpus.schema[c] for c in c_keys]
                           + [T.StructField("__score", T.DoubleType())])
     partial = grouped.mapInPandas(fn, schema)
     scored = partial.select(*q_keys, *c_keys, F.round("__score", SCORE_PLACES).alias("score"))

@@ -100,10 +100,21 @@ def embed_corpus(chunks: DataFrame, keys: Sequence[str], text_col: str, dims: in
     # weighted vectors): keep them so the corpus is tokenised once. Lost
     # blocks are recomputed from lineage; spills go to local disk.
     tf = tf.persist(StorageLevel.MEMORY_AND_DISK)
-    idf = idf_table(tf, keys)
+    idf = materialize_small(idf_table(tf, keys), dims)
     return apply_idf(tf, idf, keys), idf
 
 
+def materialize_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """Compute a table that is bounded by a parameter (here: at most `dims`
+    rows) once and keep it as a local relation, so every later consumer (the
+    corpus weights, each batch of questions) reuses it instead of re-running
+    its aggregation."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"expected at most {max_rows} rows")
+    return df.sparkSession.createDataFrame(rows, df.schema)
+
+
 def embed_queries(queries: DataFrame, keys: Sequence[str], text_col: str, dims: int = DEFAULT_DIMS,
                   idf: DataFrame | None = None) -> DataFrame:
     """Embed questions with the corpus's weighting (same function for both sides)."""
