@@ -18,6 +18,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,12 +58,14 @@ def knn_sparse(queries: DataFrame, corpus: DataFrame, q_keys: Sequence[str], c_k
     q_keys, c_keys = list(q_keys), list(c_keys)
     q = queries.select(*q_keys, "dim", F.col("w").alias("__wq"))
     if method in ("auto", "block"):
-        # one bounded transfer both measures the question side and ships it
-        qp = q.limit(max_broadcast_rows + 1).toPandas()
-        if len(qp) <= max_broadcast_rows and (method == "block" or len(qp) > block_threshold):
-            return _knn_sparse_block(qp, q.schema, corpus, q_keys, c_keys, k)
-        hinted = len(qp) <= max_broadcast_rows
-        q = F.broadcast(q) if hinted else q
+        # the question side is kept, counted in parallel, and only then shipped
+        q = q.persist(StorageLevel.MEMORY_AND_DISK)
+        n_q = q.count()
+        if n_q <= max_broadcast_rows and (method == "block" or n_q > block_threshold):
+            out = _knn_sparse_block(q.toPandas(), q.schema, corpus, q_keys, c_keys, k)
+            q.unpersist()
+            return out
+        q = F.broadcast(q) if n_q <= max_broadcast_rows else q
     else:
         q, _ = broadcast_if_small(q, max_broadcast_rows)
     prods = (corpus.select(*c_keys, "dim", F.col("w").alias("__wc"))

@@ -100,6 +100,7 @@ def embed_corpus(chunks: DataFrame, keys: Sequence[str], text_col: str, dims: in
     # weighted vectors): keep them so the corpus is tokenised once. Lost
     # blocks are recomputed from lineage; spills go to local disk.
     tf = tf.persist(StorageLevel.MEMORY_AND_DISK)
+    tf.count()                      # fill the cache once, in parallel, before both readers
     idf = materialize_small(idf_table(tf, keys), dims)
     return apply_idf(tf, idf, keys), idf
 

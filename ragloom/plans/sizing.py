@@ -8,6 +8,7 @@ a shuffled join (with AQE skew handling on).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,10 +21,11 @@ MAX_BROADCAST_ROWS = 2_000_000
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
     """Return (df with a broadcast hint if it has at most `max_rows` rows, hinted?).
 
-    The row count is taken with a bounded scan (`limit(max_rows + 1)`), so the
-    check never counts more than the bound even when the side is huge.
+    The count runs over all partitions in parallel; the side is kept
+    (memory and disk) so the join reads it without recomputing it.
     """
-    n = df.limit(max_rows + 1).count()
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = df.count()
     if n <= max_rows:
         return F.broadcast(df), True
     return df, False
