@@ -44,7 +44,10 @@ def hashed_tf(df: DataFrame, keys: Sequence[str], text_col: str, dims: int = DEF
     on a prefix of `keys` (see `embed_corpus`) Spark needs no exchange here.
     """
     keys = list(keys)
-    exploded = df.select(*keys, F.explode(tokens(text_col)).alias("__tok"))
+    # explode the raw split and drop the empty edge tokens as a row filter:
+    # both stay inside whole-stage codegen (no per-array lambda)
+    exploded = (df.select(*keys, F.explode(F.split(F.lower(F.col(text_col)), TOKEN_SPLIT)).alias("__tok"))
+                  .filter(F.col("__tok") != ""))
     return (exploded.select(*keys, bucket(F.col("__tok"), dims).alias("dim"))
                     .groupBy(*keys, "dim").agg(F.count(F.lit(1)).cast("double").alias("tf")))
 
