@@ -37,7 +37,7 @@ def top_k(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[Col
 
 def knn_sparse(queries: DataFrame, corpus: DataFrame, q_keys: Sequence[str], c_keys: Sequence[str],
                k: int = 4, max_broadcast_rows: int = MAX_BROADCAST_ROWS, method: str = "auto",
-               block_threshold: int = 1_000) -> DataFrame:
+               block_threshold: int = 1_000, corpus_normalized: bool = True) -> DataFrame:
     """Exact top-k by inner product of sparse unit vectors.
 
     `queries` rows are `(q_keys..., dim, w)`, `corpus` rows `(c_keys..., dim, w)`.
@@ -54,6 +54,8 @@ def knn_sparse(queries: DataFrame, corpus: DataFrame, q_keys: Sequence[str], c_k
         of long questions.
     "auto" picks "block" when the question side has more than
     `block_threshold` postings and fits the bound, else "join".
+    With `corpus_normalized=False` the corpus weights are L2-normalised here
+    (inside the per-chunk aggregation on the block path).
     """
     q_keys, c_keys = list(q_keys), list(c_keys)
     q = queries.select(*q_keys, "dim", F.col("w").alias("__wq"))
@@ -62,12 +64,15 @@ def knn_sparse(queries: DataFrame, corpus: DataFrame, q_keys: Sequence[str], c_k
         q = q.persist(StorageLevel.MEMORY_AND_DISK)
         n_q = q.count()
         if n_q <= max_broadcast_rows and (method == "block" or n_q > block_threshold):
-            out = _knn_sparse_block(q.toPandas(), q.schema, corpus, q_keys, c_keys, k)
+            out = _knn_sparse_block(q.toPandas(), q.schema, corpus, q_keys, c_keys, k, corpus_normalized)
             q.unpersist()
             return out
         q = F.broadcast(q) if n_q <= max_broadcast_rows else q
     else:
         q, _ = broadcast_if_small(q, max_broadcast_rows)
+    if not corpus_normalized:
+        from ragloom.operators.vectors import l2_normalize
+        corpus = l2_normalize(corpus, c_keys)
     prods = (corpus.select(*c_keys, "dim", F.col("w").alias("__wc"))
                    .join(q, "dim")
                    .select(*q_keys, *c_keys, (F.col("__wq") * F.col("__wc")).alias("__p")))
@@ -126,8 +131,13 @@ def _sparse_block_fn(bc, n_q: int, dims: int, q_keys: list[str], c_keys: list[st
         for pdf in batches:
             if len(pdf) == 0:
                 continue
-            d_list = [np.asarray(x, dtype=np.int64) for x in pdf["__d"].to_numpy()]
-            w_list = [np.asarray(x, dtype=np.float64) for x in pdf["__w"].to_numpy()]
+            d_list, w_list = [], []
+            for dd, ww in zip(pdf["__d"].to_numpy(), pdf["__w"].to_numpy()):
+                dd = np.asarray(dd, dtype=np.int64)
+                ww = np.asarray(ww, dtype=np.float64)
+                inside = dd < dims                  # corpus dims no question uses add nothing
+                d_list.append(dd[inside])
+                w_list.append(ww[inside])
             n = len(d_list)
             est = np.array([int(qcount[d].sum()) for d in d_list])
             ckeys = {ck: pdf[ck].to_numpy() for ck in c_keys}
@@ -166,19 +176,21 @@ def _sparse_block_fn(bc, n_q: int, dims: int, q_keys: list[str], c_keys: list[st
 
 
 def _knn_sparse_block(qp: pd.DataFrame, q_schema: T.StructType, corpus: DataFrame, q_keys: list[str],
-                      c_keys: list[str], k: int) -> DataFrame:
+                      c_keys: list[str], k: int, corpus_normalized: bool = True) -> DataFrame:
     keys_pdf = qp[q_keys]
     uniq = keys_pdf.drop_duplicates().reset_index(drop=True)
     uniq["__i"] = np.arange(len(uniq))
     idx = keys_pdf.merge(uniq, on=q_keys, how="left")["__i"].to_numpy()
     q_dim = qp["dim"].to_numpy(dtype=np.int64)
     q_w = qp["__wq"].to_numpy(dtype=np.float64)
-    dims = int(q_dim.max()) + 1 if len(q_dim) else 1
+    dims = int(max(q_dim.max() if len(q_dim) else 0, 0)) + 1
     key_arrays = [uniq[c].to_numpy() for c in q_keys]
-    grouped = (corpus.filter(F.col("dim") < dims)
-                     .groupBy(*c_keys).agg(F.collect_list(F.struct("dim", "w")).alias("__p"))
+    # one row per chunk with its postings; the norm is part of the same aggregation
+    norm = F.lit(1.0) if corpus_normalized else F.sqrt(F.sum(F.col("w") * F.col("w")))
+    grouped = (corpus.groupBy(*c_keys)
+                     .agg(F.collect_list(F.struct("dim", "w")).alias("__p"), norm.alias("__n"))
                      .select(*c_keys, F.transform("__p", lambda x: x["dim"]).alias("__d"),
-                             F.transform("__p", lambda x: x["w"]).alias("__w")))
+                             F.transform("__p", lambda x: x["w"] / F.col("__n")).alias("__w")))
     bc = corpus.sparkSession.sparkContext.broadcast((key_arrays, idx, q_dim, q_w))
     fn = _sparse_block_fn(bc, len(uniq), dims, q_keys, c_keys, k)
     schema = T.StructType([q_schema[c] for c in q_keys] + [corpus.schema[c] for c in c_keys]

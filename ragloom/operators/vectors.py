@@ -83,29 +83,33 @@ def idf_table(tf: DataFrame, keys: Sequence[str]) -> DataFrame:
                    .filter(F.col("idf") > 0))
 
 
-def apply_idf(tf: DataFrame, idf: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Weight tf rows by idf and L2-normalise: `(keys..., dim, w)`."""
+def apply_idf(tf: DataFrame, idf: DataFrame, keys: Sequence[str], normalize: bool = True) -> DataFrame:
+    """Weight tf rows by idf and (by default) L2-normalise: `(keys..., dim, w)`."""
     weighted = (tf.join(F.broadcast(idf), "dim")
                   .select(*keys, "dim", (F.col("tf") * F.col("idf")).alias("w")))
-    return l2_normalize(weighted, keys)
+    return l2_normalize(weighted, keys) if normalize else weighted
 
 
 def embed_corpus(chunks: DataFrame, keys: Sequence[str], text_col: str, dims: int = DEFAULT_DIMS,
-                 weighting: str = "tfidf") -> tuple[DataFrame, DataFrame | None]:
+                 weighting: str = "tfidf", normalize: bool = True) -> tuple[DataFrame, DataFrame | None]:
     """Embed a chunk table. Returns (vectors, idf table or None).
 
-    `weighting` is "tf" (plain V2) or "tfidf" (V2 + V2b).
+    `weighting` is "tf" (plain V2) or "tfidf" (V2 + V2b). With
+    `normalize=False` the weights are left unscaled, for consumers that
+    normalise per vector themselves (the block search does it inside the
+    aggregation it needs anyway, which saves a sort of every posting).
     """
     tf = hashed_tf(chunks, keys, text_col, dims)
     if weighting == "tf":
-        return l2_normalize(tf.withColumnRenamed("tf", "w"), keys), None
+        raw = tf.withColumnRenamed("tf", "w")
+        return (l2_normalize(raw, keys) if normalize else raw), None
     # The term counts feed two consumers (the global IDF table and the
     # weighted vectors): keep them so the corpus is tokenised once. Lost
     # blocks are recomputed from lineage; spills go to local disk.
     tf = tf.persist(StorageLevel.MEMORY_AND_DISK)
     tf.count()                      # fill the cache once, in parallel, before both readers
     idf = materialize_small(idf_table(tf, keys), dims)
-    return apply_idf(tf, idf, keys), idf
+    return apply_idf(tf, idf, keys, normalize), idf
 
 
 def materialize_small(df: DataFrame, max_rows: int) -> DataFrame:

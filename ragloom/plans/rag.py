@@ -38,10 +38,11 @@ def chunks(spark: SparkSession, sf_dir: str, size: int = C.DEFAULT_CHUNK_SIZE,
     return C.chunk_fixed(docs, "text", size, overlap).drop("text")
 
 
-def corpus_vectors(spark: SparkSession, sf_dir: str, dims: int = V.DEFAULT_DIMS, weighting: str = "tfidf"):
+def corpus_vectors(spark: SparkSession, sf_dir: str, dims: int = V.DEFAULT_DIMS, weighting: str = "tfidf",
+                   normalize: bool = True):
     """(chunk table, sparse vectors, idf table or None)."""
     ch = chunks(spark, sf_dir)
-    vecs, idf = V.embed_corpus(ch, CORPUS_KEYS, "chunk", dims, weighting)
+    vecs, idf = V.embed_corpus(ch, CORPUS_KEYS, "chunk", dims, weighting, normalize)
     return ch, vecs, idf
 
 
@@ -53,9 +54,9 @@ def question_vectors(spark: SparkSession, sf_dir: str, idf: DataFrame | None, di
 def search(spark: SparkSession, sf_dir: str, k: int = 4, dims: int = V.DEFAULT_DIMS,
            weighting: str = "tfidf", method: str = "auto") -> DataFrame:
     """J2 + T1: `(item_id, doc_id, chunk_no, score, rank)` for every benchmark item."""
-    _, cvec, idf = corpus_vectors(spark, sf_dir, dims, weighting)
+    _, cvec, idf = corpus_vectors(spark, sf_dir, dims, weighting, normalize=False)
     _, qvec = question_vectors(spark, sf_dir, idf, dims)
-    return R.knn_sparse(qvec, cvec, QUESTION_KEYS, CORPUS_KEYS, k, method=method)
+    return R.knn_sparse(qvec, cvec, QUESTION_KEYS, CORPUS_KEYS, k, method=method, corpus_normalized=False)
 
 
 def hits_with_text(spark: SparkSession, sf_dir: str, k: int = 4, dims: int = V.DEFAULT_DIMS,
