@@ -139,26 +139,39 @@ def between_dates(df: DataFrame, ts_col: str, from_date: str | None = None, to_d
 def date_range_summary(calls: DataFrame, deployments: DataFrame, call_keys: list[str], ts_col: str = "ts",
                        value_col: str = "value") -> DataFrame:
     """Per call `(fromDate?, toDate?)`, the deployments whose day lies in
-    the inclusive range: count, value total, first and last timestamp.
-
-    The big side is first reduced to one row per calendar day (partial
-    aggregation: one row per day per task before the shuffle), then the
-    theta join runs between calls and days — both small. A day table grows
-    with the calendar, not with the data, and is still size-checked before
-    it is broadcast.
+    the inclusive range: their count and value total.
+
+    No range join: the big side is reduced to one row per calendar day
+    (partial aggregation), turned into running totals over a dense calendar
+    (one row per day of the table's date span — bounded by the calendar, not
+    by the data, and size-checked before broadcast), and each call reads two
+    running totals by equality: at its upper bound and on the day before its
+    lower bound. Open bounds use the ends of the calendar.
     """
-    days = (deployments.groupBy(F.to_date(ts_col).alias("__day"))
-                       .agg(F.count(F.lit(1)).alias("__n"), F.sum(value_col).alias("__v"),
-                            F.min(ts_col).alias("__first"), F.max(ts_col).alias("__last")))
-    days, _ = broadcast_if_small(days)
+    per_day = (deployments.groupBy(F.to_date(ts_col).alias("day"))
+                          .agg(F.count(F.lit(1)).alias("__n"), F.sum(value_col).alias("__v")))
+    first = per_day.select(F.date_sub(F.min("day"), 1)).scalar()    # day before the first day
+    last = per_day.select(F.max("day")).scalar()
+    cal = per_day.sparkSession.range(1).select(F.explode(F.sequence(first, last)).alias("day"))
+    w = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = (cal.join(per_day, "day", "left")
+              .select("day", F.sum(F.coalesce("__n", F.lit(0))).over(w).alias("__cn"),
+                      F.sum(F.coalesce("__v", F.lit(0.0))).over(w).alias("__cv")))
+    cum, _ = broadcast_if_small(cum)
     f = F.to_date(F.nullif(F.col("fromDate"), F.lit("")))
     t = F.to_date(F.nullif(F.col("toDate"), F.lit("")))
-    cond = (f.isNull() | (F.col("__day") >= f)) & (t.isNull() | (F.col("__day") <= t))
-    joined = calls.join(days, cond, "left")
-    return joined.groupBy(*call_keys).agg(
-        F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("n_deployments"),
-        F.round(F.coalesce(F.sum("__v"), F.lit(0.0)), 2).alias("total_value"),
-        F.min("__first").alias("first_ts"), F.max("__last").alias("last_ts"))
+
+    def clip(d):
+        return F.least(F.greatest(d, first), last)
+    c = (calls.withColumn("__hi", clip(F.coalesce(t, last)))
+              .withColumn("__lo", clip(F.coalesce(F.date_sub(f, 1), first)))
+              .withColumn("__empty", F.coalesce(f > t, F.lit(False)) | (F.col("__hi") <= F.col("__lo"))))
+    hi = cum.select(F.col("day").alias("__hi"), F.col("__cn").alias("__hn"), F.col("__cv").alias("__hv"))
+    lo = cum.select(F.col("day").alias("__lo"), F.col("__cn").alias("__ln"), F.col("__cv").alias("__lv"))
+    j = c.join(hi, "__hi", "left").join(lo, "__lo", "left")
+    n = F.when(F.col("__empty"), F.lit(0)).otherwise(F.col("__hn") - F.col("__ln"))
+    v = F.when(F.col("__empty"), F.lit(0.0)).otherwise(F.col("__hv") - F.col("__lv"))
+    return j.select(*call_keys, n.cast("long").alias("n_deployments"), F.round(v, 2).alias("total_value"))
 
 
 def last_tool_output(executed: DataFrame, keys: list[str]) -> DataFrame:
