@@ -330,11 +330,29 @@ def ann_join(queries: DataFrame, assigned: DataFrame, centroids: DataFrame, q_ke
                .select(q_key, "__qv", F.explode("__cells").alias("__c"))
                .select(q_key, "__qv", F.col("__c.cell").alias("cell")))
     probes, _ = broadcast_if_small(probes)
+    # cells are numbered 0..n_cells-1; stating the range makes the probe list a
+    # selective filter, which lets Spark prune unprobed `cell` partitions of a
+    # stored collection at scan time (dynamic partition pruning)
+    probes = probes.filter(F.col("cell") < F.lit(len(cents)))
     cand = assigned.select(c_key, "cell", vec_col).join(probes, "cell")
     scored = cand.select(q_key, c_key, F.round(dot(vec_col, "__qv"), SCORE_PLACES).alias("score"))
     return top_k(scored, [q_key], [F.desc("score"), F.asc(c_key)], k)
 
 
+def ivf_write(assigned: DataFrame, path: str) -> None:
+    """Persist an IVF-assigned corpus partitioned by `cell`: a probe then reads
+    only the files of the probed cells (dynamic partition pruning on the
+    `cell` join with the broadcast probe list)."""
+    assigned.write.mode("overwrite").partitionBy("cell").parquet(path)
+
+
+def ann_join_stored(queries: DataFrame, path: str, centroids: DataFrame, q_key: str, c_key: str,
+                    vec_col: str = "embedding", k: int = 4, nprobe: int = 4) -> DataFrame:
+    """J3 over a stored IVF collection (see `ivf_write`)."""
+    assigned = queries.sparkSession.read.parquet(path)
+    return ann_join(queries, assigned, centroids, q_key, c_key, vec_col, k, nprobe)
+
+
 # ---------------------------------------------------------------------------
 # J5, J9
 # ---------------------------------------------------------------------------

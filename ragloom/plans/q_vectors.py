@@ -122,12 +122,17 @@ def q_knn_dense_cosine(spark, sf_dir):
 
 @register("ann_ivf_top4")
 def q_ann(spark, sf_dir):
-    """IVF (16 KMeans cells, 4 probed) top-4 per label centroid; approximate,
-    so only rows are checked by the driver (recall is tested in pytest)."""
+    """IVF (16 KMeans cells, 4 probed) top-4 per label centroid over the
+    cell-partitioned collection written under the checkpoint folder;
+    approximate, so only rows are checked by the driver (recall is tested
+    in pytest)."""
+    from ragloom.streaming.retrieve import scratch_path
     e = _emb(spark, sf_dir)
     assigned, cents = R.ivf_index(e, "vec_id", "embedding", n_cells=16)
+    path = scratch_path(spark, "ivf")
+    R.ivf_write(assigned.select("vec_id", "embedding", "cell"), path)
     q = V.mean_pool(e, "label")
-    return R.ann_join(q, assigned, cents, "label", "vec_id", "embedding", k=4, nprobe=4)
+    return R.ann_join_stored(q, path, cents, "label", "vec_id", "embedding", k=4, nprobe=4)
 
 
 @register("ann_recall")

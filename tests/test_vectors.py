@@ -130,3 +130,16 @@ def test_embed_with_user_function(spark):
     df = spark.createDataFrame([(1, "hello world"), (2, "")], "id long, t string")
     out = V.embed_with(df, "t", hashed_dense_embedder(16), dim=20).collect()
     assert all(len(r["embedding"]) == 20 for r in out)
+
+
+def test_ivf_store_prunes_cells(spark, tmpdir_path):
+    e = spark.read.parquet(f"{SF001}/embeddings.parquet").select("vec_id", "embedding")
+    assigned, cents = R.ivf_index(e, "vec_id", "embedding", n_cells=8)
+    path = f"{tmpdir_path}/ivf"
+    R.ivf_write(assigned.select("vec_id", "embedding", "cell"), path)
+    q = e.limit(5).select(F.col("vec_id").alias("qid"), "embedding")
+    stored = R.ann_join_stored(q, path, cents, "qid", "vec_id", "embedding", k=2, nprobe=2)
+    plan = stored._jdf.queryExecution().executedPlan().toString().lower()
+    assert "dynamicpruning" in plan
+    mem = R.ann_join(q, assigned, cents, "qid", "vec_id", "embedding", k=2, nprobe=2)
+    assert stored.exceptAll(mem).count() == 0 and stored.count() == 10
