@@ -23,9 +23,15 @@ DEFAULT_HISTORY = 3
 EXCHANGE = T.StructType([T.StructField("q", T.StringType()), T.StructField("a", T.StringType())])
 
 
+# Whitespace as Python's str.strip() sees it: ASCII \s, the Unicode separator
+# categories, and the file/group/record/unit separators and NEL.
+WS_CLASS = r"[\s\p{Z}\x{1c}-\x{1f}\x{85}]"
+STRIP_PATTERN = f"^{WS_CLASS}+|{WS_CLASS}+$"
+
+
 def strip(col: Column | str) -> Column:
     c = F.col(col) if isinstance(col, str) else col
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.regexp_replace(c, STRIP_PATTERN, "")
 
 
 def skip_blank_turns(df: DataFrame, text_col: str = "text") -> DataFrame:

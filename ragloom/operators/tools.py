@@ -129,10 +129,12 @@ def between_dates(df: DataFrame, ts_col: str, from_date: str | None = None, to_d
     """Optional inclusive date bounds on a timestamp column (each bound
     pushes down to the Parquet scan as a timestamp comparison)."""
     out = df
-    if from_date:
-        out = out.filter(F.col(ts_col) >= F.to_timestamp(F.lit(from_date)))
+    ts_type = df.schema[ts_col].dataType        # compare in the column's own type (NTZ or LTZ):
+    if from_date:                               # no session-time-zone shift, literal bound pushes down
+        out = out.filter(F.col(ts_col) >= F.lit(f"{from_date} 00:00:00").cast(ts_type))
     if to_date:
-        out = out.filter(F.col(ts_col) < F.date_add(F.to_date(F.lit(to_date)), 1).cast("timestamp"))
+        next_day = F.date_add(F.to_date(F.lit(to_date)), 1)
+        out = out.filter(F.col(ts_col) < F.date_format(next_day, "yyyy-MM-dd 00:00:00").cast(ts_type))
     return out
 
 

@@ -42,7 +42,7 @@ def _exchanges(spark, sf_dir):
     return S.pair_exchanges(turns)
 
 
-_EX_SQL = """
+_EX_SQL = f"""
 ex AS (
   SELECT conv_id, turn, (row_number() OVER (PARTITION BY conv_id ORDER BY turn))::INTEGER AS ex_no, q, a
   FROM (SELECT conv_id, turn, role, text AS q,
@@ -50,7 +50,7 @@ ex AS (
         FROM (SELECT * FROM (
                 SELECT *, max(CASE WHEN role = 'user' AND lower(text) IN ('exit', 'quit', 'q') THEN 1 ELSE 0 END)
                   OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ended
-                FROM conversations WHERE regexp_replace(text, '^\\s+|\\s+$', '', 'g') <> '') WHERE ended = 0)
+                FROM conversations WHERE regexp_replace(text, '{S.STRIP_PATTERN}', '', 'g') <> '') WHERE ended = 0)
         WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
   WHERE role = 'user'
 )"""
@@ -122,8 +122,8 @@ def q_full_prefix(spark, sf_dir):
                      S.render_messages("messages").alias("prefix_text"))
 
 
-@register("skip_blank_turns", """
-SELECT conv_id, turn, role FROM conversations WHERE regexp_replace(text, '^\\s+|\\s+$', '', 'g') <> ''
+@register("skip_blank_turns", f"""
+SELECT conv_id, turn, role FROM conversations WHERE regexp_replace(text, '{S.STRIP_PATTERN}', '', 'g') <> ''
 """)
 def q_skip_blank(spark, sf_dir):
     """Turns kept after dropping blank (after strip) ones."""

@@ -20,9 +20,10 @@ def test_exit_words(spark):
 
 
 def test_blank_turns(spark):
-    rows = [(1, 0, "user", "  "), (1, 1, "user", "\t\n"), (1, 2, "user", " x ")]
+    rows = [(1, 0, "user", "  "), (1, 1, "user", "\t\n"), (1, 2, "user", " x "),
+            (1, 3, "user", "\u00a0\u3000\u2028\x1c\x85"), (1, 4, "user", "\u00a0y")]
     kept = S.skip_blank_turns(spark.createDataFrame(rows, CONV)).select("turn").collect()
-    assert [r[0] for r in kept] == [2]
+    assert [r[0] for r in kept] == [t for t, (_, _, _, x) in enumerate(rows) if x.strip() != ""] == [2, 4]
 
 
 def test_pair_exchanges_keeps_unanswered(spark):
