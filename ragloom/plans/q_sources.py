@@ -15,6 +15,7 @@ from ragloom.operators import vectors as V
 from ragloom.plans import oracle as O
 from ragloom.plans import rag
 from ragloom.plans.catalog import register
+from ragloom.plans.sizing import broadcast_if_small
 from ragloom.session import table
 
 
@@ -22,8 +23,9 @@ def qa(spark, sf_dir):
     """The question/support dataset: every benchmark item as a question; its
     support is the (lowest-id) document containing it, or '' when none does."""
     gold = rag.gold_pairs(spark, sf_dir).groupBy("item_id").agg(F.min("doc_id").alias("doc_id"))
+    gold, _ = broadcast_if_small(gold)          # one row per question at most
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    sup = gold.join(docs, "doc_id").select("item_id", F.col("text").alias("support"))
+    sup = docs.join(gold, "doc_id").select("item_id", F.col("text").alias("support"))
     b = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("question"))
     return b.join(sup, "item_id", "left").withColumn("support", F.coalesce("support", F.lit("")))
 

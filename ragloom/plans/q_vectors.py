@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ragloom.operators import retrieve as R
 from ragloom.operators import vectors as V
 from ragloom.plans.catalog import register
+from ragloom.plans.sizing import broadcast_if_small
 from ragloom.session import table
 
 
@@ -67,8 +68,8 @@ def q_vector_metrics(spark, sf_dir):
     """V6: dot, cosine and squared L2 between each vector and its label centroid
     (the centroid table has one row per label: broadcast)."""
     e = _emb(spark, sf_dir)
-    cent = V.mean_pool(e, "label", out_col="centroid")
-    j = e.join(F.broadcast(cent), "label")
+    cent, _ = broadcast_if_small(V.mean_pool(e, "label", out_col="centroid"), 100_000)
+    j = e.join(cent, "label")
     return j.select("vec_id", F.round(V.dot("embedding", "centroid"), 6).alias("dot"),
                     F.round(V.cosine("embedding", "centroid"), 6).alias("cosine"),
                     F.round(V.l2_squared("embedding", "centroid"), 6).alias("l2sq"))

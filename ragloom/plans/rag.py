@@ -61,10 +61,16 @@ def search(spark: SparkSession, sf_dir: str, k: int = 4, dims: int = V.DEFAULT_D
 
 def hits_with_text(spark: SparkSession, sf_dir: str, k: int = 4, dims: int = V.DEFAULT_DIMS,
                    weighting: str = "tfidf") -> DataFrame:
-    """Top-k hits joined back to their chunk text (k rows per question)."""
-    hits = search(spark, sf_dir, k, dims, weighting)
-    ch = chunks(spark, sf_dir).select(*CORPUS_KEYS, "chunk")
-    return hits.join(ch, CORPUS_KEYS)
+    """Top-k hits joined back to their chunk text (k rows per question).
+
+    The hits (k per question, size-checked) are broadcast, so the chunk text
+    is read where it lies and never shuffled for this join; the chunk table is
+    the same plan the search embedded (its exchange is reused)."""
+    ch, cvec, idf = corpus_vectors(spark, sf_dir, dims, weighting, normalize=False)
+    _, qvec = question_vectors(spark, sf_dir, idf, dims)
+    hits = R.knn_sparse(qvec, cvec, QUESTION_KEYS, CORPUS_KEYS, k, corpus_normalized=False)
+    hits, _ = broadcast_if_small(hits)
+    return ch.select(*CORPUS_KEYS, "chunk").join(hits, CORPUS_KEYS)
 
 
 MAX_PATTERNS = 200_000
