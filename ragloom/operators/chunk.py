@@ -67,69 +67,82 @@ def chunk_fixed(df: DataFrame, text_col: str = "text", size: int = DEFAULT_CHUNK
 # Recursive splitter (Arrow UDF)
 # ---------------------------------------------------------------------------
 
-def _split_keep(text: str, sep: str) -> list[str]:
-    """Split keeping the separator at the start of the following piece."""
+def _split_keep(text: str, sep: str, offset: int) -> list[tuple[str, int]]:
+    """Split keeping the separator at the start of the following piece; each
+    piece carries its start offset in the document."""
     if sep == "":
-        return list(text)
-    parts = text.split(sep)
-    out = [parts[0]] + [sep + p for p in parts[1:]]
-    return [p for p in out if p != ""]
+        return [(ch, offset + i) for i, ch in enumerate(text)]
+    out, pos = [], 0
+    for i, part in enumerate(text.split(sep)):
+        piece = part if i == 0 else sep + part
+        if piece:
+            out.append((piece, offset + pos))
+        pos += len(piece)
+    return out
+
+
+def _emit(run: list[tuple[str, int]], out: list[tuple[str, int]]) -> None:
+    joined = "".join(p for p, _ in run)
+    stripped = joined.strip()
+    if stripped:
+        out.append((stripped, run[0][1] + len(joined) - len(joined.lstrip())))
 
 
-def _merge(pieces: list[str], size: int, overlap: int) -> list[str]:
-    """Greedy merge of pieces into runs <= size, carrying a tail <= overlap."""
-    out: list[str] = []
-    run: list[str] = []
+def _merge(pieces: list[tuple[str, int]], size: int, overlap: int) -> list[tuple[str, int]]:
+    """Greedy merge of contiguous pieces into runs <= size, carrying a tail <= overlap."""
+    out: list[tuple[str, int]] = []
+    run: list[tuple[str, int]] = []
     total = 0
-    for p in pieces:
+    for p, start in pieces:
         n = len(p)
         if run and total + n > size:
-            joined = "".join(run).strip()
-            if joined:
-                out.append(joined)
+            _emit(run, out)
             while run and (total > overlap or (total + n > size and total > 0)):
-                total -= len(run[0])
+                total -= len(run[0][0])
                 run.pop(0)
-        run.append(p)
+        run.append((p, start))
         total += n
-    joined = "".join(run).strip()
-    if joined:
-        out.append(joined)
+    if run:
+        _emit(run, out)
     return out
 
 
-def split_recursive(text: str, size: int = DEFAULT_CHUNK_SIZE, overlap: int = DEFAULT_CHUNK_OVERLAP,
-                    separators: list[str] | None = None) -> list[str]:
-    """Pure-Python splitter used inside the Arrow UDF (one document at a time)."""
+def split_recursive_spans(text: str, size: int = DEFAULT_CHUNK_SIZE, overlap: int = DEFAULT_CHUNK_OVERLAP,
+                          separators: list[str] | None = None, offset: int = 0) -> list[tuple[str, int]]:
+    """C2 splitter returning `(chunk, start offset)` pairs (one document)."""
     _check(size, overlap)
     seps = list(DEFAULT_SEPARATORS if separators is None else separators)
     if not text:
         return []
-    sep = seps[-1]
-    rest: list[str] = []
-    for i, s in enumerate(seps):
-        if s == "" or s in text:
-            sep, rest = s, seps[i + 1:]
+    sep, rest = seps[-1], []
+    for i, s_ in enumerate(seps):
+        if s_ == "" or s_ in text:
+            sep, rest = s_, seps[i + 1:]
             break
-    pieces = _split_keep(text, sep)
-    out: list[str] = []
-    small: list[str] = []
-    for p in pieces:
+    out: list[tuple[str, int]] = []
+    small: list[tuple[str, int]] = []
+    for p, start in _split_keep(text, sep, offset):
         if len(p) < size:
-            small.append(p)
+            small.append((p, start))
             continue
         if small:
             out.extend(_merge(small, size, overlap))
             small = []
         if rest:
-            out.extend(split_recursive(p, size, overlap, rest))
+            out.extend(split_recursive_spans(p, size, overlap, rest, start))
         else:
-            out.append(p)
+            out.append((p, start))
     if small:
         out.extend(_merge(small, size, overlap))
     return out
 
 
+def split_recursive(text: str, size: int = DEFAULT_CHUNK_SIZE, overlap: int = DEFAULT_CHUNK_OVERLAP,
+                    separators: list[str] | None = None) -> list[str]:
+    """Pure-Python splitter used inside the Arrow UDF (one document at a time)."""
+    return [c for c, _ in split_recursive_spans(text, size, overlap, separators)]
+
+
 _CHUNK_ARRAY = T.ArrayType(T.StructType([
     T.StructField("chunk_no", T.IntegerType()),
     T.StructField("chunk_start", T.IntegerType()),
@@ -145,15 +158,8 @@ def _recursive_udf(size: int, overlap: int, separators: list[str] | None):
             if t is None:
                 result.append([])
                 continue
-            rows = []
-            cursor = 0
-            for i, c in enumerate(split_recursive(t, size, overlap, separators)):
-                pos = t.find(c, max(cursor - size, 0))
-                if pos < 0:
-                    pos = t.find(c)
-                cursor = max(pos, 0) + 1
-                rows.append({"chunk_no": i, "chunk_start": pos, "chunk": c})
-            result.append(rows)
+            result.append([{"chunk_no": i, "chunk_start": pos, "chunk": c}
+                           for i, (c, pos) in enumerate(split_recursive_spans(t, size, overlap, separators))])
         return pd.Series(result)
 
     return split_col
