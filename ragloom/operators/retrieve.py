@@ -85,11 +85,13 @@ def _sparse_block_fn(bc, n_q: int, dims: int, q_keys: list[str], c_keys: list[st
                      max_products: int = 4_000_000):
     """Partition function: chunks (with their postings as arrays) → candidate
     (question, chunk, score) rows that can still be in a global top-k.
-    `bc` is a broadcast of (key arrays, question index, dim, weight)."""
+    `bc` is a broadcast of (key arrays, question index, dim, weight, idf);
+    with an idf vector the chunk arrays hold raw term counts, which are
+    weighted and L2-normalised here (stored-collection form)."""
     margin = 10.0 ** -SCORE_PLACES
 
     def run(batches):
-        q_key_arrays, q_idx, q_dim, q_w = bc.value
+        q_key_arrays, q_idx, q_dim, q_w, idf_vec = bc.value
         order = np.argsort(q_dim, kind="stable")
         qd, qi, qw = q_dim[order], q_idx[order], q_w[order]
         qstart = np.searchsorted(qd, np.arange(dims), side="left")
@@ -135,6 +137,13 @@ def _sparse_block_fn(bc, n_q: int, dims: int, q_keys: list[str], c_keys: list[st
             for dd, ww in zip(pdf["__d"].to_numpy(), pdf["__w"].to_numpy()):
                 dd = np.asarray(dd, dtype=np.int64)
                 ww = np.asarray(ww, dtype=np.float64)
+                if idf_vec is not None:
+                    known = dd < len(idf_vec)
+                    dd, ww = dd[known], ww[known] * idf_vec[dd[known]]
+                    nz = ww > 0
+                    dd, ww = dd[nz], ww[nz]
+                    nrm = np.sqrt((ww * ww).sum())
+                    ww = ww / nrm if nrm > 0 else ww
                 inside = dd < dims                  # corpus dims no question uses add nothing
                 d_list.append(dd[inside])
                 w_list.append(ww[inside])
@@ -177,6 +186,21 @@ def _sparse_block_fn(bc, n_q: int, dims: int, q_keys: list[str], c_keys: list[st
 
 def _knn_sparse_block(qp: pd.DataFrame, q_schema: T.StructType, corpus: DataFrame, q_keys: list[str],
                       c_keys: list[str], k: int, corpus_normalized: bool = True) -> DataFrame:
+    # one row per chunk with its postings; the norm is part of the same aggregation
+    norm = F.lit(1.0) if corpus_normalized else F.sqrt(F.sum(F.col("w") * F.col("w")))
+    grouped = (corpus.groupBy(*c_keys)
+                     .agg(F.collect_list(F.struct("dim", "w")).alias("__p"), norm.alias("__n"))
+                     .select(*c_keys, F.transform("__p", lambda x: x["dim"]).alias("__d"),
+                             F.transform("__p", lambda x: x["w"] / F.col("__n")).alias("__w")))
+    return knn_sparse_grouped(qp, q_schema, grouped, q_keys, c_keys, k)
+
+
+def knn_sparse_grouped(qp: pd.DataFrame, q_schema: T.StructType, grouped: DataFrame, q_keys: list[str],
+                       c_keys: list[str], k: int, idf: np.ndarray | None = None) -> DataFrame:
+    """Block search over chunks given one row each: `(c_keys..., __d array<int>,
+    __w array<double>)`. With `idf` (a vector indexed by dim, bounded by the
+    dimension count) `__w` holds raw term counts that are weighted and
+    normalised in the task."""
     keys_pdf = qp[q_keys]
     uniq = keys_pdf.drop_duplicates().reset_index(drop=True)
     uniq["__i"] = np.arange(len(uniq))
@@ -185,17 +209,11 @@ def _knn_sparse_block(qp: pd.DataFrame, q_schema: T.StructType, corpus: DataFram
     q_w = qp["__wq"].to_numpy(dtype=np.float64)
     dims = int(max(q_dim.max() if len(q_dim) else 0, 0)) + 1
     key_arrays = [uniq[c].to_numpy() for c in q_keys]
-    # one row per chunk with its postings; the norm is part of the same aggregation
-    norm = F.lit(1.0) if corpus_normalized else F.sqrt(F.sum(F.col("w") * F.col("w")))
-    grouped = (corpus.groupBy(*c_keys)
-                     .agg(F.collect_list(F.struct("dim", "w")).alias("__p"), norm.alias("__n"))
-                     .select(*c_keys, F.transform("__p", lambda x: x["dim"]).alias("__d"),
-                             F.transform("__p", lambda x: x["w"] / F.col("__n")).alias("__w")))
-    bc = corpus.sparkSession.sparkContext.broadcast((key_arrays, idx, q_dim, q_w))
+    bc = grouped.sparkSession.sparkContext.broadcast((key_arrays, idx, q_dim, q_w, idf))
     fn = _sparse_block_fn(bc, len(uniq), dims, q_keys, c_keys, k)
-    schema = T.StructType([q_schema[c] for c in q_keys] + [corpus.schema[c] for c in c_keys]
+    schema = T.StructType([q_schema[c] for c in q_keys] + [grouped.schema[c] for c in c_keys]
                           + [T.StructField("__score", T.DoubleType())])
-    partial = grouped.mapInPandas(fn, schema)
+    partial = grouped.select(*c_keys, "__d", "__w").mapInPandas(fn, schema)
     scored = partial.select(*q_keys, *c_keys, F.round("__score", SCORE_PLACES).alias("score"))
     return top_k(scored, q_keys, [F.desc("score")] + [F.asc(c) for c in c_keys], k)
 

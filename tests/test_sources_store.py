@@ -127,3 +127,19 @@ def test_constant_metadata_and_ids(spark):
     df = spark.createDataFrame([("p.pdf", 0)], "path string, i int")
     r = df.select(W.make_id("path", "i").alias("id"), W.constant_metadata(type="support").alias("m")).first()
     assert r["id"] == "p.pdf_0" and r["m"] == {"type": "support"}
+
+
+def test_collection_write_once_search_many(spark, tmpdir_path):
+    from ragloom.plans import collection as COL
+    from ragloom.plans import rag
+    from tests.conftest import SF001
+    path = f"{tmpdir_path}/coll"
+    rows = COL.collection_rows(rag.chunks(spark, SF001))
+    n = rows.count()
+    assert COL.write(spark, rows, path).count() == n
+    assert COL.write(spark, rows, path).count() == 0          # replay adds nothing
+    assert spark.read.parquet(path).count() == n
+    qs = spark.read.parquet(f"{SF001}/benchmark.parquet").select("item_id", "text")
+    stored = COL.search(spark, path, qs, ["item_id"], "text", k=4)
+    direct = rag.search(spark, SF001, k=4)
+    assert stored.exceptAll(direct).count() == 0 and direct.exceptAll(stored).count() == 0
