@@ -288,3 +288,23 @@ def q_chat_retrieval(spark, sf_dir):
     _, cvec, idf = rag.corpus_vectors(spark, sf_dir, normalize=False)
     qvec = V.embed_queries(chat_queries(spark, sf_dir), ["conv_id", "turn"], "query", idf=idf)
     return R.knn_sparse(qvec, cvec, ["conv_id", "turn"], rag.CORPUS_KEYS, 4, corpus_normalized=False)
+
+
+@register("chat_prompts", f"""
+WITH {_CHAT_Q_SQL},
+{O.search_ctes(k=4, src='chatq', keys='conv_id, turn', text='query')},
+ctx AS (
+  SELECT h.conv_id, h.turn, count(*) AS n_hits, string_agg(c.chunk, chr(10) || chr(10) ORDER BY h.rank) AS context
+  FROM hits h JOIN chunks c USING (doc_id, chunk_no) GROUP BY h.conv_id, h.turn
+)
+SELECT q.conv_id, q.turn, coalesce(ctx.n_hits, 0)::BIGINT AS n_hits,
+       {O.nl(G.RAG_TEMPLATE.split('{context}')[0])} || coalesce(ctx.context, {O.q(G.NO_CONTEXT)})
+       || {O.nl(G.RAG_TEMPLATE.split('{context}')[1].split('{question}')[0])} || q.query
+       || {O.nl(G.RAG_TEMPLATE.split('{question}')[1])} AS prompt
+FROM chatq q LEFT JOIN ctx USING (conv_id, turn)
+""")
+def q_chat_prompts(spark, sf_dir):
+    """E2 end to end over recorded conversations: history-enlarged question,
+    top-4 chunks, stuffed context, answer-only-from-context prompt."""
+    from ragloom.plans.pipelines import chat_prompts
+    return chat_prompts(spark, _conv(spark, sf_dir), rag.chunks(spark, sf_dir))

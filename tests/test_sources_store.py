@@ -143,3 +143,20 @@ def test_collection_write_once_search_many(spark, tmpdir_path):
     stored = COL.search(spark, path, qs, ["item_id"], "text", k=4)
     direct = rag.search(spark, SF001, k=4)
     assert stored.exceptAll(direct).count() == 0 and direct.exceptAll(stored).count() == 0
+
+
+def test_embed_directory_flow(spark, tmpdir_path):
+    from ragloom.plans.flows import embed_directory
+    root = f"{tmpdir_path}/tree"
+    os.makedirs(root)
+    _tree(root)
+    store = f"{tmpdir_path}/store"
+    first = embed_directory(spark, root, store, {".pdf": toy_pdf}, size=40, overlap=10)
+    assert first["rejects"] == 2 and first["documents"] == 8
+    assert first["added"] == first["chunks"] > 0
+    again = embed_directory(spark, root, store, {".pdf": toy_pdf}, size=40, overlap=10)
+    assert again["added"] == 0                                   # S13: nothing twice
+    fresh = embed_directory(spark, root, store, {".pdf": toy_pdf}, size=40, overlap=10, clear=True)
+    assert fresh["store"] != store and fresh["added"] == first["chunks"]
+    row = spark.read.parquet(store).filter(F.col("doc_id").endswith("a.txt")).orderBy("chunk_no").first()
+    assert row["metadata"]["source"].endswith("a.txt") and len(row["dims"]) == len(row["tfs"]) > 0
