@@ -226,9 +226,16 @@ def q_alerts(spark, sf_dir):
     return req.join(pay, ["n_name", "day"], "left").select("n_name", "day", H.summarize_alerts(F.col("p")).alias("summary"))
 
 
-@register("weather_urls")
+@register("weather_urls", f"""
+WITH {_CALLS_SQL}
+SELECT user_id, day, pos,
+       'https://wttr.in/' || replace(url_encode('City ' || user_id::VARCHAR), '%20', '+') || '?format=%C+%t' AS url
+FROM calls2 WHERE name = 'weather_forecast'
+""")
 def q_weather_urls(spark, sf_dir):
-    """URL-encoded forecast URL for every weather_forecast call (no HTTP call is made)."""
+    """URL-encoded forecast URL for every weather_forecast call (no HTTP call
+    is made). Form encoding turns a space into `+`; the SQL twin maps DuckDB's
+    `%20` accordingly (the locations hold letters, digits and spaces only)."""
     ex = _exploded(spark, sf_dir).filter(F.col("name") == "weather_forecast")
     return ex.select("user_id", "day", "pos", H.weather_url(F.col("arguments")["location"]).alias("url"))
 
