@@ -65,18 +65,23 @@ def chat_queries(turns: DataFrame, n: int = S.DEFAULT_HISTORY) -> DataFrame:
 
 
 def chat_prompts(spark: SparkSession, turns: DataFrame, corpus_chunks: DataFrame, k: int = 4,
-                 n: int = S.DEFAULT_HISTORY, dims: int = V.DEFAULT_DIMS) -> DataFrame:
+                 n: int = S.DEFAULT_HISTORY, dims: int = V.DEFAULT_DIMS, sf_dir: str | None = None) -> DataFrame:
     """E2 over recorded conversations: `(conv_id, turn, n_hits, prompt)`.
 
     `corpus_chunks` has `(doc_id, chunk_no, chunk)` hash-partitioned by doc_id
-    (as `plans.rag.chunks` returns it)."""
+    (as `plans.rag.chunks` returns it). With `sf_dir` the hit texts are read
+    back from the `documents` table with the hit ids pushed into the scan."""
     q = chat_queries(turns, n)
     cvec, idf = V.embed_corpus(corpus_chunks, ["doc_id", "chunk_no"], "chunk", dims, normalize=False)
     qvec = V.embed_queries(q, ["conv_id", "turn"], "query", dims, idf)
     hits = R.knn_sparse(qvec, cvec, ["conv_id", "turn"], ["doc_id", "chunk_no"], k, corpus_normalized=False)
-    from ragloom.plans.sizing import broadcast_if_small
-    hits, _ = broadcast_if_small(hits)
-    with_text = corpus_chunks.select("doc_id", "chunk_no", "chunk").join(hits, ["doc_id", "chunk_no"])
+    if sf_dir is not None:
+        from ragloom.plans.rag import attach_chunk_text
+        with_text = attach_chunk_text(spark, sf_dir, hits)
+    else:
+        from ragloom.plans.sizing import broadcast_if_small
+        hits, _ = broadcast_if_small(hits)
+        with_text = corpus_chunks.select("doc_id", "chunk_no", "chunk").join(hits, ["doc_id", "chunk_no"])
     ctx = (with_text.groupBy("conv_id", "turn")
                     .agg(F.count(F.lit(1)).alias("n_hits"),
                          F.expr("listagg(chunk, '\\n\\n') WITHIN GROUP (ORDER BY rank)").alias("context")))

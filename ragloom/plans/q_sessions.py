@@ -306,5 +306,5 @@ FROM chatq q LEFT JOIN ctx USING (conv_id, turn)
 def q_chat_prompts(spark, sf_dir):
     """E2 end to end over recorded conversations: history-enlarged question,
     top-4 chunks, stuffed context, answer-only-from-context prompt."""
-    from ragloom.plans.pipelines import chat_prompts
-    return chat_prompts(spark, _conv(spark, sf_dir), rag.chunks(spark, sf_dir))
+    from ragloom.plans.flows import chat_prompts
+    return chat_prompts(spark, _conv(spark, sf_dir), rag.chunks(spark, sf_dir), sf_dir=sf_dir)

@@ -66,11 +66,30 @@ def hits_with_text(spark: SparkSession, sf_dir: str, k: int = 4, dims: int = V.D
     The hits (k per question, size-checked) are broadcast, so the chunk text
     is read where it lies and never shuffled for this join; the chunk table is
     the same plan the search embedded (its exchange is reused)."""
-    ch, cvec, idf = corpus_vectors(spark, sf_dir, dims, weighting, normalize=False)
+    _, cvec, idf = corpus_vectors(spark, sf_dir, dims, weighting, normalize=False)
     _, qvec = question_vectors(spark, sf_dir, idf, dims)
     hits = R.knn_sparse(qvec, cvec, QUESTION_KEYS, CORPUS_KEYS, k, corpus_normalized=False)
+    return attach_chunk_text(spark, sf_dir, hits)
+
+
+MAX_PUSHED_IDS = 10_000
+
+
+def attach_chunk_text(spark: SparkSession, sf_dir: str, hits: DataFrame, size: int = C.DEFAULT_CHUNK_SIZE,
+                      overlap: int = C.DEFAULT_CHUNK_OVERLAP) -> DataFrame:
+    """Join hits `(…, doc_id, chunk_no, …)` to their chunk text.
+
+    The hit list is small (k per question, size-checked) and broadcast. Its
+    document ids (when there are at most `MAX_PUSHED_IDS`) also go into the
+    Parquet scan as an `IN` filter, so only row groups that can hold a hit are
+    read; the chunks are cut in the scanning task (no shuffle of the text)."""
     hits, _ = broadcast_if_small(hits)
-    return ch.select(*CORPUS_KEYS, "chunk").join(hits, CORPUS_KEYS)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ids = hits.select("doc_id").distinct().limit(MAX_PUSHED_IDS + 1).toPandas()["doc_id"].tolist()
+    if len(ids) <= MAX_PUSHED_IDS:
+        docs = docs.filter(F.col("doc_id").isin(ids))
+    ch = C.chunk_fixed(docs, "text", size, overlap).select(*CORPUS_KEYS, "chunk")
+    return ch.join(hits, CORPUS_KEYS)
 
 
 MAX_PATTERNS = 200_000
