@@ -25,7 +25,7 @@ RAG_TEMPLATE = (
 )
 AUGMENTED_TEMPLATE = "Using this data: {context}. Respond to this prompt: {question}"
 NO_CONTEXT = "No relevant docs"
-HISTORY_QUESTION = "Previous question {i}: {q}\n"
+HISTORY_QUESTION = "Previous question {i}: {q}\n"        # also used by the streaming twin
 HISTORY_ANSWER = "Previous answer {i}: {a}\n\n"
 HISTORY_BRIDGE = " Based on the above conversation, please answer: "
 

@@ -313,7 +313,7 @@ def ivf_index(corpus: DataFrame, c_key: str, vec_col: str = "embedding", n_cells
     Persist the assigned corpus with `partitionBy("cell")` to get cell pruning.
     """
     from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.functions import array_to_vector
 
     feats = corpus.withColumn("__f", array_to_vector(F.col(vec_col)))
     model = KMeans(k=n_cells, seed=seed, maxIter=max_iter, featuresCol="__f", predictionCol="cell").fit(feats)
@@ -322,7 +322,6 @@ def ivf_index(corpus: DataFrame, c_key: str, vec_col: str = "embedding", n_cells
     cents = spark.createDataFrame(
         [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())],
         "cell int, centroid array<double>")
-    _ = vector_to_array  # imported for callers converting ML vectors
     return assigned, cents
 
 

@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ragloom.operators import tools as H
 from ragloom.session import table
 
 # Fixture rules (ours): which event type asks for which tool, and which
@@ -125,5 +124,3 @@ def args_text(args) -> F.Column:
     entries = F.array_sort(F.map_entries(args))
     return F.array_join(F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit("null")))), ";")
 
-
-_ = H  # tool operators are used by the query modules importing this one
