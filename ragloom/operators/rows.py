@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +29,20 @@ def constant_metadata(**kv: str) -> Column:
     return F.create_map(*args)
 
 
+def _pin(tagged: DataFrame) -> DataFrame:
+    """Materialise the range-sorted, position-tagged rows once.
+
+    The range partitioner samples its boundaries when its shuffle is first
+    computed; two separate jobs over the same plan would sample again and may
+    cut partitions differently, so positions and per-partition offsets must
+    come from one computation. The kept rows are recomputed from the same
+    (already partitioned) shuffle if an executor is lost.
+    """
+    tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
+    tagged.count()
+    return tagged
+
+
 def with_ordinal(df: DataFrame, order_cols: Sequence[str], out_col: str = "ordinal") -> DataFrame:
     """0-based position of each row in `order_cols` order (ties broken by the
     remaining columns' order being undefined — pass a unique key).
@@ -35,14 +50,15 @@ def with_ordinal(df: DataFrame, order_cols: Sequence[str], out_col: str = "ordin
     Plan: `orderBy` (range exchange, sorted partitions) → `spark_partition_id`
     + `monotonically_increasing_id` (consecutive within a partition) →
     per-partition row counts → running offsets (one row per partition,
-    broadcast) → ordinal = offset + position. Two passes over the sorted
-    data, one of them reused from the shuffle; no single-task window.
+    broadcast) → ordinal = offset + position. The sorted rows are kept and
+    computed once (see `_pin`); no single-task window.
     """
     sorted_df = df.orderBy(*order_cols)
     tagged = sorted_df.withColumn("__pid", F.spark_partition_id()).withColumn(
         "__mid", F.monotonically_increasing_id())
     # within a partition, mid = (pid << 33) + position
     tagged = tagged.withColumn("__pos", F.col("__mid") - F.shiftleft(F.col("__pid").cast("long"), 33))
+    tagged = _pin(tagged)
     counts = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.withColumn(
         "__off", F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)))
@@ -50,3 +66,34 @@ def with_ordinal(df: DataFrame, order_cols: Sequence[str], out_col: str = "ordin
     out = tagged.join(F.broadcast(offsets), "__pid")
     return out.withColumn(out_col, (F.col("__off") + F.col("__pos")).cast("long")).drop(
         "__pid", "__mid", "__pos", "__off")
+
+
+def with_group_ordinal(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
+                       out_col: str = "ordinal") -> DataFrame:
+    """0-based position of each row inside its group, in `order_cols` order
+    (pass a unique tie-breaker), without gathering a group into one task.
+
+    Plan: a range sort on (group, order) — a group that holds a third of all
+    rows is cut across many range partitions — then, per (partition, group),
+    the row count and first position (one row per piece of a group), running
+    offsets over a group's pieces in partition order, and
+    ordinal = offset + (position − first position of the piece). The offset
+    table has one row per group piece; it is broadcast when small (checked),
+    joined by a shuffle otherwise.
+    """
+    from ragloom.plans.sizing import broadcast_if_small
+    group_cols, order_cols = list(group_cols), list(order_cols)
+    tagged = (df.orderBy(*group_cols, *order_cols)
+                .withColumn("__pid", F.spark_partition_id())
+                .withColumn("__mid", F.monotonically_increasing_id()))
+    tagged = tagged.withColumn("__pos", F.col("__mid") - F.shiftleft(F.col("__pid").cast("long"), 33))
+    tagged = _pin(tagged)
+    pieces = tagged.groupBy("__pid", *group_cols).agg(F.count(F.lit(1)).alias("__n"),
+                                                      F.min("__pos").alias("__first"))
+    before = Window.partitionBy(*group_cols).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = pieces.select("__pid", *group_cols, "__first",
+                            F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    offsets, _ = broadcast_if_small(offsets)
+    out = tagged.join(offsets, ["__pid", *group_cols])
+    return out.withColumn(out_col, (F.col("__off") + F.col("__pos") - F.col("__first")).cast("long")).drop(
+        "__pid", "__mid", "__pos", "__off", "__first")

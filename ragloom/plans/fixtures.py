@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ragloom.operators.rows import with_group_ordinal
 from ragloom.session import table
 
 # Fixture rules (ours): which event type asks for which tool, and which
@@ -26,6 +27,8 @@ EVENT_TOOL = {
 POINTS_MISSING_FROM_NATION = 23          # nations >= 23 have no grid point
 FORECAST_MISSING_REGION = 3              # region 3's forecast URL is dead
 ALERTS_MISSING_REGION = 0                # no alert payload for region 0
+MAX_CALLS_PER_REPLY = 16                 # a reply carries at most this many tool calls
+ALERTS_PER_PAGE = 20                     # alert payloads are served in pages
 
 
 def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,22 +47,27 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
                      args.alias("arguments"))
 
 
-def _by_time(left, right):
-    """Comparator on (ts, event_id) for arrays whose elements hold maps (not orderable)."""
-    return (F.when(left["ts"] < right["ts"], -1).when(left["ts"] > right["ts"], 1)
-             .when(left["event_id"] < right["event_id"], -1).when(left["event_id"] > right["event_id"], 1)
-             .otherwise(0))
+def _by_pos(left, right):
+    """Comparator on the in-day position, for arrays whose elements hold maps
+    (maps are not orderable, so `array_sort` needs an explicit comparator)."""
+    return F.when(left["day_pos"] < right["day_pos"], -1).when(left["day_pos"] > right["day_pos"], 1).otherwise(0)
 
 
 def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Model replies as JSON text, one per (user, day), calls in time order."""
-    c = calls(spark, sf_dir)
+    """Model replies as JSON text `(user_id, day, reply_no, reply)`: a user's
+    calls of one day in time order, at most `MAX_CALLS_PER_REPLY` per reply.
+
+    The in-day position comes from `with_group_ordinal` (a user with a third
+    of all events is spread over many tasks), and each reply groups a bounded
+    number of calls, so no group grows with the data."""
+    c = with_group_ordinal(calls(spark, sf_dir), ["user_id", "day"], ["ts", "event_id"], "day_pos")
+    c = c.withColumn("reply_no", F.floor(F.col("day_pos") / MAX_CALLS_PER_REPLY).cast("long"))
     call = F.struct(F.struct("name", "arguments").alias("function"))
-    grouped = c.groupBy("user_id", "day").agg(
-        F.array_sort(F.collect_list(F.struct("ts", "event_id", call.alias("call"))), _by_time).alias("__c"))
+    grouped = c.groupBy("user_id", "day", "reply_no").agg(
+        F.array_sort(F.collect_list(F.struct("day_pos", call.alias("call"))), _by_pos).alias("__c"))
     msg = F.struct(F.lit("assistant").alias("role"), F.lit("").alias("content"),
                    F.transform("__c", lambda x: x["call"]).alias("tool_calls"))
-    return grouped.select("user_id", "day", F.to_json(F.struct(msg.alias("message"))).alias("reply"))
+    return grouped.select("user_id", "day", "reply_no", F.to_json(F.struct(msg.alias("message"))).alias("reply"))
 
 
 def user_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,23 +78,30 @@ def user_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def alert_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Alert API responses `(n_name, day, payload JSON)` per nation and day on
-    which the nation had any event; error events are its alerts. Region 0's
-    API is unavailable (no payload row)."""
+    """Alert API responses `(n_name, day, page, payload JSON)`: a nation's
+    error events of a day are its alerts, served in pages of at most
+    `ALERTS_PER_PAGE` (event order); a nation-day with events but no alert
+    gets one empty page; region 0's API is unavailable (no payload row)."""
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
-    un = user_nation(spark, sf_dir)
-    e = ev.join(un, "user_id").filter(F.col("n_regionkey") != ALERTS_MISSING_REGION)
+    e = (ev.join(user_nation(spark, sf_dir), "user_id")
+           .filter(F.col("n_regionkey") != ALERTS_MISSING_REGION)
+           .withColumn("day", F.to_date("ts")))
+    errs = with_group_ordinal(e.filter(F.col("event_type") == "error"), ["n_name", "day"], ["event_id"], "__ord")
+    errs = errs.withColumn("page", F.floor(F.col("__ord") / ALERTS_PER_PAGE).cast("long"))
     props = F.struct(
         F.concat(F.lit("Error "), F.col("event_id").cast("string")).alias("event"),
         F.col("n_name").alias("areaDesc"),
         F.when(F.col("value") > 100, "Severe").when(F.col("value") > 20, "Moderate").alias("severity"),
         F.col("props").alias("description"),
         F.when(F.col("value") > 50, "Stay indoors").alias("instruction"))
-    feat = F.when(F.col("event_type") == "error", F.struct(F.col("event_id"), F.struct(props.alias("properties")).alias("f")))
-    grouped = e.groupBy("n_name", F.to_date("ts").alias("day")).agg(
-        F.array_sort(F.collect_list(feat)).alias("__f"))
-    payload = F.to_json(F.struct(F.transform("__f", lambda x: x["f"]).alias("features")))
-    return grouped.select("n_name", "day", payload.alias("payload"))
+    feat = F.struct(F.col("event_id"), F.struct(props.alias("properties")).alias("f"))
+    pages = errs.groupBy("n_name", "day", "page").agg(F.array_sort(F.collect_list(feat)).alias("__f"))
+    pages = pages.select("n_name", "day", "page",
+                         F.to_json(F.struct(F.transform("__f", lambda x: x["f"]).alias("features"))).alias("payload"))
+    quiet = (e.select("n_name", "day").distinct()
+              .join(errs.select("n_name", "day").distinct(), ["n_name", "day"], "left_anti")
+              .select("n_name", "day", F.lit(0).cast("long").alias("page"), F.lit('{"features":[]}').alias("payload")))
+    return pages.unionByName(quiet)
 
 
 def alert_requests(spark: SparkSession, sf_dir: str) -> DataFrame:

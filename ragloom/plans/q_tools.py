@@ -28,6 +28,7 @@ calls2 AS (
          WHEN name = 'get_deployments_from_api' THEN 'fromDate=' || coalesce(fromDate, 'null') || ';toDate=' || coalesce(toDate, 'null')
          WHEN name = 'weather_forecast' THEN 'location=City ' || user_id::VARCHAR
          ELSE 'symbol=' || upper(event_type) END AS args,
+    (pos // {X.MAX_CALLS_PER_REPLY})::BIGINT AS reply_no,
     CASE WHEN name = 'add_two_numbers' THEN (k::BIGINT + user_id)::VARCHAR
          WHEN name = 'subtract_two_numbers' THEN (k::BIGINT - user_id)::VARCHAR
          WHEN name IN ({_REGISTERED}) THEN NULL
@@ -37,7 +38,9 @@ calls2 AS (
 
 
 def _exploded(spark, sf_dir):
-    return H.explode_calls(X.replies(spark, sf_dir), ["user_id", "day"])
+    """Calls of every reply; `pos` is the call's position within its day."""
+    ex = H.explode_calls(X.replies(spark, sf_dir), ["user_id", "day", "reply_no"])
+    return ex.withColumn("pos", (F.col("reply_no") * X.MAX_CALLS_PER_REPLY + F.col("pos")).cast("int"))
 
 
 def _executed(spark, sf_dir):
@@ -69,12 +72,12 @@ def q_execute_calls(spark, sf_dir):
 
 @register("last_tool_message", f"""
 WITH {_CALLS_SQL},
-r AS (SELECT *, row_number() OVER (PARTITION BY user_id, day ORDER BY found DESC, pos DESC) AS rn FROM calls2)
-SELECT user_id, day, name AS tool_name, output AS tool_output FROM r WHERE rn = 1
+r AS (SELECT *, row_number() OVER (PARTITION BY user_id, day, reply_no ORDER BY found DESC, pos DESC) AS rn FROM calls2)
+SELECT user_id, day, reply_no, name AS tool_name, output AS tool_output FROM r WHERE rn = 1
 """)
 def q_last_tool_message(spark, sf_dir):
-    """H3: the tool message appended after the calls — the last found call's output."""
-    return H.last_tool_output(_executed(spark, sf_dir), ["user_id", "day"])
+    """H3: the tool message appended after each reply's calls — the last found call's output."""
+    return H.last_tool_output(_executed(spark, sf_dir), ["user_id", "day", "reply_no"])
 
 
 @register("tool_usage", f"""
@@ -108,21 +111,22 @@ def q_tool_specs(spark, sf_dir):
 
 @register("render_transcript", f"""
 WITH {_CALLS_SQL}
-SELECT user_id, day,
+SELECT user_id, day, reply_no,
        'I will use ' || count(*)::VARCHAR || ' tool(s).' || chr(10)
        || string_agg('[Calling tool ' || name || ' with args ' || args || ']', chr(10) ORDER BY pos) AS transcript
-FROM calls2 GROUP BY user_id, day
+FROM calls2 GROUP BY user_id, day, reply_no
 """)
 def q_render_transcript(spark, sf_dir):
     """H4: content blocks (one text block, then a tool-use block per call) rendered in order."""
     ex = _exploded(spark, sf_dir)
-    blocks = ex.groupBy("user_id", "day").agg(F.array_sort(F.collect_list(F.struct(
+    blocks = ex.groupBy("user_id", "day", "reply_no").agg(F.array_sort(F.collect_list(F.struct(
         "pos", F.lit("tool_use").alias("type"), F.lit(None).cast("string").alias("text"), "name",
         X.args_text(F.col("arguments")).alias("input_text")))).alias("__b"))
     lead = F.struct(F.lit(-1).alias("pos"), F.lit("text").alias("type"),
                     F.concat(F.lit("I will use "), F.size("__b").cast("string"), F.lit(" tool(s).")).alias("text"),
                     F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("input_text"))
-    return blocks.select("user_id", "day", H.render_blocks(F.concat(F.array(lead), F.col("__b"))).alias("transcript"))
+    return blocks.select("user_id", "day", "reply_no",
+                         H.render_blocks(F.concat(F.array(lead), F.col("__b"))).alias("transcript"))
 
 
 @register("deployments_by_call", f"""
@@ -206,24 +210,36 @@ _ALERT_BLOCK = ("chr(10) || 'Event: Error ' || event_id::VARCHAR || chr(10) || '
 
 @register("alert_summaries", f"""
 WITH un AS (SELECT c.c_custkey AS user_id, n.n_name, n.n_regionkey FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey),
-ev AS (SELECT e.*, un.n_name, un.n_regionkey FROM events e JOIN un USING (user_id)),
-req AS (SELECT DISTINCT n_name, ts::DATE AS day FROM ev WHERE event_type = 'signup'),
+ev AS (SELECT e.*, e.ts::DATE AS day, un.n_name, un.n_regionkey FROM events e JOIN un USING (user_id)),
+req AS (SELECT DISTINCT n_name, day FROM ev WHERE event_type = 'signup'),
+errs AS (
+  SELECT *, ((row_number() OVER (PARTITION BY n_name, day ORDER BY event_id) - 1) // {X.ALERTS_PER_PAGE})::BIGINT AS page
+  FROM ev WHERE event_type = 'error' AND n_regionkey <> {X.ALERTS_MISSING_REGION}
+),
+pages AS (
+  SELECT n_name, day, page, string_agg({_ALERT_BLOCK}, chr(10) || '---' || chr(10) ORDER BY event_id) AS txt
+  FROM errs GROUP BY n_name, day, page
+),
+active AS (SELECT DISTINCT n_name, day FROM ev WHERE n_regionkey <> {X.ALERTS_MISSING_REGION}),
 pay AS (
-  SELECT n_name, ts::DATE AS day, count(*) FILTER (WHERE event_type = 'error') AS n_alerts,
-         string_agg(CASE WHEN event_type = 'error' THEN {_ALERT_BLOCK} END, chr(10) || '---' || chr(10) ORDER BY event_id) AS txt
-  FROM ev WHERE n_regionkey <> {X.ALERTS_MISSING_REGION} GROUP BY 1, 2
+  SELECT n_name, day, page, txt FROM pages
+  UNION ALL
+  SELECT a.n_name, a.day, 0::BIGINT AS page, NULL AS txt FROM active a
+  WHERE NOT EXISTS (SELECT 1 FROM errs e WHERE e.n_name = a.n_name AND e.day = a.day)
 )
-SELECT req.n_name, req.day,
-       CASE WHEN pay.n_name IS NULL THEN {O.q(H.ALERTS_UNAVAILABLE)} WHEN pay.n_alerts = 0 THEN {O.q(H.ALERTS_NONE)}
+SELECT req.n_name, req.day, pay.page,
+       CASE WHEN pay.n_name IS NULL THEN {O.q(H.ALERTS_UNAVAILABLE)} WHEN pay.txt IS NULL THEN {O.q(H.ALERTS_NONE)}
             ELSE pay.txt END AS summary
 FROM req LEFT JOIN pay USING (n_name, day)
 """)
 def q_alerts(spark, sf_dir):
-    """A5 + P9 + P10 + H6 + S10: per alert request (area, day), the area's payload
+    """A5 + P9 + P10 + H6 + S10: per alert request (area, day), each payload page
     parsed, defaults filled, blocks joined — or the unavailable / none message."""
     req = X.alert_requests(spark, sf_dir)
-    pay = X.alert_payloads(spark, sf_dir).select("n_name", "day", F.from_json("payload", H.ALERTS_PAYLOAD).alias("p"))
-    return req.join(pay, ["n_name", "day"], "left").select("n_name", "day", H.summarize_alerts(F.col("p")).alias("summary"))
+    pay = X.alert_payloads(spark, sf_dir).select("n_name", "day", "page",
+                                                 F.from_json("payload", H.ALERTS_PAYLOAD).alias("p"))
+    return req.join(pay, ["n_name", "day"], "left").select("n_name", "day", "page",
+                                                           H.summarize_alerts(F.col("p")).alias("summary"))
 
 
 @register("weather_urls", f"""

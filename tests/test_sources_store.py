@@ -160,3 +160,31 @@ def test_embed_directory_flow(spark, tmpdir_path):
     assert fresh["store"] != store and fresh["added"] == first["chunks"]
     row = spark.read.parquet(store).filter(F.col("doc_id").endswith("a.txt")).orderBy("chunk_no").first()
     assert row["metadata"]["source"].endswith("a.txt") and len(row["dims"]) == len(row["tfs"]) > 0
+
+
+def test_group_ordinal_matches_row_number(spark):
+    from pyspark.sql import Window
+    # one hot group with most rows plus many small ones
+    df = spark.range(0, 6000).select((F.when(F.col("id") < 4000, F.lit(0)).otherwise(F.col("id") % 37)).alias("g"),
+                                     (F.col("id") * 7919 % 6001).alias("o")).repartition(5)
+    got = W.with_group_ordinal(df, ["g"], ["o"]).select("g", "o", "ordinal")
+    want = df.select("g", "o", (F.row_number().over(Window.partitionBy("g").orderBy("o")) - 1).cast("long").alias("ordinal"))
+    assert got.count() == 6000
+    assert got.exceptAll(want).count() == 0
+
+
+def test_ordinals_at_scale_many_partitions(spark):
+    """Large enough that the range sort samples and cuts many partitions: the
+    offsets must come from the same partitioning as the positions."""
+    from pyspark.sql import Window
+    n = 300_000
+    df = spark.range(0, n, numPartitions=16).select(
+        (F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 101)).alias("g"),
+        ((F.col("id") * 2654435761) % 1000003).alias("o"), F.col("id").alias("u"))
+    got = W.with_group_ordinal(df, ["g"], ["o", "u"]).select("g", "u", "ordinal")
+    want = df.select("g", "u", (F.row_number().over(Window.partitionBy("g").orderBy("o", "u")) - 1)
+                     .cast("long").alias("ordinal"))
+    assert got.count() == n and got.exceptAll(want).count() == 0
+    glob = W.with_ordinal(df, ["o", "u"]).select("u", "ordinal")
+    want_g = df.select("u", (F.row_number().over(Window.orderBy("o", "u")) - 1).cast("long").alias("ordinal"))
+    assert glob.count() == n and glob.exceptAll(want_g).count() == 0
