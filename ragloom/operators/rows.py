@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,17 +29,17 @@ def constant_metadata(**kv: str) -> Column:
 
 
 def _pin(tagged: DataFrame) -> DataFrame:
-    """Materialise the range-sorted, position-tagged rows once.
+    """Materialise the range-sorted, position-tagged rows once, reliably.
 
-    The range partitioner samples its boundaries when its shuffle is first
-    computed; two separate jobs over the same plan would sample again and may
-    cut partitions differently, so positions and per-partition offsets must
-    come from one computation. The kept rows are recomputed from the same
-    (already partitioned) shuffle if an executor is lost.
+    The range partitioner samples its boundaries when its shuffle is built;
+    two separate jobs over the same plan may cut partitions differently, so
+    positions and per-partition offsets must come from one computation. A
+    reliable checkpoint (the shared `spark.checkpoint.dir`) fixes that
+    computation on storage: lost executors cannot change it.
     """
-    tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
-    tagged.count()
-    return tagged
+    from ragloom.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(tagged.sparkSession)
+    return tagged.checkpoint(eager=True)
 
 
 def with_ordinal(df: DataFrame, order_cols: Sequence[str], out_col: str = "ordinal") -> DataFrame:
