@@ -177,3 +177,55 @@ def split_long_conversations(ex: DataFrame, block: int, overlap: int, conv: str
     spill = (ex.withColumn("blk", blk + 1).withColumn("__own", F.lit(False))
                .filter(pos_in_blk.cast("long") >= block - overlap))
     return own.unionByName(spill)
+
+
+# ---------------------------------------------------------------------------
+# Balanced forms: no window partitioned by the conversation alone
+# ---------------------------------------------------------------------------
+
+def exchanges_balanced(turns: DataFrame, conv: str = "conv_id", order: str = "turn", words=EXIT_WORDS) -> DataFrame:
+    """P2 + P3 + W4 + W5 with every shuffle keyed by (conversation, position),
+    so a conversation holding a third of all turns is spread over all tasks.
+
+    * positions inside a conversation: `with_group_ordinal` (range sort);
+    * the session end (P3): per-conversation minimum exit turn — a map-side
+      combined aggregate — joined back (AQE splits a skewed join partition);
+    * the next turn (W4): equality join on (conversation, position + 1);
+    * the exchange number (W5): `with_group_ordinal` over the user turns.
+    Same rows as `pair_exchanges(truncate_at_exit(skip_blank_turns(...)))`.
+    """
+    from ragloom.operators.rows import with_group_ordinal
+    t = skip_blank_turns(turns).select(conv, order, "role", "text")
+    exit_turn = (t.filter((F.col("role") == "user") & is_exit("text", words))
+                  .groupBy(conv).agg(F.min(order).alias("__exit")))
+    t = (t.join(exit_turn, conv, "left")
+          .filter(F.col("__exit").isNull() | (F.col(order) < F.col("__exit"))).drop("__exit"))
+    t = with_group_ordinal(t, [conv], [order], "__o")
+    nxt = t.select(conv, (F.col("__o") - 1).alias("__o"), F.col("role").alias("__nrole"),
+                   F.col("text").alias("__ntext"))
+    users = t.filter(F.col("role") == "user").join(nxt, [conv, "__o"], "left")
+    ex = users.select(conv, order, F.col("text").alias("q"),
+                      F.when(F.col("__nrole") == "assistant", F.col("__ntext")).alias("a"))
+    ex = with_group_ordinal(ex, [conv], [order], "__e")
+    return ex.withColumn("ex_no", (F.col("__e") + 1).cast("int")).drop("__e")
+
+
+def last_n_exchanges_balanced(ex: DataFrame, n: int = DEFAULT_HISTORY, conv: str = "conv_id",
+                              out_col: str = "history") -> DataFrame:
+    """W1 without a conversation window: each exchange asks for the exchange
+    numbers `ex_no - n .. ex_no - 1` (n rows, exploded), an equality join on
+    (conversation, exchange number) fetches them, and a group of at most n
+    items per exchange is collected in order. Same result as
+    `last_n_exchanges`."""
+    if n <= 0:
+        return ex.withColumn(out_col, F.array().cast(T.ArrayType(EXCHANGE)))
+    want = ex.select(conv, "ex_no", F.explode(F.sequence(F.lit(1), F.lit(n))).alias("__back"))
+    prev = ex.filter(F.col("a").isNotNull()).select(conv, F.col("ex_no").alias("__pno"), "q", "a")
+    got = (want.withColumn("__pno", F.col("ex_no") - F.col("__back"))
+               .join(prev, [conv, "__pno"])
+               .groupBy(conv, "ex_no")
+               .agg(F.array_sort(F.collect_list(F.struct("__pno", "q", "a"))).alias("__h")))
+    hist = got.select(conv, "ex_no", F.transform("__h", lambda x: F.struct(x["q"].alias("q"), x["a"].alias("a")))
+                      .alias(out_col))
+    out = ex.join(hist, [conv, "ex_no"], "left")
+    return out.withColumn(out_col, F.coalesce(F.col(out_col), F.array().cast(T.ArrayType(EXCHANGE))))

@@ -308,3 +308,15 @@ def q_chat_prompts(spark, sf_dir):
     top-4 chunks, stuffed context, answer-only-from-context prompt."""
     from ragloom.plans.flows import chat_prompts
     return chat_prompts(spark, _conv(spark, sf_dir), rag.chunks(spark, sf_dir), sf_dir=sf_dir)
+
+
+@register("history_last3_balanced", f"""
+WITH {_EX_SQL},
+h AS (SELECT conv_id, turn, {_HIST.format(lo=3, hi='1 PRECEDING')} AS h FROM ex)
+SELECT conv_id, turn, coalesce(len(h), 0)::INTEGER AS n_hist, {_render_sql('h')} AS history_text FROM h
+""")
+def q_history_last3_balanced(spark, sf_dir):
+    """P2 + P3 + W4 + W5 + W1 with every shuffle keyed by (conversation,
+    position): no task holds a whole conversation. Same result as `history_last3`."""
+    ex = S.last_n_exchanges_balanced(S.exchanges_balanced(_conv(spark, sf_dir)), 3)
+    return ex.select("conv_id", "turn", F.size("history").alias("n_hist"), _render("history").alias("history_text"))

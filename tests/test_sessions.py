@@ -113,3 +113,33 @@ def test_prompts(spark):
     hits = spark.createDataFrame([(1, 2, "second"), (1, 1, "first")], "id long, rank int, t string")
     ctx = {r["id"]: r["context"] for r in G.stuff_context(q, hits, "id", "t").collect()}
     assert ctx == {1: "first\n\nsecond", 2: "No relevant docs"}
+
+
+def _windowed(df, n=3):
+    ex = S.pair_exchanges(S.truncate_at_exit(S.skip_blank_turns(df)))
+    return S.last_n_exchanges(ex, n).select("conv_id", "turn", "ex_no", "q", "a", "history")
+
+
+def _balanced(df, n=3):
+    return S.last_n_exchanges_balanced(S.exchanges_balanced(df), n).select(
+        "conv_id", "turn", "ex_no", "q", "a", "history")
+
+
+def test_balanced_equals_windowed_literals(spark):
+    rows = [(1, 0, "system", "s"), (1, 1, "user", "q1"), (1, 2, "assistant", "a1"), (1, 3, "user", "  "),
+            (1, 4, "user", "q2"), (1, 5, "user", "q3"), (1, 6, "assistant", "a3"), (1, 7, "user", "QUIT"),
+            (1, 8, "user", "after"), (2, 0, "user", "only"), (3, 5, "user", "x"), (3, 9, "assistant", "y")]
+    df = spark.createDataFrame(rows, CONV)
+    w, b = _windowed(df), _balanced(df)
+    assert w.count() == b.count() == 5
+    assert w.exceptAll(b).count() == 0
+
+
+def test_balanced_equals_windowed_hot_conversation(spark):
+    # one conversation with 3,000 turns next to many short ones
+    rows = [(0, t, "user" if t % 2 == 0 else "assistant", f"m{t}") for t in range(3000)]
+    rows += [(c, t, "user" if t % 2 == 0 else "assistant", f"c{c}t{t}") for c in range(1, 200) for t in range(4)]
+    df = spark.createDataFrame(rows, CONV).repartition(7)
+    w, b = _windowed(df), _balanced(df)
+    assert w.count() == b.count() == 1500 + 199 * 2
+    assert w.exceptAll(b).count() == 0
