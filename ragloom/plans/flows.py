@@ -57,10 +57,26 @@ def embed_directory(spark: SparkSession, root: str, store_path: str, extractors:
             "added": added, "store": path}
 
 
-def chat_queries(turns: DataFrame, n: int = S.DEFAULT_HISTORY) -> DataFrame:
+# Longest conversation (in turns) still handled by conversation windows; above
+# it the balanced form (no conversation-wide window) is used.
+MAX_WINDOW_GROUP = 1_000_000
+
+
+def exchanges_with_history(turns: DataFrame, n: int = S.DEFAULT_HISTORY,
+                           max_window_group: int = MAX_WINDOW_GROUP) -> DataFrame:
+    """W4 + W1 over recorded turns, choosing the plan by a size check: the
+    longest conversation is measured (one map-side combined aggregate); if it
+    exceeds `max_window_group` turns, the balanced form is used."""
+    longest = turns.groupBy("conv_id").count().agg(F.max("count")).first()[0] or 0
+    if longest > max_window_group:
+        return S.last_n_exchanges_balanced(S.exchanges_balanced(turns), n)
+    return S.last_n_exchanges(S.pair_exchanges(S.truncate_at_exit(S.skip_blank_turns(turns))), n)
+
+
+def chat_queries(turns: DataFrame, n: int = S.DEFAULT_HISTORY, max_window_group: int = MAX_WINDOW_GROUP) -> DataFrame:
     """Per user question: `(conv_id, turn, question, query)` where `query` is the
     history-enlarged text that gets embedded and searched."""
-    ex = S.last_n_exchanges(S.pair_exchanges(S.truncate_at_exit(S.skip_blank_turns(turns))), n)
+    ex = exchanges_with_history(turns, n, max_window_group)
     return ex.select("conv_id", "turn", F.col("q").alias("question"), G.history_query("history", "q").alias("query"))
 
 
@@ -71,7 +87,7 @@ def chat_prompts(spark: SparkSession, turns: DataFrame, corpus_chunks: DataFrame
     `corpus_chunks` has `(doc_id, chunk_no, chunk)` hash-partitioned by doc_id
     (as `plans.rag.chunks` returns it). With `sf_dir` the hit texts are read
     back from the `documents` table with the hit ids pushed into the scan."""
-    q = chat_queries(turns, n)
+    q = chat_queries(turns, n).drop("question")
     cvec, idf = V.embed_corpus(corpus_chunks, ["doc_id", "chunk_no"], "chunk", dims, normalize=False)
     qvec = V.embed_queries(q, ["conv_id", "turn"], "query", dims, idf)
     hits = R.knn_sparse(qvec, cvec, ["conv_id", "turn"], ["doc_id", "chunk_no"], k, corpus_normalized=False)

@@ -274,8 +274,8 @@ chatq AS (
 
 
 def chat_queries(spark, sf_dir):
-    ex = S.last_n_exchanges(_exchanges(spark, sf_dir), 3)
-    return ex.select("conv_id", "turn", G.history_query("history", "q").alias("query"))
+    from ragloom.plans.flows import chat_queries as flow_queries
+    return flow_queries(_conv(spark, sf_dir), 3).select("conv_id", "turn", "query")
 
 
 @register("chat_retrieval", f"""

@@ -143,3 +143,12 @@ def test_balanced_equals_windowed_hot_conversation(spark):
     w, b = _windowed(df), _balanced(df)
     assert w.count() == b.count() == 1500 + 199 * 2
     assert w.exceptAll(b).count() == 0
+
+
+def test_flow_switches_to_balanced_for_long_conversations(spark):
+    from ragloom.plans.flows import chat_queries
+    rows = [(1, t, "user" if t % 2 == 0 else "assistant", f"m{t}") for t in range(40)]
+    df = spark.createDataFrame(rows, CONV)
+    a = chat_queries(df, 3)                            # windows
+    b = chat_queries(df, 3, max_window_group=10)       # balanced
+    assert a.count() == 20 and a.exceptAll(b).count() == 0
