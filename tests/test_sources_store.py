@@ -25,7 +25,7 @@ def _tree(root):
     with open(f"{root}/sub/deeper/doc.adoc", "w") as f:
         f.write("= Doc Title\n:author: me\n\n== Section\n\nText with *strong* words.\n----\ncode\n----\n")
     with open(f"{root}/sub/data.csv", "w") as f:
-        f.write('name,age\n"Ollama",22\n"Alonso, Jr",23\n')
+        f.write('name,age\n"Olga",22\n"Alonso, Jr",23\n')
     with open(f"{root}/sub/deeper/x.pdf", "wb") as f:
         f.write(b"%PDF fake page one\x0cpage two")
     with open(f"{root}/broken.pdf", "wb") as f:
@@ -50,7 +50,7 @@ def test_load_directory_routes_and_quarantines(spark, tmpdir_path):
     assert names == ["B.TXT", "a.txt", "data.csv", "data.csv", "doc.adoc", "notes.md", "x.pdf", "x.pdf"]
     by = {os.path.basename(r["source"]) + str(r["page"]): r["text"] for r in d}
     assert by["a.txt0"] == ARTICLE
-    assert by["data.csv0"] == "name: Ollama\nage: 22" and by["data.csv1"] == "name: Alonso, Jr\nage: 23"
+    assert by["data.csv0"] == "name: Olga\nage: 22" and by["data.csv1"] == "name: Alonso, Jr\nage: 23"
     assert "Title" in by["notes.md0"] and "**" not in by["notes.md0"] and "a link" in by["notes.md0"]
     assert "Doc Title" in by["doc.adoc0"] and ":author:" not in by["doc.adoc0"] and "*" not in by["doc.adoc0"]
     assert by["x.pdf0"] == "fake page one" and by["x.pdf1"] == "page two"
