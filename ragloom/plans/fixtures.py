@@ -139,3 +139,12 @@ def args_text(args) -> F.Column:
     entries = F.array_sort(F.map_entries(args))
     return F.array_join(F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit("null")))), ";")
 
+
+
+def args_repr(args) -> F.Column:
+    """Map arguments rendered the way a Python dict of strings prints:
+    `{'a': '1', 'b': '2'}` in the map's own key order, null as `None`."""
+    def item(e):
+        v = F.when(e["value"].isNull(), F.lit("None")).otherwise(F.concat(F.lit("'"), e["value"], F.lit("'")))
+        return F.concat(F.lit("'"), e["key"], F.lit("': "), v)
+    return F.concat(F.lit("{"), F.array_join(F.transform(F.map_entries(args), item), ", "), F.lit("}"))

@@ -28,6 +28,11 @@ calls2 AS (
          WHEN name = 'get_deployments_from_api' THEN 'fromDate=' || coalesce(fromDate, 'null') || ';toDate=' || coalesce(toDate, 'null')
          WHEN name = 'weather_forecast' THEN 'location=City ' || user_id::VARCHAR
          ELSE 'symbol=' || upper(event_type) END AS args,
+    CASE WHEN name IN ('add_two_numbers', 'subtract_two_numbers') THEN '{{''a'': ''' || k || ''', ''b'': ''' || user_id::VARCHAR || '''}}'
+         WHEN name = 'get_deployments_from_api' THEN '{{''fromDate'': ' || coalesce('''' || fromDate || '''', 'None')
+              || ', ''toDate'': ' || coalesce('''' || toDate || '''', 'None') || '}}'
+         WHEN name = 'weather_forecast' THEN '{{''location'': ''City ' || user_id::VARCHAR || '''}}'
+         ELSE '{{''symbol'': ''' || upper(event_type) || '''}}' END AS args_repr,
     (pos // {X.MAX_CALLS_PER_REPLY})::BIGINT AS reply_no,
     CASE WHEN name = 'add_two_numbers' THEN (k::BIGINT + user_id)::VARCHAR
          WHEN name = 'subtract_two_numbers' THEN (k::BIGINT - user_id)::VARCHAR
@@ -113,7 +118,7 @@ def q_tool_specs(spark, sf_dir):
 WITH {_CALLS_SQL}
 SELECT user_id, day, reply_no,
        'I will use ' || count(*)::VARCHAR || ' tool(s).' || chr(10)
-       || string_agg('[Calling tool ' || name || ' with args ' || args || ']', chr(10) ORDER BY pos) AS transcript
+       || string_agg('[Calling tool ' || name || ' with args ' || args_repr || ']', chr(10) ORDER BY pos) AS transcript
 FROM calls2 GROUP BY user_id, day, reply_no
 """)
 def q_render_transcript(spark, sf_dir):
@@ -121,7 +126,7 @@ def q_render_transcript(spark, sf_dir):
     ex = _exploded(spark, sf_dir)
     blocks = ex.groupBy("user_id", "day", "reply_no").agg(F.array_sort(F.collect_list(F.struct(
         "pos", F.lit("tool_use").alias("type"), F.lit(None).cast("string").alias("text"), "name",
-        X.args_text(F.col("arguments")).alias("input_text")))).alias("__b"))
+        X.args_repr(F.col("arguments")).alias("input_text")))).alias("__b"))
     lead = F.struct(F.lit(-1).alias("pos"), F.lit("text").alias("type"),
                     F.concat(F.lit("I will use "), F.size("__b").cast("string"), F.lit(" tool(s).")).alias("text"),
                     F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("input_text"))
