@@ -261,9 +261,17 @@ def q_weather_urls(spark, sf_dir):
     return ex.select("user_id", "day", "pos", H.weather_url(F.col("arguments")["location"]).alias("url"))
 
 
-@register("pretty_payloads")
+_PRETTY_SQL = """SELECT event_id,
+       CASE WHEN json_extract(props, '$.k') IS NULL THEN '{ }'
+            ELSE '{' || chr(10) || '  "k" : ' || json_extract(props, '$.k')::BIGINT::VARCHAR || chr(10) || '}' END AS pretty
+FROM events
+"""
+
+
+@register("pretty_payloads", _PRETTY_SQL)
 def q_pretty_payloads(spark, sf_dir):
-    """parse the event property JSON and pretty-print it."""
+    """parse the event property JSON (schema `k long`) and pretty-print it
+    (two-space indent, `"key" : value`, as the JSON writer lays it out)."""
     ev = table(spark, sf_dir, "events").select("event_id", "props")
     parsed = F.from_json("props", "k long")
     return ev.select("event_id", F.to_json(parsed, {"pretty": "true"}).alias("pretty"))
