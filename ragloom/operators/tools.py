@@ -11,6 +11,7 @@ calls are not made: their data is read as tables and joined.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -248,3 +249,42 @@ def weather_url(location: Column | str) -> Column:
     loc = F.col(location) if isinstance(location, str) else location
     head, tail = WEATHER_URL.split("{location}")
     return F.concat(F.lit(head), F.url_encode(loc), F.lit(tail))
+
+
+def register_tools(spark, specs: list[tuple[str, str, str]]) -> DataFrame:
+    """K3: a registry DataFrame `(name, description, parameters)` extended with
+    user tool specs (parameters as JSON-schema text)."""
+    return registry(spark).unionByName(
+        spark.createDataFrame(specs, "name string, description string, parameters string"))
+
+
+def run_user_tools(calls: DataFrame, handlers: dict, name_col: str = "name", args_col: str = "arguments",
+                   out_col: str = "output") -> DataFrame:
+    """H2 for user tools: `handlers` maps a tool name to a Python function taking
+    the call's arguments as keyword strings and returning a value (rendered
+    with `str`). One Arrow-batched pandas UDF dispatches per row by name; rows
+    of other tools keep their existing output (or null). A handler that raises
+    yields `Error: <message>` for that call, as the reference prints and
+    continues."""
+    names = sorted(handlers)
+
+    @F.pandas_udf(T.StringType())
+    def _run(name: pd.Series, args: pd.Series) -> pd.Series:
+        out = []
+        for n, a in zip(name, args):
+            fn = handlers.get(n)
+            if fn is None:
+                out.append(None)
+                continue
+            kwargs = dict(a) if a is not None else {}
+            try:
+                out.append(str(fn(**kwargs)))
+            except Exception as e:  # noqa: BLE001
+                out.append(f"Error: {e}")
+        return pd.Series(out, dtype=object)
+
+    mine = F.col(name_col).isin(names)
+    result = F.when(mine, _run(F.col(name_col), F.col(args_col)))
+    if out_col in calls.columns:
+        result = F.when(mine, result).otherwise(F.col(out_col))
+    return calls.withColumn(out_col, result)

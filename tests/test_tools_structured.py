@@ -121,3 +121,19 @@ def test_json_schema():
 def test_weather_url(spark):
     df = spark.createDataFrame([("New York",)], "l string")
     assert df.select(H.weather_url("l")).first()[0] == "https://wttr.in/New+York?format=%C+%t"
+
+
+def test_user_tools(spark):
+    specs = [("multiply_two_numbers", "Multiply two numbers",
+              '{"type": "object", "required": ["a", "b"], "properties": {"a": {"type": "integer"}}}')]
+    reg = H.register_tools(spark, specs)
+    calls = spark.createDataFrame([("multiply_two_numbers", {"a": "6", "b": "7"}),
+                                   ("multiply_two_numbers", {"a": "x", "b": "7"}),
+                                   ("add_two_numbers", {"a": "1", "b": "2"})],
+                                  "name string, arguments map<string,string>")
+    d = H.dispatch(calls, reg).withColumn("output", H.builtin_output(F.col("name"), F.col("arguments")))
+    out = H.run_user_tools(d, {"multiply_two_numbers": lambda a, b: int(a) * int(b)})
+    got = [(r["name"], r["found"], r["output"]) for r in out.orderBy("name", "output").collect()]
+    assert got[0] == ("add_two_numbers", True, "3")
+    assert ("multiply_two_numbers", True, "42") in got
+    assert any(o is not None and o.startswith("Error:") for _, _, o in got)
