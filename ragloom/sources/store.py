@@ -77,13 +77,26 @@ def insert_absent(spark: SparkSession, df: DataFrame, path: str, id_col: str = "
     return spark.read.parquet(tmp)
 
 
-def overwrite(spark: SparkSession, df: DataFrame, path: str) -> str:
-    """Replace the collection (`--clear`): write a new version next to
-    the old one and return its path; readers switch to it when it is
-    complete. Old versions are left for the caller to expire."""
-    new_path = f"{path.rstrip('/')}_v{uuid.uuid4().hex[:12]}"
+def overwrite(spark: SparkSession, df: DataFrame, path: str, swap: bool = True) -> str:
+    """Replace the collection (`--clear`). The new version is written
+    completely next to the old one first; with `swap` the live path is then
+    renamed aside (kept as `<path>_old_<id>` for the caller to expire) and the
+    new version renamed into place, so readers keep using `path`. Returns the
+    path holding the new version."""
+    tag = uuid.uuid4().hex[:12]
+    new_path = f"{path.rstrip('/')}_v{tag}"
     df.write.mode("overwrite").parquet(new_path)
-    return new_path
+    if not swap:
+        return new_path
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    live = jvm.org.apache.hadoop.fs.Path(path)
+    fs = live.getFileSystem(conf)
+    if fs.exists(live):
+        fs.rename(live, jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}_old_{tag}"))
+    if not fs.rename(jvm.org.apache.hadoop.fs.Path(new_path), live):
+        raise OSError(f"could not move {new_path} to {path}")
+    return path
 
 
 def batched_write(df: DataFrame, path: str, order_col: str, batch: int = DEFAULT_BATCH,

@@ -91,8 +91,10 @@ def test_store_lifecycle(spark, tmpdir_path):
     ST.append(batch.drop("id"), path)
     ST.append(batch.drop("id"), path)
     assert spark.read.parquet(path).count() == 3 + 4
-    new_path = ST.overwrite(spark, batch, path)
-    assert spark.read.parquet(new_path).count() == 2
+    new_path = ST.overwrite(spark, batch, path, swap=False)
+    assert new_path != path and spark.read.parquet(new_path).count() == 2
+    assert ST.overwrite(spark, batch, path) == path          # swapped in place
+    assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == ["a_0", "a_1"]
 
 
 def test_batched_write(spark, tmpdir_path):
@@ -157,7 +159,8 @@ def test_embed_directory_flow(spark, tmpdir_path):
     again = embed_directory(spark, root, store, {".pdf": toy_pdf}, size=40, overlap=10)
     assert again["added"] == 0                                   # S13: nothing twice
     fresh = embed_directory(spark, root, store, {".pdf": toy_pdf}, size=40, overlap=10, clear=True)
-    assert fresh["store"] != store and fresh["added"] == first["chunks"]
+    assert fresh["store"] == store and fresh["added"] == first["chunks"]
+    assert spark.read.parquet(store).count() == first["chunks"]
     row = spark.read.parquet(store).filter(F.col("doc_id").endswith("a.txt")).orderBy("chunk_no").first()
     assert row["metadata"]["source"].endswith("a.txt") and len(row["dims"]) == len(row["tfs"]) > 0
 
