@@ -162,7 +162,7 @@ SELECT d.doc_id,
   'lang=' || d.lang || ';n_chars=' || d.n_chars::VARCHAR
   || CASE WHEN l.quality IS NOT NULL THEN ';quality=' || l.quality::VARCHAR ELSE '' END
   || ';source=' || d.source
-  || CASE WHEN d.n_chars > 1000 THEN ';tags=["' || d.lang || '"]' ELSE '' END AS kept
+  || CASE WHEN d.n_chars > 1000 THEN ';tags=[''' || d.lang || ''']' ELSE '' END AS kept
 FROM documents d LEFT JOIN labels l USING (doc_id)
 """)
 def q_sanitize(spark, sf_dir):

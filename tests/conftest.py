@@ -30,3 +30,9 @@ def spark():
 @pytest.fixture()
 def tmpdir_path():
     return tempfile.mkdtemp(prefix="ragloom-test-")
+
+
+@pytest.fixture(scope="session")
+def spark_session_for_hypothesis(spark):
+    """The session fixture under a name hypothesis-decorated tests can use."""
+    return spark

@@ -3,6 +3,8 @@
 import os
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from ragloom.operators import metadata as M
@@ -121,7 +123,7 @@ def test_sanitize_metadata(spark):
             '"l": ["a", 2], "e": []}')
     df = spark.createDataFrame([(meta,), ("[1,2]",)], "m string")
     out = df.select(M.sanitize_metadata(F.parse_json("m")).alias("k")).collect()
-    assert out[0]["k"] == {"s": "{not json}", "i": "3", "f": "1.5", "b": "true", "l": '["a",2]'}
+    assert out[0]["k"] == {"s": "{not json}", "i": "3", "f": "1.5", "b": "true", "l": "['a', 2]"}
     assert out[1]["k"] == {}
 
 
@@ -191,3 +193,15 @@ def test_ordinals_at_scale_many_partitions(spark):
     glob = W.with_ordinal(df, ["o", "u"]).select("u", "ordinal")
     want_g = df.select("u", (F.row_number().over(Window.orderBy("o", "u")) - 1).cast("long").alias("ordinal"))
     assert glob.count() == n and glob.exceptAll(want_g).count() == 0
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.booleans(), st.integers(-10**6, 10**6),
+                          st.floats(min_value=-1e6, max_value=1e6, allow_nan=False).map(lambda x: round(x, 3) + 0.0),
+                          st.text(alphabet=st.sampled_from(list("ab '\"\\\n\t")), max_size=6)),
+                min_size=1, max_size=5))
+def test_list_text_matches_python_str(spark_session_for_hypothesis, items):
+    import json
+    df = spark_session_for_hypothesis.createDataFrame([(json.dumps({"l": items}),)], "m string")
+    got = df.select(M.sanitize_metadata(F.parse_json("m"))["l"]).first()[0]
+    assert got == str(items)
