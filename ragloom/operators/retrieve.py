@@ -315,8 +315,11 @@ def ivf_index(corpus: DataFrame, c_key: str, vec_col: str = "embedding", n_cells
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    feats = corpus.withColumn("__f", array_to_vector(F.col(vec_col)))
+    # KMeans passes over its input once per iteration: keep the features for
+    # the fit (memory and disk), release them afterwards
+    feats = corpus.withColumn("__f", array_to_vector(F.col(vec_col))).persist(StorageLevel.MEMORY_AND_DISK)
     model = KMeans(k=n_cells, seed=seed, maxIter=max_iter, featuresCol="__f", predictionCol="cell").fit(feats)
+    feats.unpersist()
     assigned = model.transform(feats).drop("__f").withColumn("cell", F.col("cell").cast("int"))
     spark = corpus.sparkSession
     cents = spark.createDataFrame(

@@ -95,14 +95,15 @@ def attach_chunk_text(spark: SparkSession, sf_dir: str, hits: DataFrame, size: i
 MAX_PATTERNS = 200_000
 
 
-def _contains_fn(patterns: list[tuple[int, str]]):
+def _contains_fn(bc):
     """Partition function: (doc_id, text) → (item_id, doc_id) for every
-    pattern that occurs in the text (Aho-Corasick: one linear pass per text)."""
+    pattern that occurs in the text (Aho-Corasick: one linear pass per text).
+    `bc` broadcasts the `(item_id, passage)` list once per executor."""
     def run(batches):
         import ahocorasick
         auto = ahocorasick.Automaton()
         by_text: dict[str, list[int]] = {}
-        for item, text in patterns:
+        for item, text in bc.value:
             by_text.setdefault(text, []).append(item)
         for text, items in by_text.items():
             auto.add_word(text, items)
@@ -136,7 +137,8 @@ def gold_pairs(spark: SparkSession, sf_dir: str, shingle: int = 3, method: str =
         if len(pats) <= MAX_PATTERNS:
             patterns = [(int(i), t) for i, t in zip(pats["item_id"], pats["text"]) if t]
             docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-            return docs.mapInPandas(_contains_fn(patterns), "item_id long, doc_id long")
+            bc = spark.sparkContext.broadcast(patterns)
+            return docs.mapInPandas(_contains_fn(bc), "item_id long, doc_id long")
     return _gold_pairs_shingle(spark, sf_dir, shingle)
 
 
