@@ -184,3 +184,26 @@ def q_chunk_recursive(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     ch = C.chunk_recursive(docs, "text")
     return ch.select("doc_id", "chunk_no", "chunk_start", F.length("chunk").alias("chunk_len"))
+
+
+@register("csv_roundtrip", f"""
+SELECT source, count(*) AS n_docs,
+       sum(length('doc_id: ' || doc_id::VARCHAR || chr(10) || 'lang: ' || lang || chr(10) || 'text: '
+                  || regexp_replace(text, '{S.STRIP_PATTERN}', '', 'g')))::BIGINT AS n_chars
+FROM documents GROUP BY source
+""")
+def q_csv_roundtrip(spark, sf_dir):
+    """S2 + S6 over files Spark derives from `documents`: the table is written
+    as CSV files (one folder per source, RFC 4180 quoting) under the
+    checkpoint folder, walked recursively, and read back one document per
+    row (`column: value` lines, values stripped) — counts and characters per
+    source folder."""
+    from ragloom.sources import files as FS
+    from ragloom.streaming.retrieve import scratch_path
+    root = scratch_path(spark, "csv-docs")
+    (table(spark, sf_dir, "documents").select("doc_id", "lang", "text", "source")
+        .write.option("header", "true").option("escape", '"').partitionBy("source").csv(root))
+    docs = FS.scan_csv_docs(spark, root).filter(F.col("error").isNull())
+    src = F.regexp_extract("source", r"source=([^/]+)/", 1)
+    return docs.groupBy(src.alias("source")).agg(F.count(F.lit(1)).alias("n_docs"),
+                                                 F.sum(F.length("text")).cast("long").alias("n_chars"))
