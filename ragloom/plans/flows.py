@@ -27,13 +27,12 @@ from ragloom.sources import files as FS
 from ragloom.sources import store as ST
 
 
-def embed_directory(spark: SparkSession, root: str, store_path: str, extractors: dict[str, Callable] | None = None,
-                    size: int = C.DEFAULT_CHUNK_SIZE, overlap: int = C.DEFAULT_CHUNK_OVERLAP,
-                    dims: int = V.DEFAULT_DIMS, clear: bool = False) -> dict:
-    """E1. Returns counts (documents, rejects, chunks, added) and the store path
-    in use (a new version when `clear`)."""
-    docs, rejects = FS.load_directory(spark, root, extractors)
-    docs = docs.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "source")
+def document_rows(docs: DataFrame, size: int = C.DEFAULT_CHUNK_SIZE, overlap: int = C.DEFAULT_CHUNK_OVERLAP,
+                  dims: int = V.DEFAULT_DIMS) -> DataFrame:
+    """Documents `(source, page, text)` → collection rows: recursive chunks
+    (C2), sanitised metadata (P4), hashed term counts as aligned arrays, and
+    deterministic ids `{source}_{page * 100000 + chunk}`. Used by the batch
+    flow (E1) and, per micro-batch, by the streaming ingest (S16)."""
     chunks = C.chunk_recursive(docs, "text", size, overlap)
     meta = M.sanitize_metadata(F.parse_json(F.to_json(F.struct(F.col("source"), F.col("page")))))
     chunks = chunks.select(F.col("source").alias("doc_id"), "page",
@@ -44,16 +43,26 @@ def embed_directory(spark: SparkSession, root: str, store_path: str, extractors:
                 .agg(F.array_sort(F.collect_list(F.struct("dim", "tf"))).alias("__p"))
                 .select("doc_id", "chunk_no", F.transform("__p", lambda x: x["dim"]).alias("dims"),
                         F.transform("__p", lambda x: x["tf"]).alias("tfs")))
-    rows = (chunks.join(arrays, ["doc_id", "chunk_no"])
+    return (chunks.join(arrays, ["doc_id", "chunk_no"])
                   .select(F.concat_ws("_", "doc_id", F.col("chunk_no").cast("string")).alias("id"),
                           "doc_id", "chunk_no", F.col("chunk").alias("document"), "metadata", "dims", "tfs"))
+
+
+def embed_directory(spark: SparkSession, root: str, store_path: str, extractors: dict[str, Callable] | None = None,
+                    size: int = C.DEFAULT_CHUNK_SIZE, overlap: int = C.DEFAULT_CHUNK_OVERLAP,
+                    dims: int = V.DEFAULT_DIMS, clear: bool = False) -> dict:
+    """E1. Returns counts (documents, rejects, chunks, added) and the store path
+    in use (`clear` swaps a complete new version into `store_path`)."""
+    docs, rejects = FS.load_directory(spark, root, extractors)
+    docs = docs.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "source")
+    rows = document_rows(docs, size, overlap, dims)
     path = store_path
     if clear:
         path = ST.overwrite(spark, rows, store_path)
         added = spark.read.parquet(path).count()
     else:
         added = COL.write(spark, rows, store_path).count()
-    return {"documents": docs.count(), "rejects": rejects.count(), "chunks": chunks.count(),
+    return {"documents": docs.count(), "rejects": rejects.count(), "chunks": rows.count(),
             "added": added, "store": path}
 
 
