@@ -21,11 +21,12 @@ MAX_BROADCAST_ROWS = 2_000_000
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
     """Return (df with a broadcast hint if it has at most `max_rows` rows, hinted?).
 
-    The count runs over all partitions in parallel; the side is kept
-    (memory and disk) so the join reads it without recomputing it.
+    The check is a bounded count (`limit(max_rows + 1)`: every partition
+    stops after the bound, all run in parallel). A side under the bound is
+    kept (memory and disk) so the broadcast reads it once; a larger side is
+    returned as it is for a shuffled join, without being stored.
     """
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = df.count()
+    n = df.limit(max_rows + 1).count()
     if n <= max_rows:
-        return F.broadcast(df), True
+        return F.broadcast(df.persist(StorageLevel.MEMORY_AND_DISK)), True
     return df, False
