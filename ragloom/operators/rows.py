@@ -92,7 +92,7 @@ def with_group_ordinal(df: DataFrame, group_cols: Sequence[str], order_cols: Seq
     before = Window.partitionBy(*group_cols).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = pieces.select("__pid", *group_cols, "__first",
                             F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-    offsets, _ = broadcast_if_small(offsets)
+    offsets, _ = broadcast_if_small(offsets, keep_first=False)     # cheap to recompute, may be large
     out = tagged.join(offsets, ["__pid", *group_cols])
     return out.withColumn(out_col, (F.col("__off") + F.col("__pos") - F.col("__first")).cast("long")).drop(
         "__pid", "__mid", "__pos", "__off", "__first")

@@ -18,14 +18,21 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 2_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+                       keep_first: bool = True) -> tuple[DataFrame, bool]:
     """Return (df with a broadcast hint if it has at most `max_rows` rows, hinted?).
 
-    The check is a bounded count (`limit(max_rows + 1)`: every partition
-    stops after the bound, all run in parallel). A side under the bound is
-    kept (memory and disk) so the broadcast reads it once; a larger side is
-    returned as it is for a shuffled join, without being stored.
+    `keep_first=True` (for sides that are costly to compute, e.g. search
+    hits): the side is kept (memory and disk) and counted, so it is computed
+    once whatever the outcome. `keep_first=False` (for sides that are cheap to
+    recompute but may be large): a bounded count (`limit(max_rows + 1)`,
+    every partition stops at the bound) decides first, and only a side under
+    the bound is kept for the broadcast.
     """
+    if keep_first:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        n = df.count()
+        return (F.broadcast(df), True) if n <= max_rows else (df, False)
     n = df.limit(max_rows + 1).count()
     if n <= max_rows:
         return F.broadcast(df.persist(StorageLevel.MEMORY_AND_DISK)), True
