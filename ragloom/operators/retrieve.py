@@ -82,13 +82,17 @@ def knn_sparse(queries: DataFrame, corpus: DataFrame, q_keys: Sequence[str], c_k
 
 
 def _sparse_block_fn(bc, n_q: int, dims: int, q_keys: list[str], c_keys: list[str], k: int,
-                     max_products: int = 4_000_000):
+                     max_products: int = 4_000_000, max_cells: int = 8_000_000):
     """Partition function: chunks (with their postings as arrays) → candidate
     (question, chunk, score) rows that can still be in a global top-k.
     `bc` is a broadcast of (key arrays, question index, dim, weight, idf);
     with an idf vector the chunk arrays hold raw term counts, which are
-    weighted and L2-normalised here (stored-collection form)."""
+    weighted and L2-normalised here (stored-collection form).
+    A block of chunks holds at most `max_products` term products and its
+    score matrix (chunks × questions) at most `max_cells` entries, so task
+    memory stays bounded whatever the number of questions."""
     margin = 10.0 ** -SCORE_PLACES
+    max_rows = max(1, max_cells // max(n_q, 1))
 
     def run(batches):
         q_key_arrays, q_idx, q_dim, q_w, idf_vec = bc.value
@@ -154,7 +158,7 @@ def _sparse_block_fn(bc, n_q: int, dims: int, q_keys: list[str], c_keys: list[st
             while start < n:
                 # blocks of chunks whose product count stays bounded
                 end, acc = start, 0
-                while end < n and (end == start or acc + est[end] <= max_products):
+                while end < n and (end == start or (acc + est[end] <= max_products and end - start < max_rows)):
                     acc += est[end]
                     end += 1
                 m = end - start
