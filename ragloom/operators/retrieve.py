@@ -81,6 +81,20 @@ def knn_sparse(queries: DataFrame, corpus: DataFrame, q_keys: Sequence[str], c_k
     return top_k(scores, q_keys, [F.desc("score")] + [F.asc(c) for c in c_keys], k)
 
 
+def _prune_pool(qi: np.ndarray, sc: np.ndarray, n_q: int, k: int) -> np.ndarray:
+    """Indices of candidate entries `(question index, score)` that can still be
+    in a question's top-k: its k best and everything within one rounding
+    step of its k-th best (ties after rounding are settled by Spark)."""
+    margin = 10.0 ** -SCORE_PLACES
+    order = np.lexsort((-sc, qi))
+    qi_s, sc_s = qi[order], sc[order]
+    starts = np.searchsorted(qi_s, np.arange(n_q), "left")
+    cnt = np.searchsorted(qi_s, np.arange(n_q), "right") - starts
+    kth = sc_s[np.clip(starts + k - 1, 0, max(len(sc_s) - 1, 0))] if len(sc_s) else np.zeros(n_q)
+    thr = np.where(cnt >= k, kth, -np.inf)
+    return order[sc_s >= thr[qi_s] - margin]
+
+
 def _sparse_block_fn(bc, n_q: int, dims: int, q_keys: list[str], c_keys: list[str], k: int,
                      max_products: int = 4_000_000, max_cells: int = 8_000_000):
     """Partition function: chunks (with their postings as arrays) → candidate
@@ -117,20 +131,10 @@ def _sparse_block_fn(bc, n_q: int, dims: int, q_keys: list[str], c_keys: list[st
 
         pool_cc, pool_sc, pool_keys = [], [], {ck: [] for ck in c_keys}
 
-        def prune(cc, sc):
-            """Indices of the pool entries that can still be in a question's top-k."""
-            order = np.lexsort((-sc, cc))
-            cc_s, sc_s = cc[order], sc[order]
-            starts = np.searchsorted(cc_s, np.arange(n_q), "left")
-            cnt = np.searchsorted(cc_s, np.arange(n_q), "right") - starts
-            kth = sc_s[np.clip(starts + k - 1, 0, max(len(sc_s) - 1, 0))] if len(sc_s) else np.zeros(n_q)
-            thr = np.where(cnt >= k, kth, -np.inf)
-            return order[sc_s >= thr[cc_s] - margin]
-
         def flush():
             cc = np.concatenate(pool_cc)
             sc = np.concatenate(pool_sc)
-            keep = prune(cc, sc)
+            keep = _prune_pool(cc, sc, n_q, k)
             keys = {ck: np.concatenate(v)[keep] for ck, v in pool_keys.items()}
             return cc[keep], sc[keep], keys
 
@@ -226,38 +230,65 @@ def knn_sparse_grouped(qp: pd.DataFrame, q_schema: T.StructType, grouped: DataFr
 # Exact dense kNN as a block product per Arrow batch
 # ---------------------------------------------------------------------------
 
-def _dense_topk_fn(bc, c_key: str, vec_col: str, k: int, metric: str, q_block: int = 512):
-    """Per Arrow batch: scores against query blocks of `q_block` columns,
-    keeping for every query the rows that can still be in its global top-k
-    (everything within one rounding step of the batch's k-th best)."""
+def _dense_topk_fn(bc, c_key: str, vec_col: str, k: int, metric: str, q_block: int = 512,
+                   cell_col: str | None = None):
+    """Per task: score each Arrow batch of corpus vectors against the queries
+    (blocks of `q_block` queries, so a score matrix is at most batch ×
+    `q_block`), keep a running pool of candidates that can still be in a
+    query's top-k, and emit the pool once at the end of the partition.
+    With `cell_col`, a row is scored only against the queries that probe its
+    cell (IVF): `bc` then also carries `{cell: query indices}`."""
     margin = 10.0 ** -SCORE_PLACES
 
     def run(batches):
-        q_ids, q_mat = bc.value
+        q_ids, q_mat, probes = bc.value
+        n_q = len(q_ids)
         qn_all = np.linalg.norm(q_mat, axis=1)
         qq_all = (q_mat * q_mat).sum(1)
+        pool_q, pool_c, pool_s = [], [], []
+
+        def flush():
+            qi, ci, sc = np.concatenate(pool_q), np.concatenate(pool_c), np.concatenate(pool_s)
+            keep = _prune_pool(qi, sc, n_q, k)
+            return qi[keep], ci[keep], sc[keep]
+
         for pdf in batches:
             if len(pdf) == 0:
                 continue
             ids = pdf[c_key].to_numpy()
-            m = np.stack(pdf[vec_col].to_numpy()).astype(np.float64)
-            n = len(ids)
-            mn = np.linalg.norm(m, axis=1)
-            mm = (m * m).sum(1)
-            for b0 in range(0, q_mat.shape[0], q_block):
-                qm = q_mat[b0:b0 + q_block]
-                s = m @ qm.T                              # (n, block)
-                if metric == "cosine":
-                    denom = np.outer(mn, qn_all[b0:b0 + q_block])
-                    s = np.divide(s, denom, out=np.full_like(s, -np.inf), where=denom > 0)
-                elif metric == "l2":
-                    s = -(mm[:, None] - 2 * s + qq_all[b0:b0 + q_block][None, :])
-                if n > k:
-                    kth = np.partition(s, n - k, axis=0)[n - k]
-                    rows, cols = np.nonzero(s >= kth[None, :] - margin)
-                else:
-                    rows, cols = np.nonzero(np.ones_like(s, dtype=bool))
-                yield pd.DataFrame({"__qid": q_ids[b0 + cols], c_key: ids[rows], "__score": s[rows, cols]})
+            mat = np.stack(pdf[vec_col].to_numpy()).astype(np.float64)
+            if cell_col is None:
+                groups = [(np.arange(len(ids)), np.arange(n_q))]
+            else:
+                cells = pdf[cell_col].to_numpy()
+                groups = [(np.nonzero(cells == c)[0], probes[c]) for c in np.unique(cells) if c in probes]
+            for rows_idx, q_idx in groups:
+                m = mat[rows_idx]
+                n = len(rows_idx)
+                mn = np.linalg.norm(m, axis=1)
+                mm = (m * m).sum(1)
+                for b0 in range(0, len(q_idx), q_block):
+                    qsel = q_idx[b0:b0 + q_block]
+                    s = m @ q_mat[qsel].T                     # (n, block)
+                    if metric == "cosine":
+                        denom = np.outer(mn, qn_all[qsel])
+                        s = np.divide(s, denom, out=np.full_like(s, -np.inf), where=denom > 0)
+                    elif metric == "l2":
+                        s = -(mm[:, None] - 2 * s + qq_all[qsel][None, :])
+                    if n > k:
+                        kth = np.partition(s, n - k, axis=0)[n - k]
+                        rr, cc = np.nonzero(s >= kth[None, :] - margin)
+                    else:
+                        rr, cc = np.nonzero(np.ones_like(s, dtype=bool))
+                    pool_q.append(qsel[cc])
+                    pool_c.append(ids[rows_idx[rr]])
+                    pool_s.append(s[rr, cc])
+            if sum(len(x) for x in pool_q) > 8 * k * n_q:      # keep the pool bounded
+                qi, ci, sc = flush()
+                pool_q, pool_c, pool_s = [qi], [ci], [sc]
+        if pool_q:
+            qi, ci, sc = flush()
+            yield pd.DataFrame({"__qid": q_ids[qi], c_key: ci, "__score": sc})
 
     return run
 
@@ -268,8 +299,8 @@ def knn_dense(queries: DataFrame, corpus: DataFrame, q_key: str, c_key: str, vec
 
     The query matrix is bounded (`max_queries` rows, counted before use) and
     shipped to executors as a broadcast variable; each corpus partition is
-    multiplied by it batch by batch (numpy), and only a partial top-k per
-    batch leaves the task. No query×corpus pair is ever materialised as a row.
+    multiplied by it batch by batch (numpy), and only a running partial top-k
+    per task leaves it. No query×corpus pair is ever materialised as a row.
     Metric: "dot", "cosine", or "l2" (ranked by smallest squared distance;
     the `score` column then holds the negated squared distance).
     Returns `(q_key, c_key, score, rank)`.
@@ -294,7 +325,7 @@ def knn_dense(queries: DataFrame, corpus: DataFrame, q_key: str, c_key: str, vec
                                T.StructField("score", T.DoubleType()), T.StructField("rank", T.IntegerType())])
         return spark.createDataFrame([], schema)
     q_mat = np.stack([np.asarray(v, dtype=np.float64) for v in q_pdf[vec_col]])
-    bc = spark.sparkContext.broadcast((q_ids, q_mat))
+    bc = spark.sparkContext.broadcast((q_ids, q_mat, None))
     fn = _dense_topk_fn(bc, c_key, vec_col, k, metric)
     out_schema = T.StructType([T.StructField("__qid", queries.schema[q_key].dataType),
                                corpus.schema[c_key], T.StructField("__score", T.DoubleType())])
@@ -333,40 +364,59 @@ def ivf_index(corpus: DataFrame, c_key: str, vec_col: str = "embedding", n_cells
 
 
 def ann_join(queries: DataFrame, assigned: DataFrame, centroids: DataFrame, q_key: str, c_key: str,
-             vec_col: str = "embedding", k: int = 4, nprobe: int = 4) -> DataFrame:
+             vec_col: str = "embedding", k: int = 4, nprobe: int = 4, max_probes: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Probe the `nprobe` nearest cells of each query, then rank exactly.
 
-    The centroid table has `n_cells` rows (a parameter), so it is attached to
-    every query as one array literal and the nearest cells are picked with JVM
-    array functions — no query×centroid join. The probe list `(query, cell)`
-    is broadcast after a size check and equi-joined on `cell` with the
-    assigned corpus, so the corpus is not shuffled; candidates are scored
-    exactly and cut to top-k.
+    * Nearest cells per query: the centroid table has `n_cells` rows (a
+      parameter), attached to every query as one array literal and ranked with
+      JVM array functions — no query×centroid join.
+    * The probe lists and query vectors (bounded: at most `max_probes`
+      (query, cell) pairs, counted before use) are broadcast; the corpus scan
+      keeps only probed cells (`cell IN (...)`: on a store partitioned by cell
+      this prunes whole folders at planning time).
+    * Each task scores its rows only against the queries probing their cell,
+      in numpy blocks, and keeps a running top-k — no (query, vector) pair
+      becomes a row.
     """
-    from ragloom.operators.vectors import dot, l2_squared
+    from ragloom.operators.vectors import l2_squared
     cents = sorted(((int(r["cell"]), [float(x) for x in r["centroid"]])
                     for r in centroids.select("cell", "centroid").collect()), key=lambda t: t[0])
     cent_lit = F.array(*[F.struct(F.lit(c).alias("cell"),
                                   F.array(*[F.lit(x) for x in v]).alias("v")) for c, v in cents])
     q = queries.select(q_key, F.col(vec_col).alias("__qv"))
     dists = F.transform(cent_lit, lambda c: F.struct(l2_squared("__qv", c["v"]).alias("d"), c["cell"].alias("cell")))
-    probes = (q.withColumn("__cells", F.slice(F.array_sort(dists), 1, nprobe))
-               .select(q_key, "__qv", F.explode("__cells").alias("__c"))
-               .select(q_key, "__qv", F.col("__c.cell").alias("cell")))
-    probes, _ = broadcast_if_small(probes)
-    # cells are numbered 0..n_cells-1; stating the range makes the probe list a
-    # selective filter, which lets Spark prune unprobed `cell` partitions of a
-    # stored collection at scan time (dynamic partition pruning)
-    probes = probes.filter(F.col("cell") < F.lit(len(cents)))
-    cand = assigned.select(c_key, "cell", vec_col).join(probes, "cell")
-    scored = cand.select(q_key, c_key, F.round(dot(vec_col, "__qv"), SCORE_PLACES).alias("score"))
+    probes = q.select(q_key, "__qv", F.transform(F.slice(F.array_sort(dists), 1, nprobe),
+                                                  lambda x: x["cell"]).alias("__cells"))
+    n_probes = probes.select(F.explode("__cells")).limit(max_probes + 1).count()
+    if n_probes > max_probes:
+        raise ValueError(f"ann_join: more than {max_probes} (query, cell) probes; split the query set")
+    pp = probes.toPandas()
+    spark = assigned.sparkSession
+    q_ids = pp[q_key].to_numpy()
+    if len(pp) == 0:
+        schema = T.StructType([queries.schema[q_key], assigned.schema[c_key],
+                               T.StructField("score", T.DoubleType()), T.StructField("rank", T.IntegerType())])
+        return spark.createDataFrame([], schema)
+    q_mat = np.stack([np.asarray(v, dtype=np.float64) for v in pp["__qv"]])
+    by_cell: dict[int, list[int]] = {}
+    for i, cells in enumerate(pp["__cells"]):
+        for c in cells:
+            by_cell.setdefault(int(c), []).append(i)
+    probes_np = {c: np.asarray(v, dtype=np.int64) for c, v in by_cell.items()}
+    bc = spark.sparkContext.broadcast((q_ids, q_mat, probes_np))
+    fn = _dense_topk_fn(bc, c_key, vec_col, k, "dot", cell_col="cell")
+    corpus = assigned.select(c_key, "cell", vec_col).filter(F.col("cell").isin(sorted(probes_np)))
+    out_schema = T.StructType([T.StructField("__qid", queries.schema[q_key].dataType),
+                               assigned.schema[c_key], T.StructField("__score", T.DoubleType())])
+    partial = corpus.mapInPandas(fn, out_schema)
+    scored = partial.select(F.col("__qid").alias(q_key), c_key, F.round("__score", SCORE_PLACES).alias("score"))
     return top_k(scored, [q_key], [F.desc("score"), F.asc(c_key)], k)
 
 
 def ivf_write(assigned: DataFrame, path: str) -> None:
     """Persist an IVF-assigned corpus partitioned by `cell`: a probe then reads
-    only the files of the probed cells (dynamic partition pruning on the
-    `cell` join with the broadcast probe list)."""
+    only the folders of the probed cells (the `cell IN (...)` filter of
+    `ann_join` prunes partitions when the scan is planned)."""
     assigned.write.mode("overwrite").partitionBy("cell").parquet(path)
 
 
