@@ -306,8 +306,10 @@ def knn_dense(queries: DataFrame, corpus: DataFrame, q_key: str, c_key: str, vec
     Returns `(q_key, c_key, score, rank)`.
     """
     spark = corpus.sparkSession
-    q_pdf = queries.select(q_key, vec_col).limit(max_queries + 1).toPandas()
-    if len(q_pdf) > max_queries:
+    # keep the query side, count it in parallel, and only then ship it
+    q_side = queries.select(q_key, vec_col).persist(StorageLevel.MEMORY_AND_DISK)
+    if q_side.count() > max_queries:
+        q_side.unpersist()
         # Exact fallback: hash the query set into blocks that each fit the
         # bound, search block by block (one corpus pass per block), union.
         n_q = queries.count()
@@ -319,6 +321,8 @@ def knn_dense(queries: DataFrame, corpus: DataFrame, q_key: str, c_key: str, vec
         for p in parts[1:]:
             out = out.unionByName(p)
         return out
+    q_pdf = q_side.toPandas()
+    q_side.unpersist()
     q_ids = q_pdf[q_key].to_numpy()
     if len(q_pdf) == 0:
         schema = T.StructType([queries.schema[q_key], corpus.schema[c_key],
