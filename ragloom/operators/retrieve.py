@@ -391,10 +391,12 @@ def ann_join(queries: DataFrame, assigned: DataFrame, centroids: DataFrame, q_ke
     dists = F.transform(cent_lit, lambda c: F.struct(l2_squared("__qv", c["v"]).alias("d"), c["cell"].alias("cell")))
     probes = q.select(q_key, "__qv", F.transform(F.slice(F.array_sort(dists), 1, nprobe),
                                                   lambda x: x["cell"]).alias("__cells"))
-    n_probes = probes.select(F.explode("__cells")).limit(max_probes + 1).count()
-    if n_probes > max_probes:
+    probes = probes.persist(StorageLevel.MEMORY_AND_DISK)       # computed once: counted, then shipped
+    if probes.select(F.explode("__cells")).count() > max_probes:
+        probes.unpersist()
         raise ValueError(f"ann_join: more than {max_probes} (query, cell) probes; split the query set")
     pp = probes.toPandas()
+    probes.unpersist()
     spark = assigned.sparkSession
     q_ids = pp[q_key].to_numpy()
     if len(pp) == 0:
