@@ -53,7 +53,9 @@ def knn_sparse(queries: DataFrame, corpus: DataFrame, q_keys: Sequence[str], c_k
         keeps a partial top-k. Products are never rows: right for thousands
         of long questions.
     "auto" picks "block" when the question side has more than
-    `block_threshold` postings and fits the bound, else "join".
+    `block_threshold` postings and fits the bound, "join" for fewer; above
+    the bound the questions are hashed into blocks that fit it and each block
+    is block-searched (exact, no product rows).
     With `corpus_normalized=False` the corpus weights are L2-normalised here
     (inside the per-chunk aggregation on the block path).
     """
@@ -67,7 +69,19 @@ def knn_sparse(queries: DataFrame, corpus: DataFrame, q_keys: Sequence[str], c_k
             out = _knn_sparse_block(q.toPandas(), q.schema, corpus, q_keys, c_keys, k, corpus_normalized)
             q.unpersist()
             return out
-        q = F.broadcast(q) if n_q <= max_broadcast_rows else q
+        if n_q > max_broadcast_rows:
+            # Exact at any size: hash the questions into blocks whose postings
+            # fit the bound and block-search each (one corpus pass per block).
+            n_blocks = -(-n_q // max_broadcast_rows) * 2
+            blk = F.pmod(F.xxhash64(*q_keys), F.lit(n_blocks))
+            parts = [knn_sparse(q.filter(blk == b).select(*q_keys, "dim", F.col("__wq").alias("w")), corpus,
+                                q_keys, c_keys, k, max_broadcast_rows, "block", block_threshold, corpus_normalized)
+                     for b in range(n_blocks)]
+            out = parts[0]
+            for p in parts[1:]:
+                out = out.unionByName(p)
+            return out
+        q = F.broadcast(q)
     else:
         q, _ = broadcast_if_small(q, max_broadcast_rows)
     if not corpus_normalized:

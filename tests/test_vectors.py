@@ -144,3 +144,14 @@ def test_ivf_store_prunes_cells(spark, tmpdir_path):
     assert re.search(r"partitionfilters: \[cell#\d+ in \(", plan)          # probed cells only
     mem = R.ann_join(q, assigned, cents, "qid", "vec_id", "embedding", k=2, nprobe=2)
     assert stored.exceptAll(mem).count() == 0 and stored.count() == 10
+
+
+def test_knn_sparse_question_blocks(spark):
+    """Above the question bound the search runs in hashed blocks: same result."""
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select(F.col("doc_id").alias("cid"), "text")
+    qs = spark.read.parquet(f"{SF001}/benchmark.parquet").select(F.col("item_id").alias("qid"), "text")
+    cvec, idf = V.embed_corpus(docs, ["cid"], "text", 512)
+    qvec = V.embed_queries(qs, ["qid"], "text", 512, idf)
+    whole = R.knn_sparse(qvec, cvec, ["qid"], ["cid"], k=3, method="block")
+    blocked = R.knn_sparse(qvec, cvec, ["qid"], ["cid"], k=3, max_broadcast_rows=300)
+    assert blocked.count() == whole.count() and blocked.exceptAll(whole).count() == 0
