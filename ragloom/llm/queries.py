@@ -103,8 +103,8 @@ _OP1_SQL = """
 WITH p AS (
   SELECT page_id, encode(coalesce(html, '')) AS b, sha1(coalesce(html, '')) AS h FROM pages
 ), d AS (
-  SELECT *, list_aggregate(list_transform(range(0, 8), g ->
-    list_aggregate(list_transform([15, 10, 5, 0], s ->
+  SELECT *, list_aggregate(list_transform(range(0, 8), lambda g:
+    list_aggregate(list_transform([15, 10, 5, 0], lambda s:
       substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, g * 5 + 1, 5))::INT >> s) & 31) + 1, 1)),
       'string_agg', '')), 'string_agg', '') AS payload_digest,
     max(page_id) OVER (PARTITION BY h, octet_length(b)) AS last_id
