@@ -194,7 +194,8 @@ def confirmed_links(docs: DataFrame, reps: DataFrame, blocks: DataFrame, percent
     cut = keep(cut, "pieces")
     many = cut.groupBy("block").agg(F.max("piece").alias("last"))
     cut = cut.join(many, "block")
-    texts = docs.select("doc_id", "text").join(cut, "doc_id")
+    # texts meet their pieces by shuffle at every size: the members of blocks grow with the corpus
+    texts = docs.select("doc_id", "text").join(cut.hint("merge"), "doc_id")
     # every pair of pieces of a block is one group: (piece, partner), the smaller first
     texts = texts.withColumn("q", F.explode(F.sequence(F.lit(0), F.col("last")))).select(
         "text", "cls", "block", F.least("piece", "q").alias("p1"), F.greatest("piece", "q").alias("p2"), "piece")
