@@ -26,8 +26,11 @@ from pyspark.sql import functions as F
 #: Characters of a text that are split at once.
 SLICE_CHARS = 1 << 20
 #: Entries and ids a worker keeps before it starts its fragment table anew.
-TABLE_FRAGMENTS, TABLE_IDS = 250_000, 4_000_000
+TABLE_FRAGMENTS, TABLE_IDS = 500_000, 6_000_000
 SPACES = " \t\n\r"
+#: A Latin word, perhaps after one space or line break, perhaps before closing
+#: marks: every pre-tokenizer here cuts it into these three parts.
+PLAIN = re.compile("([ \n]?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
 
 
 def _byte_letters() -> dict[str, int]:
@@ -88,10 +91,13 @@ def certain_cuts(forced: np.ndarray) -> tuple[str, str]:
 class Fragments:
     """Encodes texts by fragments, each distinct fragment once. `spaces`: cut
     before a run of these, unless after a character of `blocked`; `drop`: white
-    space makes no ids (nor a fragment)."""
+    space makes no ids (nor a fragment); `lower`: the normalizer lower-cases.
+    New plain words go straight to the merges of the model, other new fragments
+    through the whole tokenizer."""
 
-    def __init__(self, tokenizer, spaces: str, blocked: str = "", drop: bool = False):
-        self.tokenizer = tokenizer
+    def __init__(self, tokenizer, spaces: str, blocked: str = "", drop: bool = False, lower: bool = False):
+        self.tokenizer, self.model, self.lower = tokenizer, tokenizer.model, lower
+        self.letters = {b: letter for letter, b in _byte_letters().items()}
         s = re.escape(spaces)
         if not spaces:
             self.pattern, self.next = re.compile(r"(?s).+"), None
@@ -103,13 +109,17 @@ class Fragments:
 
     def _new_table(self) -> None:
         self.place: dict[str, int] = {}
+        self.known: dict[str, list[int]] = {}
         self.count, self.used = 0, 0
         self.first = np.zeros(1 << 12, np.int64)
         self.size = np.zeros(1 << 12, np.int64)
         self.ids = np.zeros(1 << 14, np.uint32)
 
     def _learn(self, fragments: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch(fragments, add_special_tokens=False)]
+        plain = [PLAIN.fullmatch(f) for f in fragments]
+        rest = [f for f, m in zip(fragments, plain, strict=True) if m is None]
+        other = iter(self.tokenizer.encode_batch_fast(rest, add_special_tokens=False))
+        found = [next(other).ids if m is None else self._plain(*m.groups()) for m in plain]
         total = sum(map(len, found))
         while self.count + len(found) > len(self.first):
             self.first, self.size = (np.concatenate([a, np.zeros_like(a)]) for a in (self.first, self.size))
@@ -124,6 +134,22 @@ class Fragments:
         self.count += len(found)
         self.used += total
 
+    def _plain(self, lead: str, word: str, marks: str) -> list[int]:
+        if lead == " ":
+            word, lead = " " + word, ""
+        key = word.lower() if self.lower else word
+        ids = self.known.get(key)
+        if ids is None:
+            letters = key.encode().decode("latin-1").translate(self.letters)
+            ids = self.known[key] = [t.id for t in self.model.tokenize(letters)]
+        for part, before in ((lead, True), (marks, False)):
+            if part:
+                more = self.known.get(part)
+                if more is None:
+                    more = self.known[part] = self.tokenizer.encode(part, add_special_tokens=False).ids
+                ids = more + ids if before else ids + more
+        return ids
+
     def slices(self, text: str):
         lo = 0
         while len(text) - lo > SLICE_CHARS and self.next:

@@ -57,7 +57,7 @@ def word_encoder(path: str) -> Callable[[], bpe.Fragments]:
     def make():
         key = f"words:{path}"
         if key not in bpe._loaded:
-            bpe._loaded[key] = bpe.Fragments(bpe.load(path), bpe.SPACES, drop=True)
+            bpe._loaded[key] = bpe.Fragments(bpe.load(path), bpe.SPACES, drop=True, lower=True)
         return bpe._loaded[key]
     return make
 

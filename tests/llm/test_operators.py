@@ -236,6 +236,8 @@ def test_fragments_equal_whole_text_encoding(slice_chars, monkeypatch):
     monkeypatch.setattr(bpe, "SLICE_CHARS", slice_chars)
     rnd = random.Random(3)
     texts = ["".join(rnd.choices(ALPHABET, k=rnd.randint(0, 30))) for _ in range(4000)] + ["", "x" * 300]
+    texts += [" ".join(rnd.choices(["Straße", "ÀÉ,", "word.", "Word;:", "\nNew", "l'été", "x²", "ÿ!", "ñandú?!", "e\u0301", "à", "don't."], k=9))
+              for _ in range(2000)]
     path = queries.tokenizer_path(queries.BYTE_BPE)
     whole = bpe.load(path)
     encoder, tokens = bpe.codec(path)
