@@ -20,7 +20,7 @@ import os
 import re
 
 import numpy as np
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Characters of a text that are split at once.
@@ -251,6 +251,25 @@ def decode(ids: Column, path: str) -> Column:
     return texts(ids)
 
 
+def encode_documents(docs: DataFrame, path: str, columns: list[str], text_col: str = "text") -> DataFrame:
+    """`columns` of `docs` with `token_ids` (array<int>) of the whole text, sent
+    back in small batches: ids take several times the room of their text."""
+    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
+
+    def run(batches):
+        import pyarrow as pa
+        encoder = codec(path)[0]
+        for b in batches:
+            for lo in range(0, b.num_rows, 256):
+                part = b.slice(lo, 256)
+                found = encoder.encode(_strings(part.column(0)))
+                ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], ids], [*columns, "token_ids"])
+
+    return docs.select(F.col(text_col), *columns).mapInArrow(run, f"{kinds}, token_ids array<int>")
+
+
 def round_trip(text: Column, path: str) -> Column:
     """Struct column: n_tokens, ids_sha256 (ids as little-endian unsigned
     32-bit integers), decoded_sha256 (UTF-8 of the decoded text). Encodes and
