@@ -25,8 +25,10 @@ from pyspark.sql import functions as F
 
 #: Characters of a text that are split at once.
 SLICE_CHARS = 1 << 20
-#: Entries and ids a worker keeps before it starts its fragment table anew.
+#: Entries and ids a worker keeps before it starts its fragment table anew, and
+#: the entries where workers also hold the memory of other stages (about 0.4 KB each).
 TABLE_FRAGMENTS, TABLE_IDS = 500_000, 6_000_000
+SMALL_TABLE = 100_000
 SPACES = " \t\n\r"
 #: A Latin word, perhaps after one space or line break, perhaps before closing
 #: marks: every pre-tokenizer here cuts it into these three parts.
@@ -95,8 +97,9 @@ class Fragments:
     New plain words go straight to the merges of the model, other new fragments
     through the whole tokenizer."""
 
-    def __init__(self, tokenizer, spaces: str, blocked: str = "", drop: bool = False, lower: bool = False):
-        self.tokenizer, self.model, self.lower = tokenizer, tokenizer.model, lower
+    def __init__(self, tokenizer, spaces: str, blocked: str = "", drop: bool = False, lower: bool = False,
+                 table: int = TABLE_FRAGMENTS):
+        self.tokenizer, self.model, self.lower, self.table = tokenizer, tokenizer.model, lower, table
         self.letters = {b: letter for letter, b in _byte_letters().items()}
         s = re.escape(spaces)
         if not spaces:
@@ -163,7 +166,7 @@ class Fragments:
     def _ids(self, fragments: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the fragments one after another, and the running count after each."""
         new = set(fragments).difference(self.place)
-        if new and (self.count + len(new) > TABLE_FRAGMENTS or self.used > TABLE_IDS):
+        if new and (self.count + len(new) > self.table or self.used > TABLE_IDS):
             self._new_table()
             new = set(fragments)
         if new:
@@ -215,7 +218,8 @@ def codec(path: str) -> tuple[Fragments, list[bytes]]:
     if path not in _loaded:
         t = load(path)
         table = token_bytes(t)
-        _loaded[path] = Fragments(t, *certain_cuts(forced_pairs(table.values()))), [table.get(i, b"") for i in range(max(table) + 1)]
+        encoder = Fragments(t, *certain_cuts(forced_pairs(table.values())), table=SMALL_TABLE)
+        _loaded[path] = encoder, [table.get(i, b"") for i in range(max(table) + 1)]
     return _loaded[path]
 
 
