@@ -39,6 +39,12 @@ def skip_blank_turns(df: DataFrame, text_col: str = "text") -> DataFrame:
     return df.filter(strip(text_col) != "")
 
 
+def skip_blank_inputs(df: DataFrame, text_col: str = "text", role_col: str = "role") -> DataFrame:
+    """P2 inside a conversation: blank user turns are skipped, a blank reply is
+    still a reply. Turns without a text (null) are no turns."""
+    return df.filter(F.col(text_col).isNotNull() & ((F.col(role_col) != "user") | (strip(text_col) != "")))
+
+
 def non_empty(df: DataFrame, col: str) -> DataFrame:
     """Keep rows whose value is not the empty string (no stripping)."""
     return df.filter(F.col(col) != "")
@@ -57,19 +63,22 @@ def truncate_at_exit(df: DataFrame, conv: str = "conv_id", order: str = "turn",
     cond = is_exit(text_col, words, strip_first)
     if role_col:
         cond = cond & (F.col(role_col) == "user")
+    cond = F.coalesce(cond, F.lit(False))
     w = Window.partitionBy(conv).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (df.withColumn("__ended", F.max(cond.cast("int")).over(w))
               .filter(F.col("__ended") == 0).drop("__ended"))
 
 
 def pair_exchanges(df: DataFrame, conv: str = "conv_id", order: str = "turn") -> DataFrame:
-    """W4 + W5: each user turn with the assistant turn that follows it.
+    """W4 + W5: each user turn with the first assistant turn before the next
+    user turn; turns of other roles in between do not matter.
 
     Output `(conv_id, turn, ex_no, q, a)`; `ex_no` is 1-based within the
     conversation; an unanswered user turn keeps `a = null`.
     """
     w = Window.partitionBy(conv).orderBy(order)
-    nxt = (df.withColumn("__nrole", F.lead("role").over(w))
+    talk = df.filter(F.col("role").isin("user", "assistant"))
+    nxt = (talk.withColumn("__nrole", F.lead("role").over(w))
              .withColumn("__ntext", F.lead("text").over(w)))
     ex = nxt.filter(F.col("role") == "user").select(
         conv, order, F.col("text").alias("q"),
@@ -77,39 +86,67 @@ def pair_exchanges(df: DataFrame, conv: str = "conv_id", order: str = "turn") ->
     return ex.withColumn("ex_no", F.row_number().over(Window.partitionBy(conv).orderBy(order)))
 
 
+def _answered(ex: DataFrame) -> Column:
+    return F.col("a").isNotNull().cast("long")
+
+
+def _item() -> Column:
+    return F.when(F.col("a").isNotNull(), F.struct(F.col("q").alias("q"), F.col("a").alias("a")))
+
+
+def answered_before(ex: DataFrame, conv: str = "conv_id", block: int = 10_000, out_col: str = "n_before") -> DataFrame:
+    """Number of answered exchanges before each exchange of its conversation
+    (needs `ex_no`). Running counts inside blocks of `block` exchanges plus the
+    totals of the blocks before: the only window keyed by the conversation
+    alone runs over one row per block."""
+    blk = F.floor((F.col("ex_no") - 1) / F.lit(block)).cast("long")
+    inside = Window.partitionBy(conv, "__blk").orderBy("ex_no").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = ex.withColumn("__blk", blk).withColumn(
+        "__in", F.coalesce(F.sum(_answered(ex)).over(inside), F.lit(0)))
+    per_block = ex.groupBy(conv, blk.alias("__blk")).agg(F.sum(_answered(ex)).alias("__n"))
+    earlier = Window.partitionBy(conv).orderBy("__blk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_block.select(conv, "__blk", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__off"))
+    return (numbered.join(offsets, [conv, "__blk"])
+                    .withColumn(out_col, F.col("__off") + F.col("__in")).drop("__blk", "__in", "__off"))
+
+
 def last_n_exchanges(ex: DataFrame, n: int = DEFAULT_HISTORY, conv: str = "conv_id", order: str = "turn",
                      out_col: str = "history", block: int | None = None) -> DataFrame:
     """The previous `n` answered exchanges, oldest first, current excluded.
 
     `n = 0` means no history (the reference's `[-0:]` slice would return all
-    of it; we implement the intent). Bounded frame `n` preceding .. 1 preceding.
-    With `block` set (needs `ex_no`), conversations are split into turn blocks
-    of that many exchanges first (`split_long_conversations`), so one very long
+    of it; we implement the intent). Unanswered exchanges take no place: the
+    frame counts answered ones (range over their running number). With `block`
+    set (needs `ex_no`), conversations are split into blocks of that many
+    answered exchanges first (`split_long_conversations`), so one very long
     conversation is spread over many tasks; the result is identical.
     """
     if n <= 0:
         return ex.withColumn(out_col, F.array().cast(T.ArrayType(EXCHANGE)))
-    item = F.when(F.col("a").isNotNull(), F.struct(F.col("q").alias("q"), F.col("a").alias("a")))
     if block:
         if block < n:
             raise ValueError("block must be >= n")
-        parts = split_long_conversations(ex, block, n, conv)
-        w = Window.partitionBy(conv, "blk").orderBy(order).rowsBetween(-n, -1)
-        return (parts.withColumn(out_col, F.collect_list(item).over(w))
-                     .filter(F.col("__own")).drop("blk", "__own"))
-    w = Window.partitionBy(conv).orderBy(order).rowsBetween(-n, -1)
-    return ex.withColumn(out_col, F.collect_list(item).over(w))
+        parts = split_long_conversations(answered_before(ex, conv, out_col="__b"), block, n, "__b")
+        w = Window.partitionBy(conv, "blk").orderBy("__b").rangeBetween(-n, -1)
+        return (parts.withColumn(out_col, F.collect_list(_item()).over(w))
+                     .filter(F.col("__own")).drop("blk", "__own", "__b"))
+    before = Window.partitionBy(conv).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    w = Window.partitionBy(conv).orderBy("__b").rangeBetween(-n, -1)
+    return (ex.withColumn("__b", F.coalesce(F.sum(_answered(ex)).over(before), F.lit(0)))
+              .withColumn(out_col, F.collect_list(_item()).over(w)).drop("__b"))
 
 
 def retained_history(ex: DataFrame, n: int = DEFAULT_HISTORY, conv: str = "conv_id", order: str = "turn",
                      out_col: str = "kept") -> DataFrame:
     """History as stored after each exchange — the last `2n` answered
-    exchanges including the current one (only `n` of them are shown)."""
+    exchanges including the current one (only `n` of them are shown); an
+    unanswered exchange leaves it as it was."""
     if n <= 0:
         return ex.withColumn(out_col, F.array().cast(T.ArrayType(EXCHANGE)))
-    w = Window.partitionBy(conv).orderBy(order).rowsBetween(-(2 * n - 1), 0)
-    item = F.when(F.col("a").isNotNull(), F.struct(F.col("q").alias("q"), F.col("a").alias("a")))
-    return ex.withColumn(out_col, F.collect_list(item).over(w))
+    upto = Window.partitionBy(conv).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    w = Window.partitionBy(conv).orderBy("__b").rangeBetween(-(2 * n - 1), 0)
+    return (ex.withColumn("__b", F.sum(_answered(ex)).over(upto))
+              .withColumn(out_col, F.collect_list(_item()).over(w)).drop("__b"))
 
 
 def full_prefix(df: DataFrame, conv: str = "conv_id", order: str = "turn", out_col: str = "messages") -> DataFrame:
@@ -159,23 +196,21 @@ def assemble_stream(pieces: DataFrame, keys: list[str], seq: str = "seq", piece:
     return pieces.groupBy(*keys).agg(agg.alias(out_col), F.count(F.lit(1)).alias("n_pieces"))
 
 
-def split_long_conversations(ex: DataFrame, block: int, overlap: int, conv: str = "conv_id",
-                             order_no: str = "ex_no") -> DataFrame:
+def split_long_conversations(ex: DataFrame, block: int, overlap: int, number: str = "n_before") -> DataFrame:
     """Skew guard for bounded-frame windows.
 
-    Rows are keyed `(conv, blk)` with `blk = (ex_no - 1) // block`; each block
-    also receives the `overlap` rows preceding it (flag `__own = false`), so
-    a window partitioned by `(conv, blk)` with a frame of at most `overlap`
-    preceding rows sees exactly what it would see over the whole
-    conversation. Keep only `__own` rows afterwards. A conversation holding a
-    third of the data is then spread over many tasks.
+    Rows get `blk = number // block`, where `number` counts the answered
+    exchanges before the row; each block also receives the answered rows of the
+    `overlap` numbers before it (flag `__own = false`), so a window partitioned
+    by `(conv, blk)` with a frame of at most `overlap` preceding numbers sees
+    exactly what it would see over the whole conversation. Keep only `__own`
+    rows afterwards. A conversation holding a third of the data is then spread
+    over many tasks.
     """
-    blk = ((F.col(order_no) - 1) / block).cast("long")
+    blk = F.floor(F.col(number) / F.lit(block)).cast("long")
     own = ex.withColumn("blk", blk).withColumn("__own", F.lit(True))
-    # rows that are within `overlap` of the next block start are copied forward
-    pos_in_blk = (F.col(order_no) - 1) - blk * block
-    spill = (ex.withColumn("blk", blk + 1).withColumn("__own", F.lit(False))
-               .filter(pos_in_blk.cast("long") >= block - overlap))
+    near_end = F.col(number) - blk * block >= block - overlap
+    spill = ex.filter(near_end & F.col("a").isNotNull()).withColumn("blk", blk + 1).withColumn("__own", F.lit(False))
     return own.unionByName(spill)
 
 
@@ -192,10 +227,10 @@ def exchanges_balanced(turns: DataFrame, conv: str = "conv_id", order: str = "tu
       combined aggregate — joined back (AQE splits a skewed join partition);
     * the next turn (W4): equality join on (conversation, position + 1);
     * the exchange number (W5): `with_group_ordinal` over the user turns.
-    Same rows as `pair_exchanges(truncate_at_exit(skip_blank_turns(...)))`.
+    Same rows as `pair_exchanges(truncate_at_exit(skip_blank_inputs(...)))`.
     """
     from ragloom.operators.rows import with_group_ordinal
-    t = skip_blank_turns(turns).select(conv, order, "role", "text")
+    t = skip_blank_inputs(turns).select(conv, order, "role", "text").filter(F.col("role").isin("user", "assistant"))
     exit_turn = (t.filter((F.col("role") == "user") & is_exit("text", words))
                   .groupBy(conv).agg(F.min(order).alias("__exit")))
     t = (t.join(exit_turn, conv, "left")
@@ -212,16 +247,16 @@ def exchanges_balanced(turns: DataFrame, conv: str = "conv_id", order: str = "tu
 
 def last_n_exchanges_balanced(ex: DataFrame, n: int = DEFAULT_HISTORY, conv: str = "conv_id",
                               out_col: str = "history") -> DataFrame:
-    """W1 without a conversation window: each exchange asks for the exchange
-    numbers `ex_no - n .. ex_no - 1` (n rows, exploded), an equality join on
-    (conversation, exchange number) fetches them, and a group of at most n
-    items per exchange is collected in order. Same result as
-    `last_n_exchanges`."""
+    """W1 without a conversation window: each exchange asks for the numbers of
+    the `n` answered exchanges before it (n rows, exploded), an equality join on
+    (conversation, number) fetches them, and a group of at most n items per
+    exchange is collected in order. Same result as `last_n_exchanges`."""
     if n <= 0:
         return ex.withColumn(out_col, F.array().cast(T.ArrayType(EXCHANGE)))
-    want = ex.select(conv, "ex_no", F.explode(F.sequence(F.lit(1), F.lit(n))).alias("__back"))
-    prev = ex.filter(F.col("a").isNotNull()).select(conv, F.col("ex_no").alias("__pno"), "q", "a")
-    got = (want.withColumn("__pno", F.col("ex_no") - F.col("__back"))
+    numbered = answered_before(ex, conv, out_col="__b")
+    want = numbered.select(conv, "ex_no", "__b", F.explode(F.sequence(F.lit(1), F.lit(n))).alias("__back"))
+    prev = numbered.filter(F.col("a").isNotNull()).select(conv, F.col("__b").alias("__pno"), "q", "a")
+    got = (want.withColumn("__pno", F.col("__b") - F.col("__back"))
                .join(prev, [conv, "__pno"])
                .groupBy(conv, "ex_no")
                .agg(F.array_sort(F.collect_list(F.struct("__pno", "q", "a"))).alias("__h")))

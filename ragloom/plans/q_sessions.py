@@ -38,31 +38,44 @@ def _conv(spark, sf_dir):
 
 
 def _exchanges(spark, sf_dir):
-    turns = S.truncate_at_exit(S.skip_blank_turns(_conv(spark, sf_dir)))
+    turns = S.truncate_at_exit(S.skip_blank_inputs(_conv(spark, sf_dir)))
     return S.pair_exchanges(turns)
 
 
-_EX_SQL = f"""
+def _ex_sql(src: str = "conversations") -> str:
+    """Exchanges by numbering the user turns and taking each number's first reply."""
+    return f"""
+live AS (
+  SELECT * FROM (
+    SELECT *, max(CASE WHEN role = 'user' AND lower(text) IN ('exit', 'quit', 'q') THEN 1 ELSE 0 END)
+      OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ended
+    FROM {src} WHERE text IS NOT NULL
+      AND NOT (role = 'user' AND regexp_replace(text, '{S.STRIP_PATTERN}', '', 'g') = '')) WHERE ended = 0
+),
+numbered AS (
+  SELECT *, (count(*) FILTER (WHERE role = 'user') OVER (PARTITION BY conv_id ORDER BY turn))::INTEGER AS ex_no FROM live
+),
 ex AS (
-  SELECT conv_id, turn, (row_number() OVER (PARTITION BY conv_id ORDER BY turn))::INTEGER AS ex_no, q, a
-  FROM (SELECT conv_id, turn, role, text AS q,
-               CASE WHEN lead(role) OVER w = 'assistant' THEN lead(text) OVER w END AS a
-        FROM (SELECT * FROM (
-                SELECT *, max(CASE WHEN role = 'user' AND lower(text) IN ('exit', 'quit', 'q') THEN 1 ELSE 0 END)
-                  OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ended
-                FROM conversations WHERE regexp_replace(text, '{S.STRIP_PATTERN}', '', 'g') <> '') WHERE ended = 0)
-        WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
-  WHERE role = 'user'
+  SELECT conv_id, min(turn) FILTER (WHERE role = 'user') AS turn, ex_no,
+         arg_min(text, turn) FILTER (WHERE role = 'user') AS q,
+         arg_min(text, turn) FILTER (WHERE role = 'assistant') AS a
+  FROM numbered WHERE ex_no > 0 GROUP BY conv_id, ex_no
 )"""
 
 
+_EX_SQL = _ex_sql()
+
+
 @register("pair_exchanges", f"WITH {_EX_SQL} SELECT conv_id, turn, ex_no, q, a FROM ex")
 def q_pair_exchanges(spark, sf_dir):
-    """W4 + W5: user turn with the following assistant turn; unanswered keeps a null answer."""
+    """W4 + W5: user turn with its first reply; unanswered keeps a null answer."""
     return _exchanges(spark, sf_dir).select("conv_id", "turn", "ex_no", "q", "a")
 
 
-_HIST = "list_filter(list({{'q': q, 'a': a}}) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN {lo} PRECEDING AND {hi}), lambda x: x.a IS NOT NULL)"
+_ANSWERED = "list({'q': q, 'a': a}) FILTER (WHERE a IS NOT NULL) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND "
+#: The answered exchanges before each exchange, cut to the last three.
+_SHOWN3 = f"({_ANSWERED} 1 PRECEDING))[-3:]"
+_KEPT6 = f"({_ANSWERED} CURRENT ROW))[-6:]"
 
 
 def _render_sql(h: str) -> str:
@@ -75,7 +88,7 @@ def _render(col: str):
 
 @register("history_last3", f"""
 WITH {_EX_SQL},
-h AS (SELECT conv_id, turn, {_HIST.format(lo=3, hi='1 PRECEDING')} AS h FROM ex)
+h AS (SELECT conv_id, turn, {_SHOWN3} AS h FROM ex)
 SELECT conv_id, turn, coalesce(len(h), 0)::INTEGER AS n_hist, {_render_sql('h')} AS history_text FROM h
 """)
 def q_history_last3(spark, sf_dir):
@@ -86,7 +99,7 @@ def q_history_last3(spark, sf_dir):
 
 @register("history_last3_blocked", f"""
 WITH {_EX_SQL},
-h AS (SELECT conv_id, turn, {_HIST.format(lo=3, hi='1 PRECEDING')} AS h FROM ex)
+h AS (SELECT conv_id, turn, {_SHOWN3} AS h FROM ex)
 SELECT conv_id, turn, coalesce(len(h), 0)::INTEGER AS n_hist, {_render_sql('h')} AS history_text FROM h
 """)
 def q_history_last3_blocked(spark, sf_dir):
@@ -97,7 +110,7 @@ def q_history_last3_blocked(spark, sf_dir):
 
 @register("history_kept6", f"""
 WITH {_EX_SQL},
-h AS (SELECT conv_id, turn, {_HIST.format(lo=5, hi='CURRENT ROW')} AS h FROM ex)
+h AS (SELECT conv_id, turn, {_KEPT6} AS h FROM ex)
 SELECT conv_id, turn, coalesce(len(h), 0)::INTEGER AS n_kept, {_render_sql('h')} AS kept_text,
        {_render_sql('h[greatest(len(h) - 2, 1):]')} AS shown_next
 FROM h
@@ -154,7 +167,7 @@ def q_collect_messages(spark, sf_dir):
 
 @register("history_query", f"""
 WITH {_EX_SQL},
-h AS (SELECT conv_id, turn, q, {_HIST.format(lo=3, hi='1 PRECEDING')} AS h FROM ex)
+h AS (SELECT conv_id, turn, q, {_SHOWN3} AS h FROM ex)
 SELECT conv_id, turn,
   CASE WHEN coalesce(len(h), 0) > 0 THEN
     array_to_string(list_transform(h, lambda x, i: 'Previous question ' || i::VARCHAR || ': ' || x.q || chr(10)
@@ -261,7 +274,7 @@ def q_join_transcript(spark, sf_dir):
 
 _CHAT_Q_SQL = f"""
 {_EX_SQL},
-hq AS (SELECT conv_id, turn, q, {_HIST.format(lo=3, hi='1 PRECEDING')} AS h FROM ex),
+hq AS (SELECT conv_id, turn, q, {_SHOWN3} AS h FROM ex),
 chatq AS (
   SELECT conv_id, turn,
     CASE WHEN coalesce(len(h), 0) > 0 THEN
@@ -312,7 +325,7 @@ def q_chat_prompts(spark, sf_dir):
 
 @register("history_last3_balanced", f"""
 WITH {_EX_SQL},
-h AS (SELECT conv_id, turn, {_HIST.format(lo=3, hi='1 PRECEDING')} AS h FROM ex)
+h AS (SELECT conv_id, turn, {_SHOWN3} AS h FROM ex)
 SELECT conv_id, turn, coalesce(len(h), 0)::INTEGER AS n_hist, {_render_sql('h')} AS history_text FROM h
 """)
 def q_history_last3_balanced(spark, sf_dir):
@@ -320,3 +333,57 @@ def q_history_last3_balanced(spark, sf_dir):
     position): no task holds a whole conversation. Same result as `history_last3`."""
     ex = S.last_n_exchanges_balanced(S.exchanges_balanced(_conv(spark, sf_dir)), 3)
     return ex.select("conv_id", "turn", F.size("history").alias("n_hist"), _render("history").alias("history_text"))
+
+
+# --- Irregular conversations: the cases the table itself never holds -----------
+
+_IRREGULAR_SQL = """
+irregular AS (
+  SELECT conv_id, turn * 10 AS turn,
+         CASE WHEN role = 'assistant' AND (conv_id + turn) % 7 = 1 THEN 'tool' ELSE role END AS role,
+         CASE WHEN (conv_id + turn) % 5 = 2 THEN '  ' ELSE text END AS text
+  FROM conversations
+  UNION ALL
+  SELECT conv_id, turn * 10 + 5, 'system', 'note' FROM conversations WHERE (conv_id + turn) % 3 = 0
+)"""
+
+
+def irregular_turns(conv):
+    """Every conversation with replies lost to other roles (unanswered turns),
+    blank questions and blank replies, and system turns in between."""
+    n = F.col("conv_id") + F.col("turn")
+    told = conv.select("conv_id", (F.col("turn") * 10).alias("turn"),
+                       F.when((F.col("role") == "assistant") & (n % 7 == 1), F.lit("tool")).otherwise(F.col("role")).alias("role"),
+                       F.when(n % 5 == 2, F.lit("  ")).otherwise(F.col("text")).alias("text"))
+    notes = conv.filter(n % 3 == 0).select("conv_id", (F.col("turn") * 10 + 5).alias("turn"),
+                                           F.lit("system").alias("role"), F.lit("note").alias("text"))
+    return told.unionByName(notes)
+
+
+@register("history_irregular", f"""
+WITH {_IRREGULAR_SQL},
+{_ex_sql("irregular")},
+h AS (SELECT conv_id, turn, a, {_SHOWN3} AS h, {_KEPT6} AS k FROM ex)
+SELECT conv_id, turn, a IS NOT NULL AS answered, coalesce(len(h), 0)::INTEGER AS n_hist, {_render_sql('h')} AS history_text,
+       {_render_sql('k')} AS kept_text
+FROM h
+""")
+def q_history_irregular(spark, sf_dir):
+    """W4 + W1 + W3 with unanswered turns inside conversations, blank questions
+    and replies, and system turns between a question and its reply."""
+    turns = irregular_turns(_conv(spark, sf_dir))
+    ex = S.retained_history(S.last_n_exchanges(S.pair_exchanges(S.truncate_at_exit(S.skip_blank_inputs(turns))), 3), 3)
+    return ex.select("conv_id", "turn", F.col("a").isNotNull().alias("answered"), F.size("history").alias("n_hist"),
+                     _render("history").alias("history_text"), _render("kept").alias("kept_text"))
+
+
+@register("history_irregular_balanced", f"""
+WITH {_IRREGULAR_SQL},
+{_ex_sql("irregular")},
+h AS (SELECT conv_id, turn, {_SHOWN3} AS h FROM ex)
+SELECT conv_id, turn, coalesce(len(h), 0)::INTEGER AS n_hist, {_render_sql('h')} AS history_text FROM h
+""")
+def q_history_irregular_balanced(spark, sf_dir):
+    """The same turns with every shuffle keyed by (conversation, position)."""
+    ex = S.last_n_exchanges_balanced(S.exchanges_balanced(irregular_turns(_conv(spark, sf_dir))), 3)
+    return ex.select("conv_id", "turn", F.size("history").alias("n_hist"), _render("history").alias("history_text"))

@@ -116,7 +116,7 @@ def test_prompts(spark):
 
 
 def _windowed(df, n=3):
-    ex = S.pair_exchanges(S.truncate_at_exit(S.skip_blank_turns(df)))
+    ex = S.pair_exchanges(S.truncate_at_exit(S.skip_blank_inputs(df)))
     return S.last_n_exchanges(ex, n).select("conv_id", "turn", "ex_no", "q", "a", "history")
 
 
@@ -145,10 +145,53 @@ def test_balanced_equals_windowed_hot_conversation(spark):
     assert w.exceptAll(b).count() == 0
 
 
-def test_flow_switches_to_balanced_for_long_conversations(spark):
-    from ragloom.plans.flows import chat_queries
+def test_flow_equals_windows(spark):
+    from ragloom.plans.flows import exchanges_with_history
     rows = [(1, t, "user" if t % 2 == 0 else "assistant", f"m{t}") for t in range(40)]
     df = spark.createDataFrame(rows, CONV)
-    a = chat_queries(df, 3)                            # windows
-    b = chat_queries(df, 3, max_window_group=10)       # balanced
+    a, b = _windowed(df), exchanges_with_history(df, 3).select(*_windowed(df).columns)
     assert a.count() == 20 and a.exceptAll(b).count() == 0
+
+
+IRREGULAR = [(1, 0, "user", "q0"), (1, 1, "assistant", "a0"), (1, 2, "user", "q1"), (1, 3, "system", "s"),
+             (1, 4, "assistant", "a1"), (1, 5, "user", "q2"), (1, 6, "assistant", "  "), (1, 7, "user", "lost"),
+             (1, 8, "user", " "), (1, 9, "user", "q3"), (1, 10, "assistant", "a3"), (1, 11, "assistant", "more"),
+             (1, 12, "user", "q4"), (1, 13, "assistant", None), (1, 14, "user", "q5")]
+SHOWN = {0: [], 2: [("q0", "a0")], 5: [("q0", "a0"), ("q1", "a1")], 7: [("q0", "a0"), ("q1", "a1"), ("q2", "  ")],
+         9: [("q0", "a0"), ("q1", "a1"), ("q2", "  ")], 12: [("q1", "a1"), ("q2", "  "), ("q3", "a3")],
+         14: [("q1", "a1"), ("q2", "  "), ("q3", "a3")]}
+
+
+def _shown(df):
+    return {r["turn"]: [(h["q"], h["a"]) for h in r["history"]] for r in df.collect()}
+
+
+def test_history_counts_answered_exchanges(spark):
+    """Unanswered turns take no place; other roles, blank and null replies follow one rule."""
+    turns = spark.createDataFrame(IRREGULAR, CONV)
+    ex = S.pair_exchanges(S.truncate_at_exit(S.skip_blank_inputs(turns)))
+    assert _shown(S.last_n_exchanges(ex, 3)) == SHOWN
+    assert _shown(S.last_n_exchanges(ex, 3, block=3)) == SHOWN
+    assert _shown(S.last_n_exchanges_balanced(S.exchanges_balanced(turns), 3)) == SHOWN
+    kept = {r["turn"]: [h["q"] for h in r["kept"]] for r in S.retained_history(ex, 1).collect()}
+    assert kept == {0: ["q0"], 2: ["q0", "q1"], 5: ["q1", "q2"], 7: ["q1", "q2"], 9: ["q2", "q3"], 12: ["q2", "q3"],
+                    14: ["q2", "q3"]}
+
+
+def test_answered_before_over_blocks(spark):
+    ex = S.pair_exchanges(S.skip_blank_inputs(spark.createDataFrame(IRREGULAR, CONV)))
+    for block in (1, 2, 100):
+        got = {r["turn"]: r["n_before"] for r in S.answered_before(ex, block=block).collect()}
+        assert got == {0: 0, 2: 1, 5: 2, 7: 3, 9: 3, 12: 4, 14: 4}
+
+
+def test_stream_history_follows_the_batch_rule(spark, tmpdir_path):
+    from ragloom.streaming import history as SH
+    from ragloom.streaming import retrieve as SR
+    spark.createDataFrame(IRREGULAR, CONV).write.parquet(tmpdir_path + "/turns")
+    for n in (3, 0):
+        turns = spark.readStream.schema(CONV).parquet(tmpdir_path + "/turns")
+        out = f"{tmpdir_path}/out{n}"
+        SR.run_to_parquet(SH.stream_history(turns, n), out, out + "-ckpt")
+        got = {r["turn"]: r["history_text"] for r in spark.read.parquet(out).collect()}
+        assert got == {t: "\n".join(f"{q} -> {a}" for q, a in h) if n else "" for t, h in SHOWN.items()}

@@ -28,7 +28,7 @@ def _split_files(spark, src_df, out_dir, n_parts, col="turn"):
 
 
 def _batch_history(spark, conv):
-    ex = S.last_n_exchanges(S.pair_exchanges(S.truncate_at_exit(S.skip_blank_turns(conv))), 3)
+    ex = S.last_n_exchanges(S.pair_exchanges(S.truncate_at_exit(S.skip_blank_inputs(conv))), 3)
     return ex.select("conv_id", "turn", F.size("history").alias("n_hist"),
                      F.array_join(F.transform("history", lambda x: F.concat(x["q"], F.lit(" -> "), x["a"])), "\n")
                      .alias("history_text"))
