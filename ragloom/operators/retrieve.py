@@ -388,8 +388,9 @@ def ann_join(queries: DataFrame, assigned: DataFrame, centroids: DataFrame, q_ke
     * Nearest cells per query: the centroid table has `n_cells` rows (a
       parameter), attached to every query as one array literal and ranked with
       JVM array functions — no query×centroid join.
-    * The probe lists and query vectors (bounded: at most `max_probes`
-      (query, cell) pairs, counted before use) are broadcast; the corpus scan
+    * The probe lists and query vectors are broadcast when they are at most
+      `max_probes` (query, cell) pairs (counted before use; beyond it both
+      sides meet by shuffle, see `_ann_shuffled`); the corpus scan
       keeps only probed cells (`cell IN (...)`: on a store partitioned by cell
       this prunes whole folders at planning time).
     * Each task scores its rows only against the queries probing their cell,
@@ -408,7 +409,7 @@ def ann_join(queries: DataFrame, assigned: DataFrame, centroids: DataFrame, q_ke
     probes = probes.persist(StorageLevel.MEMORY_AND_DISK)       # computed once: counted, then shipped
     if probes.select(F.explode("__cells")).count() > max_probes:
         probes.unpersist()
-        raise ValueError(f"ann_join: more than {max_probes} (query, cell) probes; split the query set")
+        return _ann_shuffled(probes, assigned, q_key, c_key, vec_col, k)
     pp = probes.toPandas()
     probes.unpersist()
     spark = assigned.sparkSession
@@ -433,6 +434,46 @@ def ann_join(queries: DataFrame, assigned: DataFrame, centroids: DataFrame, q_ke
     return top_k(scored, [q_key], [F.desc("score"), F.asc(c_key)], k)
 
 
+def _ann_shuffled(probes: DataFrame, assigned: DataFrame, q_key: str, c_key: str, vec_col: str, k: int,
+                  block: int = 2048) -> DataFrame:
+    """Exact ranking within the probed cells for any number of queries, in one
+    job: a cell's queries and vectors are split by hash into blocks of about
+    `block` rows, every query block meets every vector block of its cell in a
+    group of its own, and a group returns only candidates for a top-k."""
+    asked = probes.select(q_key, "__qv", F.explode("__cells").alias("cell"))
+    vectors = assigned.select(c_key, "cell", vec_col)
+
+    def blocks(df):
+        return df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("n"))
+    sizes = blocks(asked).withColumnRenamed("n", "__nq").join(blocks(vectors).withColumnRenamed("n", "__nc"), "cell")
+
+    def part(key, n):
+        return F.pmod(F.xxhash64(key), F.col(n)).cast("int")
+
+    def each(n):
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = asked.join(sizes, "cell").withColumn("__q", part(q_key, "__nq")).withColumn("__c", each("__nc"))
+    right = vectors.join(sizes, "cell").withColumn("__c", part(c_key, "__nc")).withColumn("__q", each("__nq"))
+    margin = 10.0 ** -SCORE_PLACES
+
+    def rank(qs: pd.DataFrame, cs: pd.DataFrame) -> pd.DataFrame:
+        if not len(qs) or not len(cs):
+            return pd.DataFrame({"__qid": qs[q_key][:0], c_key: cs[c_key][:0], "__score": np.empty(0)})
+        a, b = (np.stack([np.asarray(v, np.float64) for v in col]) for col in (qs["__qv"], cs[vec_col]))
+        s = a @ b.T
+        low = np.partition(s, len(cs) - k, axis=1)[:, len(cs) - k, None] - margin if len(cs) > k else -np.inf
+        r, c = np.nonzero(s >= low)
+        return pd.DataFrame({"__qid": qs[q_key].to_numpy()[r], c_key: cs[c_key].to_numpy()[c], "__score": s[r, c]})
+
+    schema = T.StructType([T.StructField("__qid", probes.schema[q_key].dataType), vectors.schema[c_key],
+                           T.StructField("__score", T.DoubleType())])
+    keys = ["cell", "__q", "__c"]
+    near = (left.select(*keys, q_key, "__qv").groupBy(*keys)
+                .cogroup(right.select(*keys, c_key, vec_col).groupBy(*keys)).applyInPandas(rank, schema))
+    scored = near.select(F.col("__qid").alias(q_key), c_key, F.round("__score", SCORE_PLACES).alias("score"))
+    return top_k(scored, [q_key], [F.desc("score"), F.asc(c_key)], k)
+
+
 def ivf_write(assigned: DataFrame, path: str) -> None:
     """Persist an IVF-assigned corpus partitioned by `cell`: a probe then reads
     only the folders of the probed cells (the `cell IN (...)` filter of

@@ -51,11 +51,13 @@ def _strict_friend(f: Column) -> Column:
 
 
 def _lax_int(v: Column) -> Column:
-    """Lax integer: whole numbers, integer strings, booleans; else null."""
+    """Lax integer: whole numbers (never through double unless written as one),
+    integer strings, booleans; else, or beyond 64 bits, null."""
     t = _vtype(v)
     s = F.trim(F.try_variant_get(v, "$", "string"))
-    return (F.when(_is_whole_number(v), F.try_variant_get(v, "$", "double").cast("long"))
-             .when((t == "STRING") & s.rlike(r"^[+-]?[0-9]+$"), s.cast("long"))
+    return (F.when(t == "DOUBLE", F.when(_is_whole_number(v), F.try_variant_get(v, "$", "double").try_cast("long")))
+             .when(_is_whole_number(v), F.try_variant_get(v, "$", "long"))
+             .when((t == "STRING") & s.rlike(r"^[+-]?[0-9]+$"), s.try_cast("long"))
              .when(t == "BOOLEAN", F.try_variant_get(v, "$", "boolean").cast("long")))
 
 

@@ -49,6 +49,7 @@ ALERT_DEFAULTS = {
 }
 BLOCK_SEP = "\n---\n"
 FORECAST_PERIODS = 5
+MONEY = "decimal(38,12)"
 WEATHER_URL = "https://wttr.in/{location}?format=%C+%t"
 
 CALL = T.StructType([T.StructField("function", T.StructType([
@@ -66,7 +67,7 @@ ALERTS_PAYLOAD = T.StructType([T.StructField("features", T.ArrayType(
 POINT_PAYLOAD = T.StructType([T.StructField("properties", T.StructType([
     T.StructField("forecast", T.StringType())]))])
 PERIOD = T.StructType([
-    T.StructField("name", T.StringType()), T.StructField("temperature", T.LongType()),
+    T.StructField("name", T.StringType()), T.StructField("temperature", T.StringType()),
     T.StructField("temperatureUnit", T.StringType()), T.StructField("windSpeed", T.StringType()),
     T.StructField("windDirection", T.StringType()), T.StructField("detailedForecast", T.StringType())])
 FORECAST_PAYLOAD = T.StructType([T.StructField("properties", T.StructType([
@@ -93,10 +94,11 @@ def explode_calls(replies: DataFrame, keys: list[str], reply_col: str = "reply")
 
 def int_arg(args: Column | str, key: str) -> Column:
     """an argument as an integer the way `int(x)` reads a string: surrounding
-    spaces allowed, decimals rejected (null = the handler would raise)."""
+    spaces allowed, decimals rejected (null = the handler would raise, or more
+    than 38 digits)."""
     a = F.col(args) if isinstance(args, str) else args
     v = F.trim(a.getItem(key))
-    return F.when(v.rlike(r"^[+-]?[0-9]+$"), v.cast("bigint"))
+    return F.when(v.rlike(r"^[+-]?[0-9]+$"), v.try_cast("decimal(38,0)"))
 
 
 def dispatch(calls: DataFrame, reg: DataFrame) -> DataFrame:
@@ -111,8 +113,8 @@ def builtin_output(name: Column, args: Column) -> Column:
     """H2 for the integer tools and the not-found branch; other tools' outputs
     come from joins (J7, J8)."""
     a, b = int_arg(args, "a"), int_arg(args, "b")
-    return (F.when(name == "add_two_numbers", (a + b).cast("string"))
-             .when(name == "subtract_two_numbers", (a - b).cast("string")))
+    return (F.when(name == "add_two_numbers", F.try_add(a, b).cast("string"))
+             .when(name == "subtract_two_numbers", F.try_subtract(a, b).cast("string")))
 
 
 def query_params(from_col: Column | str, to_col: Column | str) -> Column:
@@ -149,31 +151,36 @@ def date_range_summary(calls: DataFrame, deployments: DataFrame, call_keys: list
     (one row per day of the table's date span — bounded by the calendar, not
     by the data, and size-checked before broadcast), and each call reads two
     running totals by equality: at its upper bound and on the day before its
-    lower bound. Open bounds use the ends of the calendar.
+    lower bound. Open bounds use the ends of the calendar. Totals are decimals
+    (12 places), so a small day after a huge one keeps its cents. A bound that
+    is no date gives null count and total: the request would fail.
     """
     per_day = (deployments.groupBy(F.to_date(ts_col).alias("day"))
-                          .agg(F.count(F.lit(1)).alias("__n"), F.sum(value_col).alias("__v")))
+                          .agg(F.count(F.lit(1)).alias("__n"), F.sum(F.col(value_col).try_cast(MONEY)).alias("__v")))
     first = per_day.select(F.date_sub(F.min("day"), 1)).scalar()    # day before the first day
     last = per_day.select(F.max("day")).scalar()
     cal = per_day.sparkSession.range(1).select(F.explode(F.sequence(first, last)).alias("day"))
     w = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cum = (cal.join(per_day, "day", "left")
               .select("day", F.sum(F.coalesce("__n", F.lit(0))).over(w).alias("__cn"),
-                      F.sum(F.coalesce("__v", F.lit(0.0))).over(w).alias("__cv")))
+                      F.sum(F.coalesce("__v", F.lit(0).cast(MONEY))).over(w).alias("__cv")))
     cum, _ = broadcast_if_small(cum)
-    f = F.to_date(F.nullif(F.col("fromDate"), F.lit("")))
-    t = F.to_date(F.nullif(F.col("toDate"), F.lit("")))
+    said_f, said_t = F.nullif(F.col("fromDate"), F.lit("")), F.nullif(F.col("toDate"), F.lit(""))
+    f, t = said_f.try_cast("date"), said_t.try_cast("date")
+    bad = (said_f.isNotNull() & f.isNull()) | (said_t.isNotNull() & t.isNull())
 
     def clip(d):
         return F.least(F.greatest(d, first), last)
     c = (calls.withColumn("__hi", clip(F.coalesce(t, last)))
               .withColumn("__lo", clip(F.coalesce(F.date_sub(f, 1), first)))
+              .withColumn("__bad", bad)
               .withColumn("__empty", F.coalesce(f > t, F.lit(False)) | (F.col("__hi") <= F.col("__lo"))))
     hi = cum.select(F.col("day").alias("__hi"), F.col("__cn").alias("__hn"), F.col("__cv").alias("__hv"))
     lo = cum.select(F.col("day").alias("__lo"), F.col("__cn").alias("__ln"), F.col("__cv").alias("__lv"))
     j = c.join(hi, "__hi", "left").join(lo, "__lo", "left")
-    n = F.when(F.col("__empty"), F.lit(0)).otherwise(F.col("__hn") - F.col("__ln"))
-    v = F.when(F.col("__empty"), F.lit(0.0)).otherwise(F.col("__hv") - F.col("__lv"))
+    n = F.when(~F.col("__bad"), F.when(F.col("__empty"), F.lit(0)).otherwise(F.col("__hn") - F.col("__ln")))
+    v = F.when(~F.col("__bad"), F.when(F.col("__empty"), F.lit(0.0)).otherwise(
+        (F.col("__hv") - F.col("__lv")).cast("double")))
     return j.select(*call_keys, n.cast("long").alias("n_deployments"), F.round(v, 2).alias("total_value"))
 
 
@@ -206,9 +213,12 @@ def summarize_alerts(payload: Column) -> Column:
 
 
 def format_period(p: Column) -> Column:
-    return F.concat(F.lit("\n"), p["name"], F.lit(":\nTemperature: "), p["temperature"].cast("string"),
-                    F.lit("°"), p["temperatureUnit"], F.lit("\nWind: "), p["windSpeed"], F.lit(" "),
-                    p["windDirection"], F.lit("\nForecast: "), p["detailedForecast"], F.lit("\n"))
+    """One forecast period; a missing or null part reads `None`, numbers as written."""
+    def g(k):
+        return F.coalesce(p[k], F.lit("None"))
+    return F.concat(F.lit("\n"), g("name"), F.lit(":\nTemperature: "), g("temperature"),
+                    F.lit("°"), g("temperatureUnit"), F.lit("\nWind: "), g("windSpeed"), F.lit(" "),
+                    g("windDirection"), F.lit("\nForecast: "), g("detailedForecast"), F.lit("\n"))
 
 
 def format_forecast(payload: Column, periods: int = FORECAST_PERIODS) -> Column:

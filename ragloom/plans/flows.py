@@ -31,21 +31,23 @@ def document_rows(docs: DataFrame, size: int = C.DEFAULT_CHUNK_SIZE, overlap: in
                   dims: int = V.DEFAULT_DIMS) -> DataFrame:
     """Documents `(source, page, text)` → collection rows: recursive chunks
     (C2), sanitised metadata (P4), hashed term counts as aligned arrays, and
-    deterministic ids `{source}_{page * 100000 + chunk}`. Used by the batch
+    deterministic ids `{source}_{page}_{chunk}`; `chunk_no` holds page and chunk
+    in the upper and lower half of a long. A chunk without tokens is stored
+    with empty arrays. Used by the batch
     flow (E1) and, per micro-batch, by the streaming ingest (S16)."""
     chunks = C.chunk_recursive(docs, "text", size, overlap)
     meta = M.sanitize_metadata(F.parse_json(F.to_json(F.struct(F.col("source"), F.col("page")))))
     chunks = chunks.select(F.col("source").alias("doc_id"), "page",
-                           (F.col("page") * 100000 + F.col("chunk_no")).alias("chunk_no"),
+                           F.concat_ws("_", "source", F.col("page").cast("string"), F.col("chunk_no").cast("string")).alias("id"),
+                           (F.shiftleft(F.col("page").cast("long"), 32) + F.col("chunk_no")).alias("chunk_no"),
                            "chunk", meta.alias("metadata"))
     tf = V.hashed_tf(chunks, ["doc_id", "chunk_no"], "chunk", dims)
     arrays = (tf.groupBy("doc_id", "chunk_no")
                 .agg(F.array_sort(F.collect_list(F.struct("dim", "tf"))).alias("__p"))
                 .select("doc_id", "chunk_no", F.transform("__p", lambda x: x["dim"]).alias("dims"),
                         F.transform("__p", lambda x: x["tf"]).alias("tfs")))
-    return (chunks.join(arrays, ["doc_id", "chunk_no"])
-                  .select(F.concat_ws("_", "doc_id", F.col("chunk_no").cast("string")).alias("id"),
-                          "doc_id", "chunk_no", F.col("chunk").alias("document"), "metadata", "dims", "tfs"))
+    return COL.with_counts(chunks, arrays).select("id", "doc_id", "chunk_no", F.col("chunk").alias("document"),
+                                                  "metadata", "dims", "tfs")
 
 
 def embed_directory(spark: SparkSession, root: str, store_path: str, extractors: dict[str, Callable] | None = None,
@@ -66,26 +68,16 @@ def embed_directory(spark: SparkSession, root: str, store_path: str, extractors:
             "added": added, "store": path}
 
 
-# Longest conversation (in turns) still handled by conversation windows; above
-# it the balanced form (no conversation-wide window) is used.
-MAX_WINDOW_GROUP = 1_000_000
+def exchanges_with_history(turns: DataFrame, n: int = S.DEFAULT_HISTORY) -> DataFrame:
+    """W4 + W1 over recorded turns, keyed by (conversation, position) at every
+    size: no task holds a whole conversation."""
+    return S.last_n_exchanges_balanced(S.exchanges_balanced(turns), n)
 
 
-def exchanges_with_history(turns: DataFrame, n: int = S.DEFAULT_HISTORY,
-                           max_window_group: int = MAX_WINDOW_GROUP) -> DataFrame:
-    """W4 + W1 over recorded turns, choosing the plan by a size check: the
-    longest conversation is measured (one map-side combined aggregate); if it
-    exceeds `max_window_group` turns, the balanced form is used."""
-    longest = turns.groupBy("conv_id").count().agg(F.max("count")).first()[0] or 0
-    if longest > max_window_group:
-        return S.last_n_exchanges_balanced(S.exchanges_balanced(turns), n)
-    return S.last_n_exchanges(S.pair_exchanges(S.truncate_at_exit(S.skip_blank_turns(turns))), n)
-
-
-def chat_queries(turns: DataFrame, n: int = S.DEFAULT_HISTORY, max_window_group: int = MAX_WINDOW_GROUP) -> DataFrame:
+def chat_queries(turns: DataFrame, n: int = S.DEFAULT_HISTORY) -> DataFrame:
     """Per user question: `(conv_id, turn, question, query)` where `query` is the
     history-enlarged text that gets embedded and searched."""
-    ex = exchanges_with_history(turns, n, max_window_group)
+    ex = exchanges_with_history(turns, n)
     return ex.select("conv_id", "turn", F.col("q").alias("question"), G.history_query("history", "q").alias("query"))
 
 

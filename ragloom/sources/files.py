@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import csv
 import io
+import sys
 from collections.abc import Callable
 
 import pandas as pd
@@ -76,48 +77,59 @@ def scan_text(spark: SparkSession, root: str) -> DataFrame:
 
 # Markdown → plain text: a documented subset of marks (headings, emphasis,
 # links and images, code fences and inline code, list bullets, quotes, rules).
+# Emphasis needs a mark that touches no letter, digit or like mark on its outer
+# side, so `snake_case` and `2*3*4` stay; line rules never cross a line break.
+_FENCE = r"(?m)^ {0,3}```[^\n]*$"
 _MD_RULES = [
-    (r"(?m)^```[^\n]*$", ""),
     (r"!\[([^\]]*)\]\([^)]*\)", "$1"),
     (r"\[([^\]]*)\]\([^)]*\)", "$1"),
-    (r"(?m)^\s{0,3}#{1,6}\s*", ""),
-    (r"(?m)^\s{0,3}>\s?", ""),
-    (r"(?m)^\s*[-*+]\s+", ""),
-    (r"(?m)^\s*([-*_]\s*){3,}$", ""),
-    (r"(\*\*|__)(.+?)\1", "$2"),
-    (r"(\*|_)(\S.*?)\1", "$2"),
-    (r"`([^`]*)`", "$1"),
+    (r"(?m)^ {0,3}#{1,6}[ \t]+", ""),
+    (r"(?m)^ {0,3}>[ \t]?", ""),
+    (r"(?m)^[ \t]*([-*_][ \t]*){3,}$", ""),
+    (r"(?m)^[ \t]*[-*+][ \t]+", ""),
+    (r"(?<![\p{L}\p{N}*`])\*\*(?=\S)(.+?)(?<=\S)\*\*(?![\p{L}\p{N}*`])", "$1"),
+    (r"(?<![\p{L}\p{N}_`])__(?=\S)(.+?)(?<=\S)__(?![\p{L}\p{N}_`])", "$1"),
+    (r"(?<![\p{L}\p{N}*`])\*(?=\S)([^*\n]*?)(?<=\S)\*(?![\p{L}\p{N}*`])", "$1"),
+    (r"(?<![\p{L}\p{N}_`])_(?=\S)([^_\n]*?)(?<=\S)_(?![\p{L}\p{N}_`])", "$1"),
+    (r"`([^`\n]*)`", "$1"),
     (r"\n{3,}", "\n\n"),
 ]
 
 # AsciiDoc → plain text subset: titles, attributes, block delimiters, links, emphasis.
+_ADOC_LISTING = r"(?m)^-{4,}[ \t]*$\n?"
 _ADOC_RULES = [
     (r"(?m)^:[A-Za-z0-9_-]+:.*$\n?", ""),
-    (r"(?m)^(----|====|\*\*\*\*|____|\.\.\.\.|\+\+\+\+)\s*$\n?", ""),
-    (r"(?m)^=+\s+", ""),
-    (r"(?m)^\.(?=\S)", ""),
+    (r"(?m)^(====|\*\*\*\*|____|\.\.\.\.|\+\+\+\+)[ \t]*$\n?", ""),
+    (r"(?m)^=+[ \t]+", ""),
+    (r"(?m)^\.(?=\p{L})", ""),
     (r"(?:link:)?(?:https?://[^\[\s]+)\[([^\]]*)\]", "$1"),
-    (r"\*([^*\n]+)\*", "$1"),
-    (r"_([^_\n]+)_", "$1"),
+    (r"(?<![\p{L}\p{N}*`])\*(?=\S)([^*\n]*?)(?<=\S)\*(?![\p{L}\p{N}*`])", "$1"),
+    (r"(?<![\p{L}\p{N}_`])_(?=\S)([^_\n]*?)(?<=\S)_(?![\p{L}\p{N}_`])", "$1"),
     (r"`([^`\n]+)`", "$1"),
     (r"\n{3,}", "\n\n"),
 ]
 
 
-def _apply(col: Column, rules) -> Column:
-    for pat, rep in rules:
-        col = F.regexp_replace(col, pat, rep)
-    return F.trim(col)
+def _apply(col: Column, rules, code: str) -> Column:
+    """`rules` over the prose between lines matching `code`; what stands
+    between the first and second such line (third and fourth ...) is code and
+    stays as it is."""
+    def prose(c):
+        for pat, rep in rules:
+            c = F.regexp_replace(c, pat, rep)
+        return c
+    parts = F.transform(F.split(col, code), lambda c, i: F.when(i % 2 == 0, prose(c)).otherwise(c))
+    return F.trim(F.array_join(parts, ""))
 
 
 def markdown_to_text(col: Column | str) -> Column:
     c = F.col(col) if isinstance(col, str) else col
-    return _apply(c, _MD_RULES)
+    return _apply(c, _MD_RULES, _FENCE)
 
 
 def asciidoc_to_text(col: Column | str) -> Column:
     c = F.col(col) if isinstance(col, str) else col
-    return _apply(c, _ADOC_RULES)
+    return _apply(c, _ADOC_RULES, _ADOC_LISTING)
 
 
 def scan_markdown(spark: SparkSession, root: str) -> DataFrame:
@@ -133,20 +145,20 @@ def scan_asciidoc(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _csv_rows(batches):
-    """Per file: one document per CSV row, text = `column: value` lines."""
+    """Per file: one document per CSV row, text = `column: value` lines. Fields
+    may have any length; a file that cannot be read to its end is one reject
+    and gives no documents."""
+    csv.field_size_limit(sys.maxsize)
     for pdf in batches:
-        out = []
         for path, content in zip(pdf["path"], pdf["content"]):
             try:
                 text = bytes(content).decode("utf-8-sig")
-                reader = csv.DictReader(io.StringIO(text))
-                for i, row in enumerate(reader):
-                    body = "\n".join(f"{k.strip() if k else k}: {v.strip() if isinstance(v, str) else v}"
-                                     for k, v in row.items())
-                    out.append((path, i, body, None))
+                out = [(path, i, "\n".join(f"{k.strip() if k else k}: {v.strip() if isinstance(v, str) else v}"
+                                           for k, v in row.items()), None)
+                       for i, row in enumerate(csv.DictReader(io.StringIO(text)))]
             except Exception as e:  # noqa: BLE001 — a bad file becomes a reject row
-                out.append((path, None, None, f"{type(e).__name__}: {e}"))
-        yield pd.DataFrame(out, columns=["source", "page", "text", "error"])
+                out = [(path, None, None, f"{type(e).__name__}: {e}")]
+            yield pd.DataFrame(out, columns=["source", "page", "text", "error"])
 
 
 def scan_csv_docs(spark: SparkSession, root: str) -> DataFrame:
@@ -159,17 +171,13 @@ def scan_csv_docs(spark: SparkSession, root: str) -> DataFrame:
 def _extract_with(extractor: Callable[[bytes, str], list[str] | str]):
     def run(batches):
         for pdf in batches:
-            out = []
             for path, content in zip(pdf["path"], pdf["content"]):
                 try:
                     pages = extractor(bytes(content), path)
-                    if isinstance(pages, str):
-                        pages = [pages]
-                    for i, p in enumerate(pages):
-                        out.append((path, i, p, None))
-                except Exception as e:  # noqa: BLE001
-                    out.append((path, None, None, f"{type(e).__name__}: {e}"))
-            yield pd.DataFrame(out, columns=["source", "page", "text", "error"])
+                    out = [(path, i, p, None) for i, p in enumerate([pages] if isinstance(pages, str) else pages)]
+                except Exception as e:  # noqa: BLE001 — all of a file or nothing
+                    out = [(path, None, None, f"{type(e).__name__}: {e}")]
+                yield pd.DataFrame(out, columns=["source", "page", "text", "error"])
     return run
 
 
