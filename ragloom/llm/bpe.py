@@ -213,14 +213,16 @@ class Fragments:
 _loaded: dict[str, tuple] = {}
 
 
-def codec(path: str) -> tuple[Fragments, list[bytes]]:
-    """(encoder, byte strings by id) of a byte-level tokenizer file, once per worker."""
-    if path not in _loaded:
+def codec(path: str, fragments: int = TABLE_FRAGMENTS) -> tuple[Fragments, list[bytes]]:
+    """(encoder, byte strings by id) of a byte-level tokenizer file, once per
+    worker; `fragments`: entries of its table."""
+    key = f"{path}:{fragments}"
+    if key not in _loaded:
         t = load(path)
         table = token_bytes(t)
-        encoder = Fragments(t, *certain_cuts(forced_pairs(table.values())), table=SMALL_TABLE)
-        _loaded[path] = encoder, [table.get(i, b"") for i in range(max(table) + 1)]
-    return _loaded[path]
+        encoder = Fragments(t, *certain_cuts(forced_pairs(table.values())), table=fragments)
+        _loaded[key] = encoder, [table.get(i, b"") for i in range(max(table) + 1)]
+    return _loaded[key]
 
 
 def decode_bytes(ids: np.ndarray, table: list[bytes]) -> str:
@@ -262,7 +264,7 @@ def encode_documents(docs: DataFrame, path: str, columns: list[str], text_col: s
 
     def run(batches):
         import pyarrow as pa
-        encoder = codec(path)[0]
+        encoder = codec(path, SMALL_TABLE)[0]
         for b in batches:
             for lo in range(0, b.num_rows, 256):
                 part = b.slice(lo, 256)
