@@ -3,6 +3,7 @@ and vectorised word hashing over batches of UTF-8 texts."""
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Iterator, Sequence
 
@@ -38,6 +39,18 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of one Arrow batch between the JVM and a Python worker. Both sides hold
+#: whole batches (the JVM outside its heap, in buffers that grow by doubling),
+#: and texts are long: Spark's own 64 MB are several hundred MB of an executor.
+ARROW_BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batch bound to ARROW_BATCH_BYTES. A batch ends
+    at the row that passes the bound, so texts stay whole and no row is lost."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
+
+
 def open_store(uri: str):
     """(filesystem, path) of a folder in the shared store, on any executor."""
     from pyarrow import fs
@@ -58,6 +71,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+@functools.lru_cache(maxsize=2)
+def _piece_powers(base: int) -> np.ndarray:
+    return _powers(base, PIECE_BYTES)
+
+
 def _powers(base: int, n: int) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     out[0] = 1
@@ -88,8 +106,7 @@ class Hasher:
         self.lower = np.arange(256, dtype=np.uint8)
         if lower:
             self.lower[65:91] += 32
-        self.pow = _powers(_BASE, PIECE_BYTES)
-        self.inv = _powers(_INVERSE, PIECE_BYTES)
+        self.pow, self.inv = _piece_powers(_BASE), _piece_powers(_INVERSE)  # shared by all hashers of a worker
 
     def words(self, texts: Sequence[bytes], prefixes: Sequence[int] = ()) -> tuple[Words, dict[int, np.ndarray]]:
         """All words of the texts; for each length in `prefixes` also the hash
