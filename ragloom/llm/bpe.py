@@ -23,6 +23,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ragloom.llm.common import release_memory
+
 #: Characters of a text that are split at once.
 SLICE_CHARS = 1 << 20
 #: Entries and ids a worker keeps before it starts its fragment table anew, and
@@ -108,9 +110,10 @@ class Fragments:
             more = rf"(?:(?<=[{blocked}])[{s}]+[^{s}]*)*" if blocked else ""
             self.pattern = re.compile(rf"[^{s}]+" if drop else rf"[{s}]*[^{s}]+{more}|[{s}]+")
             self.next = re.compile(rf"(?<=[^{s}{blocked}])(?=[{s}])")
-        self._new_table()
+        self.forget()
 
-    def _new_table(self) -> None:
+    def forget(self) -> None:
+        """Start the fragment table anew."""
         self.place: dict[str, int] = {}
         self.known: dict[str, list[int]] = {}
         self.count, self.used = 0, 0
@@ -167,7 +170,7 @@ class Fragments:
         """Ids of the fragments one after another, and the running count after each."""
         new = set(fragments).difference(self.place)
         if new and (self.count + len(new) > self.table or self.used > TABLE_IDS):
-            self._new_table()
+            self.forget()
             new = set(fragments)
         if new:
             self._learn(list(new))
@@ -272,6 +275,8 @@ def encode_documents(docs: DataFrame, path: str, columns: list[str], text_col: s
                 ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([*part.columns[1:], ids], [*columns, "token_ids"])
+        encoder.forget()
+        release_memory()
 
     return docs.select(F.col(text_col), *columns).mapInArrow(run, f"{kinds}, token_ids array<int>")
 

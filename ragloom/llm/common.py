@@ -3,6 +3,7 @@ and vectorised word hashing over batches of UTF-8 texts."""
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import uuid
 from collections.abc import Iterator, Sequence
@@ -51,6 +52,24 @@ def bound_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
 
 
+@functools.lru_cache(maxsize=1)
+def _trim():
+    """glibc's malloc_trim; elsewhere a function that does nothing."""
+    try:
+        return ctypes.CDLL("libc.so.6").malloc_trim
+    except (OSError, AttributeError):
+        return lambda pad: 0
+
+
+def release_memory() -> None:
+    """Give memory that Arrow and the allocator hold but no longer use back to
+    the system. Workers live on through the stages of an application: without
+    this each keeps what its largest batch took, beside the JVM's own peak."""
+    import pyarrow as pa
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
 def open_store(uri: str):
     """(filesystem, path) of a folder in the shared store, on any executor."""
     from pyarrow import fs

@@ -32,7 +32,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ragloom.llm.common import SPACE_BYTES, Hasher, keep, mix, pieces, utf8, windows
+from ragloom.llm.common import SPACE_BYTES, Hasher, keep, mix, pieces, release_memory, utf8, windows
 from ragloom.llm.graph import components
 
 COORDS = 64
@@ -109,6 +109,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(sig, pa.binary())],
                 ["doc_id", "n_shingles", "cls", "sig"])
+        release_memory()
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
         run, f"doc_id {kind}, n_shingles long, cls long, sig binary")
@@ -213,6 +214,7 @@ def confirmed_links(docs: DataFrame, reps: DataFrame, blocks: DataFrame, percent
             yield pa.RecordBatch.from_arrays(
                 [*rows.columns[1:], pa.array(sig, pa.binary()), pa.array(found, pa.binary())],
                 ["cls", "block", "p1", "p2", "piece", "sig", "shingles"])
+        release_memory()
 
     rows = texts.mapInArrow(sets, "cls long, block long, p1 int, p2 int, piece int, sig binary, shingles binary")
 
@@ -227,6 +229,8 @@ def confirmed_links(docs: DataFrame, reps: DataFrame, blocks: DataFrame, percent
                 held.setdefault(piece, {})[cls] = (cls, np.frombuffer(sig, np.uint32), np.frombuffer(found, np.uint64))
         if group:
             yield from flush(group, held)
+        group, held = None, {}
+        release_memory()
 
     def flush(group, held):
         _, p1, p2 = group

@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ragloom.llm.common import SPACE_BYTES, Hasher, keep, pieces, utf8, windows
+from ragloom.llm.common import SPACE_BYTES, Hasher, keep, pieces, release_memory, utf8, windows
 
 SIGNALS = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, "
            "n_repeat_words long, n_lines long")
@@ -84,6 +84,7 @@ def signals(text: Column) -> Column:
     @F.arrow_udf(f"struct<{SIGNALS.replace(' long', ':bigint')}>")
     def count(column):
         found = text_signals(utf8(column))
+        release_memory()
         return pa.StructArray.from_arrays([pa.array(v, pa.int64()) for v in found.values()], list(found))
 
     return count(text)
