@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ragloom.llm import bpe, decontam, hilbert, licenses, linededup, neardup, quality, tokenbin, toxicity, warc
+from ragloom.llm import bpe, convtrie, decontam, hilbert, licenses, linededup, neardup, quality, tokenbin, toxicity, warc
+from ragloom.llm.common import keep
 from ragloom.session import table
 
 #: Vocabulary files are a parameter: names in the public tokenizer folder.
@@ -92,9 +93,17 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host")
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = convtrie.number_turns(table(spark, sf_dir, "conversations"))
+    conv = F.col("conv_id")
+    ids, turns = convtrie.graft(keep(turns, "trie-turns"), conv - conv % 20, F.crc32(conv.cast("string").cast("binary")) % 4, 3)
+    return convtrie.trie(keep(ids, "trie-ids"), turns).select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_warc, op2_toxicity, op3_line_dedup, op4_decontamination, op5_bpe, op6_token_file, op7_sharding,
-    op8_licenses, op9_near_duplicates, op10_quality)}
+    op8_licenses, op9_near_duplicates, op10_quality, op11_conversation_trie)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
@@ -132,4 +141,40 @@ SELECT dw.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit
        sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM dw LEFT JOIN cov USING (doc_id) LEFT JOIN its USING (doc_id)"""
 
-ORACLE: dict[str, str] = {"op1_warc": _OP1_SQL, "op4_decontamination": _OP4_SQL}
+def _crc32_sql(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII text in DuckDB: a step for each bit of each byte."""
+    bit = "list_reduce(list_concat([xor(c, x)], range(0, 8)), lambda v, i: CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)"
+    codes = f"list_transform(string_split({text}, ''), lambda t: ascii(t)::BIGINT)"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {codes}), lambda c, x: {bit}), 4294967295)"
+
+
+_OP11_SQL = f"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS x,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k
+  FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+  SELECT conv_id, {_crc32_sql("conv_id::VARCHAR")} % 4 AS h,
+         list({{'r': r, 'x': x, 'w': len(regexp_extract_all(x, '[^\x20\x09-\x0D]+'))}} ORDER BY k) AS l FROM t GROUP BY conv_id
+), rb AS (
+  SELECT a.conv_id, list_concat(coalesce(b.l, [])[1:a.h], a.l[a.h + 1:]) AS l
+  FROM c a LEFT JOIN c b ON b.conv_id = a.conv_id - a.conv_id % 20
+), m AS (
+  SELECT conv_id, d, len(l) = d AS ends, sha256(l[1:d]::VARCHAR) || d AS p, coalesce(l[d].w, 0) AS w,
+         CASE WHEN d > 0 THEN sha256(l[1:d - 1]::VARCHAR) || (d - 1) END AS up
+  FROM (SELECT conv_id, l, unnest(range(0, len(l) + 1)) AS d FROM rb)
+), n AS (
+  SELECT p, d, any_value(up) AS up, any_value(w) AS w, min(conv_id) AS conv_id, count(*) AS n_convs,
+         coalesce(string_agg(CASE WHEN ends THEN conv_id::VARCHAR END, ',' ORDER BY conv_id), '') AS names
+  FROM m GROUP BY p, d
+), k AS (SELECT up AS p, count(*) AS n_children FROM n WHERE up IS NOT NULL GROUP BY up),
+s AS (
+  SELECT a.p, sum((b.n_convs - 1) * b.w) AS saved, count(*) FILTER (WHERE k.p IS NULL) AS leaves
+  FROM n b JOIN m a ON a.conv_id = b.conv_id AND a.d <= b.d LEFT JOIN k ON k.p = b.p GROUP BY a.p
+)
+SELECT n.conv_id, n.d::BIGINT AS depth, u.conv_id AS parent_conv_id, n.n_convs::BIGINT AS n_convs,
+       coalesce(k.n_children, 0)::BIGINT AS n_children, s.leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens,
+       sha256(n.names) AS ends_sha256
+FROM n JOIN s ON s.p = n.p LEFT JOIN k ON k.p = n.p LEFT JOIN n u ON u.p = n.up"""
+
+ORACLE: dict[str, str] = {"op1_warc": _OP1_SQL, "op4_decontamination": _OP4_SQL, "op11_conversation_trie": _OP11_SQL}
