@@ -212,7 +212,7 @@ def trie(ids: DataFrame, turns: DataFrame) -> DataFrame:
     distinct = keep(cut.groupBy("next").agg(
         F.count(F.lit(1)).alias("n"), F.min("conv_id").alias("owner"),
         *(F.first(c).alias(c) for c in ("b", "key", "before", "parts"))), "trie-distinct")
-    forks = distinct.groupBy("key").agg(F.count(F.lit(1)).alias("ways")).where("ways > 1")
+    forks = keep(distinct.groupBy("key").agg(F.count(F.lit(1)).alias("ways")).where("ways > 1"), "trie-forks")
     steps = distinct.join(forks, "key", "left").select(
         F.col("next").alias("block"), "n", "owner", F.col("ways").isNotNull().alias("forked"), "b", F.explode(_steps(0)).alias("s"))
     steps = keep(steps.select("block", "n", "owner", "forked", F.col("s.next").alias("node"), F.col("s.key").alias("parent"),

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ragloom.llm import bpe, convtrie, decontam, hilbert, licenses, linededup, neardup, quality, tokenbin, toxicity, warc
+from ragloom.llm import bpe, convtrie, decontam, hilbert, licenses, linededup, merkle, neardup, quality, rlz, tokenbin, toxicity, warc
 from ragloom.llm.common import keep
 from ragloom.session import table
 
@@ -101,9 +101,24 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    cut = [*whole[:-1], F.replace(F.col("text"), F.lit("\n"), F.lit(""))]
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    leaf = merkle.row_digest(whole)
+    return merkle.verify(table(spark, sf_dir, "documents").select(
+        "doc_id", "source", leaf.alias("leaf"), F.when(tampered, merkle.row_digest(cut)).otherwise(leaf).alias("seen")))
+
+
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rlz.drop_repeats(table(spark, sf_dir, "documents"), with_text=False).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_warc, op2_toxicity, op3_line_dedup, op4_decontamination, op5_bpe, op6_token_file, op7_sharding,
-    op8_licenses, op9_near_duplicates, op10_quality, op11_conversation_trie)}
+    op8_licenses, op9_near_duplicates, op10_quality, op11_conversation_trie,
+    op12_merkle_manifest, op13_substring_dedup)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
@@ -177,4 +192,61 @@ SELECT n.conv_id, n.d::BIGINT AS depth, u.conv_id AS parent_conv_id, n.n_convs::
        sha256(n.names) AS ends_sha256
 FROM n JOIN s ON s.p = n.p LEFT JOIN k ON k.p = n.p LEFT JOIN n u ON u.p = n.up"""
 
-ORACLE: dict[str, str] = {"op1_warc": _OP1_SQL, "op4_decontamination": _OP4_SQL, "op11_conversation_trie": _OP11_SQL}
+_FIELD = "coalesce(octet_length(encode({0}::VARCHAR)) || ':' || {0}::VARCHAR, '-')"
+_FIELDS = " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars"))
+
+_OP12_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, source, sha256({_FIELDS} || {_FIELD.format("text")}) AS leaf,
+         sha256({_FIELDS} || {_FIELD.format("replace(text, chr(10), '')")}) AS cut, {_crc32_sql("doc_id::VARCHAR")} % 2 = 0 AS tampered
+  FROM documents
+), g AS (
+  SELECT source, count(*) AS n, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS s FROM d GROUP BY source
+), l AS (
+  SELECT d.*, g.s, g.n, row_number() OVER (PARTITION BY g.s ORDER BY doc_id, leaf) - 1 AS p FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source
+), up AS (
+  SELECT s, 0 AS lvl, p, leaf AS h, n FROM l
+  UNION ALL
+  SELECT s, lvl + 1, p // 3, sha256(string_agg(h, '' ORDER BY p)), (n + 2) // 3 FROM up WHERE n > 1 GROUP BY s, lvl, p // 3, n
+), sub AS (SELECT s, h, lvl FROM up WHERE n = 1),
+top AS (
+  SELECT 0 AS lvl, s AS p, h, (SELECT count(*) FROM g) AS n FROM sub
+  UNION ALL
+  SELECT lvl + 1, p // 3, sha256(string_agg(h, '' ORDER BY p)), (n + 2) // 3 FROM top WHERE n > 1 GROUP BY lvl, p // 3, n
+), root AS (SELECT h FROM top WHERE n = 1),
+step AS (
+  SELECT l.r, up.lvl AS k, coalesce(string_agg(up.h, '' ORDER BY up.p) FILTER (WHERE up.p < l.p // (3 ** up.lvl)::BIGINT), '') AS a,
+         coalesce(string_agg(up.h, '' ORDER BY up.p) FILTER (WHERE up.p > l.p // (3 ** up.lvl)::BIGINT), '') AS b
+  FROM l JOIN up ON up.s = l.s AND up.n > 1 AND up.p // 3 = l.p // (3 ** (up.lvl + 1))::BIGINT GROUP BY l.r, up.lvl
+  UNION ALL
+  SELECT l.r, sub.lvl + top.lvl, coalesce(string_agg(top.h, '' ORDER BY top.p) FILTER (WHERE top.p < l.s // (3 ** top.lvl)::BIGINT), ''),
+         coalesce(string_agg(top.h, '' ORDER BY top.p) FILTER (WHERE top.p > l.s // (3 ** top.lvl)::BIGINT), '')
+  FROM l JOIN sub USING (s) JOIN top ON top.n > 1 AND top.p // 3 = l.s // (3 ** (top.lvl + 1))::BIGINT GROUP BY l.r, sub.lvl, top.lvl
+), proof AS (SELECT r, count(*) AS steps, string_agg(a || b, '' ORDER BY k) AS t FROM step GROUP BY r),
+fold AS (
+  SELECT r, 0 AS k, CASE WHEN tampered THEN cut ELSE leaf END AS h FROM l
+  UNION ALL
+  SELECT r, k + 1, sha256(a || h || b) FROM fold JOIN step USING (r, k)
+)
+SELECT l.doc_id, l.leaf, sub.h AS subroot, root.h AS root, sha256(coalesce(t, '')) AS proof_sha256, fold.h AS folded_root,
+       fold.h = root.h AS verified
+FROM l JOIN sub USING (s) LEFT JOIN proof USING (r) JOIN fold ON fold.r = l.r AND fold.k = coalesce(steps, 0), root"""
+
+_OP13_SQL = """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), win AS (
+  SELECT doc_id, k, sha256(array_to_string(w[k:k + 49], ' ')) AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS k FROM d WHERE len(w) >= 50)
+), hit AS (
+  SELECT doc_id, k FROM win JOIN (SELECT s, min(doc_id) AS lo FROM win GROUP BY s) USING (s) WHERE lo < doc_id
+), gone AS (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, unnest(range(k, k + 50)) AS p FROM hit)),
+word AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY p) AS t FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
+
+ORACLE: dict[str, str] = {"op1_warc": _OP1_SQL, "op4_decontamination": _OP4_SQL, "op11_conversation_trie": _OP11_SQL,
+                          "op12_merkle_manifest": _OP12_SQL, "op13_substring_dedup": _OP13_SQL}
