@@ -1,41 +1,95 @@
-"""K2 / K4: user-supplied model functions over a column, batched through
-Arrow. Models live outside this library; these hooks call them once per
-Arrow batch inside the Python worker (a client or model created lazily at
-module level is then reused by every batch the worker processes).
+"""K2 / K4: user-supplied models over a column, batched through Arrow. Models
+live outside this library: a registered factory makes one in each Python worker,
+which then serves every batch and every task that the worker gets.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_EMBEDDERS: dict[str, Callable[[list[str]], list[list[float]]]] = {}
+_EMBEDDERS: dict[str, Callable[[], Callable]] = {}
+_GENERATORS: dict[str, Callable[[], Callable]] = {}
+#: Models that this worker process has made, by their factory.
+_made: dict[bytes, Callable] = {}
 
 
-def register_embedder(name: str, fn: Callable[[list[str]], list[list[float]]]) -> None:
-    """K2: make an embedding function available by name."""
-    _EMBEDDERS[name] = fn
+def register_embedder(name: str, factory: Callable[[], Callable[[list[str]], list[list[float]]]]) -> None:
+    """K2: an embedding model by name. `factory` makes the model, `texts -> vectors`; it
+    runs in the workers, once in each, however many batches and tasks it serves."""
+    _EMBEDDERS[name] = factory
 
 
-def embedder(name: str) -> Callable[[list[str]], list[list[float]]]:
-    if name not in _EMBEDDERS:
-        raise KeyError(f"unknown embedder {name!r}; registered: {sorted(_EMBEDDERS)}")
-    return _EMBEDDERS[name]
+def register_generator(name: str, factory: Callable[[], Callable[[list[str], dict], list[str]]]) -> None:
+    """K4: a text model by name. `factory` makes it, `(prompts, options) -> replies`."""
+    _GENERATORS[name] = factory
 
 
-def batch_infer(df: DataFrame, prompt_col: str, fn: Callable[[list[str], dict], list[str]],
-                out_col: str = "response", options: dict | None = None) -> DataFrame:
+def _known(models: dict, name: str) -> Callable:
+    if name not in models:
+        raise KeyError(f"unknown model {name!r}; registered: {sorted(models)}")
+    return models[name]
+
+
+def embedder(name: str) -> Callable[[], Callable[[list[str]], list[list[float]]]]:
+    return _known(_EMBEDDERS, name)
+
+
+def _model(key: bytes, factory: Callable[[], Callable]) -> Callable:
+    if key not in _made:
+        _made[key] = factory()
+    return _made[key]
+
+
+def _key(factory: Callable) -> bytes:
+    """The pickled factory: equal for all tasks of a job, and apart for different models."""
+    from pyspark import cloudpickle
+    return cloudpickle.dumps(factory)
+
+
+def embed_named(df: DataFrame, text_col: str, name: str, out_col: str = "embedding") -> DataFrame:
+    """V1 with a registered model: batches of texts go through one model per worker. A null text is empty."""
+    factory = embedder(name)
+    key = _key(factory)
+
+    @F.pandas_udf(T.ArrayType(T.FloatType()))
+    def _embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        from ragloom.functions.infer import _model
+        fn = _model(key, factory)
+        for texts in batches:
+            yield pd.Series([[float(x) for x in v] for v in fn(texts.fillna("").tolist())], dtype=object)
+
+    return df.withColumn(out_col, _embed(F.col(text_col)))
+
+
+def generate_named(df: DataFrame, prompt_col: str, name: str, out_col: str = "response", options: dict | None = None) -> DataFrame:
+    """K4 with a registered model, one per worker; see `batch_infer` for the options."""
+    return batch_infer(df, prompt_col, None, out_col, options, _known(_GENERATORS, name))
+
+
+def batch_infer(df: DataFrame, prompt_col: str, fn: Callable[[list[str], dict], list[str]] | None,
+                out_col: str = "response", options: dict | None = None, factory: Callable[[], Callable] | None = None) -> DataFrame:
     """K4: `fn(prompts, options) -> replies` over a prompt column, one call per
-    Arrow batch; options such as temperature are passed through unchanged."""
+    Arrow batch; options such as temperature are passed through unchanged. With
+    `factory`, the function is made once in each worker. A reply too few or too
+    many fails the job."""
     opts = dict(options or {})
+    make = factory or (lambda: fn)
+    key = _key(make)
 
     @F.pandas_udf(T.StringType())
-    def _gen(prompts: pd.Series) -> pd.Series:
-        return pd.Series(fn(prompts.fillna("").tolist(), opts))
+    def _gen(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        from ragloom.functions.infer import _model
+        model = _model(key, make)
+        for prompts in batches:
+            replies = model(prompts.fillna("").tolist(), opts)
+            if len(replies) != len(prompts):
+                raise ValueError(f"{len(prompts)} prompts, {len(replies)} replies")
+            yield pd.Series(replies, dtype=object)
 
     return df.withColumn(out_col, _gen(F.col(prompt_col)))
 

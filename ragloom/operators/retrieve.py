@@ -2,11 +2,9 @@
 approximate kNN, J5 positional join, J9 retrieval evaluation, T1 top-k.
 
 Shuffle plan (J2), the flagship search:
-  * the question side is small; it is broadcast after a bounded row count
-    (`broadcast_if_small`), so the corpus postings are never shuffled;
-  * the corpus postings arrive hash-partitioned by the document key (see
-    `plans.rag.corpus_vectors`), so the `(question, chunk)` score sum needs no
-    exchange: a broadcast hash join keeps the streamed side's partitioning;
+  * the corpus's vectors cross the network once, as arrays, dealt into shards;
+  * packs of questions are copied to every shard and meet its blocks there (see
+    `blockmax`): no pair of a question and a vector is a row unless it can rank;
   * top-k runs as `row_number() <= k`, which Spark plans as a partial
     `WindowGroupLimit` before the exchange by question and a final one after:
     only k rows per question per partition cross the network.
@@ -23,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ragloom.operators import blockmax as BM
 from ragloom.plans.sizing import MAX_BROADCAST_ROWS, broadcast_if_small
 
 SCORE_PLACES = 6
@@ -37,53 +36,28 @@ def top_k(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[Col
 
 def knn_sparse(queries: DataFrame, corpus: DataFrame, q_keys: Sequence[str], c_keys: Sequence[str],
                k: int = 4, max_broadcast_rows: int = MAX_BROADCAST_ROWS, method: str = "auto",
-               block_threshold: int = 1_000, corpus_normalized: bool = True) -> DataFrame:
+               corpus_normalized: bool = True) -> DataFrame:
     """Exact top-k by inner product of sparse unit vectors.
 
     `queries` rows are `(q_keys..., dim, w)`, `corpus` rows `(c_keys..., dim, w)`.
     Returns `(q_keys..., c_keys..., score, rank)`; scores are rounded to 6
     places before ranking and ties break on the corpus keys (ascending).
+    With `corpus_normalized=False` the corpus weights are L2-normalised here.
 
     Two exact strategies:
-      * "join": inverted-index equi-join on `dim` (question side broadcast
-        after a bounded count), `(question, chunk)` sums, top-k. Every
-        product is a row: right for a few hundred questions.
-      * "block": the question postings (bounded, checked) are broadcast;
-        each task scores its chunks with a sparse block product in numpy and
-        keeps a partial top-k. Products are never rows: right for thousands
-        of long questions.
-    "auto" picks "block" when the question side has more than
-    `block_threshold` postings and fits the bound, "join" for fewer; above
-    the bound the questions are hashed into blocks that fit it and each block
-    is block-searched (exact, no product rows).
-    With `corpus_normalized=False` the corpus weights are L2-normalised here
-    (inside the per-chunk aggregation on the block path).
+      * "auto" / "block": the block-max inverted index of `blockmax`, one plan
+        for any number of questions; nothing runs before the caller's action.
+      * "join": inverted-index equi-join on `dim`, every product a row. Its
+        question side is broadcast up to `max_broadcast_rows` (counted first).
     """
     q_keys, c_keys = list(q_keys), list(c_keys)
-    q = queries.select(*q_keys, "dim", F.col("w").alias("__wq"))
     if method in ("auto", "block"):
-        # the question side is kept, counted in parallel, and only then shipped
-        q = q.persist(StorageLevel.MEMORY_AND_DISK)
-        n_q = q.count()
-        if n_q <= max_broadcast_rows and (method == "block" or n_q > block_threshold):
-            out = _knn_sparse_block(q.toPandas(), q.schema, corpus, q_keys, c_keys, k, corpus_normalized)
-            q.unpersist()
-            return out
-        if n_q > max_broadcast_rows:
-            # Exact at any size: hash the questions into blocks whose postings
-            # fit the bound and block-search each (one corpus pass per block).
-            n_blocks = -(-n_q // max_broadcast_rows) * 2
-            blk = F.pmod(F.xxhash64(*q_keys), F.lit(n_blocks))
-            parts = [knn_sparse(q.filter(blk == b).select(*q_keys, "dim", F.col("__wq").alias("w")), corpus,
-                                q_keys, c_keys, k, max_broadcast_rows, "block", block_threshold, corpus_normalized)
-                     for b in range(n_blocks)]
-            out = parts[0]
-            for p in parts[1:]:
-                out = out.unionByName(p)
-            return out
-        q = F.broadcast(q)
-    else:
-        q, _ = broadcast_if_small(q, max_broadcast_rows)
+        shards = shard_count(corpus)
+        rows = BM.sharded(_as_arrays(corpus, c_keys), c_keys, shards)
+        found = BM.search(_as_arrays(queries, q_keys), BM.blocks(rows, c_keys), q_keys, c_keys, k, shards,
+                          normalize=not corpus_normalized)
+        return _ranked(found, q_keys, c_keys, k)
+    q, _ = broadcast_if_small(queries.select(*q_keys, "dim", F.col("w").alias("__wq")), max_broadcast_rows)
     if not corpus_normalized:
         from ragloom.operators.vectors import l2_normalize
         corpus = l2_normalize(corpus, c_keys)
@@ -92,9 +66,40 @@ def knn_sparse(queries: DataFrame, corpus: DataFrame, q_keys: Sequence[str], c_k
                    .select(*q_keys, *c_keys, (F.col("__wq") * F.col("__wc")).alias("__p")))
     scores = (prods.groupBy(*c_keys, *q_keys)
                    .agg(F.round(F.sum("__p"), SCORE_PLACES).alias("score")))
+    return _ranked(scores, q_keys, c_keys, k)
+
+
+def shard_count(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _as_arrays(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Long rows `(keys..., dim, w)` as one row per vector `(keys..., __d, __w)`."""
+    listed = rows.groupBy(*keys).agg(F.collect_list(F.struct("dim", "w")).alias("__p"))
+    return listed.select(*keys, F.transform("__p", lambda x: x["dim"].cast("int")).alias("__d"),
+                         F.transform("__p", lambda x: x["w"].cast("double")).alias("__w"))
+
+
+def _ranked(scores: DataFrame, q_keys: Sequence[str], c_keys: Sequence[str], k: int) -> DataFrame:
     return top_k(scores, q_keys, [F.desc("score")] + [F.asc(c) for c in c_keys], k)
 
 
+def knn_text(queries: DataFrame, corpus: DataFrame, q_keys: Sequence[str], c_keys: Sequence[str], q_text: str, c_text: str,
+             k: int = 4, dims: int | None = None, weighting: str = "tfidf") -> DataFrame:
+    """V2 + V2b + J2 over texts: both sides are embedded alike (hashed token counts,
+    with `weighting` "tfidf" scaled by the corpus's idf) and searched, in one
+    plan. The corpus's bags of buckets cross the network once, in an exchange that the
+    idf statistics and the search both read; a vector is never rows of postings."""
+    from ragloom.operators import vectors as V
+    dims = dims or V.DEFAULT_DIMS
+    q_keys, c_keys = list(q_keys), list(c_keys)
+    shards = shard_count(corpus)
+    rows = BM.sharded(V.token_bags(corpus, c_keys, c_text, dims), c_keys, shards)
+    stats = BM.document_frequency(rows, c_keys) if weighting == "tfidf" else None
+    found = BM.search(V.token_bags(queries, q_keys, q_text, dims), BM.blocks(rows, c_keys), q_keys, c_keys, k, shards, stats)
+    return _ranked(found, q_keys, c_keys, k)
+
+
 def _prune_pool(qi: np.ndarray, sc: np.ndarray, n_q: int, k: int) -> np.ndarray:
     """Indices of candidate entries `(question index, score)` that can still be
     in a question's top-k: its k best and everything within one rounding
@@ -109,141 +114,27 @@ def _prune_pool(qi: np.ndarray, sc: np.ndarray, n_q: int, k: int) -> np.ndarray:
     return order[sc_s >= thr[qi_s] - margin]
 
 
-def _sparse_block_fn(bc, n_q: int, dims: int, q_keys: list[str], c_keys: list[str], k: int,
-                     max_products: int = 4_000_000, max_cells: int = 8_000_000):
-    """Partition function: chunks (with their postings as arrays) → candidate
-    (question, chunk, score) rows that can still be in a global top-k.
-    `bc` is a broadcast of (key arrays, question index, dim, weight, idf);
-    with an idf vector the chunk arrays hold raw term counts, which are
-    weighted and L2-normalised here (stored-collection form).
-    A block of chunks holds at most `max_products` term products and its
-    score matrix (chunks × questions) at most `max_cells` entries, so task
-    memory stays bounded whatever the number of questions."""
-    margin = 10.0 ** -SCORE_PLACES
-    max_rows = max(1, max_cells // max(n_q, 1))
-
-    def run(batches):
-        q_key_arrays, q_idx, q_dim, q_w, idf_vec = bc.value
-        order = np.argsort(q_dim, kind="stable")
-        qd, qi, qw = q_dim[order], q_idx[order], q_w[order]
-        qstart = np.searchsorted(qd, np.arange(dims), side="left")
-        qcount = np.searchsorted(qd, np.arange(dims), side="right") - qstart
-
-        def score_block(dims_l, w_l, rows_l, n_rows):
-            cd = np.concatenate(dims_l)
-            cw = np.concatenate(w_l)
-            cr = np.concatenate(rows_l)
-            cnt = qcount[cd]
-            total = int(cnt.sum())
-            if not total:
-                return np.zeros((n_rows, n_q))
-            rep = np.repeat(np.arange(len(cd)), cnt)
-            first = np.repeat(qstart[cd] - (np.cumsum(cnt) - cnt), cnt)
-            pos = np.arange(total) + first
-            flat = np.bincount(cr[rep] * n_q + qi[pos], weights=cw[rep] * qw[pos], minlength=n_rows * n_q)
-            return flat.reshape(n_rows, n_q)
-
-        pool_cc, pool_sc, pool_keys = [], [], {ck: [] for ck in c_keys}
-
-        def flush():
-            cc = np.concatenate(pool_cc)
-            sc = np.concatenate(pool_sc)
-            keep = _prune_pool(cc, sc, n_q, k)
-            keys = {ck: np.concatenate(v)[keep] for ck, v in pool_keys.items()}
-            return cc[keep], sc[keep], keys
-
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            d_list, w_list = [], []
-            for dd, ww in zip(pdf["__d"].to_numpy(), pdf["__w"].to_numpy()):
-                dd = np.asarray(dd, dtype=np.int64)
-                ww = np.asarray(ww, dtype=np.float64)
-                if idf_vec is not None:
-                    known = dd < len(idf_vec)
-                    dd, ww = dd[known], ww[known] * idf_vec[dd[known]]
-                    nz = ww > 0
-                    dd, ww = dd[nz], ww[nz]
-                    nrm = np.sqrt((ww * ww).sum())
-                    ww = ww / nrm if nrm > 0 else ww
-                inside = dd < dims                  # corpus dims no question uses add nothing
-                d_list.append(dd[inside])
-                w_list.append(ww[inside])
-            n = len(d_list)
-            est = np.array([int(qcount[d].sum()) for d in d_list])
-            ckeys = {ck: pdf[ck].to_numpy() for ck in c_keys}
-            start = 0
-            while start < n:
-                # blocks of chunks whose product count stays bounded
-                end, acc = start, 0
-                while end < n and (end == start or (acc + est[end] <= max_products and end - start < max_rows)):
-                    acc += est[end]
-                    end += 1
-                m = end - start
-                rows_l = [np.full(len(d_list[r]), r - start, dtype=np.int64) for r in range(start, end)]
-                s = score_block(d_list[start:end], w_list[start:end], rows_l, m)     # (m, n_q)
-                if m > k:
-                    kth = np.partition(s, m - k, axis=0)[m - k]
-                    rr, cc = np.nonzero((s >= kth[None, :] - margin) & (s > 0))
-                else:
-                    rr, cc = np.nonzero(s > 0)
-                pool_cc.append(cc)
-                pool_sc.append(s[rr, cc])
-                for ck in c_keys:
-                    pool_keys[ck].append(ckeys[ck][start:end][rr])
-                start = end
-            if sum(len(x) for x in pool_cc) > 8 * k * n_q:          # keep the pool bounded
-                cc, sc, keys = flush()
-                pool_cc, pool_sc = [cc], [sc]
-                pool_keys = {ck: [v] for ck, v in keys.items()}
-        if pool_cc:
-            cc, sc, keys = flush()
-            out = {qk: arr[cc] for qk, arr in zip(q_keys, q_key_arrays)}
-            out.update(keys)
-            out["__score"] = sc
-            yield pd.DataFrame(out)
-
-    return run
-
-
-def _knn_sparse_block(qp: pd.DataFrame, q_schema: T.StructType, corpus: DataFrame, q_keys: list[str],
-                      c_keys: list[str], k: int, corpus_normalized: bool = True) -> DataFrame:
-    # one row per chunk with its postings; the norm is part of the same aggregation
-    norm = F.lit(1.0) if corpus_normalized else F.sqrt(F.sum(F.col("w") * F.col("w")))
-    grouped = (corpus.groupBy(*c_keys)
-                     .agg(F.collect_list(F.struct("dim", "w")).alias("__p"), norm.alias("__n"))
-                     .select(*c_keys, F.transform("__p", lambda x: x["dim"]).alias("__d"),
-                             F.transform("__p", lambda x: x["w"] / F.col("__n")).alias("__w")))
-    return knn_sparse_grouped(qp, q_schema, grouped, q_keys, c_keys, k)
-
-
-def knn_sparse_grouped(qp: pd.DataFrame, q_schema: T.StructType, grouped: DataFrame, q_keys: list[str],
-                       c_keys: list[str], k: int, idf: np.ndarray | None = None) -> DataFrame:
-    """Block search over chunks given one row each: `(c_keys..., __d array<int>,
-    __w array<double>)`. With `idf` (a vector indexed by dim, bounded by the
-    dimension count) `__w` holds raw term counts that are weighted and
-    normalised in the task."""
-    keys_pdf = qp[q_keys]
-    uniq = keys_pdf.drop_duplicates().reset_index(drop=True)
-    uniq["__i"] = np.arange(len(uniq))
-    idx = keys_pdf.merge(uniq, on=q_keys, how="left")["__i"].to_numpy()
-    q_dim = qp["dim"].to_numpy(dtype=np.int64)
-    q_w = qp["__wq"].to_numpy(dtype=np.float64)
-    dims = int(max(q_dim.max() if len(q_dim) else 0, 0)) + 1
-    key_arrays = [uniq[c].to_numpy() for c in q_keys]
-    bc = grouped.sparkSession.sparkContext.broadcast((key_arrays, idx, q_dim, q_w, idf))
-    fn = _sparse_block_fn(bc, len(uniq), dims, q_keys, c_keys, k)
-    schema = T.StructType([q_schema[c] for c in q_keys] + [grouped.schema[c] for c in c_keys]
-                          + [T.StructField("__score", T.DoubleType())])
-    partial = grouped.select(*c_keys, "__d", "__w").mapInPandas(fn, schema)
-    scored = partial.select(*q_keys, *c_keys, F.round("__score", SCORE_PLACES).alias("score"))
-    return top_k(scored, q_keys, [F.desc("score")] + [F.asc(c) for c in c_keys], k)
-
 
 # ---------------------------------------------------------------------------
-# Exact dense kNN as a block product per Arrow batch
+# Exact dense kNN as block products
 # ---------------------------------------------------------------------------
 
+def knn_dense(queries: DataFrame, corpus: DataFrame, q_key: str, c_key: str, vec_col: str = "embedding",
+              k: int = 4, metric: str = "dot", max_queries: int = 1024) -> DataFrame:
+    """Exact top-k nearest vectors for every query vector, for any number of
+    queries: both sides are cut by hash into blocks of about `max_queries` rows,
+    every pair of blocks is one matrix product in a task, and only candidates for a top-k leave it. Nothing
+    passes through the driver and nothing runs before the caller's action.
+    Metric: "dot", "cosine", or "l2" (ranked by smallest squared distance;
+    the `score` column then holds the negated squared distance). Rows without a
+    vector, and by cosine zero vectors, are near to nothing.
+    Returns `(q_key, c_key, score, rank)`.
+    """
+    asked = queries.select(q_key, F.col(vec_col).alias("__qv")).where(F.col("__qv").isNotNull())
+    held = corpus.select(c_key, vec_col).where(F.col(vec_col).isNotNull()).withColumn("cell", F.lit(0))
+    return _block_products(asked.withColumn("cell", F.lit(0)), held, q_key, c_key, vec_col, k, metric, max_queries)
+
+
 def _dense_topk_fn(bc, c_key: str, vec_col: str, k: int, metric: str, q_block: int = 512,
                    cell_col: str | None = None):
     """Per task: score each Arrow batch of corpus vectors against the queries
@@ -307,52 +198,6 @@ def _dense_topk_fn(bc, c_key: str, vec_col: str, k: int, metric: str, q_block: i
     return run
 
 
-def knn_dense(queries: DataFrame, corpus: DataFrame, q_key: str, c_key: str, vec_col: str = "embedding",
-              k: int = 4, metric: str = "dot", max_queries: int = 100_000) -> DataFrame:
-    """Exact top-k nearest vectors for every query vector.
-
-    The query matrix is bounded (`max_queries` rows, counted before use) and
-    shipped to executors as a broadcast variable; each corpus partition is
-    multiplied by it batch by batch (numpy), and only a running partial top-k
-    per task leaves it. No query×corpus pair is ever materialised as a row.
-    Metric: "dot", "cosine", or "l2" (ranked by smallest squared distance;
-    the `score` column then holds the negated squared distance).
-    Returns `(q_key, c_key, score, rank)`.
-    """
-    spark = corpus.sparkSession
-    # keep the query side, count it in parallel, and only then ship it
-    q_side = queries.select(q_key, vec_col).persist(StorageLevel.MEMORY_AND_DISK)
-    if q_side.count() > max_queries:
-        q_side.unpersist()
-        # Exact fallback: hash the query set into blocks that each fit the
-        # bound, search block by block (one corpus pass per block), union.
-        n_q = queries.count()
-        n_blocks = -(-n_q // max_queries) * 2
-        keyed = queries.select(q_key, vec_col, F.pmod(F.xxhash64(q_key), F.lit(n_blocks)).alias("__blk"))
-        parts = [knn_dense(keyed.filter(F.col("__blk") == b).drop("__blk"), corpus, q_key, c_key, vec_col, k,
-                           metric, max_queries) for b in range(n_blocks)]
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
-    q_pdf = q_side.toPandas()
-    q_side.unpersist()
-    q_ids = q_pdf[q_key].to_numpy()
-    if len(q_pdf) == 0:
-        schema = T.StructType([queries.schema[q_key], corpus.schema[c_key],
-                               T.StructField("score", T.DoubleType()), T.StructField("rank", T.IntegerType())])
-        return spark.createDataFrame([], schema)
-    q_mat = np.stack([np.asarray(v, dtype=np.float64) for v in q_pdf[vec_col]])
-    bc = spark.sparkContext.broadcast((q_ids, q_mat, None))
-    fn = _dense_topk_fn(bc, c_key, vec_col, k, metric)
-    out_schema = T.StructType([T.StructField("__qid", queries.schema[q_key].dataType),
-                               corpus.schema[c_key], T.StructField("__score", T.DoubleType())])
-    partial = corpus.select(c_key, vec_col).mapInPandas(fn, out_schema)
-    scored = partial.select(F.col("__qid").alias(q_key), c_key,
-                            F.round("__score", SCORE_PLACES).alias("score"))
-    return top_k(scored, [q_key], [F.desc("score"), F.asc(c_key)], k)
-
-
 # ---------------------------------------------------------------------------
 # IVF approximate kNN (KMeans cells, probe nearest cells, exact re-rank)
 # ---------------------------------------------------------------------------
@@ -434,18 +279,32 @@ def ann_join(queries: DataFrame, assigned: DataFrame, centroids: DataFrame, q_ke
     return top_k(scored, [q_key], [F.desc("score"), F.asc(c_key)], k)
 
 
-def _ann_shuffled(probes: DataFrame, assigned: DataFrame, q_key: str, c_key: str, vec_col: str, k: int,
-                  block: int = 2048) -> DataFrame:
-    """Exact ranking within the probed cells for any number of queries, in one
-    job: a cell's queries and vectors are split by hash into blocks of about
-    `block` rows, every query block meets every vector block of its cell in a
-    group of its own, and a group returns only candidates for a top-k."""
+def _ann_shuffled(probes: DataFrame, assigned: DataFrame, q_key: str, c_key: str, vec_col: str, k: int) -> DataFrame:
+    """Exact ranking within the probed cells for any number of queries, in one job."""
     asked = probes.select(q_key, "__qv", F.explode("__cells").alias("cell"))
-    vectors = assigned.select(c_key, "cell", vec_col)
-
+    return _block_products(asked, assigned.select(c_key, "cell", vec_col), q_key, c_key, vec_col, k, "dot", 2048)
+
+
+def _similarities(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
+    s = a @ b.T
+    if metric == "cosine":
+        size = np.outer(np.linalg.norm(a, axis=1), np.linalg.norm(b, axis=1))
+        return np.divide(s, size, out=np.full_like(s, -np.inf), where=size > 0)
+    if metric == "l2":
+        return -((a * a).sum(1)[:, None] - 2 * s + (b * b).sum(1)[None, :])
+    return s
+
+
+def _block_products(asked: DataFrame, vectors: DataFrame, q_key: str, c_key: str, vec_col: str, k: int, metric: str,
+                    block: int) -> DataFrame:
+    """Top-k within cells: `asked (q_key, __qv, cell)` against `vectors (c_key, vec_col,
+    cell)`. A cell's queries and vectors are split by hash into blocks of about
+    `block` rows, every query block meets every vector block of its cell in a group of
+    its own, and a group returns only candidates for a top-k. Block counts are one
+    row per cell, as many as the index has (one for an exact search)."""
     def blocks(df):
         return df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("n"))
-    sizes = blocks(asked).withColumnRenamed("n", "__nq").join(blocks(vectors).withColumnRenamed("n", "__nc"), "cell")
+    sizes = F.broadcast(blocks(asked).withColumnRenamed("n", "__nq").join(blocks(vectors).withColumnRenamed("n", "__nc"), "cell"))
 
     def part(key, n):
         return F.pmod(F.xxhash64(key), F.col(n)).cast("int")
@@ -460,12 +319,12 @@ def _ann_shuffled(probes: DataFrame, assigned: DataFrame, q_key: str, c_key: str
         if not len(qs) or not len(cs):
             return pd.DataFrame({"__qid": qs[q_key][:0], c_key: cs[c_key][:0], "__score": np.empty(0)})
         a, b = (np.stack([np.asarray(v, np.float64) for v in col]) for col in (qs["__qv"], cs[vec_col]))
-        s = a @ b.T
+        s = _similarities(a, b, metric)
         low = np.partition(s, len(cs) - k, axis=1)[:, len(cs) - k, None] - margin if len(cs) > k else -np.inf
-        r, c = np.nonzero(s >= low)
+        r, c = np.nonzero((s >= low) & np.isfinite(s))
         return pd.DataFrame({"__qid": qs[q_key].to_numpy()[r], c_key: cs[c_key].to_numpy()[c], "__score": s[r, c]})
 
-    schema = T.StructType([T.StructField("__qid", probes.schema[q_key].dataType), vectors.schema[c_key],
+    schema = T.StructType([T.StructField("__qid", asked.schema[q_key].dataType), vectors.schema[c_key],
                            T.StructField("__score", T.DoubleType())])
     keys = ["cell", "__q", "__c"]
     near = (left.select(*keys, q_key, "__qv").groupBy(*keys)

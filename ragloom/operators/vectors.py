@@ -52,6 +52,14 @@ def hashed_tf(df: DataFrame, keys: Sequence[str], text_col: str, dims: int = DEF
                     .groupBy(*keys, "dim").agg(F.count(F.lit(1)).cast("double").alias("tf")))
 
 
+def token_bags(df: DataFrame, keys: Sequence[str], text_col: str, dims: int = DEFAULT_DIMS) -> DataFrame:
+    """V2 (one row per text): `(keys..., __d array<int>, __w null)` — the hash bucket
+    of every token, repeats kept, made where the text lies (no exchange)."""
+    words = F.filter(F.split(F.lower(F.col(text_col)), TOKEN_SPLIT), lambda t: t != F.lit(""))
+    return df.select(*keys, F.coalesce(F.transform(words, lambda t: bucket(t, dims)), F.array().cast("array<int>")).alias("__d"),
+                     F.lit(None).cast("array<double>").alias("__w"))
+
+
 def l2_normalize(rows: DataFrame, keys: Sequence[str], w_col: str = "w") -> DataFrame:
     """Divide each coordinate by the vector's L2 norm; zero vectors are dropped."""
     keys = list(keys)

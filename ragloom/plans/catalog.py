@@ -34,5 +34,5 @@ def register(name: str, sql: str | None = None, note: str = ""):
 def load_all() -> None:
     """Import every module that registers queries."""
     from ragloom.plans import (  # noqa: F401
-        q_rag, q_vectors, q_sessions, q_tools, q_structured, q_sources, q_streaming,
+        q_dense, q_rag, q_sessions, q_sources, q_streaming, q_structured, q_tools, q_vectors,
     )

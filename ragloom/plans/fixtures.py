@@ -27,6 +27,7 @@ EVENT_TOOL = {
 POINTS_MISSING_FROM_NATION = 23          # nations >= 23 have no grid point
 FORECAST_MISSING_REGION = 3              # region 3's forecast URL is dead
 ALERTS_MISSING_REGION = 0                # no alert payload for region 0
+WEATHER = ["Sunny", "Cloudy", "Light rain", "Clear"]
 MAX_CALLS_PER_REPLY = 16                 # a reply carries at most this many tool calls
 ALERTS_PER_PAGE = 20                     # alert payloads are served in pages
 
@@ -134,6 +135,33 @@ def forecast_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.select(url.alias("url"), payload.alias("payload"))
 
 
+def weather_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weather service answers `(location, report)`: one place per customer, named
+    after its key; condition and temperature follow the nation."""
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    names = F.array(*map(F.lit, WEATHER))
+    warm = F.col("c_nationkey") * 3 - 20
+    return cust.select(F.concat(F.lit("City "), F.col("c_custkey").cast("string")).alias("location"), F.concat(
+        F.get(names, (F.col("c_nationkey") % len(WEATHER)).cast("int")), F.lit(" "), F.when(warm >= 0, "+").otherwise(""),
+        warm.cast("string"), F.lit("°C")).alias("report"))
+
+
+def tool_handlers(spark: SparkSession, sf_dir: str, keys: list[str]) -> dict:
+    """Handlers of the tools that the replies call; `keys` name a call."""
+    from ragloom.operators import toolrun as TR
+    events = table(spark, sf_dir, "events").select("ts", "value")
+    return {"add_two_numbers": TR.integer_tool(F.try_add), "subtract_two_numbers": TR.integer_tool(F.try_subtract),
+            "weather_forecast": TR.lookup_tool("location", weather_reports(spark, sf_dir), "location", "report", TR.BAD_LOCATION),
+            "get_deployments_from_api": TR.deployments_tool(events, keys)}
+
+
+def spoken_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model replies without tool calls `(conv_id, turn, reply)`: the assistant's turns."""
+    conv = table(spark, sf_dir, "conversations").where(F.col("role") == "assistant")
+    message = F.struct(F.lit("assistant").alias("role"), F.col("text").alias("content"))
+    return conv.select("conv_id", "turn", F.to_json(F.struct(message.alias("message"))).alias("reply"))
+
+
 def args_text(args) -> F.Column:
     """Map arguments as `k=v;k=v` in key order (nulls shown as `null`)."""
     entries = F.array_sort(F.map_entries(args))

@@ -298,9 +298,8 @@ SELECT conv_id, turn, doc_id, chunk_no, score, rank FROM hits
 """)
 def q_chat_retrieval(spark, sf_dir):
     """E2 chat plan: exchanges → 3-exchange history → enlarged query → tf-idf → top-4 chunks."""
-    _, cvec, idf = rag.corpus_vectors(spark, sf_dir, normalize=False)
-    qvec = V.embed_queries(chat_queries(spark, sf_dir), ["conv_id", "turn"], "query", idf=idf)
-    return R.knn_sparse(qvec, cvec, ["conv_id", "turn"], rag.CORPUS_KEYS, 4, corpus_normalized=False)
+    return R.knn_text(chat_queries(spark, sf_dir), rag.corpus_texts(spark, sf_dir), ["conv_id", "turn"], rag.CORPUS_KEYS,
+                      "query", "chunk", 4)
 
 
 @register("chat_prompts", f"""

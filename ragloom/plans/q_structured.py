@@ -5,7 +5,11 @@ validator branch is exercised over the whole table."""
 
 from __future__ import annotations
 
+import functools
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ragloom.operators import structured as X
 from ragloom.plans.catalog import register
@@ -104,10 +108,9 @@ FROM w
 def q_validate_replies(spark, sf_dir):
     """X1 + X2 + X3: per reply, strict and lax validity, and the lax-typed parse
     summarised (friend count, age total, available count)."""
-    r = replies(spark, sf_dir)
-    parsed = X.parse_lax("reply")
-    out = r.select("c_custkey", "case_no", X.validate_strict("reply").alias("strict_valid"),
-                   X.validate_lax("reply").alias("lax_valid"), parsed.alias("__p"))
+    out = _checked(spark, sf_dir).select(
+        "c_custkey", "case_no", (F.size("strict.errors") == 0).alias("strict_valid"), (F.size("lax.errors") == 0).alias("lax_valid"),
+        F.col("lax.value.friends").alias("__p"))
     ages = F.aggregate(F.transform("__p", lambda f: f["age"]), F.lit(0).cast("long"), lambda a, x: a + x)
     return out.select("c_custkey", "case_no", "strict_valid", "lax_valid",
                       F.when(F.col("__p").isNotNull(), F.size("__p")).alias("n_friends"),
@@ -115,6 +118,100 @@ def q_validate_replies(spark, sf_dir):
                       F.when(F.col("lax_valid"), F.size(F.filter("__p", lambda f: f["is_available"]))).alias("n_available"))
 
 
+def _checked(spark, sf_dir):
+    """Replies with `strict` and `lax`, what the compiled schema says of each."""
+    return replies(spark, sf_dir).select("c_custkey", "case_no", X.parse_reply("reply").alias("strict"),
+                                         X.parse_reply("reply", lax=True).alias("lax"))
+
+
+def _listed(errors):
+    return F.array_join(F.transform(errors, lambda e: F.concat_ws(":", e["path"], e["reason"])), ";")
+
+
+def _errors_sql(lax: bool) -> str:
+    """SQL of a reply's misfits, field by field, from its JSON."""
+    age = "json_type(f, '$.age') IN ('BIGINT', 'UBIGINT') OR (json_type(f, '$.age') = 'DOUBLE' AND json_extract(f, '$.age')::DOUBLE = floor(json_extract(f, '$.age')::DOUBLE))"
+    flag = "json_type(f, '$.is_available') = 'BOOLEAN'"
+    if lax:
+        age += " OR (json_type(f, '$.age') = 'VARCHAR' AND regexp_full_match(trim(json_extract_string(f, '$.age')), '[+-]?[0-9]+'))"
+        flag += " OR lower(json_extract_string(f, '$.is_available')) IN ('true', 'false')"
+
+    def part(field, fits, kind):
+        at = f"'$.friends[' || (i - 1)::VARCHAR || '].{field}:'"
+        return f"CASE WHEN json_type(f, '$.{field}') IS NULL THEN {at} || 'missing' WHEN NOT ({fits}) THEN {at} || 'expected {kind}' END"
+    each = ", ".join((part("name", "json_type(f, '$.name') = 'VARCHAR'", "string"), part("age", age, "integer"), part("is_available", flag, "boolean")))
+    return f"""CASE WHEN NOT json_valid(reply) THEN '$:not JSON' WHEN json_type(reply, '$.friends') IS NULL THEN '$.friends:missing'
+      ELSE array_to_string(list_filter(flatten(list_transform(fr, lambda f, i: [{each}])), lambda x: x IS NOT NULL), ';') END"""
+
+
+@register("reply_errors", f"""
+WITH {_REPLY_SQL}
+SELECT c_custkey, {_errors_sql(False)} AS strict_errors, {_errors_sql(True)} AS lax_errors FROM p
+""")
+def q_reply_errors(spark, sf_dir):
+    """X2 + X3: every misfit of a reply with its path and reason, under both validators."""
+    return _checked(spark, sf_dir).select("c_custkey", _listed(F.col("strict.errors")).alias("strict_errors"),
+                                          _listed(F.col("lax.errors")).alias("lax_errors"))
+
+
+ORDER_REPLY = T.StructType([
+    T.StructField("order", T.StructType([
+        T.StructField("id", T.LongType()), T.StructField("total", T.DoubleType()), T.StructField("status", T.StringType()),
+        T.StructField("placed", T.DateType())])),
+    T.StructField("tags", T.ArrayType(T.StringType())),
+    T.StructField("scores", T.MapType(T.StringType(), T.DoubleType())),
+    T.StructField("note", T.StringType(), metadata=X.OPTIONAL),
+])
+ORDER_CASES = 7
+
+
+def order_replies(spark, sf_dir):
+    """Replies about orders, nested three deep; `o_orderkey % 7` picks the defect."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", F.date_format("o_orderdate", "yyyy-MM-dd").alias("placed"),
+                                              "o_orderpriority")
+    case, key = F.col("o_orderkey") % ORDER_CASES, F.col("o_orderkey").cast("string")
+
+    def text(c):
+        return F.concat(F.lit('"'), c, F.lit('"'))
+    head = F.concat(F.lit('{"id": '), F.when(case == 1, text(key)).otherwise(key),
+                    F.when(case == 2, "").otherwise(F.concat(F.lit(', "total": '), F.col("o_totalprice").cast("string"))),
+                    F.lit(', "status": '), text(F.col("o_orderstatus")), F.lit(', "placed": '),
+                    F.when(case == 6, text(F.lit("soon"))).otherwise(text(F.col("placed"))), F.lit("}"))
+    tags = F.concat(F.lit("["), text(F.col("o_orderpriority")), F.when(case == 3, ", 3").otherwise(""), F.lit("]"))
+    scores = F.concat(F.lit('{"risk": 0.5, "size": '), F.when(case == 4, '"3"').otherwise("3"), F.lit("}"))
+    reply = F.concat(F.lit('{"order": '), F.when(case == 5, "[]").otherwise(head), F.lit(', "tags": '), tags, F.lit(', "scores": '), scores,
+                     F.when(case == 0, ', "note": null').otherwise(""), F.lit("}"))
+    return o.select("o_orderkey", reply.alias("reply"))
+
+
+_ORDER_ERRORS = {1: "$.order.id:expected integer", 2: "$.order.total:missing", 3: "$.tags[1]:expected string",
+                 4: "$.scores.size:expected number", 5: "$.order:expected object", 6: "$.order.placed:expected date"}
+
+
+def _order_sql(name, cases):
+    return "CASE o_orderkey % 7 " + " ".join(f"WHEN {k} THEN '{_ORDER_ERRORS[k]}'" for k in cases) + f" ELSE '' END AS {name}"
+
+
+@register("validate_orders", f"""
+SELECT o_orderkey, {_order_sql("strict_errors", (1, 2, 3, 4, 5, 6))}, {_order_sql("lax_errors", (2, 3, 5, 6))},
+       CASE WHEN o_orderkey % 7 <> 5 THEN o_orderkey END AS id,
+       CASE WHEN o_orderkey % 7 NOT IN (2, 5) THEN o_totalprice END AS total,
+       CASE WHEN o_orderkey % 7 NOT IN (5, 6) THEN strftime(o_orderdate, '%Y-%m-%d') END AS placed,
+       CASE WHEN o_orderkey % 7 = 3 THEN 2 ELSE 1 END AS n_tags, 3.5::DOUBLE AS score_total
+FROM orders
+""")
+def q_validate_orders(spark, sf_dir):
+    """X1-X3 over another schema: nested structs, an array, a map, a date and an
+    optional field, compiled from the type; the lax value as far as it fits."""
+    both = order_replies(spark, sf_dir).select("o_orderkey", X.parse_reply("reply", ORDER_REPLY).alias("strict"),
+                                               X.parse_reply("reply", ORDER_REPLY, lax=True).alias("lax"))
+    v = F.col("lax.value")
+    return both.select("o_orderkey", _listed(F.col("strict.errors")).alias("strict_errors"), _listed(F.col("lax.errors")).alias("lax_errors"),
+                       v["order"]["id"].alias("id"), v["order"]["total"].alias("total"),
+                       F.date_format(v["order"]["placed"], "yyyy-MM-dd").alias("placed"), F.size(v["tags"]).alias("n_tags"),
+                       F.aggregate(F.map_values(v["scores"]), F.lit(0.0), lambda a, x: a + x).alias("score_total"))
+
+
 @register("quarantine_counts", f"""
 WITH {_REPLY_SQL}
 SELECT case_no, count(*) FILTER (WHERE strict_valid) AS strict_ok, count(*) FILTER (WHERE NOT strict_valid) AS strict_rejected,
@@ -122,12 +219,12 @@ SELECT case_no, count(*) FILTER (WHERE strict_valid) AS strict_ok, count(*) FILT
 FROM w GROUP BY case_no
 """)
 def q_quarantine(spark, sf_dir):
-    """Valid / quarantined reply counts per fixture case under both
-    validators, in one pass (the same flags `structured.quarantine` splits on)."""
-    r = replies(spark, sf_dir).select("case_no", X.validate_strict("reply").alias("s"),
-                                      X.validate_lax("reply").alias("l"))
-
-    def n(c):
-        return F.sum(F.when(c, 1).otherwise(0)).cast("long")
-    return r.groupBy("case_no").agg(n(F.col("s")).alias("strict_ok"), n(~F.col("s")).alias("strict_rejected"),
-                                    n(F.col("l")).alias("lax_ok"), n(~F.col("l")).alias("lax_rejected"))
+    """Valid / quarantined reply counts per fixture case under both validators,
+    each split by `structured.quarantine`."""
+    r = replies(spark, sf_dir).select("case_no", "reply")
+    parts = []
+    for mode in ("strict", "lax"):
+        for side, rows in zip(("ok", "rejected"), X.quarantine(r, "reply", mode), strict=True):
+            parts.append(rows.select("case_no", F.lit(f"{mode}_{side}").alias("side")))
+    sides = functools.reduce(DataFrame.unionByName, parts).groupBy("case_no")
+    return sides.agg(*(F.count_if(F.col("side") == c).alias(c) for c in ("strict_ok", "strict_rejected", "lax_ok", "lax_rejected")))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ragloom.operators import toolrun as TR
 from ragloom.operators import tools as H
 from ragloom.plans import fixtures as X
 from ragloom.plans import oracle as O
@@ -13,7 +14,26 @@ from ragloom.session import table
 _NAME_CASE = "CASE event_type " + " ".join(f"WHEN {O.q(k)} THEN {O.q(v)}" for k, v in X.EVENT_TOOL.items()) + " END"
 _REGISTERED = ", ".join(O.q(n) for n, _, _ in H.TOOL_SPECS)
 
-_CALLS_SQL = f"""
+_DEPLOYED_SQL = """
+days AS (SELECT ts::DATE AS d, count(*) AS n, sum(value::DECIMAL(38,12)) AS v FROM events GROUP BY 1),
+asked AS (
+  SELECT DISTINCT CASE WHEN value >= 20 THEN strftime(ts::DATE - 3, '%Y-%m-%d') ELSE '' END AS lo,
+         CASE WHEN value < 80 THEN strftime(ts, '%Y-%m-%d') ELSE '' END AS hi FROM events
+),
+ranges AS (
+  SELECT lo, hi, '{"deployments": ' || coalesce(sum(n), 0)::BIGINT::VARCHAR || ', "total": '
+         || round(coalesce(sum(v), 0), 2)::DECIMAL(38,2)::VARCHAR || '}' AS deployed
+  FROM asked LEFT JOIN days ON (lo = '' OR d >= lo::DATE) AND (hi = '' OR d <= hi::DATE) GROUP BY lo, hi
+)"""
+
+_REPORTS_SQL = f"""
+reports AS (
+  SELECT c_custkey AS user_id, ({[*X.WEATHER]!r})[c_nationkey % {len(X.WEATHER)} + 1] || ' '
+         || CASE WHEN c_nationkey * 3 - 20 >= 0 THEN '+' ELSE '' END || (c_nationkey * 3 - 20)::VARCHAR || '°C' AS report
+  FROM customer
+)"""
+
+_CALLS_SQL = f"""{_DEPLOYED_SQL},{_REPORTS_SQL},
 calls AS (
   SELECT user_id, ts::DATE AS day, ts, event_id, event_type, value, {_NAME_CASE} AS name,
          json_extract_string(props, '$.k') AS k,
@@ -36,9 +56,10 @@ calls2 AS (
     (pos // {X.MAX_CALLS_PER_REPLY})::BIGINT AS reply_no,
     CASE WHEN name = 'add_two_numbers' THEN (k::BIGINT + user_id)::VARCHAR
          WHEN name = 'subtract_two_numbers' THEN (k::BIGINT - user_id)::VARCHAR
-         WHEN name IN ({_REGISTERED}) THEN NULL
+         WHEN name = 'weather_forecast' THEN coalesce(report, {O.q(TR.BAD_LOCATION)})
+         WHEN name = 'get_deployments_from_api' THEN deployed
          ELSE 'Function ' || name || ' not found' END AS output
-  FROM calls
+  FROM calls LEFT JOIN reports USING (user_id) LEFT JOIN ranges ON lo = coalesce(fromDate, '') AND hi = coalesce(toDate, '')
 )"""
 
 
@@ -48,11 +69,13 @@ def _exploded(spark, sf_dir):
     return ex.withColumn("pos", (F.col("reply_no") * X.MAX_CALLS_PER_REPLY + F.col("pos")).cast("int"))
 
 
+_REPLY = ["user_id", "day", "reply_no"]
+
+
 def _executed(spark, sf_dir):
-    ex = H.dispatch(_exploded(spark, sf_dir), H.registry(spark))
-    out = F.coalesce(H.builtin_output(F.col("name"), F.col("arguments")),
-                     F.when(~F.col("found"), F.concat(F.lit("Function "), F.col("name"), F.lit(" not found"))))
-    return ex.withColumn("output", out)
+    """Calls with their outputs: every tool's handler runs over its own calls."""
+    handlers = X.tool_handlers(spark, sf_dir, [*_REPLY, "pos"])
+    return TR.execute(_exploded(spark, sf_dir), _REPLY, handlers)
 
 
 @register("explode_calls", f"""
@@ -70,8 +93,8 @@ WITH {_CALLS_SQL}
 SELECT user_id, day, pos, name, found, output FROM calls2
 """)
 def q_execute_calls(spark, sf_dir):
-    """J4 + F4 + H2: dispatch against the registry, integer tools with string-to-int
-    casts, not-found message for unknown names."""
+    """J4 + F4 + H2: every tool's handler over its calls (integer tools, J7-like
+    weather lookup, J8 date ranges), not-found message for unknown names."""
     return _executed(spark, sf_dir).select("user_id", "day", "pos", "name", "found", "output")
 
 
@@ -85,6 +108,54 @@ def q_last_tool_message(spark, sf_dir):
     return H.last_tool_output(_executed(spark, sf_dir), ["user_id", "day", "reply_no"])
 
 
+_ROUND_SQL = f"""
+WITH {_CALLS_SQL},
+said AS (
+  SELECT user_id, day, reply_no, count(*)::INTEGER AS n_calls,
+         string_agg('tool|' || name || '|' || output, chr(10) ORDER BY pos) AS every,
+         max_by('tool|' || name || '|' || output, (CASE WHEN found THEN 1000000 ELSE 0 END) + pos) AS one
+  FROM calls2 GROUP BY user_id, day, reply_no
+)
+"""
+
+
+def _message_lines(messages):
+    return F.array_join(F.transform(messages, lambda m: F.concat_ws("|", m["role"], F.coalesce(m["name"], F.lit("")), m["content"])), "\n")
+
+
+def _round(spark, sf_dir, all):
+    handlers = X.tool_handlers(spark, sf_dir, [*_REPLY, "pos"])
+    out = TR.tool_round(X.replies(spark, sf_dir), _REPLY, handlers, all=all)
+    return out.select(*_REPLY, "n_calls", _message_lines(F.col("messages")).alias("messages"), "status")
+
+
+@register("tool_round", _ROUND_SQL + """
+SELECT user_id, day, reply_no, n_calls, 'assistant||' || chr(10) || one AS messages, NULL::VARCHAR AS status FROM said
+""")
+def q_tool_round(spark, sf_dir):
+    """The messages after each reply's tool round: the reply and the last found call's output (H3)."""
+    return _round(spark, sf_dir, False)
+
+
+@register("tool_round_all", _ROUND_SQL + """
+SELECT user_id, day, reply_no, n_calls, 'assistant||' || chr(10) || every AS messages, NULL::VARCHAR AS status FROM said
+""")
+def q_tool_round_all(spark, sf_dir):
+    """E3 with every call's output appended, in call order (H3 `all`)."""
+    return _round(spark, sf_dir, True)
+
+
+@register("tool_round_no_calls", f"""
+SELECT conv_id, turn, 0 AS n_calls, 'assistant||' || coalesce(text, '') AS messages, {O.q(H.NO_CALLS)} AS status
+FROM conversations WHERE role = 'assistant'
+""")
+def q_tool_round_no_calls(spark, sf_dir):
+    """H1's no-calls branch: replies that call nothing keep their messages and say so."""
+    handlers = X.tool_handlers(spark, sf_dir, ["conv_id", "turn", "pos"])
+    out = TR.tool_round(X.spoken_replies(spark, sf_dir), ["conv_id", "turn"], handlers)
+    return out.select("conv_id", "turn", "n_calls", _message_lines(F.col("messages")).alias("messages"), "status")
+
+
 @register("tool_usage", f"""
 WITH {_CALLS_SQL}
 SELECT name, found, count(*) AS n_calls FROM calls2 GROUP BY name, found

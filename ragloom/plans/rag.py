@@ -51,9 +51,18 @@ def question_vectors(spark: SparkSession, sf_dir: str, idf: DataFrame | None, di
     return qs, V.embed_queries(qs, QUESTION_KEYS, "text", dims, idf)
 
 
+def corpus_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 over `documents` where they lie: `(doc_id, chunk_no, chunk)`."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return C.chunk_fixed(docs, "text", C.DEFAULT_CHUNK_SIZE, C.DEFAULT_CHUNK_OVERLAP).select(*CORPUS_KEYS, "chunk")
+
+
 def search(spark: SparkSession, sf_dir: str, k: int = 4, dims: int = V.DEFAULT_DIMS,
            weighting: str = "tfidf", method: str = "auto") -> DataFrame:
     """J2 + T1: `(item_id, doc_id, chunk_no, score, rank)` for every benchmark item."""
+    if method != "join":
+        qs = table(spark, sf_dir, "benchmark").select("item_id", "text")
+        return R.knn_text(qs, corpus_texts(spark, sf_dir), QUESTION_KEYS, CORPUS_KEYS, "text", "chunk", k, dims, weighting)
     _, cvec, idf = corpus_vectors(spark, sf_dir, dims, weighting, normalize=False)
     _, qvec = question_vectors(spark, sf_dir, idf, dims)
     return R.knn_sparse(qvec, cvec, QUESTION_KEYS, CORPUS_KEYS, k, method=method, corpus_normalized=False)
@@ -61,15 +70,8 @@ def search(spark: SparkSession, sf_dir: str, k: int = 4, dims: int = V.DEFAULT_D
 
 def hits_with_text(spark: SparkSession, sf_dir: str, k: int = 4, dims: int = V.DEFAULT_DIMS,
                    weighting: str = "tfidf") -> DataFrame:
-    """Top-k hits joined back to their chunk text (k rows per question).
-
-    The hits (k per question, size-checked) are broadcast, so the chunk text
-    is read where it lies and never shuffled for this join; the chunk table is
-    the same plan the search embedded (its exchange is reused)."""
-    _, cvec, idf = corpus_vectors(spark, sf_dir, dims, weighting, normalize=False)
-    _, qvec = question_vectors(spark, sf_dir, idf, dims)
-    hits = R.knn_sparse(qvec, cvec, QUESTION_KEYS, CORPUS_KEYS, k, corpus_normalized=False)
-    return attach_chunk_text(spark, sf_dir, hits)
+    """Top-k hits joined back to their chunk text (k rows per question)."""
+    return attach_chunk_text(spark, sf_dir, search(spark, sf_dir, k, dims, weighting))
 
 
 MAX_PUSHED_IDS = 10_000
