@@ -233,7 +233,7 @@ def verify(leaves: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").isNotNull().alias("known"),
         F.coalesce(F.col("source").cast("string"), F.lit("")).alias("name"),
         F.unhex("leaf").alias("digest"), F.unhex("seen").alias("seen"))
-    rows = with_group_ordinal(rows, _GROUP, ["doc_id", "digest", "seen"], "i")
+    rows = with_group_ordinal(rows, _GROUP, ["doc_id", "digest"], "i")  # rows equal in both are equal in what is seen
     groups = keep(_layers(rows.groupBy(*_GROUP).agg(F.count(F.lit(1)).alias("n"))).select(*_GROUP, "heights"), "merkle-groups")
     nodes = rows.join(groups, _GROUP).select(*_GROUP, "heights", "i", "digest", F.struct("doc_id", "seen").alias("rest"))
     low = build(nodes, "rows", "rest")
