@@ -63,7 +63,8 @@ def embed_named(df: DataFrame, text_col: str, name: str, out_col: str = "embeddi
         for texts in batches:
             yield pd.Series([[float(x) for x in v] for v in fn(texts.fillna("").tolist())], dtype=object)
 
-    return df.withColumn(out_col, _embed(F.col(text_col)))
+    # not deterministic: Spark then calls the model once per row, whatever reads the vector
+    return df.withColumn(out_col, _embed.asNondeterministic()(F.col(text_col)))
 
 
 def generate_named(df: DataFrame, prompt_col: str, name: str, out_col: str = "response", options: dict | None = None) -> DataFrame:
@@ -91,7 +92,7 @@ def batch_infer(df: DataFrame, prompt_col: str, fn: Callable[[list[str], dict],
                 raise ValueError(f"{len(prompts)} prompts, {len(replies)} replies")
             yield pd.Series(replies, dtype=object)
 
-    return df.withColumn(out_col, _gen(F.col(prompt_col)))
+    return df.withColumn(out_col, _gen.asNondeterministic()(F.col(prompt_col)))
 
 
 def hashed_dense_embedder(dims: int = 64) -> Callable[[list[str]], list[list[float]]]:

@@ -279,10 +279,11 @@ def ann_join(queries: DataFrame, assigned: DataFrame, centroids: DataFrame, q_ke
     return top_k(scored, [q_key], [F.desc("score"), F.asc(c_key)], k)
 
 
-def _ann_shuffled(probes: DataFrame, assigned: DataFrame, q_key: str, c_key: str, vec_col: str, k: int) -> DataFrame:
+def _ann_shuffled(probes: DataFrame, assigned: DataFrame, q_key: str, c_key: str, vec_col: str, k: int,
+                  block: int = 2048) -> DataFrame:
     """Exact ranking within the probed cells for any number of queries, in one job."""
     asked = probes.select(q_key, "__qv", F.explode("__cells").alias("cell"))
-    return _block_products(asked, assigned.select(c_key, "cell", vec_col), q_key, c_key, vec_col, k, "dot", 2048)
+    return _block_products(asked, assigned.select(c_key, "cell", vec_col), q_key, c_key, vec_col, k, "dot", block)
 
 
 def _similarities(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:

@@ -54,10 +54,23 @@ def hashed_tf(df: DataFrame, keys: Sequence[str], text_col: str, dims: int = DEF
 
 def token_bags(df: DataFrame, keys: Sequence[str], text_col: str, dims: int = DEFAULT_DIMS) -> DataFrame:
     """V2 (one row per text): `(keys..., __d array<int>, __w null)` — the hash bucket
-    of every token, repeats kept, made where the text lies (no exchange)."""
-    words = F.filter(F.split(F.lower(F.col(text_col)), TOKEN_SPLIT), lambda t: t != F.lit(""))
-    return df.select(*keys, F.coalesce(F.transform(words, lambda t: bucket(t, dims)), F.array().cast("array<int>")).alias("__d"),
-                     F.lit(None).cast("array<double>").alias("__w"))
+    of every token, repeats kept, made where the text lies (no exchange). The JVM
+    cuts the tokens; each different token of an Arrow batch is hashed once."""
+    @F.arrow_udf("array<int>")
+    def buckets(tokens):
+        import hashlib
+
+        import numpy as np
+        import pyarrow as pa
+        words = tokens.flatten().dictionary_encode()
+        named = words.dictionary.to_pylist()
+        number = np.array([int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % dims if w else -1 for w in named], np.int32)
+        flat = number[np.asarray(words.indices)] if named else np.empty(0, np.int32)
+        ends = np.r_[0, np.cumsum(np.asarray(tokens.value_lengths().fill_null(0)))]
+        kept = np.r_[0, np.cumsum(flat >= 0)]
+        return pa.ListArray.from_arrays(pa.array(kept[ends], pa.int32()), pa.array(flat[flat >= 0], pa.int32()))
+
+    return df.select(*keys, buckets(F.split(F.lower(F.col(text_col)), TOKEN_SPLIT)).alias("__d"), F.lit(None).cast("array<double>").alias("__w"))
 
 
 def l2_normalize(rows: DataFrame, keys: Sequence[str], w_col: str = "w") -> DataFrame:

@@ -52,8 +52,11 @@ def question_vectors(spark: SparkSession, sf_dir: str, idf: DataFrame | None, di
 
 
 def corpus_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C1 over `documents` where they lie: `(doc_id, chunk_no, chunk)`."""
+    """C1 over `documents`: `(doc_id, chunk_no, chunk)`, where they lie. Only a table of fewer
+    pieces than the session has partitions is spread first, or a few tasks would cut it all."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    if docs.rdd.getNumPartitions() < corpus_partitions(spark):
+        docs = docs.repartition(corpus_partitions(spark), "doc_id")
     return C.chunk_fixed(docs, "text", C.DEFAULT_CHUNK_SIZE, C.DEFAULT_CHUNK_OVERLAP).select(*CORPUS_KEYS, "chunk")
 
 
