@@ -10,9 +10,6 @@ row in the *rejects* output (`error` not null) and the run continues.
 
 from __future__ import annotations
 
-import csv
-import io
-import sys
 from collections.abc import Callable
 
 import pandas as pd
@@ -20,6 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ragloom.sources import csvranges
+
 # The suffixes the loader knows (compared lower-cased).
 KNOWN_SUFFIXES = (".txt", ".pdf", ".csv", ".docx", ".md", ".adoc")
 TEXT_SUFFIXES = (".txt", ".md", ".adoc")
@@ -144,28 +143,12 @@ def scan_asciidoc(spark: SparkSession, root: str) -> DataFrame:
     return docs.withColumn("text", asciidoc_to_text("text"))
 
 
-def _csv_rows(batches):
-    """Per file: one document per CSV row, text = `column: value` lines. Fields
-    may have any length; a file that cannot be read to its end is one reject
-    and gives no documents."""
-    csv.field_size_limit(sys.maxsize)
-    for pdf in batches:
-        for path, content in zip(pdf["path"], pdf["content"]):
-            try:
-                text = bytes(content).decode("utf-8-sig")
-                out = [(path, i, "\n".join(f"{k.strip() if k else k}: {v.strip() if isinstance(v, str) else v}"
-                                           for k, v in row.items()), None)
-                       for i, row in enumerate(csv.DictReader(io.StringIO(text)))]
-            except Exception as e:  # noqa: BLE001 — a bad file becomes a reject row
-                out = [(path, None, None, f"{type(e).__name__}: {e}")]
-            yield pd.DataFrame(out, columns=["source", "page", "text", "error"])
-
-
 def scan_csv_docs(spark: SparkSession, root: str) -> DataFrame:
-    """One document per CSV row; `page` holds the 0-based row number within
-    its file. Each file is parsed whole inside one task, so row numbers are
-    exact whatever the split of the directory (headers differ per file)."""
-    return scan_suffix(spark, root, ".csv").mapInPandas(_csv_rows, DOC_SCHEMA)
+    """One document per CSV row, `column: value` lines; `page` holds the 0-based
+    row number within its file. Files are read by byte ranges (see `csvranges`):
+    one file is as many tasks as it needs, and no file is held whole. A file
+    that cannot be read to its end is one reject and gives no documents."""
+    return csvranges.scan(spark, root, ci_glob(".csv"))
 
 
 def _extract_with(extractor: Callable[[bytes, str], list[str] | str]):
