@@ -176,15 +176,15 @@ def mean_pool(df: DataFrame, key: str | Sequence[str], vec_col: str = "embedding
               out_col: str = "embedding") -> DataFrame:
     """V5: element-wise mean of the vectors of each group, as `array<double>`.
 
-    `posexplode` + `avg` by (key, pos) is a partial/final aggregation, so a
-    group that holds a third of all rows is still combined map-side.
+    Spark ML's vector summarizer keeps one partial mean per group and task, so no
+    vector becomes rows, and a group that holds a third of all rows is combined
+    map-side. Vectors of a group have one length (V4); null ones count for nothing.
     """
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
     keys = [key] if isinstance(key, str) else list(key)
-    per_pos = (df.select(*keys, F.posexplode(vec_col).alias("pos", "x"))
-                 .groupBy(*keys, "pos").agg(F.avg(F.col("x").cast("double")).alias("x")))
-    return (per_pos.groupBy(*keys)
-                   .agg(F.array_sort(F.collect_list(F.struct("pos", "x"))).alias("__s"))
-                   .select(*keys, F.transform("__s", lambda s: s["x"]).alias(out_col)))
+    rows = df.where(F.col(vec_col).isNotNull()).select(*keys, array_to_vector(F.col(vec_col).cast("array<double>")).alias("__v"))
+    return rows.groupBy(*keys).agg(Summarizer.mean(F.col("__v")).alias("__m")).select(*keys, vector_to_array("__m").alias(out_col))
 
 
 def dot(a: Column | str, b: Column | str) -> Column:

@@ -12,7 +12,6 @@ the corpus. The IDF table (at most `dims` rows) and the question postings
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -97,88 +96,64 @@ def attach_chunk_text(spark: SparkSession, sf_dir: str, hits: DataFrame, size: i
     return ch.join(hits, CORPUS_KEYS)
 
 
-MAX_PATTERNS = 200_000
-
-
-def _contains_fn(bc):
-    """Partition function: (doc_id, text) → (item_id, doc_id) for every
-    pattern that occurs in the text (Aho-Corasick: one linear pass per text).
-    `bc` broadcasts the `(item_id, passage)` list once per executor."""
-    def run(batches):
-        import ahocorasick
-        auto = ahocorasick.Automaton()
-        by_text: dict[str, list[int]] = {}
-        for item, text in bc.value:
-            by_text.setdefault(text, []).append(item)
-        for text, items in by_text.items():
-            auto.add_word(text, items)
-        auto.make_automaton()
-        for pdf in batches:
-            items_out, docs_out = [], []
-            for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
-                if not text:
-                    continue
-                found = set()
-                for _, items in auto.iter(text):
-                    found.update(items)
-                for it in found:
-                    items_out.append(it)
-                    docs_out.append(doc_id)
-            yield pd.DataFrame({"item_id": items_out, "doc_id": docs_out}, dtype="int64")
-    return run
-
-
-def gold_pairs(spark: SparkSession, sf_dir: str, shingle: int = 3, method: str = "auto") -> DataFrame:
-    """`(item_id, doc_id)` where the benchmark passage occurs literally in the document.
-
-    "automaton" (default while the passage set is under `MAX_PATTERNS`, a
-    checked bound): the passages are compiled into one Aho-Corasick automaton
-    in each task and every document is scanned once — exact substring
-    containment, linear in the text. Beyond the bound, the shingle join below.
-    """
-    bench = table(spark, sf_dir, "benchmark").select("item_id", "text")
-    if method in ("auto", "automaton"):
-        pats = bench.limit(MAX_PATTERNS + 1).toPandas()
-        if len(pats) <= MAX_PATTERNS:
-            patterns = [(int(i), t) for i, t in zip(pats["item_id"], pats["text"]) if t]
-            docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-            bc = spark.sparkContext.broadcast(patterns)
-            return docs.mapInPandas(_contains_fn(bc), "item_id long, doc_id long")
-    return _gold_pairs_shingle(spark, sf_dir, shingle)
-
-
-def _gold_pairs_shingle(spark: SparkSession, sf_dir: str, shingle: int = 3) -> DataFrame:
-    """Gold pairs for pattern sets too large to ship to every task.
-
-    Exact, without comparing every passage with every document: a contained
-    passage's interior tokens (all but its first and last, which may be cut
-    inside a longer word) appear as consecutive document tokens. So the first
-    `shingle` interior tokens of a passage form an equi-join key against all
-    `shingle`-grams of the documents; candidates are then verified with
-    `instr`. Passages with fewer than `shingle + 2` tokens are joined on as
-    many interior tokens as they have (and verified the same way).
-    """
-    bench = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("passage"))
+#: Words of a gram by which passages and documents meet.
+GRAM = 3
+
+
+def _grams(tokens):
+    """Arrow: per list of tokens, the hash of each run of GRAM tokens and of each token."""
+    import hashlib
+
+    import numpy as np
+    import pyarrow as pa
+    words = tokens.flatten().dictionary_encode()
+    named = words.dictionary.to_pylist()
+    number = np.array([int.from_bytes(hashlib.md5(w.encode()).digest()[:8], "little") for w in named], np.uint64)
+    flat = number[np.asarray(words.indices)] if named else np.empty(0, np.uint64)
+    ends = np.r_[0, np.cumsum(np.asarray(tokens.value_lengths().fill_null(0)))]
+    long = np.zeros(max(len(flat) - GRAM + 1, 0), np.uint64)
+    for j in range(GRAM):
+        long = long * np.uint64(0x9E3779B97F4A7C15) + flat[j:j + len(long)] + np.uint64(j + 1)
+    long, flat = long.view(np.int64), flat.view(np.int64)
+    out = [{"runs": long[a:max(b - GRAM + 1, a)], "words": flat[a:b]} for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    return pa.array(out, pa.struct([("runs", pa.list_(pa.int64())), ("words", pa.list_(pa.int64()))]))
+
+
+def contained_pairs(passages: DataFrame, docs: DataFrame) -> DataFrame:
+    """`(item_id, doc_id)`, each once, where the passage `(item_id, text)` occurs literally in
+    the document `(doc_id, text)`.
+
+    The inner words of a passage (all but its first and last, which may stand inside a
+    longer word there) are consecutive words of the document. So a passage is known by
+    its rarest inner gram: GRAM words, or one if it has fewer inner words. Documents that
+    have the gram meet the passage by an equi-join (skewed grams are split by Spark)
+    and are searched for the whole text. Passages without an inner word, and those of
+    no text (which occur nowhere), cannot be known by words: they are searched for
+    in every document."""
+    grams = F.arrow_udf(_grams, "struct<runs:array<bigint>,words:array<bigint>>")
+    words = F.filter(V.tokens("text"), lambda t: t != "")
+    known = passages.where("text <> ''").withColumn("n", F.size(words) - 2)
+    inner = known.where("n > 0").select("item_id", "n", grams(F.slice(words, F.lit(2), F.col("n"))).alias("g"))
+    inner = inner.select("item_id", F.explode(F.array_distinct(F.when(F.col("n") >= GRAM, F.col("g.runs")).otherwise(F.col("g.words")))).alias("gram"))
+    held = docs.select("doc_id", grams(V.tokens("text")).alias("g"))
+    held = held.select("doc_id", F.explode(F.array_distinct(F.concat("g.runs", "g.words"))).alias("gram"))
+    held = held.join(inner.select("gram").distinct(), "gram").distinct()
+    df = held.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
+    rarest = inner.join(df, "gram", "left").groupBy("item_id").agg(
+        F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "gram")).alias("least"))
+    asked = rarest.where("least.df > 0").select("item_id", F.col("least.gram").alias("gram"))
+    met = held.join(asked, "gram").select("item_id", "doc_id")
+    passage = passages.select("item_id", F.col("text").alias("passage"))
+    found = docs.join(met, "doc_id").join(passage, "item_id").where(F.instr(F.col("text"), F.col("passage")) > 0)
+    short = known.where("n <= 0").select("item_id", F.col("text").alias("passage"))
+    every = docs.join(short, F.instr(F.col("text"), F.col("passage")) > 0)
+    return found.select("item_id", "doc_id").unionByName(every.select("item_id", "doc_id")).distinct()
+
+
+def gold_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`(item_id, doc_id)` where the benchmark passage occurs literally in the document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    btok = bench.withColumn("__t", V.tokens("passage"))
-    n_int = F.greatest(F.least(F.size("__t") - 2, F.lit(shingle)), F.lit(1))
-    bkey = btok.select("item_id", n_int.alias("__n"),
-                       F.array_join(F.slice("__t", 2, n_int), " ").alias("__key"))
-    # Which gram lengths are needed: at most `shingle` small integers.
-    lengths = sorted(r[0] for r in bkey.select("__n").distinct().collect())
-    bkey, _ = broadcast_if_small(bkey)
-    dt = docs.select("doc_id", V.tokens("text").alias("__t"))
-    cand = None
-    for n in lengths:
-        grams = dt.filter(F.size("__t") >= n).select("doc_id", F.explode(F.expr(
-            f"transform(sequence(1, size(__t) - {n} + 1), i -> array_join(slice(__t, i, {n}), ' '))"
-        )).alias("__key"))
-        c = grams.join(bkey.filter(F.col("__n") == n), "__key").select("item_id", "doc_id")
-        cand = c if cand is None else cand.unionByName(c)
-    cand = cand.distinct().join(bench, "item_id")
-    cand, _ = broadcast_if_small(cand)
-    verified = docs.join(cand, "doc_id").filter(F.instr(F.col("text"), F.col("passage")) > 0)
-    return verified.select("item_id", "doc_id")
+    return contained_pairs(table(spark, sf_dir, "benchmark").select("item_id", "text"), docs)
 
 
 def contexts(spark: SparkSession, sf_dir: str, k: int = 4, sep: str = "\n\n", dims: int = V.DEFAULT_DIMS,
