@@ -103,5 +103,6 @@ def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of `docs` without a benchmark window, with all columns. A
     doc_id that repeats goes if any of its rows is contaminated; rows without
     a doc_id stay."""
-    bad = contamination(docs, items).where("contaminated").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(bad, F.col("doc_id") == F.col("_id"), "left_anti")
+    bad = contamination(docs, items).where("contaminated").select("doc_id").distinct()
+    whole = docs.select(F.struct("*").alias("row"), "doc_id")
+    return whole.join(bad, "doc_id", "left_anti").select("row.*")

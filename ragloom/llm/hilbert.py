@@ -14,7 +14,8 @@ groups' offsets are a running sum over group counts.
 Only DataFrame functions run. Defined cases: nulls sort before every value in
 their dimension; ties and repeated rows have adjacent positions (equal rows
 are interchangeable); fewer rows than shards leave shards empty; an empty table
-gives no rows; extra columns pass through.
+gives no rows; extra columns pass through under any names (`h`, `shard` and
+`slot` are replaced).
 """
 
 from __future__ import annotations
@@ -80,27 +81,25 @@ def assign(df: DataFrame, shards: int, dims: list[str], key: str, bits: int = BI
     """`df` with `h` (curve index), `shard` (0 to shards - 1, row counts at most
     one apart) and `slot` (gapless from 0 within the shard)."""
     bounds = cuts(df, dims, bits)
-    grid = keep(curve(len(dims), df.sparkSession, bits).withColumnRenamed("cell", "_cell"), "grid")
+    grid = keep(curve(len(dims), df.sparkSession, bits), "grid")
+    row, place = F.col("row"), ["h", "group"]
     # the grid has 2^(bits * dims) rows, a parameter: broadcast
-    coded = df.withColumn("_cell", _cell(df, bounds, bits)).join(F.broadcast(grid), "_cell")
-    coded = coded.withColumn("_hash", F.xxhash64(key))
-    per_cell = coded.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
-    size = keep(per_cell.select(F.col("h").alias("_h"), F.ceil(F.col("n") / GROUP_ROWS).cast("int").alias("_groups")), "cells")
+    coded = df.select(_cell(df, bounds, bits).alias("cell"), F.xxhash64(key).alias("hash"), F.struct("*").alias("row"))
+    coded = coded.join(F.broadcast(grid), "cell").drop("cell")
+    size = keep(coded.groupBy("h").agg(F.ceil(F.count(F.lit(1)) / GROUP_ROWS).cast("int").alias("groups")), "cells")
     # at most one row per grid cell: broadcast
-    coded = coded.join(F.broadcast(size), F.col("h") == F.col("_h")).withColumn(
-        "_group", F.floor(F.shiftrightunsigned(F.col("_hash"), 33) * F.col("_groups") / F.lit(float(1 << 31))).cast("int"))
-    counts = keep(coded.groupBy("h", "_group").agg(F.count(F.lit(1)).alias("n")), "groups")
+    coded = coded.join(F.broadcast(size), "h").withColumn(
+        "group", F.floor(F.shiftrightunsigned(F.col("hash"), 33) * F.col("groups") / F.lit(float(1 << 31))).cast("int"))
+    counts = keep(coded.groupBy(*place).agg(F.count(F.lit(1)).alias("n")), "groups")
     total = counts.agg(F.sum("n")).first()[0] or 0
-    order = Window.orderBy("h", "_group").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("h", "_group", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("_before"))
-    rank = F.row_number().over(Window.partitionBy("h", "_group").orderBy("_hash", key, *[c for c in df.columns if c in dims]))
-    placed = coded.withColumn("_rank", rank).join(offsets, ["h", "_group"]).withColumn(
-        "_pos", F.col("_before") + F.col("_rank") - 1)
+    order = Window.orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*place, F.coalesce(F.sum("n").over(order), F.lit(0)).alias("before"))
+    rank = F.row_number().over(Window.partitionBy(*place).orderBy("hash", row[key], *[row[c] for c in df.columns if c in dims]))
+    placed = coded.withColumn("rank", rank).join(offsets, place).withColumn("pos", F.col("before") + F.col("rank") - 1)
     # shard s starts at ceil(s * total / shards)
-    shard = F.expr(f"cast((_pos * {shards}L) div {max(total, 1)}L as int)")
-    first = F.expr(f"((cast(shard as bigint) * {total}L) + {shards - 1}L) div {shards}L")
-    out = placed.withColumn("shard", shard).withColumn("slot", F.col("_pos") - first)
-    return out.select(*df.columns, "h", "shard", F.col("slot").cast("long").alias("slot"))
+    placed = placed.withColumn("shard", F.expr(f"cast((pos * {shards}L) div {max(total, 1)}L as int)"))
+    slot = F.expr(f"pos - ((cast(shard as bigint) * {total}L) + {shards - 1}L) div {shards}L").cast("long")
+    return placed.select(*(row[c].alias(c) for c in df.columns if c not in ("h", "shard", "slot")), "h", "shard", slot.alias("slot"))
 
 
 def write_shards(df: DataFrame, path: str, shards: int, dims: list[str], key: str) -> None:

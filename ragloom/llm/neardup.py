@@ -94,25 +94,25 @@ def set_id(s: np.ndarray) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, cls (name of the shingle set), sig (packed), one row
-    per row of `docs`."""
+    """doc_id, text_key (hash of the text), n_shingles, cls (name of the shingle
+    set), sig (packed), one row per row of `docs`."""
     import pyarrow as pa
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
         for b in batches:
             n, cls, sig = [], [], []
-            for s in shingle_sets(utf8(b.column(1))):
+            for s in shingle_sets(utf8(b.column(2))):
                 n.append(len(s))
                 cls.append(set_id(s) if len(s) else None)
                 sig.append(signature(s).tobytes() if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(sig, pa.binary())],
-                ["doc_id", "n_shingles", "cls", "sig"])
+                [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(sig, pa.binary())],
+                ["doc_id", "text_key", "n_shingles", "cls", "sig"])
         release_memory()
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"doc_id {kind}, n_shingles long, cls long, sig binary")
+    return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text")).mapInArrow(
+        run, f"doc_id {kind}, text_key long, n_shingles long, cls long, sig binary")
 
 
 def postings(classes: DataFrame, matches: int) -> DataFrame:
@@ -248,9 +248,9 @@ def confirmed_links(docs: DataFrame, reps: DataFrame, blocks: DataFrame, percent
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of `docs`: doc_id, n_shingles, cls, component_id (the
-    smallest doc_id reachable over links of similarity >= percent / 100) and
-    kept (doc_id = component_id)."""
+    """One row per row of `docs`: doc_id, text_key, n_shingles, cls, component (the
+    name of its group; null without words), component_id (the smallest doc_id reachable
+    over links of similarity >= percent / 100) and kept (doc_id = component_id)."""
     prints = keep(fingerprints(docs, id_col, text_col), "prints")
     classes = keep(prints.where("n_shingles > 0").groupBy("cls").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig")), "classes")
@@ -262,22 +262,26 @@ def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     links = confirmed_links(named, classes.select("cls", "doc_id", "n_shingles"), blocks, percent)
     groups = components(links).withColumnRenamed("node", "cls")
     least = classes.join(groups, "cls").groupBy("component").agg(F.min("doc_id").alias("least"))
-    merged = groups.join(least, "component").select("cls", "least")
-    named_classes = classes.join(merged, "cls", "left").select("cls", F.coalesce("least", "doc_id").alias("component_id"))
+    merged = groups.join(least, "component").select("cls", "component", "least")
+    named_classes = classes.join(merged, "cls", "left").select(
+        "cls", F.coalesce("component", "cls").alias("component"), F.coalesce("least", "doc_id").alias("component_id"))
     out = prints.drop("sig").join(named_classes, "cls", "left")
     out = out.withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", "cls", "component_id",
+    return out.select("doc_id", "text_key", "n_shingles", "cls", "component", "component_id",
                       F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def drop_near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """`docs` with one document of each group, its smallest doc_id, and all
-    columns. Repeated rows of that document count as one; documents without
-    words and rows without a doc_id all stay."""
-    found = keep(near_duplicates(docs, percent), "neardup")
-    flags = found.groupBy(F.col("doc_id").alias("_id")).agg(
-        F.max(~F.col("kept")).alias("_gone"), F.max(F.col("cls").isNull()).alias("_blank"))
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))
-    marked = docs.join(flags, F.col("doc_id") == F.col("_id"), "left").withColumn("_nth", nth)
-    stays = F.col("_id").isNull() | F.col("_blank") | (~F.col("_gone") & (F.col("_nth") == 1))
-    return marked.where(stays).select(*docs.columns)
+def drop_near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """`docs` with one row of each group, that of its smallest doc_id, and all columns
+    under any names. Groups are of texts: rows that share a doc_id are one only if their texts are
+    near; of rows that repeat doc_id and text one stays. Documents without words
+    and rows without a doc_id all stay."""
+    found = keep(near_duplicates(docs, percent, id_col, text_col), "neardup").where("cls IS NOT NULL AND doc_id IS NOT NULL")
+    best = keep(found.groupBy("component").agg(F.min(F.struct("doc_id", "text_key")).alias("best")), "neardup-best")
+    flags = found.join(best, "component").groupBy("doc_id", "text_key").agg(
+        F.max(F.struct("doc_id", "text_key") == F.col("best")).alias("stays"), (F.count(F.lit(1)) > 1).alias("repeats"))
+    whole = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_key"))
+    marked = whole.join(flags, ["doc_id", "text_key"], "left").where(F.col("stays").isNull() | F.col("stays"))
+    marked = keep(marked.select("row", "doc_id", "text_key", F.coalesce("repeats", F.lit(False)).alias("repeats")), "neardup-marked")
+    once = marked.where("repeats").groupBy("doc_id", "text_key").agg(F.first("row").alias("row"))
+    return marked.where("NOT repeats").select("row").unionByName(once.select("row")).select("row.*")

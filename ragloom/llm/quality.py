@@ -26,6 +26,8 @@ SYMBOLS = b"#*$%&|<>"
 REPEAT_WINDOW = 8
 #: Refused hosts are broadcast up to this many rows; beyond, the join shuffles.
 MAX_BROADCAST_HOSTS = 100_000
+#: Prior documents where hosts do not differ at all.
+STRONGEST = 1e6
 
 
 @dataclass(frozen=True)
@@ -107,19 +109,31 @@ def host_of(column: Column) -> Column:
     return F.coalesce(column.cast("string"), F.lit(""))
 
 
+def beta_prior(hosts: int, docs: float, failures: float, squares: float, sizes: float) -> tuple[float, float]:
+    """Mean and strength (prior documents) of the beta prior, from the number of hosts,
+    sum(n), sum(f), sum(f * f / n) and sum(n * n) over hosts with f failures in n documents."""
+    if not docs or not 0 < failures < docs:
+        return (failures / docs if docs else 0.0), STRONGEST
+    mean = failures / docs
+    spread = (squares - failures * mean) / (mean * (1 - mean))     # k - 1 is expected by chance
+    room = docs - sizes / docs - (hosts - 1)                       # 0 if every host has one document
+    alike = (spread - (hosts - 1)) / room if room > 1e-9 else 0.0  # correlation within hosts
+    return mean, min(STRONGEST, max(1 / min(alike, 1.0) - 1, 1 / STRONGEST)) if alike > 0 else STRONGEST
+
+
 def host_verdicts(judged: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """One row per host of `judged` (columns `host`, `failed`): documents,
-    failures, shrunk rate, refused. The beta prior is fitted to all hosts by
-    moments; the three sums it needs are one row."""
+    failures, shrunk rate, refused. The beta prior is fitted to all hosts by moments:
+    of the spread of host rates, what equal hosts of these sizes would show by chance
+    is taken off, and the rest tells how unlike hosts are. Hosts that differ no more
+    than by chance, as hosts of one document always do, all get the common rate.
+    The sums it needs are one row."""
     hosts = judged.groupBy("host").agg(F.count(F.lit(1)).alias("docs"),
                                        F.sum(F.col("failed").cast("long")).alias("failures"))
-    rate = F.col("failures") / F.col("docs")
-    m = hosts.agg(F.sum("docs").alias("n"), F.sum("failures").alias("f"),
-                  F.sum(rate * rate * F.col("docs")).alias("q")).first()
-    n, f, q = m["n"] or 0, m["f"] or 0, m["q"] or 0.0
-    mean = f / n if n else 0.0
-    spread = q / n - mean * mean if n else 0.0
-    strength = min(1e6, max(1.0, mean * (1 - mean) / spread - 1)) if spread > 1e-12 else 1e6
+    d = F.col("docs").cast("double")
+    m = hosts.agg(F.count(F.lit(1)).alias("k"), F.sum(d).alias("n"), F.sum("failures").cast("double").alias("f"),
+                  F.sum(F.col("failures") * F.col("failures") / d).alias("q"), F.sum(d * d).alias("s")).first()
+    mean, strength = beta_prior(m["k"], m["n"] or 0.0, m["f"] or 0.0, m["q"] or 0.0, m["s"] or 0.0)
     shrunk = (F.col("failures") + mean * strength) / (F.col("docs") + strength)
     return (hosts.withColumn("shrunk_rate", shrunk)
             .withColumn("refused", F.col("shrunk_rate") > rules.max_host_rate))
@@ -144,12 +158,12 @@ def judge(docs: DataFrame, keys: list[str], text_col: str = "text", host_col: st
 def filter_documents(docs: DataFrame, text_col: str = "text", host_col: str = "source",
                      rules: Rules = Rules()) -> DataFrame:
     """The rows of `docs` that the rules and the host verdicts keep, with all
-    columns of `docs`. Refused hosts are few as a rule: they are broadcast
-    when counted to be at most MAX_BROADCAST_HOSTS, else joined by shuffle."""
-    host, s = host_of(F.col(host_col)), signals(F.col(text_col))
-    judged = docs.select(host.alias("host"), s.alias("_s")).select("host", rule_failed(F.col("_s"), rules).alias("failed"))
-    bad = keep(host_verdicts(judged, rules).where("refused").select(F.col("host").alias("_host")), "hosts")
+    columns of `docs` under any names. Rows are counted once, into a table in the shared folder.
+    Refused hosts are few as a rule: they are broadcast when counted to be at most
+    MAX_BROADCAST_HOSTS, else joined by shuffle."""
+    judged = docs.select(F.struct("*").alias("row"), host_of(F.col(host_col)).alias("host"), signals(F.col(text_col)).alias("s"))
+    judged = keep(judged.select("row", "host", rule_failed(F.col("s"), rules).alias("failed")), "quality-rows")
+    bad = keep(host_verdicts(judged, rules).where("refused").select("host"), "hosts")
     if bad.count() <= MAX_BROADCAST_HOSTS:
         bad = F.broadcast(bad)
-    kept = docs.withColumn("_s", s).where(~rule_failed(F.col("_s"), rules)).drop("_s")
-    return kept.join(bad, host == F.col("_host"), "left_anti")
+    return judged.where("NOT failed").join(bad, "host", "left_anti").select("row.*")

@@ -9,7 +9,8 @@ clause scores gives the document's score.
 
 The insult lexicon and the link are learned from labelled rows: log-odds of
 words and word beginnings, counted in Spark over at most MAX_TRAIN documents
-(one per group of copies), with two-fold cross-fitting for the link. Labels,
+(each different text once; near copies in one fold), with two-fold
+cross-fitting for the link. Labels,
 language, source and id are never inputs of a score.
 
 Defined cases: null or empty texts have no clause and get the score of the
@@ -44,6 +45,9 @@ REPORTS = "said says say wrote writes called calls claimed reported quoted quote
 
 CLAUSE_END = np.zeros(256, bool)
 CLAUSE_END[list(b".!?;:,\n\r\"()")] = True
+#: Of these, those after which nobody is being quoted any more (but in a quotation that is still open).
+SENTENCE_END = np.zeros(256, bool)
+SENTENCE_END[list(b".!?;\n\r")] = True
 
 INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER = range(6)
 THREAT_WEIGHT = 0.5        # of the weakest insult: threats matter with a target
@@ -59,8 +63,8 @@ class Transducer:
     arcs: dict[tuple[int, int], tuple[int, float]]
     default: dict[int, int] = field(default_factory=dict)
 
-    def run(self, symbols: list[int], weights: list[float]) -> list[float]:
-        state, out = 0, []
+    def run(self, symbols: list[int], weights: list[float], state: int = 0) -> list[float]:
+        out = []
         for symbol, weight in zip(symbols, weights, strict=True):
             state, factor = self.arcs.get((state, symbol), (self.default.get(state, state), 1.0))
             out.append(weight * factor)
@@ -75,21 +79,42 @@ def _negation() -> Transducer:
     return Transducer(arcs, {s: max(0, s - 1) for s in range(NEGATION_REACH + 1)})
 
 
-#: After a reporting verb the rest of the clause is someone else's speech.
+#: After a reporting verb the rest is someone else's speech; `Speech` tells where it ends.
 _REPORT = Transducer({(0, REPORT): (1, 1.0), (1, INSULT): (1, REPORTED), (1, THREAT): (1, REPORTED)})
 #: After a target, insults and threats of the clause count more; read in both directions.
 _TARGET = Transducer({(0, TARGET): (1, 1.0), (1, INSULT): (1, TARGETED), (1, THREAT): (1, TARGETED)})
 _NEGATION = _negation()
 
 
-def clause_score(symbols: list[int], weights: list[float]) -> float:
-    """The cascade over one clause: negation, reported speech, target."""
-    w = _REPORT.run(symbols, _NEGATION.run(symbols, weights))
+def clause_score(symbols: list[int], weights: list[float], reported: bool = False) -> float:
+    """The cascade over one clause: negation, reported speech (`reported`: it goes
+    on from an earlier clause), target."""
+    w = _REPORT.run(symbols, _NEGATION.run(symbols, weights), int(reported))
     ahead = _TARGET.run(symbols, w)
     back = _TARGET.run(symbols[::-1], w[::-1])[::-1]
     return sum(map(max, ahead, back))
 
 
+class Speech:
+    """How far reported speech reaches beyond the clause of its verb: over commas,
+    colons and brackets to the end of the sentence, and from a quotation mark that
+    opens after the verb to the one that closes it, whatever sentences lie between."""
+
+    def __init__(self, data: np.ndarray):
+        self.sentence = np.flatnonzero(SENTENCE_END[data])
+        self.mark = np.flatnonzero(data == 0x22)
+        self.verb = -1  # byte after the last reporting verb
+
+    def reaches(self, place: int) -> bool:
+        if self.verb < 0:
+            return False
+        marks = int(np.searchsorted(self.mark, place) - np.searchsorted(self.mark, self.verb))
+        stop = int(np.searchsorted(self.sentence, self.verb))
+        ended = stop < len(self.sentence) and self.sentence[stop] < place
+        opened = marks and not (ended and self.sentence[stop] < self.mark[np.searchsorted(self.mark, self.verb)])
+        return marks == 1 if opened else not ended
+
+
 _hasher: list[Hasher] = []
 
 
@@ -150,7 +175,14 @@ class Grammar:
             doc = np.searchsorted(words.first_word, place, "right") - 1
             clause = clause + doc  # a clause never spans two texts
             cut = np.flatnonzero(np.diff(clause, prepend=-1, append=-1) != 0)
+            speech, of = Speech(words.data), -1
             for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+                if doc[a] != of:
+                    speech.verb, of = -1, doc[a]
+                reported = speech.reaches(int(words.start[place[a]]))
+                verbs = np.flatnonzero(symbol[a:b] == REPORT)
+                if len(verbs):
+                    speech.verb = int(words.end[place[a + verbs[-1]]])
                 if weight[a:b].max() <= 0:
                     continue
                 symbols, weights, last = [], [], place[a] - 1
@@ -159,7 +191,7 @@ class Grammar:
                     symbols += [OTHER] * min(gap, NEGATION_REACH) + [int(symbol[i])]
                     weights += [0.0] * min(gap, NEGATION_REACH) + [float(weight[i])]
                     last = place[i]
-                s = clause_score(symbols, weights)
+                s = clause_score(symbols, weights, reported)
                 row = out[lo + int(doc[a])]
                 row[0] = max(row[0], s)
                 row[1] += s
@@ -198,20 +230,21 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
 
 
 def _group(words, i: int) -> int:
-    """Near copies mostly share the least word hash: one training row per such group."""
+    """Near copies mostly share the least word hash: all rows of such a group are in one fold."""
     h = words.hash[words.of(i)]
     return int(mix(h).min().astype(np.int64)) if len(h) else 0
 
 
 def _training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """At most MAX_TRAIN labelled rows that are not held out, one per group of
-    copies: text, toxic, fold. The label side is bounded, so it is broadcast."""
+    """At most MAX_TRAIN labelled rows that are not held out, each different text
+    once: text, toxic, fold. The label side is bounded, so it is broadcast."""
     import pyarrow as pa
     picked = (labels.where(F.col("toxic").isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
               .groupBy(F.col(id_col).alias("_id")).agg(F.max(F.col("toxic").cast("int")).alias("_toxic"))
               .orderBy(F.xxhash64("_id"), "_id").limit(MAX_TRAIN))
     rows = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("text")).join(
         F.broadcast(picked), F.col("_doc") == F.col("_id")).select("text", F.col("_toxic").alias("toxic"))
+    rows = rows.groupBy("text").agg(F.max("toxic").alias("toxic"))
 
     def group(batches):
         for b in batches:
@@ -222,9 +255,8 @@ def _training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: st
                 keys += [_group(words, i) for i in range(hi - lo)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(keys, pa.int64())], ["text", "toxic", "grp"])
 
-    one = rows.mapInArrow(group, "text string, toxic int, grp long").groupBy("grp").agg(
-        F.max(F.struct("toxic", "text")).alias("r"))
-    return one.select("r.text", "r.toxic", (F.pmod(F.xxhash64("grp"), F.lit(2))).cast("int").alias("fold"))
+    grouped = rows.mapInArrow(group, "text string, toxic int, grp long")
+    return grouped.select("text", "toxic", (F.pmod(F.xxhash64("grp"), F.lit(2))).cast("int").alias("fold"))
 
 
 def _counts(rows: DataFrame) -> DataFrame:
