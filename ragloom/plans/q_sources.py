@@ -17,6 +17,7 @@ from ragloom.plans import rag
 from ragloom.plans.catalog import register
 from ragloom.plans.sizing import broadcast_if_small
 from ragloom.session import table
+from ragloom.sources import store as ST
 
 
 def qa(spark, sf_dir):
@@ -107,10 +108,13 @@ def q_qa_top1(spark, sf_dir):
 SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)
 """)
 def q_insert_absent(spark, sf_dir):
-    """J6 / S13 result set: document ids not stored yet (labels = ids already in the store)."""
-    docs = table(spark, sf_dir, "documents").select("doc_id")
-    known = table(spark, sf_dir, "labels").select("doc_id")
-    return docs.join(known, "doc_id", "left_anti")
+    """J6 / S13 on a store bucketed by id: the labels' ids are stored, then the
+    documents' ids inserted; the rows that this adds."""
+    from ragloom.streaming.retrieve import scratch_path
+    path, n = scratch_path(spark, "ids"), rag.corpus_partitions(spark)
+    for name in ("labels", "documents"):
+        added = ST.insert_absent(spark, table(spark, sf_dir, name).select("doc_id"), path, "doc_id", n)
+    return added
 
 
 @register("reassemble_documents", f"""

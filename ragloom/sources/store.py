@@ -11,8 +11,9 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 # Fixed value: insert batch size of the reference's loading script.
@@ -50,31 +51,47 @@ def append(df: DataFrame, path: str, id_col: str = "id", generate_ids: bool = Tr
     out.write.mode("append").parquet(path)
 
 
-def insert_absent(spark: SparkSession, df: DataFrame, path: str, id_col: str = "id") -> DataFrame:
+def bucketed(spark: SparkSession, path: str, schema: T.StructType, id_col: str, buckets: int) -> str:
+    """Name of the table whose files under `path` are bucketed by `id_col`; a session that
+    does not know it yet registers it (the same buckets in every session). Joins on
+    the id then read the stored side where it lies."""
+    name = f"store_{uuid.uuid5(uuid.NAMESPACE_URL, path).hex}"
+    if not spark.catalog.tableExists(name):
+        spark.sql(f"CREATE TABLE {name} ({schema.toDDL()}) USING parquet CLUSTERED BY ({id_col}) INTO {buckets} BUCKETS LOCATION '{path}'")
+    return name
+
+
+def insert_absent(spark: SparkSession, df: DataFrame, path: str, id_col: str = "id", buckets: int | None = None) -> DataFrame:
     """S13 + J6: add only rows whose id is not stored yet; existing ids are left
     untouched. Duplicate ids inside one batch fail the write (the store rejects
-    them too). Returns the rows that were added.
-
-    `left_anti` join on the id: the stored side contributes only its id column
-    (column pruning), and Spark shuffles both sides by id or broadcasts the
-    smaller one.
-    """
-    dup = df.groupBy(id_col).count().filter(F.col("count") > 1).select(id_col).limit(1).collect()
-    if dup:
-        raise ValueError(f"duplicate id in batch: {dup[0][0]}")
-    checked = df
-    if exists(spark, path):
-        stored = spark.read.parquet(path).select(id_col)
-        new_rows = checked.join(stored, id_col, "left_anti")
+    them too) and leave the store as it was. Returns the rows that were added.
+
+    One write, in one plan: rows are dealt by id, counted per id, anti-joined with
+    the stored ids (only that column is read) and appended. With `buckets` the store is
+    bucketed by id (see `bucketed`): the stored side is not shuffled, and the rows
+    are dealt once, the way they are stored. Rows without an id are always new."""
+    n = F.count(F.lit(1)).over(Window.partitionBy(id_col))
+    twice = F.raise_error(F.concat(F.lit("duplicate id in batch: "), F.col(id_col).cast("string")))
+    if buckets:
+        df = df.repartition(buckets, id_col)
+    checked = df.withColumn("__n", n).where(F.when((F.col("__n") > 1) & F.col(id_col).isNotNull(), twice).otherwise(F.lit(True))).drop("__n")
+    before: set[str] = set()
+    if buckets:
+        stored = spark.table(bucketed(spark, path, df.schema, id_col, buckets))
+    else:
+        stored = spark.read.parquet(path) if exists(spark, path) else None
+    if stored is not None:
+        before = set(stored.inputFiles())
+        checked = checked.join(stored.select(id_col), id_col, "left_anti").select(*df.columns)
+    if buckets:
+        name = bucketed(spark, path, df.schema, id_col, buckets)
+        checked.write.insertInto(name)
+        spark.catalog.refreshTable(name)
     else:
-        new_rows = checked
-    # Materialise the new rows before appending: the anti-join reads the same
-    # path we are about to write.
-    tmp = f"{path.rstrip('/')}_staging_{uuid.uuid4().hex}"
-    new_rows.write.mode("overwrite").parquet(tmp)
-    staged = spark.read.parquet(tmp)
-    staged.write.mode("append").parquet(path)
-    return spark.read.parquet(tmp)
+        checked.write.mode("append").parquet(path)
+    spark.catalog.refreshByPath(path)
+    added = sorted(set(spark.read.schema(df.schema).parquet(path).inputFiles()) - before)
+    return spark.read.schema(df.schema).parquet(*added) if added else spark.createDataFrame([], df.schema)
 
 
 def overwrite(spark: SparkSession, df: DataFrame, path: str, swap: bool = True) -> str:
