@@ -190,6 +190,33 @@ def q_chunk_recursive(spark, sf_dir):
     return ch.select("doc_id", "chunk_no", "chunk_start", F.length("chunk").alias("chunk_len"))
 
 
+@register("chunk_recursive_checks", """
+SELECT doc_id, true AS cut_from_text, true AS short_enough, true AS in_order, true AS overlap_fits,
+       length(regexp_replace(text, '[ \\t\\n\\r]', '', 'g'))::BIGINT AS n_covered, length(text) <= 1000 AS one_chunk_at_most
+FROM documents WHERE length(regexp_replace(text, '[ \\t\\n\\r]', '', 'g')) > 0
+""")
+def q_chunk_recursive_checks(spark, sf_dir):
+    """C2 against its contract, document by document: each chunk is the text at
+    its place and at most 1000 long, places ascend, what two chunks share is at
+    most 200 long, and every visible character is in a chunk."""
+    from pyspark.sql import Window
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ch = C.chunk_recursive(docs, "text").withColumn("end", F.col("chunk_start") + F.length("chunk"))
+    before = Window.partitionBy("doc_id").orderBy("chunk_no").rowsBetween(Window.unboundedPreceding, -1)
+    last = Window.partitionBy("doc_id").orderBy("chunk_no")
+    seen = F.coalesce(F.max("end").over(before), F.lit(0))
+    ch = ch.withColumns({"seen": seen, "ahead": F.coalesce(F.lag("chunk_start").over(last), F.lit(0))})
+    fresh = F.substring("text", F.greatest("seen", "chunk_start") + 1, F.greatest(F.col("end") - F.greatest("seen", "chunk_start"), F.lit(0)))
+    visible = F.length(F.regexp_replace(fresh, "[ \\t\\n\\r]", ""))
+    return ch.groupBy("doc_id").agg(
+        F.bool_and(F.substring("text", F.col("chunk_start") + 1, F.length("chunk")) == F.col("chunk")).alias("cut_from_text"),
+        F.bool_and(F.length("chunk") <= C.DEFAULT_CHUNK_SIZE).alias("short_enough"),
+        F.bool_and(F.col("chunk_start") >= F.col("ahead")).alias("in_order"),
+        F.bool_and(F.col("seen") - F.col("chunk_start") <= C.DEFAULT_CHUNK_OVERLAP).alias("overlap_fits"),
+        F.sum(visible).alias("n_covered"),
+        ((F.max(F.length("text")) <= C.DEFAULT_CHUNK_SIZE) & (F.count(F.lit(1)) == 1)).alias("one_chunk_at_most"))
+
+
 @register("csv_roundtrip", f"""
 SELECT source, count(*) AS n_docs,
        sum(length('doc_id: ' || doc_id::VARCHAR || chr(10) || 'lang: ' || lang || chr(10) || 'text: '

@@ -63,6 +63,24 @@ def rows_of(record: str, header: list[str]) -> list[str]:
             for row in csv.DictReader(io.StringIO(record), fieldnames=header)]
 
 
+def whole_files(batches):
+    """Rows (path, content) to (source, page, text, error): files parsed whole, as a
+    stream hands them over one by one; all of a file or nothing."""
+    import pyarrow as pa
+    csv.field_size_limit(sys.maxsize)
+    for b in batches:
+        for path, content in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            try:
+                text = content.decode("utf-8-sig").lstrip("\r\n")
+                header = next(csv.reader(io.StringIO(text)), [])
+                out = [(path, page - 1, x, None) for page, x in enumerate(rows_of(text, header)) if page]
+            except (csv.Error, UnicodeDecodeError) as e:
+                out = [(path, None, None, f"{type(e).__name__}: {e}")]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
+                    zip(*out, strict=True), (pa.string(), pa.int32(), pa.string(), pa.string()), strict=True)], ["source", "page", "text", "error"])
+
+
 def _lines(spark: SparkSession, root: str, glob: str) -> DataFrame:
     """(source, start, line): lines as bytes, in order within a range."""
     text = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).option("lineSep", "\n").text(root))

@@ -176,6 +176,32 @@ def scan_binary(spark: SparkSession, root: str, extractor: Callable, suffixes=("
     return files.mapInPandas(_extract_with(extractor), DOC_SCHEMA)
 
 
+def known_glob() -> str:
+    """Glob of all known suffixes, in any case."""
+    return "{" + ",".join(map(ci_glob, KNOWN_SUFFIXES)) + "}"
+
+
+def parse_files(files: DataFrame, extractors: dict[str, Callable] | None = None) -> DataFrame:
+    """S6 + S7 over files at hand `(path, content)`: `(source, page, text, error)` of every
+    known suffix; unknown ones are skipped. The form of `load_directory` for
+    a micro-batch of a stream."""
+    extractors = dict(extractors or {})
+    sfx = suffix("path")
+    text = _decode_text(files.where(sfx.isin(*TEXT_SUFFIXES)))
+    kind = suffix("source")
+    text = text.withColumn("text", F.when(kind == ".md", markdown_to_text("text")).when(
+        kind == ".adoc", asciidoc_to_text("text")).otherwise(F.col("text")))
+    out = text.unionByName(files.where(sfx == ".csv").select("path", "content").mapInArrow(csvranges.whole_files, DOC_SCHEMA))
+    for one in KNOWN_SUFFIXES:
+        if one in extractors:
+            out = out.unionByName(files.where(sfx == one).select("path", "content").mapInPandas(_extract_with(extractors[one]), DOC_SCHEMA))
+        elif one not in (*TEXT_SUFFIXES, ".csv"):
+            out = out.unionByName(files.where(sfx == one).select(
+                F.col("path").alias("source"), F.lit(None).cast("int").alias("page"), F.lit(None).cast("string").alias("text"),
+                F.lit(f"no extractor registered for {one}").alias("error")))
+    return out
+
+
 def scan_flat_dir(spark: SparkSession, root: str, extractor: Callable, ext: str = ".pdf") -> DataFrame:
     """Only the files directly inside `root` whose name ends with `ext`
     (case-sensitive, no recursion)."""
