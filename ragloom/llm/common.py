@@ -3,6 +3,7 @@ and vectorised word hashing over batches of UTF-8 texts."""
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import functools
 import uuid
@@ -32,14 +33,45 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: Tables that `keep` has written inside `owned`.
+_owned: list[str] = []
+_owning = [False]
+
+
 def keep(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once as a table in the shared folder and return a scan of it
     (cuts lineage; survives lost executors)."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    if _owning[0]:
+        _owned.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def owned():
+    """Tables kept inside belong to a job that drops them by `drop_owned`."""
+    before, _owning[0] = _owning[0], True
+    try:
+        yield
+    finally:
+        _owning[0] = before
+
+
+def drop_owned(spark: SparkSession, needed: DataFrame) -> None:
+    """Delete the owned tables, except those that `needed` reads."""
+    files = needed.inputFiles()
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    left = []
+    for path in _owned:
+        if any(path.rsplit("/", 1)[1] in f for f in files):
+            left.append(path)
+        else:
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
+    _owned[:] = left
+
+
 #: Bytes of one Arrow batch between the JVM and a Python worker. Both sides hold
 #: whole batches (the JVM outside its heap, in buffers that grow by doubling),
 #: and texts are long: Spark's own 64 MB are several hundred MB of an executor.
