@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ragloom.operators import ivf as IVF
 from ragloom.operators import retrieve as R
 from ragloom.operators import vectors as V
 from ragloom.plans.catalog import register
@@ -90,6 +91,48 @@ def q_knn_dense_centroids(spark, sf_dir):
     return R.knn_dense(cent, e, "label", "vec_id", "embedding", k=4)
 
 
+def _grown_index(spark, sf_dir) -> str:
+    """A two-level index trained on every other vector, the rest added to it."""
+    from ragloom.streaming.retrieve import scratch_path
+    path = scratch_path(spark, "ivf-two")
+    e = _emb(spark, sf_dir).select("vec_id", "embedding")
+    IVF.build(e.where(F.col("vec_id") % 2 == 0), "vec_id", "embedding", path, per_cell=32)
+    IVF.add(e.where(F.col("vec_id") % 2 != 0), "vec_id", "embedding", path)
+    return path
+
+
+@register("ivf_all_cells", f"""
+WITH {_CENTROID_SQL},
+s AS (SELECT c.label, e.vec_id, round(list_dot_product(e.embedding::DOUBLE[], c.c), 6) AS score
+      FROM cent c, embeddings e)
+SELECT label, vec_id, score, rank FROM (
+  SELECT *, (row_number() OVER (PARTITION BY label ORDER BY score DESC, vec_id))::INTEGER AS rank FROM s)
+WHERE rank <= 4
+""")
+def q_ivf_all(spark, sf_dir):
+    """J3 in two levels, all cells probed: exact, so every vector is indexed once."""
+    cent = V.mean_pool(_emb(spark, sf_dir), "label")
+    path = _grown_index(spark, sf_dir)
+    cells, coarse = (spark.read.parquet(f"{path}/{t}").count() for t in ("fine", "coarse"))
+    return IVF.search(cent, path, "label", "vec_id", "embedding", 4, cells, coarse)
+
+
+@register("ivf_recall_floor", """
+SELECT 'half of the cells' AS probed, true AS at_least_80_percent FROM (SELECT 1 FROM embeddings LIMIT 1)
+""")
+def q_ivf_recall(spark, sf_dir):
+    """J3 in two levels against J1: recall at 4 of every vector's neighbours, half of the cells probed."""
+    e = _emb(spark, sf_dir).select("vec_id", "embedding")
+    q = e.withColumnRenamed("vec_id", "query_id")
+    path = _grown_index(spark, sf_dir)
+    cells, coarse = (spark.read.parquet(f"{path}/{t}").count() for t in ("fine", "coarse"))
+    near = IVF.search(q, path, "query_id", "vec_id", "embedding", 4, max(1, cells // 2), coarse).select("query_id", "vec_id")
+    exact = R.knn_dense(q, e, "query_id", "vec_id", "embedding", k=4).select("query_id", "vec_id", F.lit(1).alias("one"))
+    hits = exact.join(near.withColumn("hit", F.lit(1)), ["query_id", "vec_id"], "left")
+    return hits.agg((F.sum(F.coalesce("hit", F.lit(0))) / F.sum("one") >= 0.8).alias("at_least_80_percent")).select(
+        F.lit("half of the cells").alias("probed"), "at_least_80_percent")
+
+
 @register("knn_dense_self", """
 WITH s AS (SELECT q.vec_id AS query_id, e.vec_id,
                   round(list_dot_product(q.embedding::DOUBLE[], e.embedding::DOUBLE[]), 6) AS score
