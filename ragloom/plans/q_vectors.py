@@ -118,19 +118,20 @@ def q_ivf_all(spark, sf_dir):
 
 
 @register("ivf_recall_floor", """
-SELECT 'half of the cells' AS probed, true AS at_least_80_percent FROM (SELECT 1 FROM embeddings LIMIT 1)
+SELECT 'three quarters of the cells' AS probed, true AS at_least_85_percent FROM (SELECT 1 FROM embeddings LIMIT 1)
 """)
 def q_ivf_recall(spark, sf_dir):
-    """J3 in two levels against J1: recall at 4 of every vector's neighbours, half of the cells probed."""
+    """J3 in two levels against J1: recall at 4 of every vector's neighbours, three quarters
+    of the cells probed (the table's vectors hardly cluster, so recall grows with the cells probed)."""
     e = _emb(spark, sf_dir).select("vec_id", "embedding")
     q = e.withColumnRenamed("vec_id", "query_id")
     path = _grown_index(spark, sf_dir)
     cells, coarse = (spark.read.parquet(f"{path}/{t}").count() for t in ("fine", "coarse"))
-    near = IVF.search(q, path, "query_id", "vec_id", "embedding", 4, max(1, cells // 2), coarse).select("query_id", "vec_id")
+    near = IVF.search(q, path, "query_id", "vec_id", "embedding", 4, max(1, 3 * cells // 4), coarse).select("query_id", "vec_id")
     exact = R.knn_dense(q, e, "query_id", "vec_id", "embedding", k=4).select("query_id", "vec_id", F.lit(1).alias("one"))
     hits = exact.join(near.withColumn("hit", F.lit(1)), ["query_id", "vec_id"], "left")
-    return hits.agg((F.sum(F.coalesce("hit", F.lit(0))) / F.sum("one") >= 0.8).alias("at_least_80_percent")).select(
-        F.lit("half of the cells").alias("probed"), "at_least_80_percent")
+    return hits.agg((F.sum(F.coalesce("hit", F.lit(0))) / F.sum("one") >= 0.85).alias("at_least_85_percent")).select(
+        F.lit("three quarters of the cells").alias("probed"), "at_least_85_percent")
 
 
 @register("knn_dense_self", """
