@@ -12,6 +12,9 @@ expression; it runs as one Arrow-batched pandas UDF returning
 
 from __future__ import annotations
 
+import bisect
+import itertools
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -81,29 +84,22 @@ def _split_keep(text: str, sep: str, offset: int) -> list[tuple[str, int]]:
     return out
 
 
-def _emit(run: list[tuple[str, int]], out: list[tuple[str, int]]) -> None:
-    joined = "".join(p for p, _ in run)
-    stripped = joined.strip()
-    if stripped:
-        out.append((stripped, run[0][1] + len(joined) - len(joined.lstrip())))
-
-
 def _merge(pieces: list[tuple[str, int]], size: int, overlap: int) -> list[tuple[str, int]]:
-    """Greedy merge of contiguous pieces into runs <= size, carrying a tail <= overlap."""
+    """Contract step 4 on lengths alone: with the running length before each piece, a
+    run ends at the last piece that fits, and the next one begins at the first
+    piece from which the carried tail fits `overlap` and leaves room for the
+    piece that did not fit. Both are searches in a sorted list."""
+    before = [0, *itertools.accumulate(len(p) for p, _ in pieces)]
     out: list[tuple[str, int]] = []
-    run: list[tuple[str, int]] = []
-    total = 0
-    for p, start in pieces:
-        n = len(p)
-        if run and total + n > size:
-            _emit(run, out)
-            while run and (total > overlap or (total + n > size and total > 0)):
-                total -= len(run[0][0])
-                run.pop(0)
-        run.append((p, start))
-        total += n
-    if run:
-        _emit(run, out)
+    a, n = 0, len(pieces)
+    while a < n:
+        b = max(a + 1, bisect.bisect_right(before, before[a] + size) - 1)
+        run = "".join(p for p, _ in pieces[a:b])
+        if text := run.strip():
+            out.append((text, pieces[a][1] + len(run) - len(run.lstrip())))
+        if b == n:
+            break
+        a = bisect.bisect_left(before, max(before[b] - overlap, before[b + 1] - size), a + 1, b)
     return out
 
 
