@@ -12,6 +12,7 @@ handlers that return nothing for a call, get a message instead of an output.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -28,9 +29,14 @@ BAD_LOCATION = "Error: unknown location"
 MESSAGE = "struct<role:string,content:string,name:string>"
 
 
-def column_tool(fn: Callable[[Column], Column]) -> Handler:
-    """A tool that is an expression over its arguments."""
-    return lambda calls: calls.withColumn("output", fn(F.col("arguments")))
+@dataclass(frozen=True)
+class ColumnTool:
+    """A tool that is an expression over its arguments. `execute` evaluates it where the
+    calls are, without splitting them off."""
+    fn: Callable[[Column], Column]
+
+    def __call__(self, calls: DataFrame) -> DataFrame:
+        return calls.withColumn("output", self.fn(F.col("arguments")))
 
 
 def python_tool(name: str, fn: Callable) -> Handler:
@@ -40,7 +46,7 @@ def python_tool(name: str, fn: Callable) -> Handler:
 
 def integer_tool(fn: Callable[[Column, Column], Column]) -> Handler:
     """a tool over the integers `a` and `b`, given as text."""
-    return column_tool(lambda args: F.coalesce(fn(H.int_arg(args, "a"), H.int_arg(args, "b")).cast("string"), F.lit(BAD_INTEGER)))
+    return ColumnTool(lambda args: F.coalesce(fn(H.int_arg(args, "a"), H.int_arg(args, "b")).cast("string"), F.lit(BAD_INTEGER)))
 
 
 def lookup_tool(argument: str, table: DataFrame, key: str, value: str, missing: str) -> Handler:
@@ -77,14 +83,18 @@ def execute(calls: DataFrame, keys: Sequence[str], handlers: dict[str, Handler])
     every call has a text. Several rows of a handler for one call count as their greatest."""
     call = [*keys, "pos"]
     given = [F.col(c).alias(f"__{c}") for c in call]
+    inline = {n: h for n, h in handlers.items() if isinstance(h, ColumnTool)}
     done = [h(calls.where((F.col("name") == n) & F.col("pos").isNotNull()).select(*call, "arguments")).select(
-        *given, F.col("output").cast("string").alias("__output")) for n, h in handlers.items()]
+        *given, F.col("output").cast("string").alias("__output")) for n, h in handlers.items() if n not in inline]
+    said = F.lit(None).cast("string")
+    for n, h in inline.items():
+        said = F.when(F.col("name") == n, h.fn(F.col("arguments")).cast("string")).otherwise(said)
     found = F.coalesce(F.col("name").isin(list(handlers)), F.lit(False))
     if not done:
-        return calls.withColumns({"found": found, "output": _missing(found, F.lit(None).cast("string"))})
+        return calls.withColumns({"found": found, "output": _missing(found, said)})
     outputs = reduce(DataFrame.unionByName, done).groupBy(*(f"__{c}" for c in call)).agg(F.max("__output").alias("__output"))
     same = reduce(Column.__and__, (F.col(c).eqNullSafe(F.col(f"__{c}")) for c in call))
-    out = calls.join(outputs, same, "left").withColumns({"found": found, "output": _missing(found, F.col("__output"))})
+    out = calls.join(outputs, same, "left").withColumns({"found": found, "output": _missing(found, F.coalesce("__output", said))})
     return out.drop("__output", *(f"__{c}" for c in call))
 
 
