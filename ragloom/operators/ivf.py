@@ -114,7 +114,10 @@ def search(queries: DataFrame, path: str, q_key: str, c_key: str, vec_col: str =
     near = _nearest(asked, q_key, "v", spark.read.parquet(f"{path}/coarse"), False, coarse_probe or max(2, nprobe // 4))
     near = near.withColumnRenamed("c", "cell")
     probes = _nearest(asked.join(near, q_key), q_key, "v", spark.read.parquet(f"{path}/fine"), True, nprobe)
-    probes = asked.join(probes, q_key).select(q_key, F.col("v").alias("__qv"), F.col("c").alias("cell"))
-    folders = probes.select(F.shiftright("cell", 32).cast("int").alias("coarse")).distinct()  # at most one row per coarse cell
-    vectors = spark.read.parquet(f"{path}/vectors").join(F.broadcast(folders), "coarse", "left_semi").select(c_key, "cell", vec_col)
+    # a query goes to a coarse cell once, with the list of its cells there
+    probes = probes.groupBy(q_key, F.shiftright("c", 32).cast("int").alias("cell")).agg(F.collect_set("c").alias("__cells"))
+    folders = probes.select("cell").distinct()  # at most one row per coarse cell
+    probes = asked.join(probes, q_key).select(q_key, F.col("v").alias("__qv"), "cell", "__cells")
+    vectors = spark.read.parquet(f"{path}/vectors").join(F.broadcast(folders.withColumnRenamed("cell", "coarse")), "coarse", "left_semi")
+    vectors = vectors.select(c_key, F.col("coarse").alias("cell"), F.col("cell").alias("__in"), vec_col)
     return R._block_products(probes, vectors, q_key, c_key, vec_col, k, metric, 1024)
