@@ -8,10 +8,10 @@ import hashlib
 from pyspark.sql import functions as F
 
 from ragloom.functions import infer as K
+from ragloom.operators import chunk as C
 from ragloom.operators import prompts as G
 from ragloom.plans import dense as DC
 from ragloom.plans import oracle as O
-from ragloom.plans import rag
 from ragloom.plans.catalog import register
 from ragloom.session import table
 
@@ -29,7 +29,7 @@ K.register_generator("signed", lambda: _signed)
 
 
 def _rows(spark, sf_dir):
-    ch = rag.chunks(spark, sf_dir)
+    ch = C.chunk_fixed(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), "text")  # cut where they lie
     return ch.select(F.concat_ws("_", F.col("doc_id").cast("string"), F.col("chunk_no").cast("string")).alias("id"),
                      F.col("chunk").alias("document"), F.create_map(F.lit("source"), F.col("source")).alias("metadata"))
 

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from ragloom.plans.sizing import MAX_BROADCAST_ROWS
+
 # Fixed value: insert batch size of the reference's loading script.
 DEFAULT_BATCH = 1000
 
@@ -65,35 +67,58 @@ def insert_absent(spark: SparkSession, df: DataFrame, path: str, id_col: str = "
     """S13 + J6: add only rows whose id is not stored yet; existing ids are left
     untouched. Duplicate ids inside one batch fail the write (the store rejects
     them too) and leave the store as it was. Returns the rows that were added.
+    Rows without an id are always new.
 
-    One write, in one plan: rows are dealt by id, counted per id, anti-joined with
-    the stored ids (only that column is read) and appended. With `buckets` the store is
-    bucketed by id (see `bucketed`): the stored side is not shuffled, and the rows
-    are dealt once, the way they are stored. Rows without an id are always new."""
-    n = F.count(F.lit(1)).over(Window.partitionBy(id_col))
+    A first pass counts ids alone, so rows stay where they are: see `absent_rows`.
+    With `buckets` the store is bucketed by id (see `bucketed`) and written in one
+    plan: the stored side is not shuffled, and the rows are dealt once, the way
+    they are stored."""
     twice = F.raise_error(F.concat(F.lit("duplicate id in batch: "), F.col(id_col).cast("string")))
-    if buckets:
-        df = df.repartition(buckets, id_col)
-    checked = df.withColumn("__n", n).where(F.when((F.col("__n") > 1) & F.col(id_col).isNotNull(), twice).otherwise(F.lit(True))).drop("__n")
+    once = F.when((F.col("__n") > 1) & F.col(id_col).isNotNull(), twice).otherwise(F.lit(True))
     before: set[str] = set()
     if buckets:
+        df = df.repartition(buckets, id_col)
         stored = spark.table(bucketed(spark, path, df.schema, id_col, buckets))
-    else:
-        stored = spark.read.parquet(path) if exists(spark, path) else None
-    if stored is not None:
         before = set(stored.inputFiles())
-        checked = checked.join(stored.select(id_col), id_col, "left_anti").select(*df.columns)
-    if buckets:
+        checked = df.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(id_col))).where(once).drop("__n")
         name = bucketed(spark, path, df.schema, id_col, buckets)
-        checked.write.insertInto(name)
+        checked.join(stored.select(id_col), id_col, "left_anti").select(*df.columns).write.insertInto(name)
         spark.catalog.refreshTable(name)
     else:
-        checked.write.mode("append").parquet(path)
+        stored = spark.read.parquet(path) if exists(spark, path) else None
+        before = set(stored.inputFiles()) if stored is not None else before
+        ids = df.groupBy(id_col).agg(F.count(F.lit(1)).alias("__n")).where(once).select(id_col)
+        new = absent_rows(df, ids, stored, id_col)
+        if new is None:
+            return spark.createDataFrame([], df.schema)
+        new.write.mode("append").parquet(path)
     spark.catalog.refreshByPath(path)
     added = sorted(set(spark.read.schema(df.schema).parquet(path).inputFiles()) - before)
     return spark.read.schema(df.schema).parquet(*added) if added else spark.createDataFrame([], df.schema)
 
 
+def absent_rows(df: DataFrame, ids: DataFrame, stored: DataFrame | None, id_col: str) -> DataFrame | None:
+    """Rows of `df` whose id is not among the `stored` ones; None if the store has them all.
+
+    `ids` holds the ids of `df`, each once. Only they cross the network: if all are new,
+    the rows are taken whole; if up to MAX_BROADCAST_ROWS are, the new ids go to the
+    rows. Beyond that the rows meet the stored ids by a shuffle. Runs one job, over ids."""
+    if stored is None:
+        ids.count()  # whatever `ids` checks
+        return df
+    held = stored.select(id_col).distinct().withColumn("__held", F.lit(True))
+    met = ids.join(held, id_col, "left")
+    n, new = met.agg(F.count(F.lit(1)), F.count_if(F.col("__held").isNull())).first()
+    if not new and stored.inputFiles():
+        return None
+    if new == n:
+        return df
+    if new > MAX_BROADCAST_ROWS:
+        return df.join(stored.select(id_col), id_col, "left_anti").select(*df.columns)
+    absent = F.broadcast(met.where("__held IS NULL").select(F.col(id_col).alias("__absent")))
+    return df.join(absent, F.col(id_col).eqNullSafe(F.col("__absent")), "left_semi")
+
+
 def overwrite(spark: SparkSession, df: DataFrame, path: str, swap: bool = True) -> str:
     """Replace the collection (`--clear`). The new version is written
     completely next to the old one first; with `swap` the live path is then

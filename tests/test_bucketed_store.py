@@ -37,3 +37,22 @@ def test_stored_side_is_not_shuffled(spark, tmpdir_path):
     plan = new.hint("merge").join(stored, "id", "left_anti")._jdf.queryExecution().executedPlan().toString()
     below = plan[plan.index("FileScan") - 400:plan.index("FileScan")]
     assert "Exchange" not in below and "SelectedBucketsCount: 4 out of 4" in plan
+
+
+def test_new_rows_stay_in_place(spark, tmpdir_path):
+    path = f"{tmpdir_path}/store"
+    rows = spark.range(0, 300, 1, 3).withColumn("document", F.col("id").cast("string"))
+    ST.insert_absent(spark, rows, path)
+    ST.insert_absent(spark, spark.range(200, 400, 1, 2).withColumn("document", F.col("id").cast("string")), path)
+    files = spark.read.parquet(path).groupBy(F.input_file_name()).agg(F.min("id").alias("a"), F.max("id").alias("b"), F.count("id").alias("n")).collect()
+    assert sum(r["n"] for r in files) == 400 and all(r["b"] - r["a"] + 1 == r["n"] for r in files)  # not dealt out by id
+
+
+@pytest.mark.parametrize("most", [0, 10])
+def test_rows_without_an_id_are_new(spark, tmpdir_path, monkeypatch, most):
+    monkeypatch.setattr(ST, "MAX_BROADCAST_ROWS", most)
+    path = f"{tmpdir_path}/store"
+    rows = spark.createDataFrame([("a", "x"), (None, "y"), (None, "z")], "id string, document string")
+    assert ST.insert_absent(spark, rows, path).count() == 3
+    assert ST.insert_absent(spark, rows, path).count() == 2
+    assert spark.read.parquet(path).count() == 5

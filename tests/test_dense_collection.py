@@ -74,3 +74,24 @@ def test_answers_without_hits(spark):
     none = spark.createDataFrame([], "qid long, rank int, document string")
     r = DC.answers(qs, none, "qid", "text", "size").first()
     assert r["n_hits"] == 0 and "No relevant docs" in r["prompt"] and r["answer"] == str(len(r["prompt"]))
+
+
+def test_word_is_hashed_once(monkeypatch):
+    import hashlib
+    asked, md5 = [], hashlib.md5
+    monkeypatch.setattr(hashlib, "md5", lambda b: asked.append(b) or md5(b))
+    model = K.hashed_dense_embedder(8)
+    got = model(["red fox red", "Fox", ""]) + model(["red"])
+    assert sorted(asked) == [b"fox", b"red"]
+    assert got[2] == [0.0] * 8 and sum(x * x for x in got[0]) == pytest.approx(1) and sorted(got[3])[-1] == 1
+
+
+def test_documents_of_other_texts_are_not_moved(spark, tmpdir_path):
+    K.register_embedder("sixteen", lambda: K.hashed_dense_embedder(16))
+    path = f"{tmpdir_path}/coll"
+    DC.write(spark, _rows(spark, [(f"r{i}", f"text {i % 7}") for i in range(40)]), path, "sixteen", 16)
+    qs = spark.createDataFrame([(1, "text 3")], "qid long, text string")
+    hits = DC.search(spark, path, qs, "qid", "text", "sixteen", 2)
+    assert [(r["id"], r["document"]) for r in hits.orderBy("rank").collect()] == [("r10", "text 3"), ("r17", "text 3")]
+    plan = hits._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan  # rows meet the hits before they are ranked within their text
