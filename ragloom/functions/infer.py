@@ -16,6 +16,8 @@ _EMBEDDERS: dict[str, Callable[[], Callable]] = {}
 _GENERATORS: dict[str, Callable[[], Callable]] = {}
 #: Models that this worker process has made, by their factory.
 _made: dict[bytes, Callable] = {}
+#: Words whose place the stand-in model remembers.
+REMEMBERED_WORDS = 200_000
 
 
 def register_embedder(name: str, factory: Callable[[], Callable[[list[str]], list[list[float]]]]) -> None:
@@ -105,13 +107,20 @@ def hashed_dense_embedder(dims: int = 64) -> Callable[[list[str]], list[list[flo
 
     tok = re.compile(r"[^\W_]+", re.UNICODE)
 
+    class Places(dict):
+        def __missing__(self, w: str) -> int:
+            if len(self) >= REMEMBERED_WORDS:
+                self.clear()
+            at = self[w] = int.from_bytes(hashlib.md5(w.encode()).digest()[:4], "big") % dims
+            return at
+
+    place = Places().__getitem__
+
     def fn(texts: list[str]) -> list[list[float]]:
         out = []
         for t in texts:
-            v = np.zeros(dims)
-            for w in tok.findall(t.lower()):
-                h = int(hashlib.md5(w.encode()).hexdigest()[:8], 16)
-                v[h % dims] += 1.0
+            at = np.fromiter(map(place, tok.findall(t.lower())), np.int64)
+            v = np.bincount(at, minlength=dims).astype(np.float64)
             n = np.linalg.norm(v)
             out.append((v / n if n > 0 else v).tolist())
         return out
