@@ -22,3 +22,11 @@ def test_contained_pairs(spark):
     want = {(i, d) for i, p in items if p for d, t in docs if t and p in t}
     pairs = [tuple(r) for r in got.select("item_id", "doc_id").collect()]
     assert set(pairs) == want and len(pairs) == len(want)
+
+
+def test_documents_are_cut_into_grams_once(spark):
+    docs = spark.createDataFrame([(1, "a red fox by the sea"), (2, "the sea")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, "red fox by"), (8, "the sea")], "item_id long, text string")
+    got = rag.contained_pairs(items, docs)
+    assert sorted(map(tuple, got.collect())) == [(7, 1), (8, 1), (8, 2)]
+    assert got._jdf.queryExecution().withCachedData().toString().count("InMemoryRelation") >= 2  # counted and searched
