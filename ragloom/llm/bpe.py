@@ -16,6 +16,7 @@ cuts; repeated rows and extra columns are no concern of a column function.
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 
@@ -32,6 +33,12 @@ SLICE_CHARS = 1 << 20
 TABLE_FRAGMENTS, TABLE_IDS = 500_000, 6_000_000
 SMALL_TABLE = 100_000
 SPACES = " \t\n\r"
+#: Characters of texts that the word encoder splits at once, and the words it
+#: remembers (about 0.25 KB each).
+WORD_CHARS, TABLE_WORDS = 4 << 20, 800_000
+#: Letters of its plain words, and closing marks that its pre-tokenizer cuts off as one run.
+LETTERS, MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", ".,;:!?)]}#*$%&"
+LATIN = "".join(c for c in map(chr, range(0x41, 0x100)) if re.match(f"[{LETTERS}]", c))
 #: A Latin word, perhaps after one space or line break, perhaps before closing
 #: marks: every pre-tokenizer here cuts it into these three parts.
 PLAIN = re.compile("([ \n]?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
@@ -125,7 +132,9 @@ class Fragments:
         plain = [PLAIN.fullmatch(f) for f in fragments]
         rest = [f for f, m in zip(fragments, plain, strict=True) if m is None]
         other = iter(self.tokenizer.encode_batch_fast(rest, add_special_tokens=False))
-        found = [next(other).ids if m is None else self._plain(*m.groups()) for m in plain]
+        self._add(fragments, [next(other).ids if m is None else self._plain(*m.groups()) for m in plain])
+
+    def _add(self, fragments: list[str], found: list[list[int]]) -> None:
         total = sum(map(len, found))
         while self.count + len(found) > len(self.first):
             self.first, self.size = (np.concatenate([a, np.zeros_like(a)]) for a in (self.first, self.size))
@@ -135,7 +144,7 @@ class Fragments:
         at = slice(self.count, self.count + len(found))
         self.size[at] = sizes
         self.first[at] = self.used + np.cumsum(sizes) - sizes
-        self.ids[self.used:self.used + total] = np.fromiter((i for f in found for i in f), np.uint32, total)
+        self.ids[self.used:self.used + total] = np.fromiter(itertools.chain.from_iterable(found), np.uint32, total)
         self.place.update(zip(fragments, range(self.count, self.count + len(found)), strict=True))
         self.count += len(found)
         self.used += total
@@ -213,6 +222,93 @@ class Fragments:
         return out
 
 
+def _gather(ids: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ids that begin at `first`, one after another, and the running count after each."""
+    end = np.cumsum(size)
+    total = int(end[-1]) if len(end) else 0
+    kind = np.int32 if max(total, len(ids)) < 1 << 31 else np.int64
+    return ids[np.arange(total, dtype=kind) + np.repeat((first - (end - size)).astype(kind), size)], end
+
+
+class SpacedWords(Fragments):
+    """Encodes texts whose white space makes no ids and whose normalizer
+    lower-cases. Arrow cuts them at ASCII white space and numbers the distinct
+    fragments of a batch; of a Latin word with closing marks only the
+    lower-cased word and the marks are remembered, so a word is encoded once
+    however it is written. Other fragments go the way of `Fragments`."""
+
+    def __init__(self, tokenizer, table: int | None = None):
+        super().__init__(tokenizer, SPACES, drop=True, lower=True, table=TABLE_WORDS if table is None else table)
+
+    def _rows(self, *lists: list[str]) -> list[np.ndarray]:
+        """Rows of the table for lists of distinct parts: Latin words in lower
+        case, then others."""
+        at = [np.fromiter(map(self.place.get, x, itertools.repeat(-1)), np.int64, len(x)) for x in lists]
+        if self.count + sum(int((a < 0).sum()) for a in at) > self.table or self.used > TABLE_WORDS * 10:
+            self.forget()
+            at = [np.full(len(x), -1) for x in lists]
+        for k, (x, a) in enumerate(zip(lists, at, strict=True)):
+            if k > 1:  # the lists before may have brought these parts
+                a[:] = [self.place.get(p, -1) for p in x]
+            miss = np.flatnonzero(a < 0)
+            new = [x[i] for i in miss.tolist()]
+            a[miss] = np.arange(self.count, self.count + len(new))
+            if k == 0:
+                cut, letters = self.model.tokenize, self.letters
+                spelt = (x if x.isascii() else x.encode().decode("latin-1").translate(letters) for x in new)
+                self._add(new, [[t.id for t in cut(x)] for x in spelt])
+            elif new:
+                self._learn(new)
+                self.known.clear()
+        return at
+
+    def _batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts one after another, and how many each has."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.string()))
+        edge = split.offsets.to_numpy()
+        flat = split.flatten().dictionary_encode()
+        each = flat.dictionary  # the different fragments, each a word and its marks or some other part
+        word = pc.utf8_rtrim(each, characters=MARKS)
+        plain = pc.match_substring_regex(word, f"^[{LETTERS}]+$")
+        marks = pc.utf8_ltrim(each.filter(plain), characters=LATIN).dictionary_encode()
+        lower = pc.utf8_lower(word.filter(plain)).dictionary_encode()
+        words, others, ends = self._rows(lower.dictionary.to_pylist(), each.filter(pc.invert(plain)).to_pylist(), marks.dictionary.to_pylist())
+        plain = plain.to_numpy(zero_copy_only=False)
+        parts = np.zeros((len(each), 2), np.int64)
+        parts[plain, 0], parts[~plain, 0] = words[lower.indices.to_numpy()], others
+        there = np.zeros((len(each), 2), bool)
+        there[:, 0] = True
+        if len(ends):
+            parts[plain, 1], there[plain, 1] = ends[marks.indices.to_numpy()], True  # no mark has no ids
+        at = parts[there]
+        ids, _ = _gather(self.ids, self.first[at], self.size[at])
+        size = np.zeros((len(each), 2), np.int64)
+        size[there] = self.size[at]
+        size = size.sum(axis=1)
+        i = flat.indices.to_numpy()
+        ids, end = _gather(ids, (np.cumsum(size) - size)[i], size[i])
+        return ids, np.diff(np.concatenate([[0], end])[edge])
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of every whole text."""
+        pieces = [(k, s) for k, t in enumerate(texts) for s in (self.slices(t) if len(t) > SLICE_CHARS else (t,))]
+        ids, sizes = [], []
+        lo = chars = 0
+        for hi, (_, s) in enumerate(pieces, 1):
+            chars += len(s)
+            if chars > WORD_CHARS or hi == len(pieces):
+                a, b = self._batch([x for _, x in pieces[lo:hi]])
+                ids.append(a)
+                sizes.append(b)
+                lo, chars = hi, 0
+        if not texts:
+            return []
+        size = np.bincount([k for k, _ in pieces], np.concatenate(sizes), len(texts)).astype(np.int64)
+        return np.split(np.concatenate(ids), np.cumsum(size)[:-1])
+
+
 _loaded: dict[str, tuple] = {}
 
 

@@ -189,8 +189,8 @@ def write_tokens(docs: DataFrame, encoder, end_id: int, vocab_size: int, id_col:
                                   ("docs", pa.int64()), ("tokens", pa.int64())]))
 
         for b in batches:
-            for lo in range(0, b.num_rows, 512):
-                some = b.slice(lo, 512)
+            for lo in range(0, b.num_rows, 2048):  # many words at once repeat more
+                some = b.slice(lo, 2048)
                 texts = ["" if t is None else t for t in some.column(1).to_pylist()]
                 for i, ids in zip(some.column(0).to_pylist(), enc.encode(texts), strict=True):
                     doc_ids.append(i)
