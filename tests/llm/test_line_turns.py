@@ -71,3 +71,48 @@ def test_pieces_do_not_change_shingles(monkeypatch):
     whole = [s.tolist() for s in neardup.shingle_sets(texts)]
     monkeypatch.setattr(neardup, "HASHED_BYTES", 10)
     assert [s.tolist() for s in neardup.shingle_sets(texts)] == whole
+
+
+def test_a_common_phrase_makes_no_pairs(spark):
+    """Lines that share a q-gram, but no window around it, do not meet, however many they are."""
+    rnd, letters = random.Random(5), "abcdefghijklmnop "
+    lo, hi, q, w = next(x for x in linenear.schemes() if x[0] <= 200 < x[1])
+
+    def lines(phrase):
+        return ["".join(rnd.choices(letters, k=100)) + phrase + "".join(rnd.choices(letters, k=100 - q)) for _ in range(300)]
+
+    phrases = ["".join(rnd.choices(letters, k=q)) for _ in range(20)]
+    best = max((lines(p) for p in phrases), key=lambda x: int((linenear.grams(x, q, w)[2] == 100).sum()))
+    n = int((linenear.grams(best, q, w)[2] == 100).sum())
+    assert n > 200  # lines that post the phrase, at one place
+    texts = spark.createDataFrame([(x,) for x in best], "text string").repartition(3)
+    groups = keep(linenear._groups(linenear._postings(texts, 4, 34, 20, "", 0, 1), 2), "groups")
+    met = groups.where("a is not null").count() + linenear._rest(groups, np.empty(0, np.int64)).count()
+    assert met < n
+
+
+def test_contexts_agree_along_common_windows():
+    """Two lines that share one window, with any characters around it, meet in their class."""
+    rnd = random.Random(6)
+    for k, (_, hi, q, w) in enumerate(linenear.schemes()):
+        for _ in range(200):
+            run, n = "".join(rnd.choices("abcd ", k=q + w - 1)), min(hi, 500) - 1
+            a, b = ("".join(rnd.choices("abcd ", k=x)) + run + "".join(rnd.choices("abcd ", k=n - x - len(run)))
+                    for x in (rnd.choice([0, 3, n - len(run)]) if n > len(run) + 3 else 0 for _ in range(2)))
+            h, own, _, around = linenear._least_grams([a, b], q, w)
+            one, two = ([(x, y) for x, y, o in zip(h, around, own, strict=True) if o == side] for side in (0, 1))
+            kind = np.array([k])
+            assert any(x == y and linenear._agree(kind, np.array([c]), np.array([d]))[0] for x, c in one for y, d in two)
+            halves = []
+            for some in (one, two):
+                slot = np.array([x for x, _ in some]) >> np.uint64(30) << np.uint64(3) | np.uint64(k)
+                rest = np.zeros(len(slot), np.int64)
+                halves.append(set(linenear._sides(slot, rest, rest, rest, np.array([c for _, c in some]))[0].tolist()))
+            assert halves[0] & halves[1]
+
+
+def test_lines_are_numbered_by_rank(spark):
+    text = "\n".join("line number %d of some text" % i for i in range(50))
+    texts = spark.createDataFrame([(text, 9), (text + "a", 2)], "text string, rank int").repartition(2, "rank")
+    rows = linenear._postings(texts, 2, 34, 20, " ", 0, 1).where("keys is not null").collect()
+    assert {r["base"] >> 47 for r in rows} <= {2, 9} and len(rows) >= 1
