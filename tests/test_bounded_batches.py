@@ -26,3 +26,46 @@ def test_counts_are_not_copied_to_shards(spark):
     join = plan[plan.index("Join Inner"):]
     assert "__stats" in plan and "__stats" not in join
     assert [(r["qid"], r["id"]) for r in hits.orderBy("qid", "rank").where("rank = 1").collect()] == [(0, 5), (1, 7)]
+
+
+def test_search_holds_a_shard_and_one_pack(spark, monkeypatch):
+    corpus = spark.createDataFrame([(i, f"w{i} w{i % 3} all") for i in range(60)], "id long, text string")
+    asked = spark.createDataFrame([(i, f"w{i} w{(i + 1) % 3}") for i in range(50)], "qid long, text string").repartition(20)
+    hits = R.knn_text(asked, corpus, ["qid"], ["id"], "text", "text", 2)
+    plan = hits._jdf.queryExecution().optimizedPlan().toString()
+    left, right = plan[plan.index("Join Inner"):].split("\n   ", 1)[1].split("collect_list", 1)
+    assert "__asked" in left and "__asked" not in right  # a merge join holds its right side: the blocks, never the packs
+    assert "RebalancePartitions" in left                 # questions of many tasks make full packs
+    want = sorted(map(tuple, hits.collect()))
+    rows = [{"id": i, "__d": [i], "__w": None} for i in range(9)]
+    blocks = [BM.Block.of(BM.postings(_struct(rows[i:i + 3]), ["id"], None, False)) for i in (0, 3, 6)]
+    made, of = [], BM.Block.of
+    for room, times in ((0, 6), (blocks[0].nbytes, 5), (1 << 20, 3)):  # one or no block fits: the others are made anew for each of two packs
+        made.clear()
+        monkeypatch.setattr(BM, "HELD_BYTES", room)
+        monkeypatch.setattr(BM.Block, "of", lambda p: made.append(1) or of(p))
+        found = [r for b in BM._scorer(["q"], ["id"], 1, False)(_pairs(rows)) for r in b.to_pylist()]
+        assert len(made) == times
+        assert sorted((r["q"], r["id"], r["__score"]) for r in found) == [(i, i, 1.0) for i in range(9)]
+    assert want == sorted(map(tuple, R.knn_text(asked, corpus, ["qid"], ["id"], "text", "text", 2).collect()))
+
+
+def _struct(rows, key="id"):
+    import pyarrow as pa
+    kind = pa.struct([(key, pa.int64()), ("__d", pa.list_(pa.int32())), ("__w", pa.list_(pa.float64()))])
+    return pa.array([{key: r["id"], "__d": r["__d"], "__w": r["__w"]} for r in rows], kind)
+
+
+def _pairs(rows):
+    """Two packs of questions, each with three blocks of one shard."""
+    import pyarrow as pa
+    pairs = [(0, b, f"p{p}", q, None, c) for p, q in enumerate((rows[:5], rows[5:])) for b, c in enumerate((rows[:3], rows[3:6], rows[6:]))]
+
+    def listed(parts, key):
+        ends = [0]
+        for x in parts:
+            ends.append(ends[-1] + len(x))
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), _struct([r for x in parts for r in x], key))
+    shard, blk, pack, asked, stats, items = zip(*pairs)
+    yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(blk), pa.array(pack), listed(asked, "q"), pa.nulls(len(pairs)), listed(items, "id")],
+                                     ["__shard", "__blk", "__pack", "__asked", "__stats", "__items"])
